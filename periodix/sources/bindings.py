@@ -191,6 +191,29 @@ class World:
         """All operations: the project rows and the period snapshots."""
         return self.gandoper_project.unionByName(self.gandoper_snapshots, allowMissingColumns=True)
 
+    @cached_property
+    def plan_lines(self) -> DataFrame:
+        """Operations with duplicate keys: one per line item, key (order, line number)."""
+        li = self.t.lineitem
+        price = F.col("l_extendedprice")
+        cols = {
+            "index": F.col("l_orderkey"),
+            "Code": F.concat(F.lit("LN-"), F.col("l_linenumber").cast("string")),
+            "DurPlanD": F.col("l_quantity"),
+            "Start": F.col("l_shipdate"),
+            "Fin": F.col("l_shipdate"),
+            "VolPlan": F.col("l_quantity"),
+            "project_type": F.lit(L.PROJECT),
+            "object": F.concat(F.lit("SITE-"), F.col("l_returnflag")),
+            "Calen": F.lit("STD"),
+            "c_pln_SMRSsI": price,
+            "c_pln_SMRSpI": F.when(F.col("l_tax") > 0, price * F.col("l_tax")),
+            "c_pln_UslGpd": price * F.col("l_discount"),
+        }
+        for part in L.COST_PARTS:
+            cols[f"c_pln_{part}"] = price * 0.4 if part == "Materl" else _null()
+        return li.select(*[c.alias(n) for n, c in cols.items()])
+
     @cached_property
     def archive(self) -> DataFrame:
         li = self.lineitem_x
