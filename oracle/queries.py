@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from oracle import spread_sql
+from oracle import marts_sql, spread_sql
 
 ORACLE: dict[str, str] = {
     "plan_start": spread_sql.PLAN_START,
     "plan_month_spread": spread_sql.PLAN_MONTH_SPREAD,
     "plan_month_spread_dup": spread_sql.PLAN_MONTH_SPREAD_DUP,
     "fact_month_spread": spread_sql.FACT_MONTH_SPREAD,
+    "contract_positions": marts_sql.CONTRACT_POSITIONS,
+    "plan_fact_mart": marts_sql.PLAN_FACT_MART,
 }

@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from periodix.operators.plan_start import plan_start
-from periodix.plans.plan_fact import fact_by_month, plan_by_month
+from periodix.operators.positions import contract_positions
+from periodix.plans.plan_fact import fact_by_month, plan_by_month, plan_fact_mart
 from periodix.sources.bindings import World
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +52,19 @@ def q_plan_month_spread_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_fact_month_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the surrogate id is a hash (the reference's is an arbitrary row number), so it is not compared
     return fact_by_month(world(spark, sf_dir).archive).drop("id")
+
+
+@register("contract_positions")
+def q_contract_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contract_positions(world(spark, sf_dir).vdc)
+
+
+def plan_fact(w: World) -> DataFrame:
+    plan = plan_by_month(w.gandoper, unique_key=True)
+    fact = fact_by_month(w.archive)
+    return plan_fact_mart(plan, fact, w.gandoper, contract_positions(w.vdc))
+
+
+@register("plan_fact_mart")
+def q_plan_fact_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plan_fact(world(spark, sf_dir))

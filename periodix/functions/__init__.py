@@ -5,6 +5,7 @@ from periodix.functions.pgcompat import (  # noqa: F401
     concat_skip_nulls,
     is_false,
     is_true,
+    micros_between,
     month_index,
     month_start,
     nullif,

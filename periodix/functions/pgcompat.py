@@ -55,6 +55,11 @@ def month_index(x) -> Column:
     return F.year(x) * 12 + F.month(x)
 
 
+def micros_between(start, end) -> Column:
+    """``end - start`` in whole microseconds (exact integer arithmetic)."""
+    return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+
+
 def seconds_between(start, end) -> Column:
     """``extract(epoch from end - start)`` as double seconds, exact to the microsecond."""
     return F.timestamp_diff("MICROSECOND", _c(start), _c(end)).cast("double") / 1e6

@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from periodix.functions import add_months, month_index, month_start, seconds_between
+from periodix.functions import add_months, micros_between, month_index, month_start
 
 PART_COLUMNS = ["part_start", "part_end", "start_year", "start_month", "duration", "weight"]
 
@@ -44,9 +44,9 @@ def _row_terms(start: Column, end: Column) -> dict[str, Column]:
         .otherwise(F.greatest(month_index(me) - month_index(ms), F.lit(0)) + 1)
     )
     # total duration of the row's parts when its k=0 part is / is not the key's first part
-    dur_first = seconds_between(start, F.coalesce(end, m1))
-    dur_other = F.when(end.isNotNull() & (me >= ms), seconds_between(ms, end)).otherwise(
-        seconds_between(ms, m1))
+    dur_first = micros_between(start, F.coalesce(end, m1))
+    dur_other = F.when(end.isNotNull() & (me >= ms), micros_between(ms, end)).otherwise(
+        micros_between(ms, m1))
     return {"_ms": ms, "_me": me, "_m1": m1, "_n": n_parts, "_tf": dur_first, "_to": dur_other}
 
 
@@ -111,15 +111,16 @@ def month_parts(
         .otherwise(add_months(part_month, 1))
     )
     parts = parts.withColumns({"part_start": part_start, "part_end": part_end})
-    parts = parts.withColumn("duration", seconds_between("part_start", "part_end"))
-    keep = ~((F.col("duration") == 0) & (F.col("_n_parts") > 1))
+    # durations and totals are whole microseconds, so every weight is one exact division
+    parts = parts.withColumn("_us", micros_between("part_start", "part_end"))
+    keep = ~((F.col("_us") == 0) & (F.col("_n_parts") > 1))
     total = F.when(F.col("_total") == 0, F.lit(None)).otherwise(F.col("_total"))
-    weight = F.when(F.col("duration") == 0, F.lit(1.0)).otherwise(F.col("duration") / total)
+    weight = F.when(F.col("_us") == 0, F.lit(1.0)).otherwise(F.col("_us") / total)
     return parts.where(keep).select(
         *keys, *carry, "part_start", "part_end",
         F.year("part_start").alias("start_year"),
         F.month("part_start").alias("start_month"),
-        "duration",
+        (F.col("_us") / 1e6).alias("duration"),
         weight.alias("weight"),
     )
 

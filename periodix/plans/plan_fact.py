@@ -51,6 +51,13 @@ def _weighted(weight: Column, terms: dict[str, Column]) -> list[Column]:
     return out
 
 
+def exact_sum(x: Column) -> Column:
+    """Sum of a money measure without order-dependent rounding: each value is taken to 6 decimals
+    and added exactly, so the half-even rounding of the weighted total does not depend on how the
+    rows were partitioned."""
+    return F.sum(x.cast("decimal(38,6)")).cast("double")
+
+
 def plan_by_month(gandoper: DataFrame, unique_key: bool = False,
                   project_type: str = L.PROJECT) -> DataFrame:
     """Planned measures per operation and calendar month (``int__gant_by_month``).
@@ -99,7 +106,7 @@ def fact_by_month(archive: DataFrame, project_type: str = L.PROJECT) -> DataFram
     terms = _measure_terms("c_aac_")
     sums = archive.where(F.col("project_type") == project_type).groupBy(
         F.col("index").alias("archive_index"), F.col("OperCode").alias("code"), "object"
-    ).agg(*[F.sum(t).alias(n) for n, t in terms.items()])
+    ).agg(*[exact_sum(t).alias(n) for n, t in terms.items()])
     joined = weights.join(sums, on=keys)
 
     out = joined.select(
