@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import marts_sql, spread_sql
+from oracle import hours_sql, marts_sql, spread_sql
 
 ORACLE: dict[str, str] = {
     "plan_start": spread_sql.PLAN_START,
@@ -11,4 +11,8 @@ ORACLE: dict[str, str] = {
     "fact_month_spread": spread_sql.FACT_MONTH_SPREAD,
     "contract_positions": marts_sql.CONTRACT_POSITIONS,
     "plan_fact_mart": marts_sql.PLAN_FACT_MART,
+    "hours_unnormed": hours_sql.HOURS_UNNORMED,
+    "hours_normed": hours_sql.HOURS_NORMED,
+    "hours_zero": hours_sql.HOURS_ZERO,
+    "hours_mart": hours_sql.HOURS_MART,
 }

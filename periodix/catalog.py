@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from periodix.operators.plan_start import plan_start
 from periodix.operators.positions import contract_positions
+from periodix.plans import hours as H
 from periodix.plans.plan_fact import fact_by_month, plan_by_month, plan_fact_mart
 from periodix.sources.bindings import World
 
@@ -68,3 +69,40 @@ def plan_fact(w: World) -> DataFrame:
 @register("plan_fact_mart")
 def q_plan_fact_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_fact(world(spark, sf_dir))
+
+
+def _hours_args(w: World) -> dict:
+    return {"own_name": w.params.own_contractor_name, "placeholders": w.params.placeholder_analytics}
+
+
+def _ctx(w: World) -> DataFrame:
+    return H.work_context(w.works, w.zhufvr, w.objects)
+
+
+@register("hours_unnormed")
+def q_hours_unnormed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = world(spark, sf_dir)
+    return H.hours_unnormed(w.technique_workers, w.norm_workload, _ctx(w), **_hours_args(w)).select(*H.T1_COLUMNS)
+
+
+@register("hours_normed")
+def q_hours_normed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = world(spark, sf_dir)
+    return H.hours_normed(w.technique_workers, w.norm_workload, _ctx(w),
+                          w.params.placeholder_analytics).select(*H.T1_COLUMNS)
+
+
+@register("hours_zero")
+def q_hours_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = world(spark, sf_dir)
+    return H.hours_zero(w.technique_workers, w.norm_workload, _ctx(w), **_hours_args(w)).select(*H.T1_COLUMNS)
+
+
+def hours_mart(w: World) -> DataFrame:
+    return H.reconcile_hours(w.technique_workers, w.norm_workload, w.works, w.zhufvr, w.objects, w.gandoper,
+                             contract_positions(w.vdc), w.key_res, **_hours_args(w))
+
+
+@register("hours_mart")
+def q_hours_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hours_mart(world(spark, sf_dir))
