@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import hours_sql, marts_sql, spread_sql
+from oracle import costs_sql, hours_sql, marts_sql, spread_sql
 
 ORACLE: dict[str, str] = {
     "plan_start": spread_sql.PLAN_START,
@@ -15,4 +15,22 @@ ORACLE: dict[str, str] = {
     "hours_normed": hours_sql.HOURS_NORMED,
     "hours_zero": hours_sql.HOURS_ZERO,
     "hours_mart": hours_sql.HOURS_MART,
+    "validity_join": costs_sql.VALIDITY_JOIN,
+    "rate_overlaps": costs_sql.RATE_OVERLAPS,
 }
+
+
+def _costs() -> str:
+    from periodix.catalog import cost_params
+    from periodix.sources.bindings import BindingParams
+
+    class _W:  # cost_params only reads the binding parameters
+        params = BindingParams()
+
+    return costs_sql.costs_mart(cost_params(_W()))
+
+
+ORACLE.update({
+    "costs_mart": _costs(),
+})
+

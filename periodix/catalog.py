@@ -11,10 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from periodix.operators.plan_start import plan_start
 from periodix.operators.positions import contract_positions
+from periodix.operators.validity import overlapping_intervals, validity_join
 from periodix.plans import hours as H
+from periodix.plans.costs import CostParams, compare_costs
 from periodix.plans.plan_fact import fact_by_month, plan_by_month, plan_fact_mart
 from periodix.sources.bindings import World
 
@@ -106,3 +109,49 @@ def hours_mart(w: World) -> DataFrame:
 @register("hours_mart")
 def q_hours_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hours_mart(world(spark, sf_dir))
+
+
+# sites by region of the binding's nations (region = nation key mod 5); region 0 is unmapped
+_REGIONS_1_3 = tuple(f"NATION_{k}" for k in range(25) if k % 5 in (1, 2, 3))
+_REGION_1 = tuple(f"NATION_{k}" for k in range(25) if k % 5 == 1)
+
+
+def cost_params(w: World) -> CostParams:
+    return CostParams(
+        own_contractor_value=w.params.own_contractor_value,
+        main_worker_analytics=w.params.main_worker_analytics,
+        plan_objects=_REGIONS_1_3,
+        works_code_objects=_REGION_1,
+        period_start="1996-01-01 00:00:00",
+        period_mid="1997-01-01 00:00:00",
+        period_end="1998-01-01 00:00:00",
+        deleted_before="1997-11-01 00:00:00",
+    )
+
+
+@register("validity_join")
+def q_validity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wage rate valid on each hour row's journal date (left: unmatched rows keep nulls)."""
+    w = world(spark, sf_dir)
+    rows = (w.technique_workers.select("work_id", "analytics_value", "res_name")
+            .join(w.works.select("work_id", "zhufvr_id"), "work_id", "left")
+            .join(w.zhufvr.select("link", "zhfvr_date"), F.col("zhufvr_id") == F.col("link"), "left"))
+    rates = w.fot.select(F.col("res").alias("_res"), "start", "finish", "fot")
+    out = validity_join(rows, rates, [("res_name", "_res")], "zhfvr_date")
+    return out.select("work_id", "analytics_value", "res_name", "zhfvr_date", "fot", "start", "finish")
+
+
+@register("rate_overlaps")
+def q_rate_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Machine-rate intervals overlapping an earlier one of the same resource and site."""
+    return overlapping_intervals(world(spark, sf_dir).mim, ["res", "object"])
+
+
+def costs_mart(w: World) -> DataFrame:
+    return compare_costs(w.technique_workers, w.works, w.zhufvr, w.objects, w.fot, w.mim, w.kol_ekip,
+                         w.gandoper, w.archive, cost_params(w))
+
+
+@register("costs_mart")
+def q_costs_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return costs_mart(world(spark, sf_dir))
