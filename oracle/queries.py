@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import costs_sql, hours_sql, marts_sql, spread_sql
+from oracle import checks_sql, costs_sql, hours_sql, marts_sql, spread_sql
 
 ORACLE: dict[str, str] = {
     "plan_start": spread_sql.PLAN_START,
@@ -30,7 +30,25 @@ def _costs() -> str:
     return costs_sql.costs_mart(cost_params(_W()))
 
 
+def _checks() -> dict[str, str]:
+    from periodix.catalog import COST_CHECK_EXCLUDED, FACT_NZ_EXCEPTION
+
+    return {
+        "check_fact_nz": checks_sql.fact_nz(FACT_NZ_EXCEPTION),
+        "check_plan_ovnz": checks_sql.PLAN_OVNZ,
+        "check_duplicate_projects": checks_sql.DUPLICATE_PROJECTS,
+        "check_hours_total": checks_sql.HOURS_TOTAL,
+        "check_oper_duplication": checks_sql.OPER_DUPLICATION,
+        "check_grand_total": checks_sql.GRAND_TOTAL,
+        "check_cost_components": checks_sql.cost_components(COST_CHECK_EXCLUDED),
+        "check_contract_total": checks_sql.CONTRACT_TOTAL,
+        "check_position_unique": checks_sql.POSITION_UNIQUE,
+        "check_position_not_null": checks_sql.POSITION_NOT_NULL,
+    }
+
+
 ORACLE.update({
     "costs_mart": _costs(),
+    **_checks(),
 })
 

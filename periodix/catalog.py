@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from periodix.operators.plan_start import plan_start
 from periodix.operators.positions import contract_positions
 from periodix.operators.validity import overlapping_intervals, validity_join
+from periodix.plans import checks as Q
 from periodix.plans import hours as H
 from periodix.plans.costs import CostParams, compare_costs
 from periodix.plans.plan_fact import fact_by_month, plan_by_month, plan_fact_mart
@@ -155,3 +156,63 @@ def costs_mart(w: World) -> DataFrame:
 @register("costs_mart")
 def q_costs_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return costs_mart(world(spark, sf_dir))
+
+
+# checks: a deliberate exception (Q1) and an excluded site (Q7), as the reference's tests have
+FACT_NZ_EXCEPTION = ("NATION_1", "1996", "Март")
+COST_CHECK_EXCLUDED = "NATION_2"
+
+
+@register("check_fact_nz")
+def q_check_fact_nz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.check_fact_nz(world(spark, sf_dir).gandoper, FACT_NZ_EXCEPTION)
+
+
+@register("check_plan_ovnz")
+def q_check_plan_ovnz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.check_plan_ovnz(world(spark, sf_dir).gandoper)
+
+
+@register("check_duplicate_projects")
+def q_check_duplicate_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.check_duplicate_projects(world(spark, sf_dir).gandoper)
+
+
+@register("check_hours_total")
+def q_check_hours_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = world(spark, sf_dir)
+    return Q.check_hours_total(w.technique_workers, w.norm_workload)
+
+
+@register("check_oper_duplication")
+def q_check_oper_duplication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = world(spark, sf_dir)
+    return Q.check_oper_duplication(w.gandoper, w.archive, plan_fact(w))
+
+
+@register("check_grand_total")
+def q_check_grand_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = world(spark, sf_dir)
+    return Q.check_grand_total(w.gandoper, w.archive, plan_fact(w))
+
+
+@register("check_cost_components")
+def q_check_cost_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = world(spark, sf_dir)
+    return Q.check_cost_components(w.gandoper, w.cost, COST_CHECK_EXCLUDED)
+
+
+@register("check_contract_total")
+def q_check_contract_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = world(spark, sf_dir)
+    return Q.check_contract_total(w.gandoper, w.vdc)
+
+
+@register("check_position_unique")
+def q_check_position_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.check_position_unique(contract_positions(world(spark, sf_dir).vdc))
+
+
+@register("check_position_not_null")
+def q_check_position_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.check_position_not_null(contract_positions(world(spark, sf_dir).vdc))
