@@ -9,6 +9,7 @@ ORACLE: dict[str, str] = {
     "plan_month_spread": spread_sql.PLAN_MONTH_SPREAD,
     "plan_month_spread_dup": spread_sql.PLAN_MONTH_SPREAD_DUP,
     "fact_month_spread": spread_sql.FACT_MONTH_SPREAD,
+    "calendar_adjust": spread_sql.CALENDAR_ADJUST,
     "contract_positions": marts_sql.CONTRACT_POSITIONS,
     "plan_fact_mart": marts_sql.PLAN_FACT_MART,
     "hours_unnormed": hours_sql.HOURS_UNNORMED,

@@ -13,7 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from periodix.operators.calendar import adjust_calendar
 from periodix.operators.plan_start import plan_start
+from periodix.operators.spread import month_parts
 from periodix.operators.positions import contract_positions
 from periodix.operators.validity import overlapping_intervals, validity_join
 from periodix.plans import checks as Q
@@ -59,6 +61,17 @@ def q_fact_month_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_by_month(world(spark, sf_dir).archive).drop("id")
 
 
+@register("calendar_adjust")
+def q_calendar_adjust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plan month parts with calendar exceptions applied (the reference's unreferenced CTE)."""
+    w = world(spark, sf_dir)
+    parts = month_parts(plan_start(w.gandoper), ["gant_index", "code"], "start_date", "end_date",
+                        carry=["project_type", "object", "Calen"], unique_key=True, keep_all=True)
+    adjusted = adjust_calendar(parts.select("gant_index", "code", "project_type", "object", "Calen",
+                                            "part_start", "part_end"), w.calen_except)
+    return adjusted
+
+
 @register("contract_positions")
 def q_contract_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract_positions(world(spark, sf_dir).vdc)

@@ -76,9 +76,13 @@ def month_parts(
     end: str,
     carry: Sequence[str] = (),
     unique_key: bool = False,
+    keep_all: bool = False,
 ) -> DataFrame:
     """One row per kept month part: ``keys``, ``carry`` columns and :data:`PART_COLUMNS`.
 
+    ``keep_all`` also returns the zero-length parts that the weighting drops (their weight is then
+    not meaningful); the calendar adjustment works on that full set of parts.
+
     Rows with a null key never match their key in the reference (its join back uses ``=``), so they
     are dropped here, before any work.
     """
@@ -116,7 +120,9 @@ def month_parts(
     keep = ~((F.col("_us") == 0) & (F.col("_n_parts") > 1))
     total = F.when(F.col("_total") == 0, F.lit(None)).otherwise(F.col("_total"))
     weight = F.when(F.col("_us") == 0, F.lit(1.0)).otherwise(F.col("_us") / total)
-    return parts.where(keep).select(
+    if not keep_all:
+        parts = parts.where(keep)
+    return parts.select(
         *keys, *carry, "part_start", "part_end",
         F.year("part_start").alias("start_year"),
         F.month("part_start").alias("start_month"),
