@@ -61,11 +61,12 @@ def _key_stats(rows: DataFrame, keys: list[str]) -> DataFrame:
         F.min("_s").alias("_min_start"),
         F.sum("_n").alias("_n_parts"),
         F.sum("_to").alias("_sum_other"),
-        # the first-part correction of the (unique) smallest non-null start of the key
-        F.min(F.when(F.col("_s").isNotNull(), F.struct(F.col("_s"), F.col("_delta")))).alias("_first"),
+        # the first-part correction of the smallest non-null start (unique after the first level);
+        # min_by skips null orderings and keeps a fixed-width buffer, so this stays a hash aggregate
+        F.min_by("_delta", "_s").alias("_first_delta"),
     ).select(
         *keys, "_min_start", "_n_parts",
-        (F.col("_sum_other") + F.col("_first._delta")).alias("_total"),
+        (F.col("_sum_other") + F.col("_first_delta")).alias("_total"),
     )
 
 
