@@ -111,7 +111,7 @@ fact AS (
     FROM raw_spider__archive WHERE project_type = {_q(L.PROJECT)}
 ),
 fin AS (SELECT {_dsum('smr_sp')} + {_dsum('smr_ss')} AS fin_total_smr FROM mart)
-SELECT fin.fin_total_smr, test.raw_total_plan + fact.raw_total_fact AS raw_total
+SELECT round(fin.fin_total_smr, 2) AS fin_total_smr, round(test.raw_total_plan + fact.raw_total_fact, 2) AS raw_total
 FROM test, fact, fin
 WHERE abs((test.raw_total_plan + fact.raw_total_fact) - fin.fin_total_smr) > 10000
 """

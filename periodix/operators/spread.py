@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from periodix.functions import add_months, micros_between, month_index, month_start
 
-PART_COLUMNS = ["part_start", "part_end", "start_year", "start_month", "duration", "weight"]
+PART_COLUMNS = ["part_start", "part_end", "start_year", "start_month", "duration", "weight",
+                "duration_us", "key_total_us"]
 
 
 def _row_terms(start: Column, end: Column) -> dict[str, Column]:
@@ -129,6 +130,8 @@ def month_parts(
         F.month("part_start").alias("start_month"),
         (F.col("_us") / 1e6).alias("duration"),
         weight.alias("weight"),
+        F.col("_us").alias("duration_us"),
+        F.col("_total").alias("key_total_us"),
     )
 
 
@@ -137,6 +140,18 @@ def month_weights(df: DataFrame, keys: Sequence[str], start: str, end: str,
     """Total weight per (key, year, month): the parts of all rows of a key that fall in one month.
 
     Grouped with map-side partial aggregation; at most one row per key and calendar month leaves a task.
+    The month's weight is computed as (its non-zero microseconds) / (key total) plus one per kept
+    zero-length part -- equal to the sum of the part weights, but one exact division, so it does not
+    depend on the order in which the parts are added.
     """
     parts = month_parts(df, keys, start, end, unique_key=unique_key)
-    return parts.groupBy(*keys, "start_year", "start_month").agg(F.sum("weight").alias("weight"))
+    us = F.col("duration_us")
+    g = parts.groupBy(*keys, "start_year", "start_month").agg(
+        F.sum(F.when(us != 0, us)).alias("_num"),
+        F.sum(F.when(us == 0, F.lit(1.0))).alias("_zeros"),
+        F.max("key_total_us").alias("_total"),
+    )
+    share = F.col("_num") / F.when(F.col("_total") != 0, F.col("_total"))
+    weight = F.when(share.isNull() & F.col("_zeros").isNull(), F.lit(None).cast("double")).otherwise(
+        F.coalesce(share, F.lit(0.0)) + F.coalesce(F.col("_zeros"), F.lit(0.0)))
+    return g.select(*keys, "start_year", "start_month", weight.alias("weight"))

@@ -113,7 +113,9 @@ def check_oper_duplication(gandoper: DataFrame, archive: DataFrame, mart: DataFr
 
 def check_grand_total(gandoper: DataFrame, archive: DataFrame, mart: DataFrame,
                       tolerance: float = 10000.0) -> DataFrame:
-    """Q6: the mart's grand total differs from the raw plan + fact totals by more than ``tolerance``."""
+    """Q6: the mart's grand total differs from the raw plan + fact totals by more than ``tolerance``.
+
+    The two totals are reported in cents."""
     null = F.lit(None).cast("double")
     cols = ["_a_ss", "_a_sp", "_g_ss", "_g_sp", "_m_sp", "_m_ss"]
 
@@ -127,8 +129,8 @@ def check_grand_total(gandoper: DataFrame, archive: DataFrame, mart: DataFrame,
     t = tagged.agg(*[exact_sum(F.col(c)).alias(c) for c in cols])
     raw_total = (F.col("_g_ss") + F.col("_g_sp")) + (F.col("_a_ss") + F.col("_a_sp"))
     fin_total = F.col("_m_sp") + F.col("_m_ss")
-    return t.select(fin_total.alias("fin_total_smr"), raw_total.alias("raw_total")).where(
-        F.abs(F.col("raw_total") - F.col("fin_total_smr")) > tolerance)
+    return t.where(F.abs(raw_total - fin_total) > tolerance).select(
+        F.round(fin_total, 2).alias("fin_total_smr"), F.round(raw_total, 2).alias("raw_total"))
 
 
 def check_cost_components(gandoper: DataFrame, cost: DataFrame, excluded_object: str | None = None,
