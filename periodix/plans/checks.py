@@ -68,7 +68,7 @@ def check_hours_total(tw: DataFrame, nw: DataFrame, threshold_pct: float = 0.1)
     The reconciled total is the reference test's own simplification: unnormed raw rows (no placeholder
     rule) plus all norm rows. Output: ``delta_hours`` (percent, 2 decimals) when violated.
     """
-    keys = nw.select("work_id", "analytics_value")
+    keys = nw.select("work_id", "analytics_value").distinct()  # existence only: de-duplicated map-side
     unnormed = tw.join(keys, (tw["work_id"] == keys["work_id"]) & (tw["analytics_value"] == keys["analytics_value"]),
                        "left_anti")
     null = F.lit(None).cast("double")

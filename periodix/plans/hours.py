@@ -84,8 +84,11 @@ def _norm_match(tw: DataFrame, nw: DataFrame, placeholders: Sequence[str]) -> Co
 
 def hours_unnormed(tw: DataFrame, nw: DataFrame, ctx: DataFrame, own_name: str,
                    placeholders: Sequence[str]) -> DataFrame:
-    """Branch A: raw hours without a norm row (placeholder analytics always kept)."""
-    keys = nw.select("work_id", "analytics_value")
+    """Branch A: raw hours without a norm row (placeholder analytics always kept).
+
+    Only the existence of a norm key matters, so the keys are de-duplicated first (a partial
+    aggregate: a key repeated in many norm rows crosses the shuffle once per task)."""
+    keys = nw.select("work_id", "analytics_value").distinct()
     raw = tw.join(keys, _norm_match(tw, keys, placeholders), "left_anti")
     return _raw_branch(raw, ctx, False, own_name)
 
@@ -93,7 +96,7 @@ def hours_unnormed(tw: DataFrame, nw: DataFrame, ctx: DataFrame, own_name: str,
 def hours_zero(tw: DataFrame, nw: DataFrame, ctx: DataFrame, own_name: str,
                placeholders: Sequence[str]) -> DataFrame:
     """Branch C: raw hours that have a norm row with zero fact hours."""
-    zero = nw.where(F.col("fact_workload") == 0).select("work_id", "analytics_value")
+    zero = nw.where(F.col("fact_workload") == 0).select("work_id", "analytics_value").distinct()
     raw = tw.join(zero, _norm_match(tw, zero, placeholders), "left_semi")
     return _raw_branch(raw, ctx, True, own_name)
 
@@ -114,9 +117,13 @@ def hours_normed(tw: DataFrame, nw: DataFrame, ctx: DataFrame, placeholders: Seq
                      "left")
     group = ["work_id", "analytics_value"]
     cols = group + ["res_spider_code"] + B_TIE_BREAK
-    # identical rows collapsed with their multiplicity
-    distinct = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-    order = F.struct(F.col("res_spider_code").isNull().alias("_null_first"), "res_spider_code", *B_TIE_BREAK)
+    # identical rows collapsed with their multiplicity, per upstream partition: copies of a hot row
+    # that arrive in different tasks stay in different groups, so re-expanding them stays spread out
+    distinct = (rows.withColumn("_salt", F.spark_partition_id())
+                .groupBy(*cols, "_salt").agg(F.count(F.lit(1)).alias("_m")))
+    # first row of the group; among identical first rows the one of the largest salt (deterministic)
+    order = F.struct(F.col("res_spider_code").isNull().alias("_null_first"), "res_spider_code", *B_TIE_BREAK,
+                     "_salt")
     stats = distinct.groupBy(*group).agg(
         F.sum(F.col("fact_workload") * F.col("_m")).alias("_group_fact"),
         F.max(order).alias("_first"),
