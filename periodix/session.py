@@ -42,13 +42,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder; it is read, never replaced. A local
     scratch folder is created only when the setting is absent, which is the case in tests.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on the client (Spark Connect): the server's setting applies
+        sc = None
+    if sc is not None and not conf_dir:
+        conf_dir = sc.getCheckpointDir()
     if conf_dir:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(conf_dir)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(conf_dir)
         return conf_dir
     local_dir = tempfile.mkdtemp(prefix="periodix-ckpt-")
-    spark.sparkContext.setCheckpointDir(local_dir)
+    if sc is not None:
+        sc.setCheckpointDir(local_dir)
     spark.conf.set("spark.checkpoint.dir", local_dir)
     return local_dir
 

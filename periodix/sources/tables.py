@@ -59,8 +59,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = reader.parquet(table_path(sf_dir, name))
     key = SPREAD_KEYS.get(name)
     if key is not None:
-        target = spark.sparkContext.defaultParallelism
-        if target > 1 and df.rdd.getNumPartitions() < target:
+        try:
+            target = spark.sparkContext.defaultParallelism
+            scan_tasks = df.rdd.getNumPartitions()
+        except Exception:  # no RDD API (e.g. a Spark Connect session): keep the plain scan
+            return df
+        if target > 1 and scan_tasks < target:
             df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
     return df
 
