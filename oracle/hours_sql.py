@@ -1,5 +1,8 @@
-"""Oracle SQL for the hours reconciliation (J6), in the reference's shape: correlated EXISTS /
-NOT EXISTS, windows for branch B, and the final enrichment joining works and journal again."""
+"""Oracle SQL for the hours reconciliation (J6).
+
+Formulated independently of the Spark code: existence of norm keys becomes flags from left joins on
+distinct key sets; branch B ranks rows with a window (sum and row_number over the group).
+"""
 
 from __future__ import annotations
 
@@ -13,116 +16,126 @@ def _q(s: str) -> str:
 
 
 _PH = ", ".join(_q(p) for p in P.placeholder_analytics)
-_OWN = _q(P.own_contractor_name)
-_OWNERSHIP = f"""CASE
-                WHEN ctw.contragent_name = {_OWN} THEN {_q(L.OWN_RESOURCE)}
-                WHEN ctw.contragent_name != {_OWN} THEN {_q(L.HIRED_RESOURCE)}
-                WHEN ctw.analytics_name LIKE {_q(L.HIRED_PREFIX_PATTERN)} THEN {_q(L.HIRED_RESOURCE)}
-                WHEN ctw.analytics_name NOT LIKE {_q(L.HIRED_PREFIX_PATTERN)} THEN {_q(L.OWN_RESOURCE)}
-            END"""
-
-_TIE = {
-    "res_spider_name": "cnw.res_spider_name", "fact_workload": "cnw.fact_workload",
-    "norm_workload": "cnw.norm_workload", "nt_res": "cnw.nt_res", "object": "don.spider_name",
-    "raw_hours": "ctw1.hours", "type_work_name": "cw.type_work_name", "enrp_type": "cw.enrp_type",
-    "structure_unique_code": "cw.structure_unique_code", "zhfvr_date": "czh.zhfvr_date",
-    "work_shift_name": "czh.work_shift_name",
+_OWN_L, _HIRED_L = _q(L.OWN_RESOURCE), _q(L.HIRED_RESOURCE)
+
+# ownership from the contractor name when there is one, else from the analytics prefix
+_OWNER = f"""CASE
+        WHEN h.contragent_name IS NOT NULL
+            THEN CASE WHEN h.contragent_name = {_q(P.own_contractor_name)} THEN {_OWN_L} ELSE {_HIRED_L} END
+        WHEN h.analytics_name IS NOT NULL
+            THEN CASE WHEN h.analytics_name LIKE {_q(L.HIRED_PREFIX_PATTERN)} THEN {_HIRED_L} ELSE {_OWN_L} END
+    END"""
+
+_COLS = {
+    "res_spider_name": "n.res_spider_name", "fact_workload": "n.fact_workload",
+    "norm_workload": "n.norm_workload", "nt_res": "n.nt_res", "object": "lw.site", "raw_hours": "h.hours",
+    "type_work_name": "lw.type_work_name", "enrp_type": "lw.enrp_type",
+    "structure_unique_code": "lw.structure_unique_code", "zhfvr_date": "lw.zhfvr_date",
+    "work_shift_name": "lw.work_shift_name",
 }
-_ORDER = ", ".join(["(cnw.res_spider_code IS NULL) DESC", "cnw.res_spider_code DESC"]
-                   + [f"{_TIE[c]} DESC NULLS LAST" for c in B_TIE_BREAK])
-
-
-def _raw_branch(exists: str, normed: str) -> str:
-    return f"""
-        SELECT don.spider_name AS "object", ctw.work_id, cw.type_work_name AS "{L.COL_WORK_KIND}",
-            cw.enrp_type AS "{L.COL_ENRP_TYPE}", ctw.res_name AS "{L.COL_SPIDER_RESOURCE}",
-            ctw.res_code AS "{L.COL_RESOURCE_CODE}", ctw.hours AS "{L.COL_FACT_HOURS}",
-            CASE WHEN ctw.hours != 0 THEN ctw.hours ELSE 0 END AS "{L.COL_NORM_HOURS}",
-            {normed} AS "{L.COL_NORMED}",
-            {_OWNERSHIP} AS "{L.COL_RESOURCE}"
-        FROM "1_c__technique_workers" AS ctw
-        JOIN "1_c__works" AS cw ON ctw.work_id = cw.work_id
-        LEFT JOIN "1_c__zhufvr" AS czh ON cw.zhufvr_id = czh.link
-        LEFT JOIN dict__1c_objects_to_spider AS don ON czh.territory_value = don.territory_value
-        WHERE {exists}
-            AND (czh.delete_flag IS FALSE AND czh.is_done IS TRUE)
-            AND don.spider_name IS NOT NULL"""
-
-
-BRANCH_A = _raw_branch(f"""NOT EXISTS (
-                SELECT 1 FROM "1_c__norm_workload" AS nwd
-                WHERE nwd.work_id = ctw.work_id AND nwd.analytics_value = ctw.analytics_value
-                  AND ctw.analytics_value NOT IN ({_PH}))""", "false")
-
-BRANCH_C = _raw_branch(f"""EXISTS (
-                SELECT 1 FROM "1_c__norm_workload" AS nwd
-                WHERE nwd.work_id = ctw.work_id AND nwd.analytics_value = ctw.analytics_value
-                  AND ctw.analytics_value NOT IN ({_PH}) AND nwd.fact_workload = 0)""", "true")
-
-BRANCH_B = f"""
-        SELECT don.spider_name AS "object", cnw.work_id, cw.type_work_name AS "{L.COL_WORK_KIND}",
-            cw.enrp_type AS "{L.COL_ENRP_TYPE}", cnw.res_spider_name AS "{L.COL_SPIDER_RESOURCE}",
-            cnw.res_spider_code AS "{L.COL_RESOURCE_CODE}",
-            CASE
-                WHEN sum(cnw.fact_workload) OVER (PARTITION BY cnw.work_id, cnw.analytics_value) > (ctw1.hours + 1)
-                     AND row_number() OVER (PARTITION BY cnw.work_id, cnw.analytics_value ORDER BY {_ORDER}) = 1
-                     AND cnw.res_spider_code = {_q(L.MAIN_WORKER_CODE)}
-                THEN cnw.fact_workload - (sum(cnw.fact_workload) OVER (PARTITION BY cnw.work_id, cnw.analytics_value)
-                                          - ctw1.hours)
-                WHEN cnw.analytics_value IN ({_PH}) THEN 0
-                ELSE cnw.fact_workload
-            END AS "{L.COL_FACT_HOURS}",
-            cnw.norm_workload AS "{L.COL_NORM_HOURS}",
-            true AS "{L.COL_NORMED}",
-            CASE WHEN cnw.nt_res IS FALSE THEN {_q(L.OWN_RESOURCE)}
-                 WHEN cnw.nt_res IS TRUE THEN {_q(L.HIRED_RESOURCE)} END AS "{L.COL_RESOURCE}"
-        FROM "1_c__norm_workload" AS cnw
-        JOIN "1_c__works" AS cw ON cnw.work_id = cw.work_id
-        LEFT JOIN "1_c__technique_workers" AS ctw1
-          ON cnw.work_id = ctw1.work_id AND cnw.analytics_value = ctw1.analytics_value
-        LEFT JOIN "1_c__zhufvr" AS czh ON cw.zhufvr_id = czh.link
-        LEFT JOIN dict__1c_objects_to_spider AS don ON czh.territory_value = don.territory_value
-        WHERE (czh.delete_flag IS FALSE AND czh.is_done IS TRUE)
-            AND don.spider_name IS NOT NULL
-            AND cnw.fact_workload != 0"""
+_RANK_ORDER = ", ".join(["n.res_spider_code IS NULL DESC", "n.res_spider_code DESC"]
+                        + [f"{_COLS[c]} DESC NULLS LAST" for c in B_TIE_BREAK])
+
+_BASE = f""",
+live_work AS (
+    SELECT w.work_id, w.type_work_name, w.enrp_type, w.structure_unique_code,
+           j.zhfvr_date, j.work_shift_name, s.spider_name AS site
+    FROM "1_c__works" AS w
+    JOIN "1_c__zhufvr" AS j ON j.link = w.zhufvr_id
+    JOIN dict__1c_objects_to_spider AS s ON s.territory_value = j.territory_value
+    WHERE j.delete_flag = false AND j.is_done = true AND s.spider_name IS NOT NULL
+),
+norm_keys AS (SELECT DISTINCT work_id, analytics_value FROM "1_c__norm_workload"),
+zero_keys AS (SELECT DISTINCT work_id, analytics_value FROM "1_c__norm_workload" WHERE fact_workload = 0),
+raw_flagged AS (
+    SELECT h.*, lw.type_work_name, lw.enrp_type, lw.site, lw.structure_unique_code, lw.zhfvr_date,
+           lw.work_shift_name,
+           coalesce(h.analytics_value NOT IN ({_PH}), false) AS countable,
+           nk.work_id IS NOT NULL AS has_norm,
+           zk.work_id IS NOT NULL AS has_zero_norm,
+           {_OWNER} AS owner
+    FROM "1_c__technique_workers" AS h
+    JOIN live_work AS lw ON lw.work_id = h.work_id
+    LEFT JOIN norm_keys AS nk ON nk.work_id = h.work_id AND nk.analytics_value = h.analytics_value
+    LEFT JOIN zero_keys AS zk ON zk.work_id = h.work_id AND zk.analytics_value = h.analytics_value
+),
+unnormed AS (
+    SELECT site AS "object", work_id, type_work_name AS "{L.COL_WORK_KIND}", enrp_type AS "{L.COL_ENRP_TYPE}",
+           res_name AS "{L.COL_SPIDER_RESOURCE}", res_code AS "{L.COL_RESOURCE_CODE}",
+           hours AS "{L.COL_FACT_HOURS}", coalesce(nullif(hours, 0), 0) AS "{L.COL_NORM_HOURS}",
+           false AS "{L.COL_NORMED}", owner AS "{L.COL_RESOURCE}",
+           structure_unique_code, zhfvr_date, work_shift_name
+    FROM raw_flagged WHERE NOT (has_norm AND countable)
+),
+zero_normed AS (
+    SELECT site AS "object", work_id, type_work_name AS "{L.COL_WORK_KIND}", enrp_type AS "{L.COL_ENRP_TYPE}",
+           res_name AS "{L.COL_SPIDER_RESOURCE}", res_code AS "{L.COL_RESOURCE_CODE}",
+           hours AS "{L.COL_FACT_HOURS}", coalesce(nullif(hours, 0), 0) AS "{L.COL_NORM_HOURS}",
+           true AS "{L.COL_NORMED}", owner AS "{L.COL_RESOURCE}",
+           structure_unique_code, zhfvr_date, work_shift_name
+    FROM raw_flagged WHERE has_zero_norm AND countable
+),
+ranked AS (
+    SELECT n.*, lw.site, lw.type_work_name, lw.enrp_type, lw.structure_unique_code, lw.zhfvr_date,
+           lw.work_shift_name, h.hours AS raw_hours,
+           sum(n.fact_workload) OVER (PARTITION BY n.work_id, n.analytics_value) AS group_fact,
+           row_number() OVER (PARTITION BY n.work_id, n.analytics_value ORDER BY {_RANK_ORDER}) AS pos
+    FROM "1_c__norm_workload" AS n
+    JOIN live_work AS lw ON lw.work_id = n.work_id
+    LEFT JOIN "1_c__technique_workers" AS h ON h.work_id = n.work_id AND h.analytics_value = n.analytics_value
+    WHERE n.fact_workload <> 0
+),
+normed AS (
+    SELECT site AS "object", work_id, type_work_name AS "{L.COL_WORK_KIND}", enrp_type AS "{L.COL_ENRP_TYPE}",
+           res_spider_name AS "{L.COL_SPIDER_RESOURCE}", res_spider_code AS "{L.COL_RESOURCE_CODE}",
+           CASE WHEN pos = 1 AND res_spider_code = {_q(L.MAIN_WORKER_CODE)} AND group_fact > raw_hours + 1
+                    THEN fact_workload - group_fact + raw_hours
+                WHEN analytics_value IN ({_PH}) THEN 0
+                ELSE fact_workload END AS "{L.COL_FACT_HOURS}",
+           norm_workload AS "{L.COL_NORM_HOURS}", true AS "{L.COL_NORMED}",
+           CASE nt_res WHEN false THEN {_OWN_L} WHEN true THEN {_HIRED_L} END AS "{L.COL_RESOURCE}",
+           structure_unique_code, zhfvr_date, work_shift_name
+    FROM ranked
+)"""
+
+_T1 = ", ".join(['"object"', "work_id"] + [f'"{c}"' for c in (
+    L.COL_WORK_KIND, L.COL_ENRP_TYPE, L.COL_SPIDER_RESOURCE, L.COL_RESOURCE_CODE, L.COL_FACT_HOURS,
+    L.COL_NORM_HOURS, L.COL_NORMED, L.COL_RESOURCE)])
 
 _HOURS_VIEWS = ("1_c__technique_workers", "1_c__norm_workload", "1_c__works", "1_c__zhufvr",
                 "dict__1c_objects_to_spider")
 
-HOURS_UNNORMED = with_views(*_HOURS_VIEWS) + BRANCH_A
-HOURS_NORMED = with_views(*_HOURS_VIEWS) + BRANCH_B
-HOURS_ZERO = with_views(*_HOURS_VIEWS) + BRANCH_C
-
-HOURS_MART = with_views(*_HOURS_VIEWS, "raw_spider__gandoper", "raw__vdc_by_objects", "dict__spider_key_res") + f""",
-    t1 AS ({BRANCH_A}
-        UNION ALL {BRANCH_B}
-        UNION ALL {BRANCH_C}
-    ),
-    vdc AS (
-        SELECT "{L.COL_CIPHER}", "object",
-               concat("{L.COL_CIPHER}", '    ', "{L.COL_WORK_NAME}") AS "{L.COL_POSITION}"
-        FROM raw__vdc_by_objects
-    )
-SELECT t1.*,
-    cw.structure_unique_code,
-    CASE WHEN rsg."SNT_Knstr" = {_q(L.EARTHWORK)} THEN {_q(L.EARTHWORK)}
-         WHEN rsg."SNT_Knstr" = {_q(L.PAVEMENT)} THEN {_q(L.PAVEMENT)}
-         ELSE {_q(L.OTHER_WORKS)} END AS "{L.COL_STRUCTURE}",
-    rsg."SNT_KnstrE" AS "{L.COL_STRUCTURE_ELEMENT}",
-    vdc."{L.COL_POSITION}",
-    czh.zhfvr_date AS "{L.COL_DATE}",
-    czh.work_shift_name AS "{L.COL_SHIFT}",
-    CAST(extract(year FROM czh.zhfvr_date) AS INTEGER) AS "{L.COL_YEAR}",
-    CAST(extract(month FROM czh.zhfvr_date) AS INTEGER) AS "{L.COL_MONTH}",
-    abs(round(t1."{L.COL_FACT_HOURS}" / nullif(t1."{L.COL_NORM_HOURS}", 0) * 100 - 100, 2)) AS "{L.COL_DEVIATION}",
-    NOT coalesce(skr.rescode IS NULL, false) AS "{L.COL_KEY_RESOURCE}"
-FROM t1
-LEFT JOIN "1_c__works" AS cw ON t1.work_id = cw.work_id
-LEFT JOIN raw_spider__gandoper AS rsg
-  ON replace(cw.structure_unique_code, ' ', '') = rsg."f_CodeIdent" AND t1."object" = rsg."object"
-LEFT JOIN vdc ON rsg."Num_Con" = vdc."{L.COL_CIPHER}" AND t1."object" = vdc."object"
-LEFT JOIN "1_c__zhufvr" AS czh ON cw.zhufvr_id = czh.link
-LEFT JOIN dict__spider_key_res AS skr
-  ON t1."{L.COL_ENRP_TYPE}" = skr.f_opertype AND t1."{L.COL_RESOURCE_CODE}" = skr.rescode
-WHERE rsg.project_type = {_q(L.PROJECT)}
+HOURS_UNNORMED = with_views(*_HOURS_VIEWS) + _BASE + f"\nSELECT {_T1} FROM unnormed\n"
+HOURS_NORMED = with_views(*_HOURS_VIEWS) + _BASE + f"\nSELECT {_T1} FROM normed\n"
+HOURS_ZERO = with_views(*_HOURS_VIEWS) + _BASE + f"\nSELECT {_T1} FROM zero_normed\n"
+
+HOURS_MART = with_views(*_HOURS_VIEWS, "raw_spider__gandoper", "raw__vdc_by_objects", "dict__spider_key_res") + _BASE + f""",
+all_rows AS (
+    SELECT * FROM unnormed UNION ALL SELECT * FROM normed UNION ALL SELECT * FROM zero_normed
+),
+plan_ops AS (
+    SELECT "f_CodeIdent", "object", "SNT_Knstr", "SNT_KnstrE", "Num_Con"
+    FROM raw_spider__gandoper WHERE project_type = {_q(L.PROJECT)}
+),
+positions AS (
+    SELECT "{L.COL_CIPHER}" AS cipher, "object",
+           concat("{L.COL_CIPHER}", '    ', "{L.COL_WORK_NAME}") AS label
+    FROM raw__vdc_by_objects
+)
+SELECT {", ".join("a." + c for c in _T1.split(", "))},
+    a.structure_unique_code,
+    CASE WHEN p."SNT_Knstr" IN ({_q(L.EARTHWORK)}, {_q(L.PAVEMENT)}) THEN p."SNT_Knstr" ELSE {_q(L.OTHER_WORKS)} END
+        AS "{L.COL_STRUCTURE}",
+    p."SNT_KnstrE" AS "{L.COL_STRUCTURE_ELEMENT}",
+    pos.label AS "{L.COL_POSITION}",
+    a.zhfvr_date AS "{L.COL_DATE}",
+    a.work_shift_name AS "{L.COL_SHIFT}",
+    CAST(year(a.zhfvr_date) AS INTEGER) AS "{L.COL_YEAR}",
+    CAST(month(a.zhfvr_date) AS INTEGER) AS "{L.COL_MONTH}",
+    abs(round(a."{L.COL_FACT_HOURS}" * 100 / nullif(a."{L.COL_NORM_HOURS}", 0) - 100, 2)) AS "{L.COL_DEVIATION}",
+    k.rescode IS NOT NULL AS "{L.COL_KEY_RESOURCE}"
+FROM all_rows AS a
+JOIN plan_ops AS p ON p."f_CodeIdent" = replace(a.structure_unique_code, ' ', '') AND p."object" = a."object"
+LEFT JOIN positions AS pos ON pos.cipher = p."Num_Con" AND pos."object" = a."object"
+LEFT JOIN dict__spider_key_res AS k ON k.f_opertype = a."{L.COL_ENRP_TYPE}" AND k.rescode = a."{L.COL_RESOURCE_CODE}"
 """
