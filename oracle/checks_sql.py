@@ -1,4 +1,5 @@
-"""Oracle SQL for the data-quality checks (Q1-Q10), in the reference tests' shapes."""
+"""Oracle SQL for the data-quality checks (Q1-Q10), formulated independently: flagged groups via
+HAVING, mismatch counts per side, scalar totals."""
 
 from __future__ import annotations
 
@@ -15,144 +16,141 @@ def _dsum(expr: str) -> str:
     return f"CAST(sum(CAST({expr} AS DECIMAL(38,6))) AS DOUBLE)"
 
 
+_KEYS = '"object", nz_year, nz_month, project_type'
+
+
+def _flagged(project_type: str, measure: str, status: str) -> str:
+    return f"""
+SELECT {_KEYS}, {_q(status)} AS status
+FROM raw_spider__gandoper
+WHERE project_type = {_q(project_type)}
+GROUP BY {_KEYS}
+HAVING sum("{measure}") <> 0"""
+
+
 def fact_nz(exception: tuple[str, str, str]) -> str:
     obj, year, month = exception
-    return with_views("raw_spider__gandoper") + f"""
-SELECT "object", nz_year, nz_month, project_type, status FROM (
-    SELECT "object", nz_year, nz_month, project_type,
-        CASE WHEN sum("s_act_CC_SMRFull") != 0 THEN {_q(L.STATUS_FACT_IN_NZ)} ELSE '' END AS status
-    FROM raw_spider__gandoper WHERE project_type = {_q(L.SNAPSHOT_NZ)}
-    GROUP BY "object", nz_year, nz_month, project_type) AS foo
-WHERE status = {_q(L.STATUS_FACT_IN_NZ)}
-  AND NOT ("object" = {_q(obj)} AND nz_year = {_q(year)} AND nz_month = {_q(month)}
+    return with_views("raw_spider__gandoper") + f""",
+flagged AS ({_flagged(L.SNAPSHOT_NZ, "s_act_CC_SMRFull", L.STATUS_FACT_IN_NZ)})
+SELECT * FROM flagged
+WHERE NOT ("object" = {_q(obj)} AND nz_year = {_q(year)} AND nz_month = {_q(month)}
            AND project_type = {_q(L.SNAPSHOT_NZ)})
 """
 
 
-PLAN_OVNZ = with_views("raw_spider__gandoper") + f"""
-SELECT "object", nz_year, nz_month, project_type, status FROM (
-    SELECT "object", nz_year, nz_month, project_type,
-        CASE WHEN sum("s_pln_CC_SMRFull") != 0 THEN {_q(L.STATUS_PLAN_IN_OVNZ)} ELSE '' END AS status
-    FROM raw_spider__gandoper WHERE project_type = {_q(L.SNAPSHOT_OVNZ)}
-    GROUP BY "object", nz_year, nz_month, project_type) AS foo
-WHERE status = {_q(L.STATUS_PLAN_IN_OVNZ)}
-"""
+PLAN_OVNZ = with_views("raw_spider__gandoper") + _flagged(L.SNAPSHOT_OVNZ, "s_pln_CC_SMRFull", L.STATUS_PLAN_IN_OVNZ) + "\n"
 
 DUPLICATE_PROJECTS = with_views("raw_spider__gandoper") + f"""
-SELECT "object", nz_year, nz_month, project_type, status FROM (
-    SELECT "object", nz_year, nz_month, project_type,
-        CASE WHEN count(concat(nz_year, nz_month, project_type, "Code")) > 1 THEN {_q(L.STATUS_DUPLICATE)}
-             ELSE '' END AS status
-    FROM raw_spider__gandoper
-    GROUP BY "object", nz_year, nz_month, project_type, concat(nz_year, nz_month, project_type, "Code")) AS foo
-WHERE status = {_q(L.STATUS_DUPLICATE)}
+SELECT {_KEYS}, {_q(L.STATUS_DUPLICATE)} AS status
+FROM raw_spider__gandoper
+GROUP BY {_KEYS}, concat(nz_year, nz_month, project_type, "Code")
+HAVING count(*) > 1
 """
 
 HOURS_TOTAL = with_views("1_c__technique_workers", "1_c__norm_workload") + f""",
-tbl1 AS (
-    SELECT ctw.work_id, ctw.analytics_value, ctw.hours AS fact FROM "1_c__technique_workers" AS ctw
-    WHERE NOT EXISTS (SELECT 1 FROM "1_c__norm_workload" AS nwd
-                      WHERE nwd.work_id = ctw.work_id AND nwd.analytics_value = ctw.analytics_value)
+norm_keys AS (SELECT DISTINCT work_id, analytics_value FROM "1_c__norm_workload"),
+reconciled AS (
+    SELECT h.hours AS v FROM "1_c__technique_workers" AS h
+    LEFT JOIN norm_keys AS k ON k.work_id = h.work_id AND k.analytics_value = h.analytics_value
+    WHERE k.work_id IS NULL
     UNION ALL
-    SELECT cnw.work_id, cnw.analytics_value, cnw.fact_workload FROM "1_c__norm_workload" AS cnw
+    SELECT fact_workload FROM "1_c__norm_workload"
 ),
-tbl2 AS (SELECT {_dsum('tbl1.fact')} AS hours_from_mart FROM tbl1),
-tbl3 AS (SELECT {_dsum('ctw.hours')} AS hours_from_tchnq_wrkrs FROM "1_c__technique_workers" AS ctw)
-SELECT round((tbl2.hours_from_mart - tbl3.hours_from_tchnq_wrkrs) / nullif(tbl3.hours_from_tchnq_wrkrs, 0) * 100, 2)
-       AS delta_hours
-FROM tbl2, tbl3
-WHERE round((tbl2.hours_from_mart - tbl3.hours_from_tchnq_wrkrs) / nullif(tbl3.hours_from_tchnq_wrkrs, 0) * 100, 2) >= 0.1
+totals AS (
+    SELECT (SELECT {_dsum('v')} FROM reconciled) AS rec,
+           (SELECT {_dsum('hours')} FROM "1_c__technique_workers") AS raw
+),
+delta AS (SELECT round((rec - raw) / nullif(raw, 0) * 100, 2) AS delta_hours FROM totals)
+SELECT delta_hours FROM delta WHERE delta_hours >= 0.1
 """
 
 OPER_DUPLICATION = mart_prefix() + f""",
-t1 AS (
-    SELECT pln1."Code", abs(pln1.smr_full_pln - mgabm1.smr_full_mart) AS delta
-    FROM (SELECT pln."object", pln."Code",
-                 {_dsum('coalesce(pln."c_pln_SMRSsI", 0) + coalesce(pln."c_pln_SMRSpI", 0)')} AS smr_full_pln
-          FROM raw_spider__gandoper AS pln
-          WHERE pln.project_type = {_q(L.PROJECT)} AND (pln."c_pln_SMRSsI" IS NOT NULL OR pln."c_pln_SMRSpI" IS NOT NULL)
-          GROUP BY pln."object", pln."Code") AS pln1
-    JOIN (SELECT m."object", m.code,
-                 {_dsum('coalesce(m.smr_ss, 0) + coalesce(m.smr_sp, 0)')} AS smr_full_mart
-          FROM mart AS m
-          WHERE m.smr_type = {_q(L.PLAN)} AND (m.smr_sp IS NOT NULL OR m.smr_ss IS NOT NULL)
-          GROUP BY m."object", m.code) AS mgabm1
-      ON pln1."Code" = mgabm1.code AND pln1."object" = mgabm1."object"
-    WHERE abs(pln1.smr_full_pln - mgabm1.smr_full_mart) > 1
+raw_plan AS (
+    SELECT "object", "Code" AS code,
+           {_dsum('coalesce("c_pln_SMRSsI", 0) + coalesce("c_pln_SMRSpI", 0)')} AS total
+    FROM raw_spider__gandoper
+    WHERE project_type = {_q(L.PROJECT)} AND ("c_pln_SMRSsI" IS NOT NULL OR "c_pln_SMRSpI" IS NOT NULL)
+    GROUP BY "object", "Code"
+),
+raw_fact AS (
+    SELECT "object", "OperCode" AS code,
+           {_dsum('coalesce("c_aac_SMRSsI", 0) + coalesce("c_aac_SMRSpI", 0)')} AS total
+    FROM raw_spider__archive
+    WHERE project_type = {_q(L.PROJECT)} AND "ResCode" IS NULL
+      AND ("c_aac_SMRSsI" IS NOT NULL OR "c_aac_SMRSpI" IS NOT NULL)
+    GROUP BY "object", "OperCode"
 ),
-t2 AS (
-    SELECT fct1."OperCode", abs(fct1.smr_full_fct - mgabm2.smr_full_mart) AS delta
-    FROM (SELECT fct."object", fct."OperCode",
-                 {_dsum('coalesce(fct."c_aac_SMRSsI", 0) + coalesce(fct."c_aac_SMRSpI", 0)')} AS smr_full_fct
-          FROM raw_spider__archive AS fct
-          WHERE fct.project_type = {_q(L.PROJECT)} AND fct."ResCode" IS NULL
-            AND (fct."c_aac_SMRSsI" IS NOT NULL OR fct."c_aac_SMRSpI" IS NOT NULL)
-          GROUP BY fct."object", fct."OperCode") AS fct1
-    JOIN (SELECT m."object", m.code,
-                 {_dsum('coalesce(m.smr_ss, 0) + coalesce(m.smr_sp, 0)')} AS smr_full_mart
-          FROM mart AS m
-          WHERE m.smr_type = {_q(L.FACT)} AND (m.smr_sp IS NOT NULL OR m.smr_ss IS NOT NULL)
-          GROUP BY m."object", m.code) AS mgabm2
-      ON fct1."OperCode" = mgabm2.code AND fct1."object" = mgabm2."object"
-    WHERE abs(fct1.smr_full_fct - mgabm2.smr_full_mart) > 1
+mart_totals AS (
+    SELECT smr_type, "object", code, {_dsum('coalesce(smr_ss, 0) + coalesce(smr_sp, 0)')} AS total
+    FROM mart WHERE smr_ss IS NOT NULL OR smr_sp IS NOT NULL
+    GROUP BY smr_type, "object", code
+),
+mismatches AS (
+    SELECT 'plan' AS side FROM raw_plan AS r
+    JOIN mart_totals AS m ON m.smr_type = {_q(L.PLAN)} AND m.code = r.code AND m."object" = r."object"
+    WHERE abs(r.total - m.total) > 1
+    UNION ALL
+    SELECT 'fact' FROM raw_fact AS r
+    JOIN mart_totals AS m ON m.smr_type = {_q(L.FACT)} AND m.code = r.code AND m."object" = r."object"
+    WHERE abs(r.total - m.total) > 1
 )
-SELECT count(*) AS "count" FROM t1 HAVING count(*) > 0
-UNION
-SELECT count(*) AS "count" FROM t2 HAVING count(*) > 0
+SELECT DISTINCT count(*) AS "count" FROM mismatches GROUP BY side
 """
 
 GRAND_TOTAL = mart_prefix() + f""",
-test AS (
-    SELECT {_dsum('"c_pln_SMRSsI"')} + {_dsum('"c_pln_SMRSpI"')} AS raw_total_plan
-    FROM raw_spider__gandoper WHERE project_type = {_q(L.PROJECT)}
-),
-fact AS (
-    SELECT {_dsum('"c_aac_SMRSsI"')} + {_dsum('"c_aac_SMRSpI"')} AS raw_total_fact
-    FROM raw_spider__archive WHERE project_type = {_q(L.PROJECT)}
-),
-fin AS (SELECT {_dsum('smr_sp')} + {_dsum('smr_ss')} AS fin_total_smr FROM mart)
-SELECT round(fin.fin_total_smr, 2) AS fin_total_smr, round(test.raw_total_plan + fact.raw_total_fact, 2) AS raw_total
-FROM test, fact, fin
-WHERE abs((test.raw_total_plan + fact.raw_total_fact) - fin.fin_total_smr) > 10000
+totals AS (
+    SELECT
+        (SELECT {_dsum('smr_sp')} + {_dsum('smr_ss')} FROM mart) AS fin,
+        (SELECT {_dsum('"c_pln_SMRSsI"')} + {_dsum('"c_pln_SMRSpI"')}
+         FROM raw_spider__gandoper WHERE project_type = {_q(L.PROJECT)})
+        + (SELECT {_dsum('"c_aac_SMRSsI"')} + {_dsum('"c_aac_SMRSpI"')}
+           FROM raw_spider__archive WHERE project_type = {_q(L.PROJECT)}) AS raw
+)
+SELECT round(fin, 2) AS fin_total_smr, round(raw, 2) AS raw_total FROM totals WHERE abs(raw - fin) > 10000
 """
 
 
 def cost_components(excluded_object: str) -> str:
-    return with_views("raw_spider__gandoper", "raw_spider__cost") + f"""
-SELECT "object", nz_year, nz_month, project_type, status FROM (
-    SELECT t1."object", t1.nz_year, t1.nz_month, t1.project_type,
-        CASE WHEN round_even(t1.fact / 10000, 0) = round_even(t2.total_fact / 10000, 0) THEN ''
-             WHEN round_even(t1.plan / 10000, 0) = round_even(t2.total_plan / 10000, 0) THEN ''
-             ELSE {_q(L.STATUS_ERROR)} END AS status
-    FROM (SELECT "object", nz_year, nz_month, project_type,
-                 concat("object", nz_year, nz_month, project_type) AS link1,
-                 {_dsum('coalesce("s_act_CC_SMRSsI", 0)')} + {_dsum('coalesce("s_act_CC_SMRSpI", 0)')} AS fact,
-                 {_dsum('coalesce("s_pln_CC_SMRSsI", 0)')} + {_dsum('coalesce("s_pln_CC_SMRSpI", 0)')} AS plan
-          FROM raw_spider__gandoper
-          GROUP BY "object", nz_year, nz_month, project_type, concat("object", nz_year, nz_month, project_type)) AS t1
-    JOIN (SELECT concat("object", nz_year, nz_month, project_type) AS link2,
-                 {_dsum('"f_act_Total"')} AS total_fact, {_dsum('"f_pln_Total"')} AS total_plan
-          FROM raw_spider__cost WHERE "Code" = 'SMRSsI' OR "Code" = 'SMRSpI'
-          GROUP BY concat("object", nz_year, nz_month, project_type)) AS t2
-      ON t1.link1 = t2.link2
-) AS foo
-WHERE status = {_q(L.STATUS_ERROR)} AND "object" != {_q(excluded_object)}
+    link = 'concat("object", nz_year, nz_month, project_type)'
+    return with_views("raw_spider__gandoper", "raw_spider__cost") + f""",
+op_totals AS (
+    SELECT {_KEYS}, {link} AS link,
+           {_dsum('coalesce("s_act_CC_SMRSsI", 0)')} + {_dsum('coalesce("s_act_CC_SMRSpI", 0)')} AS fact,
+           {_dsum('coalesce("s_pln_CC_SMRSsI", 0)')} + {_dsum('coalesce("s_pln_CC_SMRSpI", 0)')} AS plan
+    FROM raw_spider__gandoper GROUP BY {_KEYS}, {link}
+),
+component_totals AS (
+    SELECT {link} AS link, {_dsum('"f_act_Total"')} AS fact, {_dsum('"f_pln_Total"')} AS plan
+    FROM raw_spider__cost WHERE "Code" IN ('SMRSsI', 'SMRSpI')
+    GROUP BY {link}
+)
+SELECT o."object", o.nz_year, o.nz_month, o.project_type, {_q(L.STATUS_ERROR)} AS status
+FROM op_totals AS o JOIN component_totals AS c ON c.link = o.link
+WHERE NOT coalesce(round_even(o.fact / 10000, 0) = round_even(c.fact / 10000, 0), false)
+  AND NOT coalesce(round_even(o.plan / 10000, 0) = round_even(c.plan / 10000, 0), false)
+  AND o."object" <> {_q(excluded_object)}
 """
 
 
-CONTRACT_TOTAL = with_views("raw_spider__gandoper", "raw__vdc_by_objects") + f"""
-SELECT sp."object", CAST(sp.sum_smr_sp AS DOUBLE) AS sum_smr_sp, CAST(vdc.sum_smr_vdc AS DOUBLE) AS sum_smr_vdc,
-    CAST(sp.sum_smr_sp AS DOUBLE) - CAST(vdc.sum_smr_vdc AS DOUBLE) AS delta,
-    round((CAST(sp.sum_smr_sp AS DOUBLE) / nullif(CAST(vdc.sum_smr_vdc AS DOUBLE), 0) - 1) * 100, 3) AS "%_delta"
-FROM (SELECT rsg."object",
-             sum(round(CAST(coalesce(rsg."s_act_CC_SMRFull", 0) + coalesce(rsg."s_pln_CC_SMRFull", 0) AS DECIMAL(38,10)), 2))
-             AS sum_smr_sp
-      FROM raw_spider__gandoper AS rsg WHERE rsg.project_type = {_q(L.PROJECT)}
-      GROUP BY rsg."object") AS sp
-LEFT JOIN (SELECT rvbo."object", round(sum(CAST(rvbo."{L.COL_CONTRACT_SMR}" AS DECIMAL(38,10))), 2) AS sum_smr_vdc
-           FROM raw__vdc_by_objects AS rvbo GROUP BY rvbo."object") AS vdc
-  ON sp."object" = vdc."object"
-WHERE abs(round((CAST(sp.sum_smr_sp AS DOUBLE) / nullif(CAST(vdc.sum_smr_vdc AS DOUBLE), 0) - 1) * 100, 3)) > 10
+CONTRACT_TOTAL = with_views("raw_spider__gandoper", "raw__vdc_by_objects") + f""",
+site_totals AS (
+    SELECT "object",
+           CAST(sum(round(CAST(coalesce("s_act_CC_SMRFull", 0) + coalesce("s_pln_CC_SMRFull", 0)
+                               AS DECIMAL(38,10)), 2)) AS DOUBLE) AS project
+    FROM raw_spider__gandoper WHERE project_type = {_q(L.PROJECT)}
+    GROUP BY "object"
+),
+contract_totals AS (
+    SELECT "object", CAST(round(sum(CAST("{L.COL_CONTRACT_SMR}" AS DECIMAL(38,10))), 2) AS DOUBLE) AS contract
+    FROM raw__vdc_by_objects GROUP BY "object"
+),
+compared AS (
+    SELECT s."object", s.project, c.contract,
+           round((s.project / nullif(c.contract, 0) - 1) * 100, 3) AS pct
+    FROM site_totals AS s LEFT JOIN contract_totals AS c ON c."object" = s."object"
+)
+SELECT "object", project AS sum_smr_sp, contract AS sum_smr_vdc, project - contract AS delta, pct AS "%_delta"
+FROM compared WHERE abs(pct) > 10
 """
 
 POSITION_UNIQUE = with_views("raw__vdc_by_objects") + f"""
