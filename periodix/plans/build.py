@@ -52,15 +52,15 @@ class BuildParams:
 def build(spark: SparkSession, src: Sources, params: BuildParams, base: str | None = None) -> dict[str, int]:
     """Write every model under ``base`` (default: beside ``spark.checkpoint.dir``); return check counts."""
     base = base or default_output_base(spark)
-    positions = write_table(contract_positions(src.vdc), base, "int__vdc_by_objects")
-    plan = write_table(plan_by_month(src.gandoper, unique_key=params.plan_unique_key), base, "int__gant_by_month")
-    fact = write_table(fact_by_month(src.archive), base, "int__archive_by_month")
-    mart = write_table(plan_fact_mart(plan, fact, src.gandoper, positions), base, "mart__gant_archive_by_month")
+    positions = write_table(contract_positions(src.vdc), base, "contract_positions")
+    plan = write_table(plan_by_month(src.gandoper, unique_key=params.plan_unique_key), base, "plan_by_month")
+    fact = write_table(fact_by_month(src.archive), base, "fact_by_month")
+    mart = write_table(plan_fact_mart(plan, fact, src.gandoper, positions), base, "plan_fact_mart")
     write_table(reconcile_hours(src.technique_workers, src.norm_workload, src.works, src.zhufvr, src.objects,
                                 src.gandoper, positions, src.key_res, params.own_contractor_name,
-                                params.placeholder_analytics), base, "mart__1C")
+                                params.placeholder_analytics), base, "hours_mart")
     write_table(compare_costs(src.technique_workers, src.works, src.zhufvr, src.objects, src.fot, src.mim,
-                              src.kol_ekip, src.gandoper, src.archive, params.costs), base, "mart__1c_costs")
+                              src.kol_ekip, src.gandoper, src.archive, params.costs), base, "costs_mart")
     checks = {
         "check_fact_nz": Q.check_fact_nz(src.gandoper, params.fact_nz_exception),
         "check_plan_ovnz": Q.check_plan_ovnz(src.gandoper),

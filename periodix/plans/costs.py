@@ -1,4 +1,4 @@
-"""Cost comparison (``mart__1c_costs``): ERP hours priced with rates valid on the journal date,
+"""Cost comparison: ERP hours priced with rates valid on the journal date,
 against the planning system's actual costs per operation.
 
 Plan (one pass over each big table):
@@ -49,7 +49,7 @@ def exact_sum(x: Column) -> Column:
 
 def priced_hours(tw: DataFrame, works: DataFrame, zhufvr: DataFrame, objects: DataFrame, fot: DataFrame,
                  mim: DataFrame, kol_ekip: DataFrame, p: CostParams) -> DataFrame:
-    """``tbl1``: every hour row with its work, journal, site, valid rates and crew size."""
+    """Every hour row with its work, journal, site, valid rates and crew size."""
     w = works.select("work_id", "zhufvr_id", "type_work_name", "enrp_type",
                      strip_spaces("structure_unique_code").alias("structure_unique_code"),
                      strip_spaces("structure_works_code").alias("structure_works_code"),
@@ -87,12 +87,12 @@ def _plan_rows(gandoper: DataFrame, p: CostParams, objects: Sequence[str]) -> Da
         & F.col("WorkLoadFact").isNotNull())
 
 
-def erp_costs(tbl1: DataFrame, gandoper: DataFrame, p: CostParams) -> DataFrame:
-    """``tbl2``: qualifying hour rows summed per (structure code, site)."""
+def erp_costs(priced: DataFrame, gandoper: DataFrame, p: CostParams) -> DataFrame:
+    """Qualifying hour rows summed per (structure code, site)."""
     set1 = _plan_rows(gandoper, p, p.plan_objects).select(F.col("f_CodeIdent").alias("_s1")).distinct()
     set2 = _plan_rows(gandoper, p, p.works_code_objects).select(
         replace_first(F.col("Code"), L.CODE_PREFIX_TO_STRIP).alias("_s2")).distinct()
-    rows = (tbl1.join(set1, F.col("structure_unique_code") == F.col("_s1"), "left")
+    rows = (priced.join(set1, F.col("structure_unique_code") == F.col("_s1"), "left")
             .join(set2, F.col("structure_works_code") == F.col("_s2"), "left"))
     qualifies = F.col("_s1").isNotNull() | (
         F.col("_s2").isNotNull() & (F.col("structure_is_delete") == True)  # noqa: E712  (null is not true)
@@ -112,7 +112,7 @@ def erp_costs(tbl1: DataFrame, gandoper: DataFrame, p: CostParams) -> DataFrame:
 
 
 def planning_costs(archive: DataFrame, gandoper: DataFrame, p: CostParams) -> DataFrame:
-    """``tbl3``: archive resource workload per (operation, site) with the operation's plan row."""
+    """Archive resource workload per (operation, site) with the operation's plan row."""
     res = archive.where((F.col("project_type") == p.project_type) & F.col("ResCode").isNotNull())
     wl = F.col("WorkLoadFact")
     sums = res.groupBy("OperCode", "object").agg(
@@ -133,9 +133,9 @@ def compare_costs(tw: DataFrame, works: DataFrame, zhufvr: DataFrame, objects: D
                   mim: DataFrame, kol_ekip: DataFrame, gandoper: DataFrame, archive: DataFrame,
                   p: CostParams) -> DataFrame:
     """The cost-comparison mart: one row per qualifying (structure code, site)."""
-    tbl2 = erp_costs(priced_hours(tw, works, zhufvr, objects, fot, mim, kol_ekip, p), gandoper, p)
-    tbl3 = planning_costs(archive, gandoper, p).withColumnRenamed("object", "_p_object")
-    out = tbl2.join(tbl3, (F.col("structure_unique_code") == F.col("f_CodeIdent"))
+    erp = erp_costs(priced_hours(tw, works, zhufvr, objects, fot, mim, kol_ekip, p), gandoper, p)
+    plan_side = planning_costs(archive, gandoper, p).withColumnRenamed("object", "_p_object")
+    out = erp.join(plan_side, (F.col("structure_unique_code") == F.col("f_CodeIdent"))
                     & (F.col("spider_name") == F.col("_p_object")), "left")
     c = F.col
     ts = lambda s: F.lit(s).cast("timestamp_ntz")

@@ -1,4 +1,4 @@
-"""Hours reconciliation (``mart__1C``): two overlapping ERP hour logs combined into one mart.
+"""Hours reconciliation: two overlapping ERP hour logs combined into one mart.
 
 Three branches, each restricted to works whose shift journal is not deleted and is done, on a mapped
 site:

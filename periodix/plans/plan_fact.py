@@ -60,7 +60,7 @@ def exact_sum(x: Column) -> Column:
 
 def plan_by_month(gandoper: DataFrame, unique_key: bool = False,
                   project_type: str = L.PROJECT) -> DataFrame:
-    """Planned measures per operation and calendar month (``int__gant_by_month``).
+    """Planned measures per operation and calendar month.
 
     Output: gant_index, code, start_year, start_month, smr_type, object, smr_ss, smr_sp, SMRFull,
     ZATRATY, PRIBYL, UslGpd; the four rounded measures are rounded per row, ties to even.
@@ -91,7 +91,7 @@ def plan_by_month(gandoper: DataFrame, unique_key: bool = False,
 
 
 def fact_by_month(archive: DataFrame, project_type: str = L.PROJECT) -> DataFrame:
-    """Actual measures per execution key, calendar month and site (``int__archive_by_month``).
+    """Actual measures per execution key, calendar month and site.
 
     Month parts come from operation-level rows (null ``ResCode``); the measures are summed over *all*
     archive rows of the key and site, as the reference's join back checks only index, code and
@@ -122,7 +122,7 @@ def fact_by_month(archive: DataFrame, project_type: str = L.PROJECT) -> DataFram
 
 def plan_fact_mart(plan: DataFrame, fact: DataFrame, gandoper: DataFrame, positions: DataFrame,
                    project_type: str = L.PROJECT) -> DataFrame:
-    """``mart__gant_archive_by_month``: plan and fact rows with operation and contract dimensions."""
+    """The plan/fact mart: plan and fact rows with operation and contract dimensions."""
     rows = plan.select(*PLAN_FACT_COLUMNS).unionByName(fact.select(*PLAN_FACT_COLUMNS))
     g = gandoper.where(F.col("project_type") == project_type).select(
         F.col("Code").alias("_g_code"), F.col("object").alias("_g_object"),

@@ -17,8 +17,8 @@ def test_build_writes_all_models(spark):
                          placeholder_analytics=w.params.placeholder_analytics, costs=cost_params(w),
                          plan_unique_key=True)
     counts = build(spark, src, params, base=str(tmp_path))
-    for name in ["int__vdc_by_objects", "int__gant_by_month", "int__archive_by_month",
-                 "mart__gant_archive_by_month", "mart__1C", "mart__1c_costs"]:
+    for name in ["contract_positions", "plan_by_month", "fact_by_month",
+                 "plan_fact_mart", "hours_mart", "costs_mart"]:
         assert os.path.isdir(tmp_path / name), name
         assert spark.read.parquet(str(tmp_path / name)).count() > 0, name
     assert set(counts) >= {"check_fact_nz", "unique_position_key", "check_duplication_of_oper"}
