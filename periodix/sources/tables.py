@@ -58,17 +58,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         reader = reader.schema(SCHEMAS[name])
     df = reader.parquet(table_path(sf_dir, name))
     key = SPREAD_KEYS.get(name)
-    if key is not None:
-        try:
-            target = spark.sparkContext.defaultParallelism
-            scan_tasks = df.rdd.getNumPartitions()
-        except Exception:  # no RDD API (e.g. a Spark Connect session): keep the plain scan
-            return df
-        if target > 1 and scan_tasks < target:
-            df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    if key is not None and _under_split(spark, df, table_path(sf_dir, name)):
+        df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
     return df
 
 
+_SCAN_TASKS: dict[tuple[str, str], int] = {}
+
+
+def _under_split(spark: SparkSession, df: DataFrame, path: str) -> bool:
+    """Whether the scan of ``path`` gives fewer tasks than the cluster has cores.
+
+    The count depends only on the files, so it is computed once per path and session (it plans the
+    scan, which lists the files)."""
+    try:
+        sc = spark.sparkContext
+        cache_key = (sc.applicationId, path)
+        if cache_key not in _SCAN_TASKS:
+            _SCAN_TASKS[cache_key] = df.rdd.getNumPartitions()
+        return sc.defaultParallelism > 1 and _SCAN_TASKS[cache_key] < sc.defaultParallelism
+    except Exception:  # no RDD API (e.g. a Spark Connect session): keep the plain scan
+        return False
+
+
 class Tables:
     """Lazy accessor for the driver tables under one scale-factor folder."""
 
