@@ -124,3 +124,26 @@ def test_weights_sum_to_one_per_key(spark):
     bad = [r for r in sums.collect() if r.w is not None and abs(r.w - 1.0) > 1e-9]
     # a key can exceed 1 only through zero-length single parts; none remain when a key has more parts
     assert not bad
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    """One key carrying a third of the rows (derived from the driver's line items): the key-aggregate
+    path must give the model's weights, with no per-key window or per-key buffering involved."""
+    from pyspark.sql import functions as G
+
+    from tests.conftest import SF_SMALL
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    rows_df = li.select(
+        G.when(G.col("l_returnflag") == "A", G.lit(-1)).otherwise(G.col("l_orderkey")).alias("k"),
+        (G.col("l_shipdate") - G.make_dt_interval(G.col("l_quantity").cast("int"))).alias("s"),
+        G.col("l_shipdate").alias("e"))
+    rows = [(r.k, r.s, r.e) for r in rows_df.collect()]
+    hot = sum(1 for r in rows if r[0] == -1)
+    assert hot > len(rows) / 4
+    expected = model(rows)
+    got = {(r.k, r.start_year, r.start_month): r.weight for r in month_weights(rows_df, ["k"], "s", "e").collect()}
+    assert set(got) == set(expected)
+    assert all(got[k] == pytest.approx(w, rel=1e-12, abs=1e-12) for k, w in expected.items())
+    hot_total = sum(w for (k, _, _), w in got.items() if k == -1)
+    assert hot_total == pytest.approx(1.0)
