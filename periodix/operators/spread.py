@@ -17,8 +17,8 @@ Execution plan:
   spread is a narrow ``explode`` of a scan -- no shuffle at all.
 * Otherwise the per-key quantities (smallest start, number of parts, total duration) come from a
   two-level partial aggregate and are joined back by key. Unlike a window partitioned by key, a hot key
-  never has to be buffered inside one task: the aggregate combines map-side, and the join back is
-  many-to-one, which adaptive execution can split when one key holds a large share of the rows.
+  never has to be buffered inside one task: the aggregate combines map-side, and the join back
+  (:func:`join_per_key`) spreads the rows of hot keys over several tasks.
   The total duration needs no pass over the parts: a row contributes ``e - s`` when it holds the first
   part and ``e - trunc(s)`` (or one whole month) otherwise, so the totals are computed from the rows.
 """
@@ -52,25 +52,56 @@ def _row_terms(start: Column, end: Column) -> dict[str, Column]:
 
 
 def _key_stats(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Per key: smallest start, number of parts and total duration, by partial aggregation."""
+    """Per key: smallest start, number of parts and rows, total duration, by partial aggregation."""
     per_start = rows.groupBy(*keys, "_s").agg(
         F.sum("_n").alias("_n"),
         F.sum("_to").alias("_to"),
         F.sum(F.col("_tf") - F.col("_to")).alias("_delta"),
+        F.count(F.lit(1)).alias("_rows"),
     )
     return per_start.groupBy(*keys).agg(
         F.min("_s").alias("_min_start"),
         F.sum("_n").alias("_n_parts"),
+        F.sum("_rows").alias("_rows"),
         F.sum("_to").alias("_sum_other"),
         # the first-part correction of the smallest non-null start (unique after the first level);
         # min_by skips null orderings and keeps a fixed-width buffer, so this stays a hash aggregate
         F.min_by("_delta", "_s").alias("_first_delta"),
     ).select(
-        *keys, "_min_start", "_n_parts",
+        *keys, "_min_start", "_n_parts", "_rows",
         (F.col("_sum_other") + F.col("_first_delta")).alias("_total"),
     )
 
 
+# A key with more rows than this is a hot key: its rows are spread over several join tasks.
+HOT_KEY_ROWS = 2_000_000
+
+
+def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], counts: str = "_rows",
+                 hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """``rows`` joined (inner) with ``per_key`` (few rows per key, ``counts`` = rows of that key in
+    ``rows``), spreading hot keys instead of sending each key to one task.
+
+    A plain shuffle join puts every row of a key in one task, and when ``per_key`` is an aggregate
+    already partitioned by the key, adaptive execution cannot split that task. Here the keys with
+    more than ``hot_rows`` rows -- at most ``rows.count() / hot_rows`` of them, so their list is
+    broadcast with a proven bound -- get ``ceil(count / hot_rows)`` buckets: each of their rows picks
+    a bucket by a hash of its content (deterministic under retries), their per-key rows are repeated
+    once per bucket, and the join runs on (key, bucket). Every bucket carries the same per-key values,
+    so the result does not depend on the bucket a row lands in. Cold keys use bucket 0 and pay
+    nothing but a map-side lookup in the broadcast list.
+    """
+    buckets = F.ceil(F.col(counts) / F.lit(hot_rows)).cast("int")
+    hot = per_key.where(F.col(counts) > hot_rows).select(*keys, buckets.alias("_buckets")).distinct()
+    marked = rows.join(F.broadcast(hot), on=keys, how="left")
+    salt = F.when(F.col("_buckets").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.col("_buckets")).cast("int"))
+    marked = marked.withColumn("_bucket", salt).drop("_buckets")
+    replicated = per_key.withColumn("_bucket", F.explode(
+        F.when(F.col(counts) > hot_rows, F.sequence(F.lit(0), buckets - 1)).otherwise(F.array(F.lit(0)))))
+    return marked.join(replicated, on=[*keys, "_bucket"]).drop("_bucket")
+
+
 def month_parts(
     df: DataFrame,
     keys: Sequence[str],
@@ -79,6 +110,7 @@ def month_parts(
     carry: Sequence[str] = (),
     unique_key: bool = False,
     keep_all: bool = False,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per kept month part: ``keys``, ``carry`` columns and :data:`PART_COLUMNS`.
 
@@ -104,8 +136,7 @@ def month_parts(
             "_total": F.col("_tf"),
         })
     else:
-        stats = _key_stats(rows, keys)
-        rows = rows.join(stats, on=keys, how="inner")
+        rows = join_per_key(rows, _key_stats(rows, keys), keys, hot_rows=hot_rows or HOT_KEY_ROWS)
 
     parts = rows.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     part_month = add_months(F.col("_ms"), F.col("_k"))
@@ -136,7 +167,7 @@ def month_parts(
 
 
 def month_weights(df: DataFrame, keys: Sequence[str], start: str, end: str,
-                  unique_key: bool = False) -> DataFrame:
+                  unique_key: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Total weight per (key, year, month): the parts of all rows of a key that fall in one month.
 
     Grouped with map-side partial aggregation; at most one row per key and calendar month leaves a task.
@@ -144,7 +175,7 @@ def month_weights(df: DataFrame, keys: Sequence[str], start: str, end: str,
     zero-length part -- equal to the sum of the part weights, but one exact division, so it does not
     depend on the order in which the parts are added.
     """
-    parts = month_parts(df, keys, start, end, unique_key=unique_key)
+    parts = month_parts(df, keys, start, end, unique_key=unique_key, hot_rows=hot_rows)
     us = F.col("duration_us")
     g = parts.groupBy(*keys, "start_year", "start_month").agg(
         F.sum(F.when(us != 0, us)).alias("_num"),

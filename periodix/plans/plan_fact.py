@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from periodix import labels as L
 from periodix.functions import round_half_even, zero_pad_month
 from periodix.operators.plan_start import plan_start
-from periodix.operators.spread import month_parts, month_weights
+from periodix.operators.spread import join_per_key, month_parts, month_weights
 
 PLAN_FACT_COLUMNS = ["code", "start_year", "start_month", "smr_ss", "smr_sp", "object", "smr_type",
                      "ZATRATY", "PRIBYL", "SMRFull", "UslGpd"]
@@ -80,7 +80,9 @@ def plan_by_month(gandoper: DataFrame, unique_key: bool = False,
         weights = month_weights(starts, keys, "start_date", "end_date")
         raw = gandoper.where(F.col("project_type") == project_type).select(
             F.col("index").alias("gant_index"), F.col("Code").alias("code"), "object", *measure_cols)
-        src = weights.join(raw, on=keys)
+        # months-per-key weights joined to every raw row of the key; hot keys spread over tasks
+        counts = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        src = join_per_key(raw, weights.join(counts, on=keys), keys).drop("_rows")
     weight = F.col("weight")
     return src.select(
         "gant_index", "code", "start_year", "start_month",
