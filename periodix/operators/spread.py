@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from periodix.functions import add_months, micros_between, month_index, month_start
+from periodix.operators.skew import HOT_KEY_ROWS, join_per_key
 
 PART_COLUMNS = ["part_start", "part_end", "start_year", "start_month", "duration", "weight",
                 "duration_us", "key_total_us"]
@@ -73,35 +74,6 @@ def _key_stats(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-# A key with more rows than this is a hot key: its rows are spread over several join tasks.
-HOT_KEY_ROWS = 2_000_000
-
-
-def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], counts: str = "_rows",
-                 hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """``rows`` joined (inner) with ``per_key`` (few rows per key, ``counts`` = rows of that key in
-    ``rows``), spreading hot keys instead of sending each key to one task.
-
-    A plain shuffle join puts every row of a key in one task, and when ``per_key`` is an aggregate
-    already partitioned by the key, adaptive execution cannot split that task. Here the keys with
-    more than ``hot_rows`` rows -- at most ``rows.count() / hot_rows`` of them, so their list is
-    broadcast with a proven bound -- get ``ceil(count / hot_rows)`` buckets: each of their rows picks
-    a bucket by a hash of its content (deterministic under retries), their per-key rows are repeated
-    once per bucket, and the join runs on (key, bucket). Every bucket carries the same per-key values,
-    so the result does not depend on the bucket a row lands in. Cold keys use bucket 0 and pay
-    nothing but a map-side lookup in the broadcast list.
-    """
-    buckets = F.ceil(F.col(counts) / F.lit(hot_rows)).cast("int")
-    hot = per_key.where(F.col(counts) > hot_rows).select(*keys, buckets.alias("_buckets")).distinct()
-    marked = rows.join(F.broadcast(hot), on=keys, how="left")
-    salt = F.when(F.col("_buckets").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.col("_buckets")).cast("int"))
-    marked = marked.withColumn("_bucket", salt).drop("_buckets")
-    replicated = per_key.withColumn("_bucket", F.explode(
-        F.when(F.col(counts) > hot_rows, F.sequence(F.lit(0), buckets - 1)).otherwise(F.array(F.lit(0)))))
-    return marked.join(replicated, on=[*keys, "_bucket"]).drop("_bucket")
-
-
 def month_parts(
     df: DataFrame,
     keys: Sequence[str],

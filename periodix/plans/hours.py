@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from periodix import labels as L
 from periodix.functions import is_false, is_true, nullif, strip_spaces
+from periodix.operators.skew import join_per_key
 
 T1_COLUMNS = ["object", "work_id", L.COL_WORK_KIND, L.COL_ENRP_TYPE, L.COL_SPIDER_RESOURCE,
               L.COL_RESOURCE_CODE, L.COL_FACT_HOURS, L.COL_NORM_HOURS, L.COL_NORMED, L.COL_RESOURCE]
@@ -127,8 +128,10 @@ def hours_normed(tw: DataFrame, nw: DataFrame, ctx: DataFrame, placeholders: Seq
     stats = distinct.groupBy(*group).agg(
         F.sum(F.col("fact_workload") * F.col("_m")).alias("_group_fact"),
         F.max(order).alias("_first"),
+        F.count(F.lit(1)).alias("_rows"),
     )
-    rows = distinct.join(stats, group)
+    # back to the rows; a group with very many distinct rows is spread over several tasks
+    rows = join_per_key(distinct, stats, group).drop("_rows")
     rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_m").cast("int"))))
     is_first = order.eqNullSafe(F.col("_first")) & (F.col("_copy") == 1)
     fact = F.col("fact_workload")

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from periodix import labels as L
 from periodix.functions import round_half_even, zero_pad_month
 from periodix.operators.plan_start import plan_start
-from periodix.operators.spread import join_per_key, month_parts, month_weights
+from periodix.operators.skew import join_per_key
+from periodix.operators.spread import month_parts, month_weights
 
 PLAN_FACT_COLUMNS = ["code", "start_year", "start_month", "smr_ss", "smr_sp", "object", "smr_type",
                      "ZATRATY", "PRIBYL", "SMRFull", "UslGpd"]
