@@ -35,8 +35,19 @@ def register(name: str):
     return deco
 
 
+_WORLDS: dict[tuple[str, str], World] = {}
+
+
 def world(spark: SparkSession, sf_dir: str) -> World:
-    return World(spark, sf_dir)
+    """The binding over ``sf_dir``; shared by the queries of one application (its frames are lazy and
+    immutable, so sharing only saves re-building and re-analysing them)."""
+    try:
+        key = (spark.sparkContext.applicationId, sf_dir)
+    except Exception:  # no SparkContext on this client: build a fresh binding
+        return World(spark, sf_dir)
+    if key not in _WORLDS:
+        _WORLDS[key] = World(spark, sf_dir)
+    return _WORLDS[key]
 
 
 @register("plan_start")

@@ -97,43 +97,43 @@ def month_parts(
     not_null = F.col(keys[0]).isNotNull()
     for k in keys[1:]:
         not_null = not_null & F.col(k).isNotNull()
-    base = df.where(not_null).select(*keys, *carry, F.col(start).alias("_s"), F.col(end).alias("_e"))
-    terms = _row_terms(F.col("_s"), F.col("_e"))
-    rows = base.withColumns(terms)
-
+    s, e = F.col(start), F.col(end)
+    rows = df.where(not_null).select(*keys, *carry, s.alias("_s"), e.alias("_e"),
+                                     *[c.alias(n) for n, c in _row_terms(s, e).items()])
     if unique_key:
-        rows = rows.withColumns({
-            "_min_start": F.col("_s"),
-            "_n_parts": F.col("_n").cast("long"),
-            "_total": F.col("_tf"),
-        })
+        per_key = [F.col("_s").alias("_min_start"), F.col("_n").cast("long").alias("_n_parts"),
+                   F.col("_tf").alias("_total")]
+        rows = rows.select("*", *per_key)
     else:
         rows = join_per_key(rows, _key_stats(rows, keys), keys, hot_rows=hot_rows or HOT_KEY_ROWS)
 
-    parts = rows.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    part_month = add_months(F.col("_ms"), F.col("_k"))
-    first = (F.col("_k") == 0) & (F.col("_s") == F.col("_min_start"))
+    # one projection for the parts: explode the month offsets, then bounds and exact durations
+    k = F.col("_k")
+    part_month = add_months(F.col("_ms"), k)
+    first = (k == 0) & (F.col("_s") == F.col("_min_start"))
     part_start = F.when(first, F.col("_s")).otherwise(part_month)
     part_end = (
         F.when(first, F.least(F.col("_e"), F.col("_m1")))
         .when(part_month == F.col("_me"), F.col("_e"))
         .otherwise(add_months(part_month, 1))
     )
-    parts = parts.withColumns({"part_start": part_start, "part_end": part_end})
+    parts = rows.select(*keys, *carry, "_s", "_e", "_ms", "_me", "_m1", "_min_start", "_n_parts", "_total",
+                        F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_k"))
+    parts = parts.select(*keys, *carry, "_n_parts", "_total", part_start.alias("part_start"),
+                         part_end.alias("part_end"))
     # durations and totals are whole microseconds, so every weight is one exact division
-    parts = parts.withColumn("_us", micros_between("part_start", "part_end"))
-    keep = ~((F.col("_us") == 0) & (F.col("_n_parts") > 1))
-    total = F.when(F.col("_total") == 0, F.lit(None)).otherwise(F.col("_total"))
-    weight = F.when(F.col("_us") == 0, F.lit(1.0)).otherwise(F.col("_us") / total)
+    us = micros_between("part_start", "part_end")
     if not keep_all:
-        parts = parts.where(keep)
+        parts = parts.where(~((us == 0) & (F.col("_n_parts") > 1)))
+    total = F.when(F.col("_total") == 0, F.lit(None)).otherwise(F.col("_total"))
+    weight = F.when(us == 0, F.lit(1.0)).otherwise(us / total)
     return parts.select(
         *keys, *carry, "part_start", "part_end",
         F.year("part_start").alias("start_year"),
         F.month("part_start").alias("start_month"),
-        (F.col("_us") / 1e6).alias("duration"),
+        (us / 1e6).alias("duration"),
         weight.alias("weight"),
-        F.col("_us").alias("duration_us"),
+        us.alias("duration_us"),
         F.col("_total").alias("key_total_us"),
     )
 

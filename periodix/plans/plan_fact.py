@@ -69,7 +69,6 @@ def plan_by_month(gandoper: DataFrame, unique_key: bool = False,
     ``unique_key=True``: one project row per (index, Code); no shuffle. Otherwise one row per
     (operation row, month) carrying the total weight of its key's parts in that month.
     """
-    starts = plan_start(gandoper, project_type)
     keys = ["gant_index", "code"]
     measure_cols = ["c_pln_SMRSsI", "c_pln_SMRSpI", "c_pln_UslGpd"] + [f"c_pln_{p}" for p in L.COST_PARTS]
     terms = _measure_terms("c_pln_")
@@ -78,7 +77,7 @@ def plan_by_month(gandoper: DataFrame, unique_key: bool = False,
         src = month_parts(rows, keys, "start_date", "end_date", carry=["object", *measure_cols],
                           unique_key=True)
     else:
-        weights = month_weights(starts, keys, "start_date", "end_date")
+        weights = month_weights(plan_start(gandoper, project_type), keys, "start_date", "end_date")
         raw = gandoper.where(F.col("project_type") == project_type).select(
             F.col("index").alias("gant_index"), F.col("Code").alias("code"), "object", *measure_cols)
         # months-per-key weights joined to every raw row of the key; hot keys spread over tasks
