@@ -34,7 +34,7 @@ from periodix.functions import add_months, micros_between, month_index, month_st
 from periodix.operators.skew import HOT_KEY_ROWS, join_per_key
 
 PART_COLUMNS = ["part_start", "part_end", "start_year", "start_month", "duration", "weight",
-                "duration_us", "key_total_us"]
+                "duration_us", "key_total_us", "key_parts"]
 
 
 def _row_terms(start: Column, end: Column) -> dict[str, Column]:
@@ -135,12 +135,14 @@ def month_parts(
         weight.alias("weight"),
         us.alias("duration_us"),
         F.col("_total").alias("key_total_us"),
+        F.col("_n_parts").alias("key_parts"),
     )
 
 
 def month_weights(df: DataFrame, keys: Sequence[str], start: str, end: str,
                   unique_key: bool = False, hot_rows: int | None = None) -> DataFrame:
-    """Total weight per (key, year, month): the parts of all rows of a key that fall in one month.
+    """Total weight per (key, year, month): the parts of all rows of a key that fall in one month,
+    with ``key_parts``, the key's number of parts (at least its number of rows; a hotness estimate).
 
     Grouped with map-side partial aggregation; at most one row per key and calendar month leaves a task.
     The month's weight is computed as (its non-zero microseconds) / (key total) plus one per kept
@@ -153,8 +155,9 @@ def month_weights(df: DataFrame, keys: Sequence[str], start: str, end: str,
         F.sum(F.when(us != 0, us)).alias("_num"),
         F.sum(F.when(us == 0, F.lit(1.0))).alias("_zeros"),
         F.max("key_total_us").alias("_total"),
+        F.max("key_parts").alias("key_parts"),
     )
     share = F.col("_num") / F.when(F.col("_total") != 0, F.col("_total"))
     weight = F.when(share.isNull() & F.col("_zeros").isNull(), F.lit(None).cast("double")).otherwise(
         F.coalesce(share, F.lit(0.0)) + F.coalesce(F.col("_zeros"), F.lit(0.0)))
-    return g.select(*keys, "start_year", "start_month", weight.alias("weight"))
+    return g.select(*keys, "start_year", "start_month", weight.alias("weight"), "key_parts")

@@ -80,9 +80,9 @@ def plan_by_month(gandoper: DataFrame, unique_key: bool = False,
         weights = month_weights(plan_start(gandoper, project_type), keys, "start_date", "end_date")
         raw = gandoper.where(F.col("project_type") == project_type).select(
             F.col("index").alias("gant_index"), F.col("Code").alias("code"), "object", *measure_cols)
-        # months-per-key weights joined to every raw row of the key; hot keys spread over tasks
-        counts = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        src = join_per_key(raw, weights.join(counts, on=keys), keys).drop("_rows")
+        # months-per-key weights joined to every raw row of the key; hot keys (estimated by their
+        # number of parts -- only the bucketing depends on it, never the result) spread over tasks
+        src = join_per_key(raw, weights, keys, counts="key_parts").drop("key_parts")
     weight = F.col("weight")
     return src.select(
         "gant_index", "code", "start_year", "start_month",
@@ -109,7 +109,7 @@ def fact_by_month(archive: DataFrame, project_type: str = L.PROJECT) -> DataFram
     sums = archive.where(F.col("project_type") == project_type).groupBy(
         F.col("index").alias("archive_index"), F.col("OperCode").alias("code"), "object"
     ).agg(*[exact_sum(t).alias(n) for n, t in terms.items()])
-    joined = weights.join(sums, on=keys)
+    joined = weights.drop("key_parts").join(sums, on=keys)
 
     out = joined.select(
         F.xxhash64("archive_index", "code", "start_year", "start_month", "object").alias("id"),
