@@ -1,6 +1,5 @@
 """Validity-interval join, overlap check and cost comparison (J7) on hand-made rows."""
 
-from pyspark.sql import functions as F
 
 from periodix.operators.validity import overlapping_intervals, validity_join
 from periodix.plans.costs import CostParams, compare_costs

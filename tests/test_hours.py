@@ -1,7 +1,6 @@
 """J6 hours reconciliation on hand-made rows: each branch rule, the group-first adjustment, labels."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from periodix import labels as L
 from periodix.plans import hours as H

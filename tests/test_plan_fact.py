@@ -1,7 +1,6 @@
 """J1-J5 on hand-made edge rows."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from periodix import labels as L
 from periodix.operators.plan_start import plan_start
