@@ -158,9 +158,9 @@ def cost_params(w: World) -> CostParams:
 def q_validity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wage rate valid on each hour row's journal date (left: unmatched rows keep nulls)."""
     w = world(spark, sf_dir)
-    rows = (w.technique_workers.select("work_id", "analytics_value", "res_name")
-            .join(w.works.select("work_id", "zhufvr_id"), "work_id", "left")
-            .join(w.zhufvr.select("link", "zhfvr_date"), F.col("zhufvr_id") == F.col("link"), "left"))
+    work_dates = (w.works.select("work_id", "zhufvr_id")
+                  .join(w.zhufvr.select("link", "zhfvr_date"), F.col("zhufvr_id") == F.col("link"), "left"))
+    rows = w.technique_workers.select("work_id", "analytics_value", "res_name").join(work_dates, "work_id", "left")
     rates = w.fot.select(F.col("res").alias("_res"), "start", "finish", "fot")
     out = validity_join(rows, rates, [("res_name", "_res")], "zhfvr_date")
     return out.select("work_id", "analytics_value", "res_name", "zhfvr_date", "fot", "start", "finish")

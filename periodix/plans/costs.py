@@ -3,7 +3,8 @@ against the planning system's actual costs per operation.
 
 Plan (one pass over each big table):
 
-* hours -> work -> journal -> site: left joins on primary keys;
+* hours -> (work -> journal -> site): the dimension chain joined first, then one left join of the
+  hour rows on the work key;
 * wage and machine rates: :func:`validity_join` (equi keys + half-open date range, month-bucketed);
 * crew size: left join on the resource code;
 * the two qualification sets of the reference (``IN (SELECT DISTINCT ...)`` under an OR) become two
@@ -56,9 +57,11 @@ def priced_hours(tw: DataFrame, works: DataFrame, zhufvr: DataFrame, objects: Da
                      "structure_is_delete")
     j = zhufvr.select("link", "territory_value", "zhfvr_date")
     o = objects.select(F.col("territory_value").alias("_o_tv"), "spider_name")
-    rows = (tw.join(w, "work_id", "left")
-            .join(j, F.col("zhufvr_id") == F.col("link"), "left")
-            .join(o, F.col("territory_value") == F.col("_o_tv"), "left"))
+    # the dimension chain is joined first (left joins associate: each condition is on the previous
+    # dimension only), so the hour rows -- the big side -- are shuffled once, on work_id
+    work_ctx = (w.join(j, F.col("zhufvr_id") == F.col("link"), "left")
+                .join(o, F.col("territory_value") == F.col("_o_tv"), "left"))
+    rows = tw.join(work_ctx, "work_id", "left")
     fot_r = fot.select(F.col("res").alias("_f_res"), F.col("start").alias("_f_start"),
                        F.col("finish").alias("_f_finish"), "fot")
     rows = validity_join(rows, fot_r, [("res_name", "_f_res")], "zhfvr_date", "_f_start", "_f_finish")
