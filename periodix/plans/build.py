@@ -53,9 +53,13 @@ def build(spark: SparkSession, src: Sources, params: BuildParams, base: str | No
     """Write every model under ``base`` (default: beside ``spark.checkpoint.dir``); return check counts."""
     base = base or default_output_base(spark)
     positions = write_table(contract_positions(src.vdc), base, "contract_positions")
-    plan = write_table(plan_by_month(src.gandoper, unique_key=params.plan_unique_key), base, "plan_by_month")
-    fact = write_table(fact_by_month(src.archive), base, "fact_by_month")
-    mart = write_table(plan_fact_mart(plan, fact, src.gandoper, positions), base, "plan_fact_mart")
+    # month-grained tables are partitioned by year: readers that filter on a period prune directories
+    by_year = ["start_year"]
+    plan = write_table(plan_by_month(src.gandoper, unique_key=params.plan_unique_key), base, "plan_by_month",
+                       partition_by=by_year)
+    fact = write_table(fact_by_month(src.archive), base, "fact_by_month", partition_by=by_year)
+    mart = write_table(plan_fact_mart(plan, fact, src.gandoper, positions), base, "plan_fact_mart",
+                       partition_by=by_year)
     write_table(reconcile_hours(src.technique_workers, src.norm_workload, src.works, src.zhufvr, src.objects,
                                 src.gandoper, positions, src.key_res, params.own_contractor_name,
                                 params.placeholder_analytics), base, "hours_mart")
