@@ -197,3 +197,14 @@ def check_position_not_null(positions: DataFrame, parts: Sequence[str] = (L.COL_
 def run_checks(checks: dict[str, DataFrame]) -> list[tuple[str, int]]:
     """Violation count per check (one small action each; only counts reach the driver)."""
     return [(name, df.count()) for name, df in checks.items()]
+
+
+def check_report(checks: dict[str, DataFrame], sample: int = 5) -> list[dict]:
+    """Per check: name, violation count and up to ``sample`` offending rows (a bounded sample is all
+    that reaches the driver)."""
+    report = []
+    for name, df in checks.items():
+        n = df.count()
+        rows = [r.asDict() for r in df.limit(sample).collect()] if n else []
+        report.append({"check": name, "violations": n, "sample": rows})
+    return report

@@ -92,3 +92,12 @@ def test_position_checks(spark):
                             {L.COL_CIPHER: None, "object": "S"}])
     assert Q.check_position_unique(contract_positions(v2)).first().n_records == 2
     assert Q.check_position_not_null(contract_positions(v2)).count() == 1
+
+
+def test_check_report(spark):
+    bad = frame(spark, GANDOPER, [snap(project_type=L.SNAPSHOT_NZ, object=f"S{i}", s_act_CC_SMRFull=1.0)
+                                  for i in range(8)])
+    clean = frame(spark, GANDOPER, [snap(project_type=L.SNAPSHOT_OVNZ, s_pln_CC_SMRFull=0.0)])
+    report = Q.check_report({"fact_nz": Q.check_fact_nz(bad), "plan_ovnz": Q.check_plan_ovnz(clean)}, sample=3)
+    assert report[0]["check"] == "fact_nz" and report[0]["violations"] == 8 and len(report[0]["sample"]) == 3
+    assert report[1] == {"check": "plan_ovnz", "violations": 0, "sample": []}
