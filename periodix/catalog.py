@@ -136,9 +136,12 @@ def q_hours_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hours_mart(world(spark, sf_dir))
 
 
-# sites by region of the binding's nations (region = nation key mod 5); region 0 is unmapped
-_REGIONS_1_3 = tuple(f"NATION_{k}" for k in range(25) if k % 5 in (1, 2, 3))
-_REGION_1 = tuple(f"NATION_{k}" for k in range(25) if k % 5 == 1)
+# The cost comparison qualifies operations of listed sites (the reference lists its projects by
+# name). Bound here: the nations of regions AMERICA, ASIA and EUROPE, and of AMERICA alone.
+_REGIONS_1_3 = ("NATION_1", "NATION_2", "NATION_3", "NATION_6", "NATION_7", "NATION_8", "NATION_11",
+                "NATION_12", "NATION_13", "NATION_16", "NATION_17", "NATION_18", "NATION_21", "NATION_22",
+                "NATION_23")
+_REGION_1 = ("NATION_1", "NATION_6", "NATION_11", "NATION_16", "NATION_21")
 
 
 def cost_params(w: World) -> CostParams:
