@@ -26,15 +26,23 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=cpus, app_name="periodix-bench")
     # warm-up: JVM, parquet footers and code generation paths
     REGISTRY["plan_month_spread"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    timings: dict[str, float] = {}
+    timings: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in names:
         t0 = time.perf_counter()
-        REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t0, 3)
+        try:
+            REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            timings[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # keep measuring the others; report the failure in the JSON line
+            timings[name] = None
+            errors[name] = str(exc).splitlines()[0][:300]
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(timings.values()), 3), "unit": "sec",
-                      "queries": timings, "sf": sf}))
+    out = {"metric": "total_query_seconds", "value": round(sum(t for t in timings.values() if t is not None), 3),
+           "unit": "sec", "queries": timings, "sf": sf}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
