@@ -6,6 +6,11 @@ expanded into the calendar months it overlaps and the join key gets the month of
 meets only the intervals that overlap its month; the half-open range is then checked exactly. The
 expansion costs one row per interval-month on the (small) dictionary side. Overlapping intervals still
 all match, as in the reference; :func:`overlapping_intervals` reports them.
+
+The expansion grows with interval length: decades cost a few hundred rows per interval, but a
+"valid forever" sentinel such as 9999-12-31 costs about 96,000. Store open-ended rates with a
+realistic horizon (or clamp ``finish`` before the join); :func:`expansion_rows` shows the cost of a
+dictionary before it is used.
 """
 
 from __future__ import annotations
@@ -18,6 +23,12 @@ from pyspark.sql import functions as F
 from periodix.functions import month_index, month_start
 
 
+def _month_range(start: str, finish: str):
+    """First month index of an interval and the month holding its last instant before ``finish``."""
+    last = F.when(F.col(finish) == month_start(finish), month_index(finish) - 1).otherwise(month_index(finish))
+    return month_index(start), last
+
+
 def validity_join(
     left: DataFrame,
     rates: DataFrame,
@@ -33,9 +44,7 @@ def validity_join(
     (keys and bounds included, as given). Intervals with a null bound never match.
     """
     bounded = rates.where(F.col(start).isNotNull() & F.col(finish).isNotNull())
-    first = month_index(start)
-    # the month holding the last instant before `finish`
-    last = F.when(F.col(finish) == month_start(finish), month_index(finish) - 1).otherwise(month_index(finish))
+    first, last = _month_range(start, finish)
     expanded = bounded.withColumn(
         "_vj_month", F.explode(F.sequence(first, F.greatest(first, last))))
     lm = left.withColumn("_vj_lm", month_index(date))
@@ -57,3 +66,12 @@ def overlapping_intervals(rates: DataFrame, keys: Sequence[str], start: str = "s
     return (rates.withColumn("_prev_finish", F.max(finish).over(w))
             .where(F.col(start) < F.col("_prev_finish"))
             .drop("_prev_finish"))
+
+
+def expansion_rows(rates: DataFrame, start: str = "start", finish: str = "finish") -> DataFrame:
+    """One row: the number of dictionary rows :func:`validity_join` would create, and the largest
+    per-interval expansion (a cheap aggregate over the dictionary)."""
+    first, last = _month_range(start, finish)
+    months = F.greatest(last - first + 1, F.lit(1))
+    bounded = rates.where(F.col(start).isNotNull() & F.col(finish).isNotNull())
+    return bounded.agg(F.sum(months).alias("expanded_rows"), F.max(months).alias("max_per_interval"))

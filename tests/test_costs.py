@@ -1,7 +1,7 @@
 """Validity-interval join, overlap check and cost comparison (J7) on hand-made rows."""
 
 
-from periodix.operators.validity import overlapping_intervals, validity_join
+from periodix.operators.validity import expansion_rows, overlapping_intervals, validity_join
 from periodix.plans.costs import CostParams, compare_costs
 from tests.fixtures import ARCHIVE, GANDOPER, OBJECTS, TW, WORKS, ZHUFVR, frame, ts
 
@@ -78,3 +78,10 @@ def test_cost_comparison(spark):
     assert k1.period == "2022" and k1.Name == "n1"
     k2 = out["K2"]
     assert k2.hours == 5.0 and k2.wrkld is None and k2.period == "между 2022 и 2023"
+
+
+def test_expansion_rows(spark):
+    rates = _rates(spark, [("R", "2024-01-01", "2024-04-01", 1.0), ("R", "2024-04-15", "2026-01-01", 2.0)])
+    r = expansion_rows(rates).first()
+    # Jan-Mar 2024 (the finish on 1 April is excluded), then April 2024 to December 2025
+    assert (r.expanded_rows, r.max_per_interval) == (3 + 21, 21)
