@@ -11,7 +11,7 @@ HOT_KEY_ROWS = 2_000_000
 
 
 def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], counts: str = "_rows",
-                 hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                 hot_rows: int = HOT_KEY_ROWS, how: str = "inner") -> DataFrame:
     """``rows`` joined (inner) with ``per_key`` (few rows per key, ``counts`` = rows of that key in
     ``rows``), spreading hot keys instead of sending each key to one task.
 
@@ -22,14 +22,29 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], counts: s
     a bucket by a hash of its content (deterministic under retries), their per-key rows are repeated
     once per bucket, and the join runs on (key, bucket). Every bucket carries the same per-key values,
     so the result does not depend on the bucket a row lands in. Cold keys use bucket 0 and pay
-    nothing but a map-side lookup in the broadcast list.
+    nothing but a map-side lookup in the broadcast list. Keys match null-safely. ``how`` is
+    ``"inner"`` or ``"left"``.
     """
     buckets = F.ceil(F.col(counts) / F.lit(hot_rows)).cast("int")
-    hot = per_key.where(F.col(counts) > hot_rows).select(*keys, buckets.alias("_buckets")).distinct()
-    marked = rows.join(F.broadcast(hot), on=keys, how="left")
+    hot = per_key.where(F.col(counts) > hot_rows).select(
+        *[F.col(k).alias(f"_hk_{i}") for i, k in enumerate(keys)], buckets.alias("_buckets")).distinct()
+    # keys compare null-safely throughout: a null key part is one group, as in a window partition
+    marked = rows.join(F.broadcast(hot), _same_key(keys, "_hk_"), "left")
     salt = F.when(F.col("_buckets").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.col("_buckets")).cast("int"))
-    marked = marked.withColumn("_bucket", salt).drop("_buckets")
-    replicated = per_key.withColumn("_bucket", F.explode(
-        F.when(F.col(counts) > hot_rows, F.sequence(F.lit(0), buckets - 1)).otherwise(F.array(F.lit(0)))))
-    return marked.join(replicated, on=[*keys, "_bucket"]).drop("_bucket")
+    marked = marked.withColumn("_bucket", salt).drop("_buckets", *[f"_hk_{i}" for i in range(len(keys))])
+    replicated = per_key.select(
+        *[F.col(c).alias(f"_pk_{keys.index(c)}") if c in keys else F.col(c) for c in per_key.columns],
+        F.explode(F.when(F.col(counts) > hot_rows, F.sequence(F.lit(0), buckets - 1))
+                  .otherwise(F.array(F.lit(0)))).alias("_pk_bucket"))
+    cond = _same_key(keys, "_pk_") & (F.col("_bucket") == F.col("_pk_bucket"))
+    joined = marked.join(replicated, cond, how)
+    return joined.drop("_bucket", "_pk_bucket", *[f"_pk_{i}" for i in range(len(keys))])
+
+
+def _same_key(keys: list[str], prefix: str):
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"{prefix}{i}"))
+        cond = c if cond is None else cond & c
+    return cond

@@ -97,3 +97,15 @@ def test_ownership_labels(spark, ctx):
            for r in H.hours_unnormed(tw, nw, ctx, OWN, PH).collect()}
     assert got == {1.0: (L.OWN_RESOURCE, 1.0), 2.0: (L.HIRED_RESOURCE, 2.0), 3.0: (L.HIRED_RESOURCE, 3.0),
                    4.0: (L.OWN_RESOURCE, 4.0), 0.0: (None, 0.0)}
+
+
+def test_null_analytics_group_is_kept(spark, ctx):
+    # a window partitioned by (work, analytics) keeps a null analytics value as its own group
+    tw = frame(spark, TW, [dict(work_id="w1", analytics_value=None, hours=1.0)])
+    nw = frame(spark, NW, [
+        dict(work_id="w1", analytics_value=None, res_spider_code="Mont", fact_workload=2.0, norm_workload=1.0),
+        dict(work_id="w1", analytics_value=None, res_spider_code="A", fact_workload=2.0, norm_workload=1.0),
+    ])
+    got = sorted(r[L.COL_FACT_HOURS] for r in H.hours_normed(tw, nw, ctx, PH).collect())
+    # raw hours do not join on a null analytics value, so the excess rule cannot fire
+    assert got == [2.0, 2.0]

@@ -19,3 +19,12 @@ def test_join_per_key_equals_plain_join(spark, hot_rows):
     spread = sorted(tuple(r) for r in join_per_key(rows, per_key, ["k"], hot_rows=hot_rows)
                     .select("k", "v", "slot", "w").collect())
     assert spread == plain
+
+
+def test_join_per_key_null_key_is_one_group(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
+    per_key = spark.createDataFrame([(None, 2, "null group"), ("a", 1, "a group")], "k string, _rows long, w string")
+    for hot_rows in (1, 1000):
+        out = join_per_key(rows, per_key, ["k"], hot_rows=hot_rows).select("k", "v", "w").collect()
+        got = sorted((tuple(r) for r in out), key=lambda t: (t[0] is not None, t[0] or "", t[1]))
+        assert got == [(None, 1, "null group"), (None, 2, "null group"), ("a", 3, "a group")]
