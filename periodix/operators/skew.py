@@ -48,3 +48,18 @@ def _same_key(keys: list[str], prefix: str):
         c = F.col(k).eqNullSafe(F.col(f"{prefix}{i}"))
         cond = c if cond is None else cond & c
     return cond
+
+
+def existence_flags(rows: DataFrame, keyset: DataFrame, keys: list[str], flag: str = "_exists",
+                    hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """``rows`` with a boolean ``flag``: whether ``keyset`` has a row with the same key (SQL equality,
+    so a null key part never matches, as in ``EXISTS``).
+
+    The basis of semi and anti joins when ``rows`` may have hot keys: rows are counted per key (a
+    partial aggregate of the key columns), the counts get the flag from the de-duplicated key set,
+    and :func:`join_per_key` brings the flag to the rows with hot keys spread over several tasks.
+    """
+    present = keyset.select(*keys).distinct().withColumn(flag, F.lit(True))
+    per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).join(present, on=keys, how="left")
+    flagged = join_per_key(rows, per_key, keys, hot_rows=hot_rows)
+    return flagged.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop("_rows")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from periodix import labels as L
 from periodix.functions import concat_skip_nulls, round_half_even
+from periodix.operators.skew import existence_flags
 
 SNAPSHOT_KEYS = ["object", "nz_year", "nz_month", "project_type"]
 CHECK_COLUMNS = SNAPSHOT_KEYS + ["status"]
@@ -68,9 +69,8 @@ def check_hours_total(tw: DataFrame, nw: DataFrame, threshold_pct: float = 0.1)
     The reconciled total is the reference test's own simplification: unnormed raw rows (no placeholder
     rule) plus all norm rows. Output: ``delta_hours`` (percent, 2 decimals) when violated.
     """
-    keys = nw.select("work_id", "analytics_value").distinct()  # existence only: de-duplicated map-side
-    unnormed = tw.join(keys, (tw["work_id"] == keys["work_id"]) & (tw["analytics_value"] == keys["analytics_value"]),
-                       "left_anti")
+    # existence only: norm keys de-duplicated, hot raw keys spread (see existence_flags)
+    unnormed = existence_flags(tw, nw, ["work_id", "analytics_value"]).where(~F.col("_exists"))
     null = F.lit(None).cast("double")
     tagged = (unnormed.select(F.col("hours").cast("double").alias("_mart"), null.alias("_raw"))
               .unionByName(nw.select(F.col("fact_workload").cast("double").alias("_mart"), null.alias("_raw")))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from periodix import labels as L
 from periodix.functions import is_false, is_true, nullif, strip_spaces
-from periodix.operators.skew import join_per_key
+from periodix.operators.skew import existence_flags, join_per_key
 
 T1_COLUMNS = ["object", "work_id", L.COL_WORK_KIND, L.COL_ENRP_TYPE, L.COL_SPIDER_RESOURCE,
               L.COL_RESOURCE_CODE, L.COL_FACT_HOURS, L.COL_NORM_HOURS, L.COL_NORMED, L.COL_RESOURCE]
@@ -78,27 +78,27 @@ def _raw_branch(raw: DataFrame, ctx: DataFrame, normed: bool, own_name: str) ->
     )
 
 
-def _norm_match(tw: DataFrame, nw: DataFrame, placeholders: Sequence[str]) -> Column:
-    return ((tw["work_id"] == nw["work_id"]) & (tw["analytics_value"] == nw["analytics_value"])
-            & ~tw["analytics_value"].isin(*placeholders))
+def _countable(placeholders: Sequence[str]) -> Column:
+    """The existence tests' extra condition: the analytics value is not a placeholder (null: false)."""
+    return F.coalesce(~F.col("analytics_value").isin(*placeholders), F.lit(False))
 
 
 def hours_unnormed(tw: DataFrame, nw: DataFrame, ctx: DataFrame, own_name: str,
                    placeholders: Sequence[str]) -> DataFrame:
     """Branch A: raw hours without a norm row (placeholder analytics always kept).
 
-    Only the existence of a norm key matters, so the keys are de-duplicated first (a partial
-    aggregate: a key repeated in many norm rows crosses the shuffle once per task)."""
-    keys = nw.select("work_id", "analytics_value").distinct()
-    raw = tw.join(keys, _norm_match(tw, keys, placeholders), "left_anti")
+    Only the existence of a norm key matters: the norm keys are de-duplicated (a partial aggregate)
+    and the flag reaches the raw rows through :func:`existence_flags`, which spreads hot keys."""
+    flagged = existence_flags(tw, nw, ["work_id", "analytics_value"])
+    raw = flagged.where(~(F.col("_exists") & _countable(placeholders))).drop("_exists")
     return _raw_branch(raw, ctx, False, own_name)
 
 
 def hours_zero(tw: DataFrame, nw: DataFrame, ctx: DataFrame, own_name: str,
                placeholders: Sequence[str]) -> DataFrame:
     """Branch C: raw hours that have a norm row with zero fact hours."""
-    zero = nw.where(F.col("fact_workload") == 0).select("work_id", "analytics_value").distinct()
-    raw = tw.join(zero, _norm_match(tw, zero, placeholders), "left_semi")
+    flagged = existence_flags(tw, nw.where(F.col("fact_workload") == 0), ["work_id", "analytics_value"])
+    raw = flagged.where(F.col("_exists") & _countable(placeholders)).drop("_exists")
     return _raw_branch(raw, ctx, True, own_name)
 
 

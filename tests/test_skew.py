@@ -28,3 +28,13 @@ def test_join_per_key_null_key_is_one_group(spark):
         out = join_per_key(rows, per_key, ["k"], hot_rows=hot_rows).select("k", "v", "w").collect()
         got = sorted((tuple(r) for r in out), key=lambda t: (t[0] is not None, t[0] or "", t[1]))
         assert got == [(None, 1, "null group"), (None, 2, "null group"), ("a", 3, "a group")]
+
+
+def test_existence_flags_matches_semi_and_anti(spark):
+    from periodix.operators.skew import existence_flags
+
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), ("c", 5)], "k string, v int")
+    keyset = spark.createDataFrame([("a",), ("a",), (None,), ("c",)], "k string")
+    for hot_rows in (1, 1000):
+        got = {r.v: r._exists for r in existence_flags(rows, keyset, ["k"], hot_rows=hot_rows).collect()}
+        assert got == {1: True, 2: True, 3: False, 4: False, 5: True}   # a null key never matches
