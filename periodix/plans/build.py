@@ -78,3 +78,42 @@ def build(spark: SparkSession, src: Sources, params: BuildParams, base: str | No
         "not_null_position_key": Q.check_position_not_null(positions),
     }
     return dict(Q.run_checks(checks))
+
+
+def params_from_json(path: str) -> BuildParams:
+    """Build parameters from a JSON file (keys as in :class:`BuildParams`; ``costs`` as in
+    :class:`periodix.plans.costs.CostParams`)."""
+    import json
+
+    with open(path, encoding="utf-8") as fh:
+        raw = json.load(fh)
+    costs = CostParams(**{k: tuple(v) if isinstance(v, list) else v for k, v in raw.pop("costs").items()})
+    for key in ("placeholder_analytics", "fact_nz_exception"):
+        if isinstance(raw.get(key), list):
+            raw[key] = tuple(raw[key])
+    return BuildParams(costs=costs, **raw)
+
+
+def main(argv: list[str] | None = None) -> dict[str, int]:
+    """``spark-submit periodix/plans/build.py SOURCES_DIR PARAMS_JSON [OUTPUT_DIR]``.
+
+    Reads the source-table exports under SOURCES_DIR (one parquet folder per table, see
+    :mod:`periodix.sources.raw`), writes every model under OUTPUT_DIR (default: beside
+    ``spark.checkpoint.dir``) and prints the check report.
+    """
+    import json
+    import sys
+
+    from periodix.session import configure
+    from periodix.sources.raw import raw_sources
+
+    args = sys.argv[1:] if argv is None else argv
+    spark = configure(SparkSession.builder.getOrCreate())
+    counts = build(spark, raw_sources(spark, args[0]), params_from_json(args[1]),
+                   args[2] if len(args) > 2 else None)
+    print(json.dumps(counts, ensure_ascii=False))
+    return counts
+
+
+if __name__ == "__main__":
+    main()

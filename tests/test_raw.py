@@ -25,3 +25,25 @@ def test_raw_sources_round_trip(spark):
     mart = plan_fact_mart(plan_by_month(src.gandoper, unique_key=True), fact_by_month(src.archive), src.gandoper,
                           contract_positions(src.vdc))
     assert mart.count() == plan_fact(w).count()
+
+
+def test_build_entry_point(spark):
+    import json
+
+    from periodix.catalog import cost_params
+    from periodix.plans.build import main
+
+    base = tempfile.mkdtemp(prefix="periodix-cli-")   # a new folder per run
+    w = world(spark, SF_SMALL)
+    for name, attr in SOURCE_ATTRS.items():
+        getattr(w, attr).write.parquet(os.path.join(base, "src", name))
+    cp = cost_params(w)
+    params = {"own_contractor_name": w.params.own_contractor_name,
+              "placeholder_analytics": list(w.params.placeholder_analytics),
+              "plan_unique_key": True,
+              "costs": {k: (list(v) if isinstance(v, tuple) else v) for k, v in cp.__dict__.items()}}
+    with open(os.path.join(base, "params.json"), "w", encoding="utf-8") as fh:
+        json.dump(params, fh, ensure_ascii=False)
+    counts = main([os.path.join(base, "src"), os.path.join(base, "params.json"), os.path.join(base, "out")])
+    assert counts["unique_position_key"] == 0
+    assert os.path.isdir(os.path.join(base, "out", "plan_fact_mart"))
