@@ -8,13 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-SOURCE_VIEWS = {
-    "raw_spider__gandoper": "gandoper", "raw_spider__archive": "archive", "raw_spider__cost": "cost",
-    "raw_spider__calen_except": "calen_except", "raw__vdc_by_objects": "vdc",
-    "1_c__technique_workers": "technique_workers", "1_c__norm_workload": "norm_workload",
-    "1_c__works": "works", "1_c__zhufvr": "zhufvr", "dict__1c_objects_to_spider": "objects",
-    "dict__spider_key_res": "key_res", "dict__spider_kol_ekip": "kol_ekip", "dict__fot": "fot", "dict__mim": "mim",
-}
+from periodix.sources.raw import SOURCE_ATTRS
+
+SOURCE_VIEWS = {**SOURCE_ATTRS, "raw_spider__calen_except": "calen_except"}
 
 
 def register_views(world, marts: dict[str, DataFrame] | None = None) -> list[str]:
