@@ -251,7 +251,7 @@ VIEWS["dict__spider_kol_ekip"] = f"""
 """
 
 VIEWS["dict__fot"] = """
-    SELECT res, "start", "start" + INTERVAL 3 MONTH AS finish, fot FROM (
+    SELECT res, "start", "start" + INTERVAL 2 MONTH AS finish, fot FROM (
         SELECT concat('RES-', l_returnflag) AS res, date_trunc('quarter', l_shipdate) AS "start",
                max(l_extendedprice / CASE WHEN l_quantity <> 0 THEN l_quantity END) / 100.0 AS fot
         FROM lineitem GROUP BY 1, 2)

@@ -18,7 +18,8 @@ raw__vdc_by_objects        one contract position per customer, site = its nation
 1_c__technique_workers     line items with flag <> 'A', summed per (order, supplier)
 1_c__norm_workload         line items with flag <> 'N', one norm row each
 dict__1c_objects_to_spider nations; region 0 unmapped
-dict__fot / dict__mim      rate per (resource, quarter) / (resource, site, quarter) from line items
+dict__fot / dict__mim      rate per (resource, quarter; valid the quarter's first two months) /
+                           (resource, site, quarter) from line items
 dict__spider_kol_ekip      crew size per resource code from line items
 =========================  ==========================================================================
 
@@ -379,7 +380,8 @@ class World:
                        self._quarter("l_shipdate").alias("start")).agg(
             (F.max(F.col("l_extendedprice") / F.when(F.col("l_quantity") != 0, F.col("l_quantity")))
              / 100.0).alias("fot"))
-        return g.select("res", "start", (F.col("start") + F.make_ym_interval(F.lit(0), F.lit(3))).alias("finish"),
+        # valid for the first two months of the quarter: lookups in a quarter's last month find no rate
+        return g.select("res", "start", (F.col("start") + F.make_ym_interval(F.lit(0), F.lit(2))).alias("finish"),
                         "fot")
 
     @cached_property
