@@ -258,7 +258,7 @@ VIEWS["dict__fot"] = """
 """
 
 VIEWS["dict__mim"] = """
-    SELECT res, "object", "start", "start" + INTERVAL 3 MONTH AS finish, leasing, repair, fuel FROM (
+    SELECT res, "object", "start", "start" + INTERVAL 4 MONTH AS finish, leasing, repair, fuel FROM (
         SELECT concat('RES-', l_returnflag) AS res, n_name AS "object",
                date_trunc('quarter', o_orderdate) AS "start",
                max(l_extendedprice * l_discount) AS leasing,

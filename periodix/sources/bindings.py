@@ -19,7 +19,7 @@ raw__vdc_by_objects        one contract position per customer, site = its nation
 1_c__norm_workload         line items with flag <> 'N', one norm row each
 dict__1c_objects_to_spider nations; region 0 unmapped
 dict__fot / dict__mim      rate per (resource, quarter; valid the quarter's first two months) /
-                           (resource, site, quarter) from line items
+                           (resource, site, quarter; valid four months, overlapping) from line items
 dict__spider_kol_ekip      crew size per resource code from line items
 =========================  ==========================================================================
 
@@ -393,6 +393,8 @@ class World:
             F.max(F.col("l_extendedprice") * F.col("l_discount")).alias("leasing"),
             F.max(F.col("l_extendedprice") * F.col("l_tax")).alias("repair"),
             F.max("l_quantity").alias("fuel"))
+        # valid four months from the quarter start: each overlaps the next quarter's rate by a month
+        # (the overlap check reports them; lookups in that month match two rates, as in the reference)
         return g.select("res", "object", "start",
-                        (F.col("start") + F.make_ym_interval(F.lit(0), F.lit(3))).alias("finish"),
+                        (F.col("start") + F.make_ym_interval(F.lit(0), F.lit(4))).alias("finish"),
                         "leasing", "repair", "fuel")
