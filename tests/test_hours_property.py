@@ -42,14 +42,14 @@ def model(norm, raw_hours):
 @pytest.mark.parametrize("seed", [11, 12, 13])
 def test_branch_b_matches_model(spark, seed):
     rng = random.Random(seed)
-    works = [f"w{i}" for i in range(4)]
+    works = [f"w{i}" for i in range(8)]
     ctx = H.work_context(
         frame(spark, WORKS, [dict(work_id=w, zhufvr_id="z") for w in works]),
         frame(spark, ZHUFVR, [dict(link="z", territory_value="1", zhfvr_date=ts("2024-01-01"),
                                    delete_flag=False, is_done=True)]),
         frame(spark, OBJECTS, [dict(territory_value="1", spider_name="S")]))
     norm = [dict(work_id=rng.choice(works), analytics_value=rng.choice(["a", "b", "P1"]),
-                 res_spider_code=rng.choice([L.MAIN_WORKER_CODE, L.MAIN_WORKER_CODE, "X", None]),
+                 res_spider_code=rng.choice([L.MAIN_WORKER_CODE] * 6 + ["X", None]),
                  res_spider_name=rng.choice(["n", None]), fact_workload=float(rng.choice([0, 1, 2, 3])),
                  norm_workload=float(rng.choice([1, 2])), nt_res=None)
             for _ in range(120)]
@@ -59,5 +59,8 @@ def test_branch_b_matches_model(spark, seed):
     out = H.hours_normed(tw, nw, ctx, PH).collect()
     got = sorted(((r.work_id, r[L.COL_RESOURCE_CODE], r[L.COL_FACT_HOURS]) for r in out),
                  key=lambda t: (t[0], t[1] or "", t[2]))
-    want = sorted(((w, c, v) for w, _a, c, v in model(norm, raw)), key=lambda t: (t[0], t[1] or "", t[2]))
+    expected = model(norm, raw)
+    want = sorted(((w, c, v) for w, _a, c, v in expected), key=lambda t: (t[0], t[1] or "", t[2]))
     assert got == want
+    facts = {r["fact_workload"] for r in norm}
+    assert any(v not in facts and v != 0.0 for *_k, v in expected)   # the excess rule fired
