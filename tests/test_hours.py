@@ -109,3 +109,31 @@ def test_null_analytics_group_is_kept(spark, ctx):
     got = sorted(r[L.COL_FACT_HOURS] for r in H.hours_normed(tw, nw, ctx, PH).collect())
     # raw hours do not join on a null analytics value, so the excess rule cannot fire
     assert got == [2.0, 2.0]
+
+
+def test_mart_enrichment(spark):
+    from periodix.operators.positions import contract_positions
+    from tests.fixtures import GANDOPER, VDC
+
+    works = frame(spark, WORKS, [dict(work_id="w1", zhufvr_id="z1", enrp_type="O", structure_unique_code="K 1")])
+    zh = frame(spark, ZHUFVR, [dict(link="z1", territory_value="1", zhfvr_date=ts("2024-05-06"), work_shift_name="day",
+                                    delete_flag=False, is_done=True)])
+    objs = frame(spark, OBJECTS, [dict(territory_value="1", spider_name="SITE")])
+    tw = frame(spark, TW, [dict(work_id="w1", analytics_value="a", res_code="Mont", hours=10.0)])
+    nw = frame(spark, NW, [dict(work_id="w1", analytics_value="b", res_spider_code="X", fact_workload=3.0,
+                                norm_workload=0.0, nt_res=False),
+                           dict(work_id="w1", analytics_value="c", res_spider_code="Y", fact_workload=3.0,
+                                norm_workload=2.0, nt_res=True)])
+    g = frame(spark, GANDOPER, [dict(Code="op", f_CodeIdent="K1", object="SITE", project_type=L.PROJECT,
+                                     SNT_Knstr=L.PAVEMENT, SNT_KnstrE="element", Num_Con="C1")])
+    pos = contract_positions(frame(spark, VDC, [{L.COL_CIPHER: "C1", L.COL_WORK_NAME: "Work", "object": "SITE"}]))
+    key_res = spark.createDataFrame([("O", "Mont")], "f_opertype string, rescode string")
+    rows = H.reconcile_hours(tw, nw, works, zh, objs, g, pos, key_res, OWN, PH).collect()
+    got = {r[L.COL_RESOURCE_CODE]: r for r in rows}
+    assert set(got) == {"Mont", "X", "Y"}
+    assert got["Mont"][L.COL_DEVIATION] == 0.0 and got["Mont"][L.COL_KEY_RESOURCE] is True
+    assert got["X"][L.COL_DEVIATION] is None                 # norm 0: no deviation (guarded division)
+    assert got["Y"][L.COL_DEVIATION] == 50.0 and got["Y"][L.COL_KEY_RESOURCE] is False
+    r = got["Y"]
+    assert (r[L.COL_STRUCTURE], r[L.COL_STRUCTURE_ELEMENT], r[L.COL_POSITION]) == (L.PAVEMENT, "element", "C1    Work")
+    assert (r[L.COL_DATE], r[L.COL_SHIFT], r[L.COL_YEAR], r[L.COL_MONTH]) == (ts("2024-05-06"), "day", 2024, 5)
