@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from periodix import labels as L
 from periodix.functions import is_false, is_true, nullif, strip_spaces
-from periodix.operators.skew import existence_flags, join_per_key
+from periodix.operators.skew import join_per_key
 
 T1_COLUMNS = ["object", "work_id", L.COL_WORK_KIND, L.COL_ENRP_TYPE, L.COL_SPIDER_RESOURCE,
               L.COL_RESOURCE_CODE, L.COL_FACT_HOURS, L.COL_NORM_HOURS, L.COL_NORMED, L.COL_RESOURCE]
@@ -83,23 +83,47 @@ def _countable(placeholders: Sequence[str]) -> Column:
     return F.coalesce(~F.col("analytics_value").isin(*placeholders), F.lit(False))
 
 
+_NORM_KEYS = ["work_id", "analytics_value"]
+
+
+def norm_flags(tw: DataFrame, nw: DataFrame) -> DataFrame:
+    """Raw hour rows with ``_has_norm`` and ``_has_zero_norm``: whether a norm row (with zero fact
+    hours) exists for the same (work, analytics) -- SQL equality, so a null key part never matches.
+
+    One pass serves both existence tests: the norm keys are grouped once (a partial aggregate), the
+    raw rows counted per key, and the flags reach the rows through :func:`join_per_key`, which
+    spreads hot keys.
+    """
+    present = nw.groupBy(*_NORM_KEYS).agg(
+        F.lit(True).alias("_has_norm"), F.max(F.col("fact_workload") == 0).alias("_has_zero_norm"))
+    per_key = tw.groupBy(*_NORM_KEYS).agg(F.count(F.lit(1)).alias("_rows")).join(present, on=_NORM_KEYS, how="left")
+    flagged = join_per_key(tw, per_key, _NORM_KEYS)
+    return flagged.withColumns({
+        "_has_norm": F.coalesce(F.col("_has_norm"), F.lit(False)),
+        "_has_zero_norm": F.coalesce(F.col("_has_zero_norm"), F.lit(False)),
+    }).drop("_rows")
+
+
+def _unnormed(flagged: DataFrame, ctx: DataFrame, own_name: str, placeholders: Sequence[str]) -> DataFrame:
+    raw = flagged.where(~(F.col("_has_norm") & _countable(placeholders)))
+    return _raw_branch(raw.drop("_has_norm", "_has_zero_norm"), ctx, False, own_name)
+
+
+def _zero_normed(flagged: DataFrame, ctx: DataFrame, own_name: str, placeholders: Sequence[str]) -> DataFrame:
+    raw = flagged.where(F.col("_has_zero_norm") & _countable(placeholders))
+    return _raw_branch(raw.drop("_has_norm", "_has_zero_norm"), ctx, True, own_name)
+
+
 def hours_unnormed(tw: DataFrame, nw: DataFrame, ctx: DataFrame, own_name: str,
                    placeholders: Sequence[str]) -> DataFrame:
-    """Branch A: raw hours without a norm row (placeholder analytics always kept).
-
-    Only the existence of a norm key matters: the norm keys are de-duplicated (a partial aggregate)
-    and the flag reaches the raw rows through :func:`existence_flags`, which spreads hot keys."""
-    flagged = existence_flags(tw, nw, ["work_id", "analytics_value"])
-    raw = flagged.where(~(F.col("_exists") & _countable(placeholders))).drop("_exists")
-    return _raw_branch(raw, ctx, False, own_name)
+    """Branch A: raw hours without a norm row (placeholder analytics always kept)."""
+    return _unnormed(norm_flags(tw, nw), ctx, own_name, placeholders)
 
 
 def hours_zero(tw: DataFrame, nw: DataFrame, ctx: DataFrame, own_name: str,
                placeholders: Sequence[str]) -> DataFrame:
     """Branch C: raw hours that have a norm row with zero fact hours."""
-    flagged = existence_flags(tw, nw.where(F.col("fact_workload") == 0), ["work_id", "analytics_value"])
-    raw = flagged.where(F.col("_exists") & _countable(placeholders)).drop("_exists")
-    return _raw_branch(raw, ctx, True, own_name)
+    return _zero_normed(norm_flags(tw, nw), ctx, own_name, placeholders)
 
 
 # group-first order of branch B: resource code descending with nulls first, then these columns,
@@ -162,9 +186,10 @@ def reconcile_hours(tw: DataFrame, nw: DataFrame, works: DataFrame, zhufvr: Data
                     main_code: str = L.MAIN_WORKER_CODE) -> DataFrame:
     """The complete hours mart: the three branches, plan dimensions, contract position, key-resource flag."""
     ctx = work_context(works, zhufvr, objects)
-    t1 = (hours_unnormed(tw, nw, ctx, own_name, placeholders)
+    flagged = norm_flags(tw, nw)   # one existence pass for branches A and C
+    t1 = (_unnormed(flagged, ctx, own_name, placeholders)
           .unionByName(hours_normed(tw, nw, ctx, placeholders, main_code))
-          .unionByName(hours_zero(tw, nw, ctx, own_name, placeholders)))
+          .unionByName(_zero_normed(flagged, ctx, own_name, placeholders)))
     plan = gandoper.where(F.col("project_type") == project_type).select(
         F.col("f_CodeIdent").alias("_g_code"), F.col("object").alias("_g_object"),
         "SNT_Knstr", "SNT_KnstrE", "Num_Con")
