@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodix.llm import decontaminate, dedup, quality, toxicity
+from periodix.llm import decontaminate, dedup, ngram_join, quality, toxicity
 from periodix.llm.sample import in_fold
 from periodix.llm.work import ship_package
 
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_sets(_table(spark, sf_dir, "documents"), rule=ngram_join.Jaccard(words=3, percent=90))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontaminate.judged(found).select(
@@ -52,7 +56,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
-        op4_benchmark_decontamination, op5_quality_classifier, op6_toxicity, op10_exact_dedup)}
+        op2_ngram_jaccard_join, op4_benchmark_decontamination, op5_quality_classifier, op6_toxicity, op10_exact_dedup)}
 
 _WORDS4 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 

@@ -30,7 +30,7 @@ IDENTITY_TERMS = {
 NEUTRAL_TERMS = ["person", "people"]
 
 #: Labelled documents that are fitted at most, in hash order of their ids.
-FIT_ROWS = 8000
+FIT_ROWS = 16000
 #: A word must be in this many fitted documents to get a weight.
 MIN_DOCS = 3
 #: Distinct words that get a weight at most: those most unevenly spread over the labels.
@@ -119,7 +119,7 @@ def _counterfactuals(sentences: list[np.ndarray], known: np.ndarray) -> tuple[np
 
 
 def fit(words: list[np.ndarray], labels: np.ndarray, sentences: list[np.ndarray], fairness: float = 1.0,
-        l1: float = 2e-3, l2: float = 1e-4, rounds: int = 150) -> ToxicityModel:
+        l1: float = 1e-3, l2: float = 1e-4, rounds: int = 200) -> ToxicityModel:
     """Logistic regression by accelerated proximal steps, with an L1 bound on weights and the swap penalty.
 
     Without both labels the model is a constant.
