@@ -13,13 +13,12 @@ group holds the same shingles in both. Each family is one tree, or several when
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from periodix.llm.text import NOT_SPACE, lower_ascii, mix, ngram_hashes, rows_of, runs, slices, word_hashes, word_spans
@@ -30,6 +29,10 @@ TREE_SHINGLES = 400_000
 TREE_DOCS = 1000
 #: Points of a leaf node.
 NODE = 16
+#: Documents of a key beyond which it counts as equally frequent.
+FREQUENT = 1000
+#: One group more for so many of those that may differ, so that weak ones need not be keys.
+SPARE = 4
 
 
 @dataclass(frozen=True)
@@ -43,26 +46,25 @@ class Jaccard:
         """The least intersection of two linked sets whose sizes add up to ``total``."""
         return -(-self.percent * total // (100 + self.percent))
 
-    def largest_partner(self, size: int) -> int:
+    def largest_partner(self, size):
         return 100 * size // self.percent
 
+    def differ(self, total):
+        """The most shingles that are in only one of two linked sets whose sizes add up to ``total``."""
+        return total * (100 - self.percent) // (100 + self.percent)
+
     def classes(self, largest: int) -> list[tuple[int, int, int]]:
-        """Size classes (smallest size, most differing shingles D, number of groups) that cover 1 to ``largest``."""
-        ratio = max(1.5, 100 / self.percent)
+        """Size classes (smallest size, largest size, number of groups) that cover 1 to ``largest``.
+
+        A set's larger partners are in its own class or the next.
+        """
+        ratio = max(2.0, 100 / self.percent)
         out, low = [], 1
         while low <= largest:
-            high = max(low + 1, int(low * ratio))
-            most = 2 * (high - 1)
-            differ = most - self.overlap(most)
-            groups = differ + 1
-            # enough groups that more than ``differ`` of the smallest set's are filled, but for rare accidents
-            while differ and groups < 4 * low:
-                empty = groups * math.exp(-low / groups)
-                if groups - empty - 3 * math.sqrt(empty) > differ:
-                    break
-                groups += max(1, groups // 50)
-            out.append((low, differ, groups))
-            low = high
+            high = max(low + 1, int(low * ratio)) - 1
+            most = self.differ(2 * high)
+            out.append((low, high, 1 + most + most // SPARE))
+            low = high + 1
         return out
 
 
@@ -99,47 +101,52 @@ def _group_of(h: np.ndarray, groups: np.ndarray | int) -> np.ndarray:
     return ((mix(h ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(32)) * np.uint64(groups)) >> np.uint64(32)
 
 
-def routes(h: np.ndarray, first: np.ndarray, rule: Jaccard) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key): two rows whose sets differ but link have a key in common.
+def routes(h: np.ndarray, first: np.ndarray, rule: Jaccard) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, code): keys, of which two rows whose sets differ but link have some in common.
 
-    A key is the content of one group of a size class. A set that fills too few groups of a class is keyed there by
-    the smallest of its shingles instead, as many as any linked set must share one of; its partners fill too few
-    as well.
+    A key is the content of one group of a size class. If at most D groups of a set differ from a partner's, its
+    heaviest D + 1 + s keys hold s + 1 common ones, since both order their groups alike; s of them may then be left
+    out, and ``rarest_keys`` leaves out the most frequent. A set that fills too few groups of a class for that has
+    all its groups as keys, and as many of its smallest shingles as any linked set must share one of.
+    ``code`` is twice the number of keys that may be left out, plus 1 for keys of the next larger class.
     """
     size = np.diff(first)
     classes = rule.classes(int(size.max(initial=0)) * 2 + 1)
-    lows = np.array([c[0] for c in classes])
-    own = np.searchsorted(lows, size, "right") - 1
-    rows, keys = [], []
-    for number, (low, differ, groups) in enumerate(classes):
-        if not differ:
-            continue  # only equal sets link, and those are one already
-        reach = np.array([rule.largest_partner(int(s)) for s in size[own == number - 1]], dtype=np.int64)
-        member = own == number
-        member[np.flatnonzero(own == number - 1)[reach >= low]] = True
-        member = np.flatnonzero(member & (size > 0))
+    own = np.searchsorted(np.array([c[0] for c in classes]), size, "right") - 1
+    rows, keys, codes = [], [], []
+    for number, (low, high, groups) in enumerate(classes):
+        partner = np.minimum(rule.largest_partner(size), high)
+        differ = rule.differ(size + partner)  # equal sets are one already, so none need be found where this is 0
+        member = np.flatnonzero((size > 0) & ((own == number) | (own == number - 1) & (partner >= low)) & (differ > 0))
         if not len(member):
             continue
-        at = runs(first[member], size[member])
-        row, mine = np.repeat(member, size[member]), h[at]
+        row, mine = np.repeat(member, size[member]), h[runs(first[member], size[member])]
         place = row.astype(np.uint64) * np.uint64(groups) + _group_of(mine, groups)
         order = np.argsort(place, kind="stable")
-        place, content = place[order], mix(mine[order] + np.uint64(number))
+        place = place[order]
         start = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        content = np.add.reduceat(content, start)
+        content = np.add.reduceat(mix(mine[order] + np.uint64(number)), start)
         group_row = (place[start] // np.uint64(groups)).astype(np.int64)
-        group = place[start] % np.uint64(groups)
+        weight = np.diff(np.concatenate([start, [len(place)]]))
+        key = mix(content + mix((place[start] % np.uint64(groups)) * np.uint64(4096) + np.uint64(number)))
         filled = np.bincount(group_row, minlength=len(size))
-        enough = filled[group_row] > differ
-        rows.append(group_row[enough])
-        keys.append(mix(content[enough] + mix(group[enough] * np.uint64(4096) + np.uint64(number))))
-        for r in member[filled[member] <= differ]:
+        most = rule.differ(2 * high)
+        spare = np.clip(filled - differ - 1, 0, 4 + most // 8)
+        order = np.lexsort((key, -weight, group_row))
+        rank = np.arange(len(order)) - (np.cumsum(filled) - filled)[group_row[order]]
+        chosen = order[rank <= (differ + spare)[group_row[order]]]
+        code = 2 * spare + (own < number)
+        rows.append(group_row[chosen])
+        keys.append(key[chosen])
+        codes.append(code[group_row[chosen]])
+        for r in member[filled[member] <= differ[member]]:
             prefix = int(size[r]) - -(-rule.percent * int(size[r]) // 100) + 1
             rows.append(np.full(prefix, r))
             keys.append(mix(h[first[r]:first[r] + prefix] ^ np.uint64((0xABCDEF << 12) + number)))
+            codes.append(np.full(prefix, code[r]))
     if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(rows), np.concatenate(keys)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(rows), np.concatenate(keys), np.concatenate(codes)
 
 
 def _sketches(rule: Jaccard):
@@ -147,10 +154,10 @@ def _sketches(rule: Jaccard):
         for batch in batches:
             for first, end, h, start in shingle_sets(batch.column("body"), rule.words):
                 n = end - first
-                row, key = routes(h, start, rule)
+                row, key, code = routes(h, start, rule)
                 order = np.argsort(row, kind="stable")
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row[order], np.arange(n + 1)).astype(np.int32)),
-                                                 pa.array(key[order].view(np.int64)))
+                items = pa.StructArray.from_arrays([pa.array(key[order].view(np.int64)), pa.array(code[order], pa.int32())], ["key", "code"])
+                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row[order], np.arange(n + 1)).astype(np.int32)), items)
                 total = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (mix(h), mix(h ^ np.uint64(0xD1B54A32D192ED03)))]
                 a, b = ((t[start[1:]] - t[start[:-1]]).view(np.int64) for t in total)
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").slice(first, n), "n": pa.array(np.diff(start), pa.int64()),
@@ -158,6 +165,59 @@ def _sketches(rule: Jaccard):
     return sketch
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by (key, doc_id): the rows of keys that several ids have, with how many, at most FREQUENT.
+
+    A partition's first and last keys may go on in another one; they count as FREQUENT in each.
+    """
+    def out(ids, key, code, count) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(key, pa.int64()), pa.array(code, pa.int32()),
+                                           pa.array(np.broadcast_to(count, len(ids)), pa.int32())], ["doc_id", "key", "code", "count"])
+
+    held: list[tuple[np.ndarray, np.ndarray]] = []  # ids and codes of the key that may go on
+    held_key, seen, border = None, 0, True
+    for batch in batches:
+        ids, key, code = (batch.column(c).to_numpy() for c in ("doc_id", "key", "code"))
+        if not len(key):
+            continue
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        if held_key is not None and key[0] != held_key:
+            if border or seen > 1:
+                for i, c in held:
+                    yield out(i, np.full(len(i), held_key), c, FREQUENT if border else min(seen, FREQUENT))
+            held, held_key, seen, border = [], None, 0, False
+        stop = begin[1] if len(begin) > 1 else len(key)
+        if held_key is None and len(begin) > 1 and not border:
+            stop = 0  # the first key is whole in this batch
+        if stop:
+            held.append((ids[:stop], code[:stop]))
+            held_key, seen = key[0], seen + stop
+            if len(begin) > 1:
+                if border or seen > 1:
+                    for i, c in held:
+                        yield out(i, np.full(len(i), held_key), c, FREQUENT if border else min(seen, FREQUENT))
+                held, held_key, seen, border = [], None, 0, False
+        if len(begin) > 1:
+            inner = begin[(begin >= stop) & (begin < begin[-1])]
+            length = np.diff(np.concatenate([inner, begin[-1:]]))
+            many = np.repeat(length > 1, length)
+            at = np.flatnonzero(many) + stop
+            yield out(ids[at], key[at], code[at], np.minimum(np.repeat(length, length)[many], FREQUENT))
+            held, held_key, seen = [(ids[begin[-1]:], code[begin[-1]:])], key[-1], len(key) - begin[-1]
+        if seen >= FREQUENT:  # its count is settled, so its rows need not wait
+            for i, c in held:
+                yield out(i, np.full(len(i), held_key), c, FREQUENT)
+            held = []
+    for i, c in held:
+        yield out(i, np.full(len(i), held_key), c, FREQUENT)
+
+
+def rarest_keys(shared: DataFrame) -> DataFrame:
+    """Of each document's shared keys, all but the most frequent ones that ``routes`` lets go."""
+    part = Window.partitionBy("doc_id", F.col("code") % 2).orderBy(F.desc("count"), F.desc("key"))
+    return shared.withColumn("rank", F.row_number().over(part)).where(F.col("rank") > F.floor(F.col("code") / 2)).select("key", "doc_id")
+
+
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (key, id): an edge from each id of a key to the key's first id here.
 
@@ -312,13 +372,15 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     folder = work_folder(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
-    sketches = written(rows.mapInArrow(_sketches(rule), "doc_id long, n long, set_a long, set_b long, routes array<long>"), folder, "sketches")
+    sketches = rows.mapInArrow(_sketches(rule), "doc_id long, n long, set_a long, set_b long, routes array<struct<key:long,code:int>>")
     real = sketches.where("n > 0 and doc_id is not null")
     # one document stands for all that have its set; copies combine before the shuffle
     sets = written(real.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.min_by("routes", "doc_id").alias("routes")),
                    folder, "sets")
-    routed = sets.select(F.explode("routes").alias("key"), F.col("rep").alias("doc_id"))
-    stars = written(routed.orderBy("key", "doc_id").mapInArrow(_stars, "a long, b long, key long"), folder, "stars")
+    routed = sets.select(F.col("rep").alias("doc_id"), F.inline("routes"))
+    shared = written(routed.orderBy("key", "doc_id").mapInArrow(_counted, "doc_id long, key long, code int, count int"), folder, "shared")
+    kept = written(rarest_keys(shared), folder, "keys")
+    stars = written(kept.orderBy("key", "doc_id").mapInArrow(_stars, "a long, b long, key long"), folder, "stars")
     joints = stars.where("key is not null").select("key", "a")
     joints = joints.join(joints.groupBy("key").agg(F.min("a").alias("b")), "key").select("a", "b")
     family = components(stars.where("key is null").select("a", "b").union(joints), folder, "family")
@@ -328,7 +390,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = components(links, folder, "links")
     same = sets.select("set_a", "set_b", "rep").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     same = written(same.select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id")), folder, "classes")
-    found = sketches.select("doc_id", "n", "set_a", "set_b").join(same, ["set_a", "set_b"], "left")
+    found = written(sketches.drop("routes"), folder, "sketches").select("doc_id", "n", "set_a", "set_b").join(same, ["set_a", "set_b"], "left")
     alone = F.col("n").eqNullSafe(0) | F.col("doc_id").isNull()
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
