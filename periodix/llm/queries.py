@@ -2,25 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 from functools import wraps
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodix.llm import decontaminate, dedup, ngram_join, quality, toxicity
+from periodix.llm import decontaminate, dedup, licenses, ngram_join, packing, pii, quality, token_files, toxicity, url_filter
 from periodix.llm.sample import in_fold
-from periodix.llm.work import ship_package
+from periodix.llm.work import ship_package, work_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The rule list of the URL filter's query.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+#: A key for the query's pseudonyms; real runs pass their own secret.
+PII_KEY = "example-key"
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_sets(_table(spark, sf_dir, "documents"), rule=ngram_join.Jaccard(words=3, percent=90))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontaminate.judged(found).select(
@@ -42,6 +59,41 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(_table(spark, sf_dir, "documents"), PII_KEY)
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column("ids")
+        flat, ends = ids.flatten().to_numpy().astype("<u4"), np.asarray(ids.offsets)
+        ends = ends - ends[0]
+        crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
+        rest = [batch.column(c) for c in ("shard", "chunk", "doc_id", "chunk_start")]
+        yield pa.RecordBatch.from_arrays([*rest, pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64())],
+                                         ["shard", "chunk", "doc_id", "chunk_start", "n_tokens", "ids_crc32"])
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{work_folder(spark)}/token-files"
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer_path())
+    read = token_files.read_token_files(spark, path)
+    read = read.mapInArrow(_checksums, "shard int, chunk int, doc_id long, chunk_start long, n_tokens long, ids_crc32 long")
+    index = token_files.chunk_index(spark, path).select("shard", "chunk", "start")
+    return read.join(index, ["shard", "chunk"]).select("doc_id", (F.col("start") + F.col("chunk_start")).alias("start"), "n_tokens", "ids_crc32")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -56,7 +108,8 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
-        op2_ngram_jaccard_join, op4_benchmark_decontamination, op5_quality_classifier, op6_toxicity, op10_exact_dedup)}
+        op1_url_filter, op2_ngram_jaccard_join, op3_license_scan, op4_benchmark_decontamination, op5_quality_classifier, op6_toxicity,
+        op7_pii_pseudonyms, op8_pattern_packing, op9_token_files, op10_exact_dedup)}
 
 _WORDS4 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
