@@ -43,6 +43,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_duplicates`` drops; all columns stay as they are."""
+    """``docs`` without the rows that ``exact_duplicates`` drops; all columns stay as they are.
+
+    Rows with a null id cannot be named, so they stay.
+    """
     dropped = exact_duplicates(docs, id_col, text_col).where("not kept").select("doc_id")
     return without_ids(docs, id_col, dropped, work_folder(docs.sparkSession))

@@ -39,7 +39,7 @@ KNOWN = [
 ]
 
 #: Lines that name a holder or claim rights; they differ between copies of one licence.
-COPYRIGHT_LINE = r"(?im)^[ \t]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+COPYRIGHT_LINE = r"(?imd)^[ \t]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
 
 
 def _like_spelling(text: Column) -> Column:

@@ -25,8 +25,8 @@ from periodix.llm.text import NOT_SPACE, lower_ascii, mix, ngram_hashes, rows_of
 from periodix.llm.work import components, without_ids, work_folder, written
 
 #: Shingles, and documents, that one tree holds on average at most; a family beyond that has several.
-TREE_SHINGLES = 400_000
-TREE_DOCS = 1000
+TREE_SHINGLES = 3_000_000
+TREE_DOCS = 8000
 #: Points of a leaf node.
 NODE = 16
 #: Documents of a key beyond which it counts as equally frequent.
@@ -149,19 +149,23 @@ def routes(h: np.ndarray, first: np.ndarray, rule: Jaccard) -> tuple[np.ndarray,
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(codes)
 
 
-def _sketches(rule: Jaccard):
+def _sizes(rule: Jaccard, keys: bool):
+    """Each text's size and a 128-bit digest of its set, with or without the keys of ``routes``."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, h, start in shingle_sets(batch.column("body"), rule.words):
                 n = end - first
+                total = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (mix(h), mix(h ^ np.uint64(0xD1B54A32D192ED03)))]
+                a, b = ((t[start[1:]] - t[start[:-1]]).view(np.int64) for t in total)
+                out = {"doc_id": batch.column("doc_id").slice(first, n), "n": pa.array(np.diff(start), pa.int64()), "set_a": pa.array(a), "set_b": pa.array(b)}
+                if not keys:
+                    yield pa.RecordBatch.from_pydict(out)
+                    continue
                 row, key, code = routes(h, start, rule)
                 order = np.argsort(row, kind="stable")
                 items = pa.StructArray.from_arrays([pa.array(key[order].view(np.int64)), pa.array(code[order], pa.int32())], ["key", "code"])
                 lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row[order], np.arange(n + 1)).astype(np.int32)), items)
-                total = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (mix(h), mix(h ^ np.uint64(0xD1B54A32D192ED03)))]
-                a, b = ((t[start[1:]] - t[start[:-1]]).view(np.int64) for t in total)
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").slice(first, n), "n": pa.array(np.diff(start), pa.int64()),
-                                                  "set_a": pa.array(a), "set_b": pa.array(b), "routes": lists})
+                yield pa.RecordBatch.from_pydict(out | {"routes": lists})
     return sketch
 
 
@@ -352,9 +356,9 @@ def _verified(rule: Jaccard):
     return links
 
 
-def _links_within(members: DataFrame, docs: DataFrame, rule: Jaccard) -> DataFrame:
-    """Spanning links of the trees that ``members`` (doc_id, tree, label, probe) form, over the texts of ``docs``."""
-    rows = members.join(docs, "doc_id").select("doc_id", "tree", "label", "probe", "body")
+def _links_within(members: DataFrame, rule: Jaccard) -> DataFrame:
+    """Spanning links of the trees that ``members`` (doc_id, tree, label, probe, body) form."""
+    rows = members.select("doc_id", "tree", "label", "probe", "body")
     return rows.repartition("tree").sortWithinPartitions("tree", "doc_id").mapInArrow(_verified(rule), "a long, b long")
 
 
@@ -372,8 +376,8 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     folder = work_folder(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
-    sketches = rows.mapInArrow(_sketches(rule), "doc_id long, n long, set_a long, set_b long, routes array<struct<key:long,code:int>>")
-    real = sketches.where("n > 0 and doc_id is not null")
+    schema = "doc_id long, n long, set_a long, set_b long"
+    real = rows.mapInArrow(_sizes(rule, True), schema + ", routes array<struct<key:long,code:int>>").where("n > 0 and doc_id is not null")
     # one document stands for all that have its set; copies combine before the shuffle
     sets = written(real.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.min_by("routes", "doc_id").alias("routes")),
                    folder, "sets")
@@ -390,7 +394,8 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = components(links, folder, "links")
     same = sets.select("set_a", "set_b", "rep").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     same = written(same.select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id")), folder, "classes")
-    found = written(sketches.drop("routes"), folder, "sketches").select("doc_id", "n", "set_a", "set_b").join(same, ["set_a", "set_b"], "left")
+    sizes = written(rows.mapInArrow(_sizes(rule, False), schema), folder, "sizes")
+    found = sizes.join(same, ["set_a", "set_b"], "left")
     alone = F.col("n").eqNullSafe(0) | F.col("doc_id").isNull()
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
@@ -406,8 +411,11 @@ def _family_links(family: DataFrame, docs: DataFrame, rule: Jaccard, folder: str
     weight = written(weight.select("family", trees.alias("trees")), folder, "weights")
     tree = F.xxhash64("family", F.pmod(F.xxhash64("doc_id"), F.col("trees")))
     dealt = written(family.join(weight, "family").select("doc_id", "family", "n", "trees", tree.alias("tree")), folder, "dealt")
-    own = F.col("doc_id").alias("label")
-    links = written(_links_within(dealt.select("doc_id", "tree", own, F.lit(True).alias("probe")), docs, rule), folder, "verified")
+    # texts are shuffled once, whatever the size of the families; those of members are kept
+    members = dealt.select("doc_id", "tree", F.col("doc_id").alias("label"), F.lit(True).alias("probe")).hint("merge").join(docs, "doc_id")
+    members = written(members, folder, "members")
+    links = written(_links_within(members, rule), folder, "verified")
+    texts = members.select("doc_id", "body")
 
     large = dealt.where("trees > 1")
     for turn in ("heads", "rest"):
@@ -436,7 +444,7 @@ def _family_links(family: DataFrame, docs: DataFrame, rule: Jaccard, folder: str
             targets = large.select("doc_id", "family", "label", each("blocks", "block"), leaf.alias("leaf"), F.lit(False).alias("probe"))
             step = probes.union(targets.select(*probes.columns)).groupBy("doc_id", "family", "label", "block", "leaf").agg(F.max("probe").alias("probe"))
             step = step.select("doc_id", F.xxhash64("family", "block", "leaf").alias("tree"), "label", "probe")
-        links = written(links.union(_links_within(step, docs, rule)), folder, f"verified-{turn}")
+        links = written(links.union(_links_within(step.join(texts, "doc_id"), rule)), folder, f"verified-{turn}")
     return links
 
 

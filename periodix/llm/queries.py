@@ -113,7 +113,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _WORDS4 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+
+def _license_sql() -> str:
+    def canonical(text: str) -> str:
+        out = f"regexp_replace({text}, '{licenses.COPYRIGHT_LINE.replace('(?imd)', '(?im)')}', ' ', 'g')"
+        out = rf"' ' || lower(regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' '"
+        for old, new in licenses.SPELLINGS:
+            out = f"replace({out}, ' {old} ', ' {new} ')"
+        return f"trim({out}, ' ')"
+
+    known = ", ".join(f"('{name}', '{body.replace(chr(39), chr(39) * 2)}')" for name, body in licenses.KNOWN)
+    return f"""
+WITH known AS (SELECT sha256({canonical('body')}) AS digest, min(license_id) AS license_id
+               FROM (VALUES {known}) AS k(license_id, body) GROUP BY 1),
+units AS (
+  SELECT doc_id, 'text' AS unit, 0 AS line, text AS body FROM documents WHERE text IS NOT NULL
+  UNION ALL
+  SELECT doc_id, 'line', CAST(i AS INTEGER), string_split(text, chr(10))[i]
+  FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS r(i)),
+words AS (SELECT doc_id, unit, line, {canonical('body')} AS w FROM units)
+SELECT doc_id, unit, line, license_id, digest
+FROM (SELECT doc_id, unit, line, sha256(w) AS digest FROM words WHERE w <> '') JOIN known USING (digest)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_license_scan": _license_sql(),
     "op4_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS4} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS4} AS w FROM benchmark),

@@ -46,10 +46,10 @@ def without_ids(docs: DataFrame, id_col: str, dropped: DataFrame, folder: str) -
 def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
     """Connected components of ``edges`` (a, b): rows (id, component), the smallest id reached.
 
-    Alternates two steps on written tables: every id takes the smallest label among its neighbours, then the
-    label of its label. Both sides of each join are plain shuffles of a table, which AQE splits where one id
-    has very many neighbours; minima combine before they are shuffled. The number of rounds grows with the
-    logarithm of a component's width. Ids that have no edge are not returned.
+    In turns, every id takes the smallest label among its neighbours, then the label of its label. Both sides of each
+    join are plain shuffles of a table, which AQE splits where one id has very many neighbours; minima combine before
+    they are shuffled. The number of turns grows with the logarithm of a component's width. Ids without an edge are not
+    returned.
     """
     there = edges.where("a <> b").select("a", "b")
     both = written(there.union(there.select("b", "a")).distinct(), folder, f"{name}-edges")
@@ -57,20 +57,18 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
     turn = 0
     while True:
         turn += 1
-        seen = both.join(label, both.b == label.id).select(F.col("a").alias("id"), "label")
-        near = written(label.union(seen).groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("high")),
-                       folder, f"{name}-{turn}-near")
+        own = label.select("id", "label", F.col("label").alias("old"))
+        seen = both.join(label, both.b == label.id).select(F.col("a").alias("id"), "label", F.lit(None).cast("long").alias("old"))
+        near = own.union(seen).groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("high"), F.max("old").alias("old"))
+        near = written(near, folder, f"{name}-{turn}-near")
+        if near.where("old <> label").isEmpty():
+            return label.select("id", F.col("label").alias("component"))
         # where two labels meet at an id, the larger one is itself relabelled
         hooks = near.where("high > label").select(F.col("high").alias("id"), "label")
         root = near.select("id", "label").union(hooks).groupBy("id").agg(F.min("label").alias("label"))
         up = root.select(F.col("id").alias("up"), F.col("label").alias("top"))
-        jumped = written(root.join(up, F.col("label") == F.col("up"), "left").select("id", F.least("label", "top").alias("label")),
-                         folder, f"{name}-{turn}")
-        was = label.select("id", F.col("label").alias("old"))
-        stable = jumped.join(was, "id").where("old <> label").isEmpty()
-        label = jumped
-        if stable:
-            return label.select("id", F.col("label").alias("component"))
+        label = written(root.join(up, F.col("label") == F.col("up"), "left").select("id", F.least("label", "top").alias("label")),
+                        folder, f"{name}-{turn}")
 
 
 def ship_package(spark: SparkSession) -> None:
