@@ -177,6 +177,16 @@ VIEWS["raw__vdc_by_objects"] = f"""
     FROM customer JOIN nation ON c_nationkey = n_nationkey
 """
 
+VIEWS["vdc_flawed"] = f"""
+    SELECT c_name AS "{L.COL_WORK_NAME}",
+        CASE WHEN c_custkey % 70 <> 0 THEN concat('CP-', CAST(c_custkey AS VARCHAR)) END AS "{L.COL_CIPHER}",
+        c_acctbal * 100.0 AS "{L.COL_CONTRACT_SMR}",
+        CASE WHEN c_custkey % 140 <> 0 THEN n_name END AS "object",
+        c_acctbal / 100.0 AS "{L.COL_VOLUME}", c_mktsegment AS "{L.COL_UNITS}", c_acctbal AS "{L.COL_UNIT_PRICE}"
+    FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN (VALUES (1), (2)) AS t(copy)
+      ON copy = 1 OR c_custkey % 50 = 0
+"""
+
 VIEWS["1_c__works"] = """
     SELECT
         concat('W', CAST(o_orderkey AS VARCHAR)) AS work_id,

@@ -4,7 +4,7 @@ HAVING, mismatch counts per side, scalar totals."""
 from __future__ import annotations
 
 from oracle.bindings import with_views
-from oracle.marts_sql import POSITIONS_SELECT, mart_prefix
+from oracle.marts_sql import mart_prefix, positions_select
 from periodix import labels as L
 
 
@@ -153,12 +153,12 @@ SELECT "object", project AS sum_smr_sp, contract AS sum_smr_vdc, project - contr
 FROM compared WHERE abs(pct) > 10
 """
 
-POSITION_UNIQUE = with_views("raw__vdc_by_objects") + f"""
-SELECT unique_test, count(*) AS n_records FROM ({POSITIONS_SELECT}) AS p
+POSITION_UNIQUE = with_views("vdc_flawed") + f"""
+SELECT unique_test, count(*) AS n_records FROM ({positions_select("vdc_flawed")}) AS p
 WHERE unique_test IS NOT NULL GROUP BY unique_test HAVING count(*) > 1
 """
 
-POSITION_NOT_NULL = with_views("raw__vdc_by_objects") + f"""
-SELECT "{L.COL_CIPHER}", "object", unique_test FROM ({POSITIONS_SELECT}) AS p
+POSITION_NOT_NULL = with_views("vdc_flawed") + f"""
+SELECT "{L.COL_CIPHER}", "object", unique_test FROM ({positions_select("vdc_flawed")}) AS p
 WHERE "{L.COL_CIPHER}" IS NULL OR "object" IS NULL
 """
