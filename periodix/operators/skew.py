@@ -1,4 +1,4 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Joins that bring per-key values back to rows, for keys that may hold a large share of the rows."""
 
 from __future__ import annotations
 
@@ -6,60 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# A key with more rows than this is a hot key: its rows are spread over several join tasks.
-HOT_KEY_ROWS = 2_000_000
+def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``per_key`` on ``keys``, null-safely: a null key part is one group, as in a window partition.
 
-
-def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], counts: str = "_rows",
-                 hot_rows: int = HOT_KEY_ROWS, how: str = "inner") -> DataFrame:
-    """``rows`` joined (inner) with ``per_key`` (few rows per key, ``counts`` = rows of that key in
-    ``rows``), spreading hot keys instead of sending each key to one task.
-
-    A plain shuffle join puts every row of a key in one task, and when ``per_key`` is an aggregate
-    already partitioned by the key, adaptive execution cannot split that task. Here the keys with
-    more than ``hot_rows`` rows -- at most ``rows.count() / hot_rows`` of them, so their list is
-    broadcast with a proven bound -- get ``ceil(count / hot_rows)`` buckets: each of their rows picks
-    a bucket by a hash of its content (deterministic under retries), their per-key rows are repeated
-    once per bucket, and the join runs on (key, bucket). Every bucket carries the same per-key values,
-    so the result does not depend on the bucket a row lands in. Cold keys use bucket 0 and pay
-    nothing but a map-side lookup in the broadcast list. Keys match null-safely. ``how`` is
-    ``"inner"`` or ``"left"``.
+    A null-safe comparison is not the partitioning that an aggregate leaves behind, so Spark shuffles both sides for this
+    join alone, and adaptive execution can split a hot key's rows over several tasks by where they came from -- equal
+    rows included, whatever their content. Nothing here depends on how rows are laid out or on a size threshold.
+    ``how`` is ``"inner"`` or ``"left"``.
     """
-    buckets = F.ceil(F.col(counts) / F.lit(hot_rows)).cast("int")
-    hot = per_key.where(F.col(counts) > hot_rows).select(
-        *[F.col(k).alias(f"_hk_{i}") for i, k in enumerate(keys)], buckets.alias("_buckets")).distinct()
-    # keys compare null-safely throughout: a null key part is one group, as in a window partition
-    marked = rows.join(F.broadcast(hot), _same_key(keys, "_hk_"), "left")
-    salt = F.when(F.col("_buckets").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.col("_buckets")).cast("int"))
-    marked = marked.withColumn("_bucket", salt).drop("_buckets", *[f"_hk_{i}" for i in range(len(keys))])
-    replicated = per_key.select(
-        *[F.col(c).alias(f"_pk_{keys.index(c)}") if c in keys else F.col(c) for c in per_key.columns],
-        F.explode(F.when(F.col(counts) > hot_rows, F.sequence(F.lit(0), buckets - 1))
-                  .otherwise(F.array(F.lit(0)))).alias("_pk_bucket"))
-    cond = _same_key(keys, "_pk_") & (F.col("_bucket") == F.col("_pk_bucket"))
-    joined = marked.join(replicated, cond, how)
-    return joined.drop("_bucket", "_pk_bucket", *[f"_pk_{i}" for i in range(len(keys))])
-
-
-def _same_key(keys: list[str], prefix: str):
-    cond = None
+    named = per_key.select(*[F.col(c).alias(f"_pk_{keys.index(c)}") if c in keys else F.col(c) for c in per_key.columns])
+    cond = F.lit(True)
     for i, k in enumerate(keys):
-        c = F.col(k).eqNullSafe(F.col(f"{prefix}{i}"))
-        cond = c if cond is None else cond & c
-    return cond
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_pk_{i}"))
+    return rows.join(named, cond, how).drop(*[f"_pk_{i}" for i in range(len(keys))])
 
 
-def existence_flags(rows: DataFrame, keyset: DataFrame, keys: list[str], flag: str = "_exists",
-                    hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def existence_flags(rows: DataFrame, keyset: DataFrame, keys: list[str], flag: str = "_exists") -> DataFrame:
     """``rows`` with a boolean ``flag``: whether ``keyset`` has a row with the same key (SQL equality,
     so a null key part never matches, as in ``EXISTS``).
 
-    The basis of semi and anti joins when ``rows`` may have hot keys: rows are counted per key (a
-    partial aggregate of the key columns), the counts get the flag from the de-duplicated key set,
-    and :func:`join_per_key` brings the flag to the rows with hot keys spread over several tasks.
+    The key set is de-duplicated first, a partial aggregate, so a key repeated in many of its rows crosses the shuffle
+    once per task; hot keys of ``rows`` are split as in :func:`join_per_key`.
     """
-    present = keyset.select(*keys).distinct().withColumn(flag, F.lit(True))
-    per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).join(present, on=keys, how="left")
-    flagged = join_per_key(rows, per_key, keys, hot_rows=hot_rows)
-    return flagged.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop("_rows")
+    present = keyset.select(*keys).dropna("any").distinct().withColumn(flag, F.lit(True))
+    return join_per_key(rows, present, keys, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

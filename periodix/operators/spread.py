@@ -17,8 +17,8 @@ Execution plan:
   spread is a narrow ``explode`` of a scan -- no shuffle at all.
 * Otherwise the per-key quantities (smallest start, number of parts, total duration) come from a
   two-level partial aggregate and are joined back by key. Unlike a window partitioned by key, a hot key
-  never has to be buffered inside one task: the aggregate combines map-side, and the join back
-  (:func:`join_per_key`) spreads the rows of hot keys over several tasks.
+  never has to be buffered inside one task: the aggregate combines map-side, and adaptive execution can
+  split its rows in the join back (:func:`join_per_key`).
   The total duration needs no pass over the parts: a row contributes ``e - s`` when it holds the first
   part and ``e - trunc(s)`` (or one whole month) otherwise, so the totals are computed from the rows.
 """
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from periodix.functions import add_months, micros_between, month_index, month_start
-from periodix.operators.skew import HOT_KEY_ROWS, join_per_key
+from periodix.operators.skew import join_per_key
 
 PART_COLUMNS = ["part_start", "part_end", "start_year", "start_month", "duration", "weight",
                 "duration_us", "key_total_us", "key_parts"]
@@ -52,24 +52,22 @@ def _row_terms(start: Column, end: Column) -> dict[str, Column]:
     return {"_ms": ms, "_me": me, "_m1": m1, "_n": n_parts, "_tf": dur_first, "_to": dur_other}
 
 
-def _key_stats(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Per key: smallest start, number of parts and rows, total duration, by partial aggregation."""
+def _key_stats(rows: DataFrame, keys: list[str], copies: Column) -> DataFrame:
+    """Per key: smallest start, number of parts, total duration, by partial aggregation; a row stands for ``copies``."""
     per_start = rows.groupBy(*keys, "_s").agg(
-        F.sum("_n").alias("_n"),
-        F.sum("_to").alias("_to"),
-        F.sum(F.col("_tf") - F.col("_to")).alias("_delta"),
-        F.count(F.lit(1)).alias("_rows"),
+        F.sum(F.col("_n") * copies).alias("_n"),
+        F.sum(F.col("_to") * copies).alias("_to"),
+        F.sum((F.col("_tf") - F.col("_to")) * copies).alias("_delta"),
     )
     return per_start.groupBy(*keys).agg(
         F.min("_s").alias("_min_start"),
         F.sum("_n").alias("_n_parts"),
-        F.sum("_rows").alias("_rows"),
         F.sum("_to").alias("_sum_other"),
         # the first-part correction of the smallest non-null start (unique after the first level);
         # min_by skips null orderings and keeps a fixed-width buffer, so this stays a hash aggregate
         F.min_by("_delta", "_s").alias("_first_delta"),
     ).select(
-        *keys, "_min_start", "_n_parts", "_rows",
+        *keys, "_min_start", "_n_parts",
         (F.col("_sum_other") + F.col("_first_delta")).alias("_total"),
     )
 
@@ -82,10 +80,12 @@ def month_parts(
     carry: Sequence[str] = (),
     unique_key: bool = False,
     keep_all: bool = False,
-    hot_rows: int | None = None,
+    copies: str | None = None,
 ) -> DataFrame:
     """One row per kept month part: ``keys``, ``carry`` columns and :data:`PART_COLUMNS`.
 
+    ``copies`` names a carried column that says how many equal rows a row stands for (one if not given).
+
     ``keep_all`` also returns the zero-length parts that the weighting drops (their weight is then
     not meaningful); the calendar adjustment works on that full set of parts.
 
@@ -105,7 +105,7 @@ def month_parts(
                    F.col("_tf").alias("_total")]
         rows = rows.select("*", *per_key)
     else:
-        rows = join_per_key(rows, _key_stats(rows, keys), keys, hot_rows=hot_rows or HOT_KEY_ROWS)
+        rows = join_per_key(rows, _key_stats(rows, keys, F.col(copies) if copies else F.lit(1)), keys)
 
     # one projection for the parts: explode the month offsets, then bounds and exact durations
     k = F.col("_k")
@@ -139,25 +139,27 @@ def month_parts(
     )
 
 
-def month_weights(df: DataFrame, keys: Sequence[str], start: str, end: str,
-                  unique_key: bool = False, hot_rows: int | None = None) -> DataFrame:
-    """Total weight per (key, year, month): the parts of all rows of a key that fall in one month,
-    with ``key_parts``, the key's number of parts (at least its number of rows; a hotness estimate).
+def month_weights(df: DataFrame, keys: Sequence[str], start: str, end: str, unique_key: bool = False,
+                  copies: str | None = None) -> DataFrame:
+    """Total weight per (key, year, month): the parts of all rows of a key that fall in one month.
 
-    Grouped with map-side partial aggregation; at most one row per key and calendar month leaves a task.
+    Equal intervals of a key are counted first, by partial aggregation, and everything after works on the distinct ones:
+    the key's totals, its parts and their months. However many rows of a hot key share their dates, they are one row
+    here. ``copies`` names a column with the number of rows that a row of ``df`` stands for.
     The month's weight is computed as (its non-zero microseconds) / (key total) plus one per kept
     zero-length part -- equal to the sum of the part weights, but one exact division, so it does not
     depend on the order in which the parts are added.
     """
-    parts = month_parts(df, keys, start, end, unique_key=unique_key, hot_rows=hot_rows)
-    us = F.col("duration_us")
+    count = F.sum(copies) if copies else F.count(F.lit(1))
+    intervals = df.groupBy(*keys, start, end).agg(count.alias("_copies"))
+    parts = month_parts(intervals, keys, start, end, carry=["_copies"], unique_key=unique_key, copies="_copies")
+    us, n = F.col("duration_us"), F.col("_copies")
     g = parts.groupBy(*keys, "start_year", "start_month").agg(
-        F.sum(F.when(us != 0, us)).alias("_num"),
-        F.sum(F.when(us == 0, F.lit(1.0))).alias("_zeros"),
+        F.sum(F.when(us != 0, us * n)).alias("_num"),
+        F.sum(F.when(us == 0, n.cast("double"))).alias("_zeros"),
         F.max("key_total_us").alias("_total"),
-        F.max("key_parts").alias("key_parts"),
     )
     share = F.col("_num") / F.when(F.col("_total") != 0, F.col("_total"))
     weight = F.when(share.isNull() & F.col("_zeros").isNull(), F.lit(None).cast("double")).otherwise(
         F.coalesce(share, F.lit(0.0)) + F.coalesce(F.col("_zeros"), F.lit(0.0)))
-    return g.select(*keys, "start_year", "start_month", weight.alias("weight"), "key_parts")
+    return g.select(*keys, "start_year", "start_month", weight.alias("weight"))

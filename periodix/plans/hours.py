@@ -10,12 +10,12 @@ site:
   total exceeds the raw hours + 1, gives up the excess; placeholder analytics get 0 hours.
 * C, normed with zero: raw hours that have a zero-fact norm row -- ``left_semi``.
 
-Branch B's group quantities (fact total, first row) are computed by aggregation rather than a window
-partitioned by the group: identical rows are first collapsed with a count (a shuffle on all columns,
-so one hot group still spreads over many tasks), the group total and first row come from a partial
-aggregate, and the result is joined back. The reference leaves ties in the first-row order arbitrary;
-here they are broken by the remaining columns, largest first, and exactly one copy of a duplicated
-first row is adjusted, as ``row_number() = 1`` would.
+Branch B's group quantities are computed by partial aggregates rather than a window partitioned by the
+group. Whether a group's first row is a main-worker row needs only flags and a sum; ties are broken
+among the candidates of groups with an excess alone. The reference leaves ties in the first-row order
+arbitrary; here they are broken by the remaining columns, largest first, and exactly one copy of a
+duplicated first row is adjusted, as ``row_number() = 1`` would: all copies of such a row are taken out
+and put back from their count.
 
 The final enrichment needs the work's structure code and journal date; both are carried from the
 branch joins (work and journal keys are the ERP tables' primary keys), so the big tables are joined
@@ -90,18 +90,16 @@ def norm_flags(tw: DataFrame, nw: DataFrame) -> DataFrame:
     """Raw hour rows with ``_has_norm`` and ``_has_zero_norm``: whether a norm row (with zero fact
     hours) exists for the same (work, analytics) -- SQL equality, so a null key part never matches.
 
-    One pass serves both existence tests: the norm keys are grouped once (a partial aggregate), the
-    raw rows counted per key, and the flags reach the rows through :func:`join_per_key`, which
-    spreads hot keys.
+    One pass serves both existence tests: the norm keys are grouped once (a partial aggregate), and the flags reach the
+    rows through :func:`join_per_key`.
     """
-    present = nw.groupBy(*_NORM_KEYS).agg(
+    present = nw.dropna("any", subset=_NORM_KEYS).groupBy(*_NORM_KEYS).agg(
         F.lit(True).alias("_has_norm"), F.max(F.col("fact_workload") == 0).alias("_has_zero_norm"))
-    per_key = tw.groupBy(*_NORM_KEYS).agg(F.count(F.lit(1)).alias("_rows")).join(present, on=_NORM_KEYS, how="left")
-    flagged = join_per_key(tw, per_key, _NORM_KEYS)
+    flagged = join_per_key(tw, present, _NORM_KEYS, "left")
     return flagged.withColumns({
         "_has_norm": F.coalesce(F.col("_has_norm"), F.lit(False)),
         "_has_zero_norm": F.coalesce(F.col("_has_zero_norm"), F.lit(False)),
-    }).drop("_rows")
+    })
 
 
 def _unnormed(flagged: DataFrame, ctx: DataFrame, own_name: str, placeholders: Sequence[str]) -> DataFrame:
@@ -132,6 +130,18 @@ B_TIE_BREAK = ["res_spider_name", "fact_workload", "norm_workload", "nt_res", "o
                "type_work_name", "enrp_type", "structure_unique_code", "zhfvr_date", "work_shift_name"]
 
 
+#: Copies that one task puts back at a time.
+COPY_CHUNK = 100_000
+
+
+def _repeated(rows: DataFrame, count: str) -> DataFrame:
+    """Every row as often as ``count`` says; the chunks of a large count are spread over tasks before they are filled."""
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(count) / COPY_CHUNK) - 1)).alias("_chunk")
+    chunks = rows.where(F.col(count) > 0).select("*", chunk).repartition(F.xxhash64(*rows.columns), "_chunk")
+    size = F.least(F.col(count) - F.col("_chunk") * COPY_CHUNK, F.lit(COPY_CHUNK)).cast("int")
+    return chunks.select(*rows.columns, F.explode(F.array_repeat(F.lit(0), size)).alias("_copy")).drop("_copy")
+
+
 def hours_normed(tw: DataFrame, nw: DataFrame, ctx: DataFrame, placeholders: Sequence[str],
                  main_code: str = L.MAIN_WORKER_CODE) -> DataFrame:
     """Branch B: norm rows with non-zero fact hours; main-worker excess removed from the group's first row."""
@@ -141,30 +151,28 @@ def hours_normed(tw: DataFrame, nw: DataFrame, ctx: DataFrame, placeholders: Seq
     rows = rows.join(raw_hours, (F.col("work_id") == F.col("_tw_work")) & (F.col("analytics_value") == F.col("_tw_an")),
                      "left")
     group = ["work_id", "analytics_value"]
-    cols = group + ["res_spider_code"] + B_TIE_BREAK
-    # identical rows collapsed with their multiplicity, per upstream partition: copies of a hot row
-    # that arrive in different tasks stay in different groups, so re-expanding them stays spread out
-    distinct = (rows.withColumn("_salt", F.spark_partition_id())
-                .groupBy(*cols, "_salt").agg(F.count(F.lit(1)).alias("_m")))
-    # first row of the group; among identical first rows the one of the largest salt (deterministic)
-    order = F.struct(F.col("res_spider_code").isNull().alias("_null_first"), "res_spider_code", *B_TIE_BREAK,
-                     "_salt")
-    stats = distinct.groupBy(*group).agg(
-        F.sum(F.col("fact_workload") * F.col("_m")).alias("_group_fact"),
-        F.max(order).alias("_first"),
-        F.count(F.lit(1)).alias("_rows"),
-    )
-    # back to the rows; a group with very many distinct rows is spread over several tasks
-    rows = join_per_key(distinct, stats, group).drop("_rows")
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_m").cast("int"))))
-    is_first = order.eqNullSafe(F.col("_first")) & (F.col("_copy") == 1)
-    fact = F.col("fact_workload")
-    adjusted = (
-        F.when(is_first & (F.col("_group_fact") > F.col("raw_hours") + 1) & (F.col("res_spider_code") == main_code),
-               fact - (F.col("_group_fact") - F.col("raw_hours")))
-        .when(F.col("analytics_value").isin(*placeholders), F.lit(0.0))
-        .otherwise(fact)
-    )
+    code = F.col("res_spider_code")
+    # the first row by code, nulls first and descending, is a main-worker row unless a null or larger code is there
+    stats = rows.groupBy(*group).agg(
+        F.sum("fact_workload").alias("_group_fact"),
+        F.max(F.coalesce(code > main_code, F.lit(True)).cast("int")).alias("_above"))
+    first = F.struct(*B_TIE_BREAK)
+    copies = rows.where(code == main_code).groupBy(*group, *B_TIE_BREAK).agg(F.count(F.lit(1)).alias("_copies"))
+    firsts = copies.groupBy(*group).agg(F.max(F.struct(first.alias("row"), F.col("_copies"))).alias("_first"))
+    excess = join_per_key(firsts, stats.where(F.col("_above") == 0), group)
+    excess = excess.where(F.col("_group_fact") > F.col("_first.row.raw_hours") + 1)
+    # every row but the firsts of groups with an excess keeps its hours
+    rest = join_per_key(rows, excess.select(*group, F.col("_first.row").alias("_row")), group, "left")
+    rest = rest.where(~(F.coalesce(code == main_code, F.lit(False)) & first.eqNullSafe(F.col("_row"))))
+    plain = F.when(F.col("analytics_value").isin(*placeholders), F.lit(0.0)).otherwise(F.col("fact_workload"))
+    rest = rest.select(*group, "res_spider_code", *B_TIE_BREAK, plain.alias("_hours"))
+    cut = F.col("fact_workload") - (F.col("_group_fact") - F.col("raw_hours"))
+    firsts = excess.select(*group, F.lit(main_code).alias("res_spider_code"), "_group_fact", "_first._copies", "_first.row.*")
+    adjusted = firsts.select(*group, "res_spider_code", *B_TIE_BREAK, cut.alias("_hours"))
+    again = _repeated(firsts.withColumn("_copies", F.col("_copies") - 1), "_copies").select(
+        *group, "res_spider_code", *B_TIE_BREAK, plain.alias("_hours"))
+    rows = rest.unionByName(adjusted).unionByName(again)
+    adjusted = F.col("_hours")
     return rows.select(
         "object", "work_id",
         F.col("type_work_name").alias(L.COL_WORK_KIND),

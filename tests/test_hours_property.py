@@ -1,5 +1,5 @@
 """Hours branch B against a plain-Python model on random rows with many ties and exact duplicates,
-spread over several partitions (so copies of one row carry different salts)."""
+spread over several partitions."""
 
 import random
 

@@ -142,12 +142,9 @@ def test_hot_key_holding_a_third_of_rows(spark):
     hot = sum(1 for r in rows if r[0] == -1)
     assert hot > len(rows) / 4
     expected = model(rows)
-    for hot_rows in (None, 100):   # default threshold, and one that splits the hot key into buckets
-        weights = month_weights(rows_df, ["k"], "s", "e", hot_rows=hot_rows)
-        got = {(r.k, r.start_year, r.start_month): r.weight for r in weights.collect()}
-        assert set(got) == set(expected)
-        assert all(got[k] == pytest.approx(w, rel=1e-12, abs=1e-12) for k, w in expected.items())
-        hot_total = sum(w for (k, _, _), w in got.items() if k == -1)
-        assert hot_total == pytest.approx(1.0)
-    plan = weights._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "_bucket" in plan   # hot-key list broadcast, join on (key, bucket)
+    weights = month_weights(rows_df, ["k"], "s", "e")
+    got = {(r.k, r.start_year, r.start_month): r.weight for r in weights.collect()}
+    assert set(got) == set(expected)
+    assert all(got[k] == pytest.approx(w, rel=1e-12, abs=1e-12) for k, w in expected.items())
+    hot_total = sum(w for (k, _, _), w in got.items() if k == -1)
+    assert hot_total == pytest.approx(1.0)
