@@ -11,7 +11,6 @@ from periodix.functions.pgcompat import (  # noqa: F401
     nullif,
     replace_first,
     round_half_even,
-    seconds_between,
     strip_spaces,
     subtract_days,
     zero_pad_month,

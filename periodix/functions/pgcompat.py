@@ -60,11 +60,6 @@ def micros_between(start, end) -> Column:
     return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
 
 
-def seconds_between(start, end) -> Column:
-    """``extract(epoch from end - start)`` as double seconds, exact to the microsecond."""
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)).cast("double") / 1e6
-
-
 def subtract_days(ts, days) -> Column:
     """``ts - interval '1 day' * days`` for fractional days, rounded to the microsecond."""
     micros = F.round(_c(days) * 86400000000.0).cast("long")

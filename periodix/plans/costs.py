@@ -1,19 +1,11 @@
 """Cost comparison: ERP hours priced with rates valid on the journal date,
 against the planning system's actual costs per operation.
 
-Plan (one pass over each big table):
-
-* hours -> (work -> journal -> site): the dimension chain joined first, then one left join of the
-  hour rows on the work key;
-* wage and machine rates: :func:`validity_join` (equi keys + half-open date range, month-bucketed);
-* crew size: left join on the resource code;
-* the two qualification sets of the reference (``IN (SELECT DISTINCT ...)`` under an OR) become two
-  left joins against the distinct code sets, giving existence flags -- what Catalyst's existence join
-  does for the SQL form;
-* money sums are exact (values taken to 6 decimals, added as decimals), so they do not depend on the
-  partitioning;
-* the planning side: archive resource rows summed per (operation, site) by partial aggregation, joined
-  to the operation's plan row.
+Whether an hour row counts depends on its work alone, so it is decided on the works table: two left joins against
+distinct code sets give existence flags for the two ways to qualify. Only hours of qualifying works are joined and
+then priced (:func:`validity_join`: equi keys and a half-open date range, by month). The planning side sums archive
+resource rows per (operation, site) by partial aggregation and joins them to the operation's plan row. Money sums are
+exact, so they do not depend on the partitioning.
 """
 
 from __future__ import annotations
@@ -26,6 +18,7 @@ from pyspark.sql import functions as F
 
 from periodix import labels as L
 from periodix.functions import replace_first, strip_spaces
+from periodix.functions.sums import exact_sum
 from periodix.operators.validity import validity_join
 
 
@@ -44,44 +37,6 @@ class CostParams:
     project_type: str = L.PROJECT
 
 
-def exact_sum(x: Column) -> Column:
-    return F.sum(x.cast("decimal(38,6)")).cast("double")
-
-
-def priced_hours(tw: DataFrame, works: DataFrame, zhufvr: DataFrame, objects: DataFrame, fot: DataFrame,
-                 mim: DataFrame, kol_ekip: DataFrame, p: CostParams) -> DataFrame:
-    """Every hour row with its work, journal, site, valid rates and crew size."""
-    w = works.select("work_id", "zhufvr_id", "type_work_name", "enrp_type",
-                     strip_spaces("structure_unique_code").alias("structure_unique_code"),
-                     strip_spaces("structure_works_code").alias("structure_works_code"),
-                     "structure_is_delete")
-    j = zhufvr.select("link", "territory_value", "zhfvr_date")
-    o = objects.select(F.col("territory_value").alias("_o_tv"), "spider_name")
-    # the dimension chain is joined first (left joins associate: each condition is on the previous
-    # dimension only), so the hour rows -- the big side -- are shuffled once, on work_id
-    work_ctx = (w.join(j, F.col("zhufvr_id") == F.col("link"), "left")
-                .join(o, F.col("territory_value") == F.col("_o_tv"), "left"))
-    rows = tw.join(work_ctx, "work_id", "left")
-    fot_r = fot.select(F.col("res").alias("_f_res"), F.col("start").alias("_f_start"),
-                       F.col("finish").alias("_f_finish"), "fot")
-    rows = validity_join(rows, fot_r, [("res_name", "_f_res")], "zhfvr_date", "_f_start", "_f_finish")
-    mim_r = mim.select(F.col("res").alias("_m_res"), F.col("object").alias("_m_object"),
-                       F.col("start").alias("_m_start"), F.col("finish").alias("_m_finish"),
-                       "leasing", "repair", "fuel")
-    rows = validity_join(rows, mim_r, [("res_name", "_m_res"), ("spider_name", "_m_object")], "zhfvr_date",
-                         "_m_start", "_m_finish")
-    crew = kol_ekip.select(F.col("Code").alias("_k_code"), "Kol_Ekip")
-    rows = rows.join(crew, F.col("res_code") == F.col("_k_code"), "left")
-    own = (F.col("contragent_value") == p.own_contractor_value) | (F.col("analytics_value") == p.main_worker_analytics)
-    return rows.select(
-        "res_name", "res_code", "hours", "type_work_name", "enrp_type", "structure_unique_code",
-        "structure_works_code",
-        F.when(own, F.lit(False)).otherwise(F.lit(True)).alias("nt_res"),
-        "fot", "leasing", "repair", "fuel", "Kol_Ekip", "territory_value", "zhfvr_date",
-        "structure_is_delete", "spider_name",
-    )
-
-
 def _plan_rows(gandoper: DataFrame, p: CostParams, objects: Sequence[str]) -> DataFrame:
     return gandoper.where(
         (F.col("project_type") == p.project_type) & F.col("object").isin(*objects)
@@ -90,28 +45,45 @@ def _plan_rows(gandoper: DataFrame, p: CostParams, objects: Sequence[str]) -> Da
         & F.col("WorkLoadFact").isNotNull())
 
 
-def erp_costs(priced: DataFrame, gandoper: DataFrame, p: CostParams) -> DataFrame:
-    """Qualifying hour rows summed per (structure code, site)."""
-    set1 = _plan_rows(gandoper, p, p.plan_objects).select(F.col("f_CodeIdent").alias("_s1")).distinct()
-    set2 = _plan_rows(gandoper, p, p.works_code_objects).select(
-        replace_first(F.col("Code"), L.CODE_PREFIX_TO_STRIP).alias("_s2")).distinct()
-    rows = (priced.join(set1, F.col("structure_unique_code") == F.col("_s1"), "left")
-            .join(set2, F.col("structure_works_code") == F.col("_s2"), "left"))
-    qualifies = F.col("_s1").isNotNull() | (
-        F.col("_s2").isNotNull() & (F.col("structure_is_delete") == True)  # noqa: E712  (null is not true)
-        & (F.col("zhfvr_date") < F.lit(p.deleted_before).cast("timestamp_ntz")))
-    own = F.col("nt_res") == False  # noqa: E712
-    hired = F.col("nt_res") == True  # noqa: E712
-    hours = F.col("hours")
-    return rows.where(qualifies).groupBy("structure_unique_code", "spider_name").agg(
+def qualifying_works(works: DataFrame, zhufvr: DataFrame, objects: DataFrame, gandoper: DataFrame, p: CostParams) -> DataFrame:
+    """(work_id, unique_code, day, site) of the works whose hours count.
+
+    A work counts by its unique code among the planned operations of the first site list, or, when deleted and logged
+    before the limit, by its works code among those of the second list.
+    """
+    by_unique = _plan_rows(gandoper, p, p.plan_objects).select(F.col("f_CodeIdent").alias("unique_code")).distinct()
+    by_works = _plan_rows(gandoper, p, p.works_code_objects).select(
+        replace_first(F.col("Code"), L.CODE_PREFIX_TO_STRIP).alias("works_code")).distinct()
+    journal = zhufvr.select(F.col("link").alias("zhufvr_id"), "territory_value", F.col("zhfvr_date").alias("day"))
+    sites = objects.select("territory_value", F.col("spider_name").alias("site"))
+    rows = works.select("work_id", "zhufvr_id", strip_spaces("structure_unique_code").alias("unique_code"),
+                        strip_spaces("structure_works_code").alias("works_code"),
+                        (F.col("structure_is_delete") == F.lit(True)).alias("deleted"))
+    rows = rows.join(journal, "zhufvr_id", "left").join(sites, "territory_value", "left")
+    rows = rows.join(by_unique.withColumn("_planned", F.lit(True)), "unique_code", "left")
+    rows = rows.join(by_works.withColumn("_listed", F.lit(True)), "works_code", "left")
+    late = F.col("deleted") & (F.col("day") < F.lit(p.deleted_before).cast("timestamp_ntz"))
+    return rows.where(F.col("_planned") | (F.col("_listed") & late)).select("work_id", "unique_code", "day", "site")
+
+
+def erp_costs(tw: DataFrame, qualified: DataFrame, fot: DataFrame, mim: DataFrame, kol_ekip: DataFrame, p: CostParams) -> DataFrame:
+    """Hours of qualifying works, priced with the rates valid on their day, summed per (unique code, site)."""
+    own = F.coalesce((F.col("contragent_value") == p.own_contractor_value)
+                     | (F.col("analytics_value") == p.main_worker_analytics), F.lit(False))
+    rows = tw.select("work_id", "res_name", "res_code", "hours", own.alias("own")).join(qualified, "work_id")
+    wages = fot.select(F.col("res").alias("_w_res"), F.col("start").alias("_w_from"), F.col("finish").alias("_w_to"), "fot")
+    rows = validity_join(rows, wages, [("res_name", "_w_res")], "day", "_w_from", "_w_to")
+    machines = mim.select(F.col("res").alias("_m_res"), F.col("object").alias("_m_site"), F.col("start").alias("_m_from"),
+                          F.col("finish").alias("_m_to"), "leasing", "repair", "fuel")
+    rows = validity_join(rows, machines, [("res_name", "_m_res"), ("site", "_m_site")], "day", "_m_from", "_m_to")
+    rows = rows.join(kol_ekip.select(F.col("Code").alias("res_code"), F.col("Kol_Ekip").alias("crew")), "res_code", "left")
+    hours, mine = F.col("hours"), F.col("own")
+    return rows.groupBy("unique_code", "site").agg(
         F.sum(hours).alias("hours"),
-        F.sum(F.when(own, hours)).alias("own_hours"),
-        F.sum(F.when(hired, hours)).alias("nt_hours"),
-        exact_sum(F.when(own, hours * F.col("fot") * F.col("Kol_Ekip"))).alias("fot"),
-        exact_sum(F.when(own, hours * F.col("leasing"))).alias("leasing"),
-        exact_sum(F.when(own, hours * F.col("repair"))).alias("repair"),
-        exact_sum(F.when(own, hours * F.col("fuel"))).alias("fuel"),
-    )
+        F.sum(F.when(mine, hours)).alias("own_hours"),
+        F.sum(F.when(~mine, hours)).alias("nt_hours"),
+        exact_sum(F.when(mine, hours * F.col("fot") * F.col("crew"))).alias("fot"),
+        *[exact_sum(F.when(mine, hours * F.col(rate))).alias(rate) for rate in ("leasing", "repair", "fuel")])
 
 
 def planning_costs(archive: DataFrame, gandoper: DataFrame, p: CostParams) -> DataFrame:
@@ -136,10 +108,10 @@ def compare_costs(tw: DataFrame, works: DataFrame, zhufvr: DataFrame, objects: D
                   mim: DataFrame, kol_ekip: DataFrame, gandoper: DataFrame, archive: DataFrame,
                   p: CostParams) -> DataFrame:
     """The cost-comparison mart: one row per qualifying (structure code, site)."""
-    erp = erp_costs(priced_hours(tw, works, zhufvr, objects, fot, mim, kol_ekip, p), gandoper, p)
+    qualified = qualifying_works(works, zhufvr, objects, gandoper, p)
+    erp = erp_costs(tw, qualified, fot, mim, kol_ekip, p)
     plan_side = planning_costs(archive, gandoper, p).withColumnRenamed("object", "_p_object")
-    out = erp.join(plan_side, (F.col("structure_unique_code") == F.col("f_CodeIdent"))
-                    & (F.col("spider_name") == F.col("_p_object")), "left")
+    out = erp.join(plan_side, (F.col("unique_code") == F.col("f_CodeIdent")) & (F.col("site") == F.col("_p_object")), "left")
     c = F.col
     ts = lambda s: F.lit(s).cast("timestamp_ntz")
     first, second = p.period_start[:4], p.period_mid[:4]
@@ -148,8 +120,8 @@ def compare_costs(tw: DataFrame, works: DataFrame, zhufvr: DataFrame, objects: D
               .otherwise(F.lit(L.MIXED_PERIOD_TEMPLATE.format(first=first, second=second))))
     z = lambda name: F.coalesce(c(name), F.lit(0.0))
     return out.select(
-        c("spider_name").alias("object"),
-        "structure_unique_code", "Name", "hours", "own_hours", "nt_hours",
+        c("site").alias("object"),
+        c("unique_code").alias("structure_unique_code"), "Name", "hours", "own_hours", "nt_hours",
         c("fot").alias("fot_1c"), c("leasing").alias("leasing_1c"), c("repair").alias("repair_1c"),
         c("fuel").alias("fuel_1c"),
         (z("fot") + z("leasing") + z("repair") + z("fuel")).alias("cost_1c"),
