@@ -237,9 +237,9 @@ def q_check_contract_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("check_position_unique")
 def q_check_position_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.check_position_unique(contract_positions(world(spark, sf_dir).vdc))
+    return Q.check_position_unique(contract_positions(world(spark, sf_dir).vdc_flawed))
 
 
 @register("check_position_not_null")
 def q_check_position_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.check_position_not_null(contract_positions(world(spark, sf_dir).vdc))
+    return Q.check_position_not_null(contract_positions(world(spark, sf_dir).vdc_flawed))

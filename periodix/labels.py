@@ -76,10 +76,6 @@ COL_YEAR = "Год"
 COL_MONTH = "Месяц"
 COL_DEVIATION = "Недопустимый % отклонения"
 COL_KEY_RESOURCE = "Ключевой ресурс"
-COL_FACT_COST = "СТОИМОСТЬ проекта [Факт]"
-COL_PLAN_COST = "СТОИМОСТЬ проекта [План]"
-COL_FACT_TOTAL = "Всего [Факт]"
-COL_PLAN_TOTAL = "Всего [План]"
 
 # The thirteen cost components of the planning system, in the reference's order.
 COST_PARTS = ["AmLiz", "FnOpTr", "FuelMiM", "Materl", "OplGpd", "OpSbRb", "PrMatl",

@@ -3,7 +3,7 @@
 Order (the reference's dependency graph): contract positions, plan spread, fact spread, plan/fact
 mart, hours mart, cost comparison; then the data-quality checks, which read the written tables. Each
 step is its own Spark job over written inputs, so a failure or a lost executor costs one step, and no
-step recomputes its upstream models. Only violation counts reach the driver.
+step recomputes its upstream models. Violations are written as tables too; only their counts reach the driver.
 """
 
 from __future__ import annotations
@@ -11,13 +11,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from periodix.operators.calendar import adjust_calendar
+from periodix.operators.plan_start import plan_start
 from periodix.operators.positions import contract_positions
+from periodix.operators.spread import month_parts
+from periodix.operators.validity import overlapping_intervals
 from periodix.plans import checks as Q
 from periodix.plans.costs import CostParams, compare_costs
 from periodix.plans.hours import reconcile_hours
 from periodix.plans.plan_fact import fact_by_month, plan_by_month, plan_fact_mart
-from periodix.sources.sinks import default_output_base, write_table
+from periodix.sources.sinks import write_table
 
 
 @dataclass
@@ -37,6 +42,7 @@ class Sources:
     kol_ekip: DataFrame
     fot: DataFrame
     mim: DataFrame
+    calen_except: DataFrame
 
 
 @dataclass
@@ -49,9 +55,30 @@ class BuildParams:
     cost_check_excluded: str | None = None
 
 
-def build(spark: SparkSession, src: Sources, params: BuildParams, base: str | None = None) -> dict[str, int]:
-    """Write every model under ``base`` (default: beside ``spark.checkpoint.dir``); return check counts."""
-    base = base or default_output_base(spark)
+def require_unique(df: DataFrame, keys: list[str], what: str) -> None:
+    """Raises if a key occurs twice (null key parts are left out): results would be wrong without a trace."""
+    repeated = df.dropna("any", subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        raise ValueError(f"{what} must be unique: {', '.join(keys)}")
+
+
+def build(spark: SparkSession, src: Sources, params: BuildParams, base: str) -> dict[str, int]:
+    """Write every model, and the violations of every check, under ``base``; return the violation counts.
+
+    ``base`` must be a folder that the driver and all executors share. The keys that the jobs take to be unique are
+    checked first.
+    """
+    require_unique(src.works, ["work_id"], "works")
+    require_unique(src.zhufvr, ["link"], "journal entries")
+    starts = plan_start(src.gandoper)
+    if params.plan_unique_key:
+        require_unique(starts, ["gant_index", "code"], "project operations")
+    starts.createOrReplaceTempView("plan_start")
+    parts = month_parts(starts, ["gant_index", "code"], "start_date", "end_date", carry=["project_type", "object", "Calen"],
+                        unique_key=params.plan_unique_key, keep_all=True)
+    adjusted = adjust_calendar(parts.select("gant_index", "code", "project_type", "object", "Calen", "part_start", "part_end"),
+                               src.calen_except)
+    write_table(adjusted, base, "calendar_adjust")
     positions = write_table(contract_positions(src.vdc), base, "contract_positions")
     # month-grained tables are partitioned by year: readers that filter on a period prune directories
     by_year = ["start_year"]
@@ -76,8 +103,10 @@ def build(spark: SparkSession, src: Sources, params: BuildParams, base: str | No
         "check_contract_total": Q.check_contract_total(src.gandoper, src.vdc),
         "unique_position_key": Q.check_position_unique(positions),
         "not_null_position_key": Q.check_position_not_null(positions),
+        "wage_rate_overlaps": overlapping_intervals(src.fot, ["res"]),
+        "machine_rate_overlaps": overlapping_intervals(src.mim, ["res", "object"]),
     }
-    return dict(Q.run_checks(checks))
+    return {name: write_table(rows, base, f"violations/{name}").count() for name, rows in checks.items()}
 
 
 def params_from_json(path: str) -> BuildParams:
@@ -95,11 +124,11 @@ def params_from_json(path: str) -> BuildParams:
 
 
 def main(argv: list[str] | None = None) -> dict[str, int]:
-    """``spark-submit periodix/plans/build.py SOURCES_DIR PARAMS_JSON [OUTPUT_DIR]``.
+    """``spark-submit periodix/plans/build.py SOURCES_DIR PARAMS_JSON OUTPUT_DIR``.
 
     Reads the source-table exports under SOURCES_DIR (one parquet folder per table, see
-    :mod:`periodix.sources.raw`), writes every model under OUTPUT_DIR (default: beside
-    ``spark.checkpoint.dir``) and prints the check report.
+    :mod:`periodix.sources.raw`), writes every model under OUTPUT_DIR, a folder that the driver
+    and all executors share, and prints the check report.
     """
     import json
     import sys
@@ -109,8 +138,7 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
 
     args = sys.argv[1:] if argv is None else argv
     spark = configure(SparkSession.builder.getOrCreate())
-    counts = build(spark, raw_sources(spark, args[0]), params_from_json(args[1]),
-                   args[2] if len(args) > 2 else None)
+    counts = build(spark, raw_sources(spark, args[0]), params_from_json(args[1]), args[2])
     print(json.dumps(counts, ensure_ascii=False))
     return counts
 

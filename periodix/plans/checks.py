@@ -16,16 +16,13 @@ from pyspark.sql import functions as F
 
 from periodix import labels as L
 from periodix.functions import concat_skip_nulls, round_half_even
+from periodix.functions.sums import exact_sum
 from periodix.operators.skew import existence_flags
 
 SNAPSHOT_KEYS = ["object", "nz_year", "nz_month", "project_type"]
 CHECK_COLUMNS = SNAPSHOT_KEYS + ["status"]
 
 
-def exact_sum(x: Column) -> Column:
-    return F.sum(x.cast("decimal(38,6)")).cast("double")
-
-
 def _status_rows(grouped: DataFrame, status: Column) -> DataFrame:
     return grouped.withColumn("status", status).select(*CHECK_COLUMNS)
 
@@ -69,7 +66,7 @@ def check_hours_total(tw: DataFrame, nw: DataFrame, threshold_pct: float = 0.1)
     The reconciled total is the reference test's own simplification: unnormed raw rows (no placeholder
     rule) plus all norm rows. Output: ``delta_hours`` (percent, 2 decimals) when violated.
     """
-    # existence only: norm keys de-duplicated, hot raw keys spread (see existence_flags)
+    # existence only (see existence_flags)
     unnormed = existence_flags(tw, nw, ["work_id", "analytics_value"]).where(~F.col("_exists"))
     null = F.lit(None).cast("double")
     tagged = (unnormed.select(F.col("hours").cast("double").alias("_mart"), null.alias("_raw"))
@@ -194,14 +191,9 @@ def check_position_not_null(positions: DataFrame, parts: Sequence[str] = (L.COL_
     return positions.where(cond).select(*parts, "unique_test")
 
 
-def run_checks(checks: dict[str, DataFrame]) -> list[tuple[str, int]]:
-    """Violation count per check (one small action each; only counts reach the driver)."""
-    return [(name, df.count()) for name, df in checks.items()]
-
-
 def check_report(checks: dict[str, DataFrame], sample: int = 5) -> list[dict]:
-    """Per check: name, violation count and up to ``sample`` offending rows (a bounded sample is all
-    that reaches the driver)."""
+    """For printing: per check its name, violation count and up to ``sample`` offending rows. The full tables of
+    violations are written by the build."""
     report = []
     for name, df in checks.items():
         n = df.count()

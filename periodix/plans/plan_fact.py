@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from periodix import labels as L
 from periodix.functions import round_half_even, zero_pad_month
+from periodix.functions.sums import exact_sum
 from periodix.operators.plan_start import plan_start
 from periodix.operators.skew import join_per_key
 from periodix.operators.spread import month_parts, month_weights
@@ -52,13 +53,6 @@ def _weighted(weight: Column, terms: dict[str, Column]) -> list[Column]:
     return out
 
 
-def exact_sum(x: Column) -> Column:
-    """Sum of a money measure without order-dependent rounding: each value is taken to 6 decimals
-    and added exactly, so the half-even rounding of the weighted total does not depend on how the
-    rows were partitioned."""
-    return F.sum(x.cast("decimal(38,6)")).cast("double")
-
-
 def plan_by_month(gandoper: DataFrame, unique_key: bool = False,
                   project_type: str = L.PROJECT) -> DataFrame:
     """Planned measures per operation and calendar month.
@@ -80,9 +74,8 @@ def plan_by_month(gandoper: DataFrame, unique_key: bool = False,
         weights = month_weights(plan_start(gandoper, project_type), keys, "start_date", "end_date")
         raw = gandoper.where(F.col("project_type") == project_type).select(
             F.col("index").alias("gant_index"), F.col("Code").alias("code"), "object", *measure_cols)
-        # months-per-key weights joined to every raw row of the key; hot keys (estimated by their
-        # number of parts -- only the bucketing depends on it, never the result) spread over tasks
-        src = join_per_key(raw, weights, keys, counts="key_parts").drop("key_parts")
+        # months-per-key weights joined to every raw row of the key
+        src = join_per_key(raw, weights, keys)
     weight = F.col("weight")
     return src.select(
         "gant_index", "code", "start_year", "start_month",
@@ -100,19 +93,21 @@ def fact_by_month(archive: DataFrame, project_type: str = L.PROJECT) -> DataFram
     project type. Keys with only null-start parts are dropped, as are null keys.
     """
     keys = ["archive_index", "code"]
-    ops = archive.where(F.col("ResCode").isNull() & (F.col("project_type") == project_type)).select(
+    rows = archive.where(F.col("project_type") == project_type)
+    ops = rows.where(F.col("ResCode").isNull()).select(
         F.col("index").alias("archive_index"), F.col("OperCode").alias("code"),
         F.col("Start").alias("start_date"), F.col("Fin").alias("end_date"))
     weights = month_weights(ops, keys, "start_date", "end_date")
 
     terms = _measure_terms("c_aac_")
-    sums = archive.where(F.col("project_type") == project_type).groupBy(
+    sums = rows.groupBy(
         F.col("index").alias("archive_index"), F.col("OperCode").alias("code"), "object"
     ).agg(*[exact_sum(t).alias(n) for n, t in terms.items()])
-    joined = weights.drop("key_parts").join(sums, on=keys)
+    joined = weights.join(sums, on=keys)
 
     out = joined.select(
-        F.xxhash64("archive_index", "code", "start_year", "start_month", "object").alias("id"),
+        # 128 bits of the row's key: distinct for any realistic number of rows, unlike a 64-bit hash
+        F.md5(F.to_json(F.struct("archive_index", "code", "start_year", "start_month", "object"))).alias("id"),
         "archive_index", "code", "start_year", "start_month",
         F.lit(L.FACT).alias("smr_type"),
         *[(F.col("weight") * F.col(n)).alias(n) for n in ("smr_ss", "smr_sp")],

@@ -8,7 +8,6 @@ session zone (it returns a zoned ``timestamp``), so any other zone would move mo
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -36,37 +35,9 @@ def configure(spark: SparkSession) -> SparkSession:
         if key in ("spark.ui.enabled",):
             continue  # static, only settable at start-up
         spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder named by the cluster, setting a scratch one only when unset.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder; it is read, never replaced. A local
-    scratch folder is created only when the setting is absent, which is the case in tests.
-    """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # no SparkContext on the client (Spark Connect): the server's setting applies
-        sc = None
-    if sc is not None and not conf_dir:
-        conf_dir = sc.getCheckpointDir()
-    if conf_dir:
-        if sc is not None and not sc.getCheckpointDir():
-            sc.setCheckpointDir(conf_dir)
-        return conf_dir
-    local_dir = tempfile.mkdtemp(prefix="periodix-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(local_dir)
-    try:
-        spark.conf.set("spark.checkpoint.dir", local_dir)
-    except Exception:  # a core setting some deployments refuse to change at runtime
-        pass
-    return local_dir
-
-
 def local_session(cores: int | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "periodix") -> SparkSession:
     """A local-mode session for tests and the benchmark."""

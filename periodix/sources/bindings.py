@@ -279,6 +279,17 @@ class World:
             F.col("c_acctbal").alias(L.COL_UNIT_PRICE),
         )
 
+    @cached_property
+    def vdc_flawed(self) -> DataFrame:
+        """The positions with every 50th customer's twice, and every 70th's cipher or site left out."""
+        rows = self.vdc
+        number = F.regexp_extract(L.COL_CIPHER, "[0-9]+", 0).cast("long")
+        rows = rows.withColumn("_n", number).withColumn("_times", F.when(F.col("_n") % 50 == 0, 2).otherwise(1))
+        rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+        rows = rows.withColumn(L.COL_CIPHER, F.when(F.col("_n") % 70 != 0, F.col(L.COL_CIPHER)))
+        rows = rows.withColumn("object", F.when(F.col("_n") % 140 != 0, F.col("object")))
+        return rows.drop("_n", "_times", "_copy")
+
     # -- ERP ------------------------------------------------------------------------------------------
     @cached_property
     def works(self) -> DataFrame:

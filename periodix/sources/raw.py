@@ -1,9 +1,9 @@
 """Reading the source tables of a real deployment (exports of the planning system, ERP and
 dictionaries) with canonical column types.
 
-Each table is read as parquet, its columns cast to the types the jobs expect, and any column the
-export lacks added as a typed null (the jobs reference every column below). The projection is plain
-``select`` + ``cast``, so column pruning and filters still reach the parquet scan.
+Each table is read as parquet and its columns cast to the types the jobs expect. A missing column is an error, but for
+the few descriptive ones in ``OPTIONAL``, which are then typed nulls. The projection is plain ``select`` + ``cast``, so
+column pruning and filters still reach the parquet scan.
 """
 
 from __future__ import annotations
@@ -84,12 +84,19 @@ SOURCE_ATTRS = {
     "1_c__norm_workload": "norm_workload", "1_c__works": "works", "1_c__zhufvr": "zhufvr",
     "dict__1c_objects_to_spider": "objects", "dict__spider_key_res": "key_res",
     "dict__spider_kol_ekip": "kol_ekip", "dict__fot": "fot", "dict__mim": "mim",
+    "raw_spider__calen_except": "calen_except",
 }
 
+#: Columns that only describe a row: no filter, join or measure reads them.
+OPTIONAL = {"raw_spider__gandoper": {"Ispol", "IspolUch", "SNT_TypeKnstrE", "SNT_Obj"}}
+
 
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """``df`` with the canonical columns of table ``name``: cast, and typed nulls where absent."""
+    """``df`` with the canonical columns of table ``name``, cast; raises if a column that is not optional is absent."""
     present = set(df.columns)
+    missing = [c for c, _ in RAW_SCHEMAS[name] if c not in present and c not in OPTIONAL.get(name, ())]
+    if missing:
+        raise ValueError(f"{name} lacks required columns: {', '.join(missing)}")
     return df.select(*[(F.col(f"`{c}`").cast(t) if c in present else F.lit(None).cast(t)).alias(c)
                        for c, t in RAW_SCHEMAS[name]])
 

@@ -8,8 +8,6 @@ from the raw sources). A view is simply the lazy DataFrame.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -19,28 +17,21 @@ def table_location(base: str, name: str) -> str:
 
 def write_table(df: DataFrame, base: str, name: str, partition_by: list[str] | None = None,
                 max_records_per_file: int | None = None) -> DataFrame:
-    """Full refresh of table ``name`` under ``base``; returns the table as read back."""
+    """Full refresh of table ``name`` under ``base``; returns the table as read back, columns in the order of ``df``.
+
+    Rows of a partitioned table are rebalanced by its partition columns first, so each of its folders gets few files of
+    a useful size, and a large one several.
+    """
     path = table_location(base, name)
-    writer = df.write.mode("overwrite").format("parquet")
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = rows.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.save(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(table_location(base, name))
-
-
-def default_output_base(spark: SparkSession) -> str:
-    """A folder for built tables next to the cluster's checkpoint folder (``spark.checkpoint.dir``).
-
-    The checkpoint setting is read, not replaced; :func:`periodix.session.ensure_checkpoint_dir` sets
-    a scratch one only where it is unset (tests).
-    """
-    from periodix.session import ensure_checkpoint_dir
-
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "periodix-tables") if "://" not in base else base.rstrip("/") + "/periodix-tables"

@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame
 
 from periodix.sources.raw import SOURCE_ATTRS
 
-SOURCE_VIEWS = {**SOURCE_ATTRS, "raw_spider__calen_except": "calen_except"}
+SOURCE_VIEWS = SOURCE_ATTRS
 
 
 def register_views(world, marts: dict[str, DataFrame] | None = None) -> list[str]:
     """Register the binding's source frames (by their source-table names) and ``marts`` as temp views.
 
-    ``world`` is any object with the source frames as attributes (a
+    ``world`` is any object with the source frames as attributes (a :class:`periodix.plans.build.Sources` or a
     :class:`periodix.sources.bindings.World`). Returns the registered names.
     """
     names = []

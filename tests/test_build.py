@@ -2,8 +2,11 @@
 
 import os
 import tempfile
+from dataclasses import replace
 from pathlib import Path
 
+import pytest
+
 from periodix.catalog import cost_params, world
 from periodix.plans.build import BuildParams, Sources, build
 from tests.conftest import SF_SMALL
@@ -23,3 +26,40 @@ def test_build_writes_all_models(spark):
         assert spark.read.parquet(str(tmp_path / name)).count() > 0, name
     assert set(counts) >= {"check_fact_nz", "unique_position_key", "check_duplication_of_oper"}
     assert counts["unique_position_key"] == 0 and counts["not_null_position_key"] == 0
+
+
+def _inputs(spark):
+    w = world(spark, SF_SMALL)
+    src = Sources(**{f: getattr(w, f) for f in Sources.__dataclass_fields__})
+    return src, BuildParams(own_contractor_name=w.params.own_contractor_name, placeholder_analytics=w.params.placeholder_analytics,
+                            costs=cost_params(w), plan_unique_key=True)
+
+
+def test_violations_are_written_in_full(spark):
+    base = tempfile.mkdtemp(prefix="periodix-build-")  # a new scratch folder per run
+    src, params = _inputs(spark)
+    counts = build(spark, src, params, base=base)
+    assert counts["machine_rate_overlaps"] > 5  # the binding's machine rates overlap by a month
+    for name, n in counts.items():
+        assert spark.read.parquet(f"{base}/violations/{name}").count() == n
+    mart = spark.read.parquet(f"{base}/plan_fact_mart")
+    assert {"code", "start_year", "Name"} <= set(mart.columns)
+    assert spark.sql("SELECT count(*) FROM plan_start").first()[0] > 0
+    assert spark.read.parquet(f"{base}/calendar_adjust").count() > 0
+
+
+def test_repeated_keys_stop_the_build(spark):
+    src, params = _inputs(spark)
+    for table, keys in (("works", "work_id"), ("zhufvr", "link"), ("gandoper", "gant_index, code")):
+        rows = getattr(src, table)
+        flawed = replace(src, **{table: rows.unionByName(rows.limit(400))})
+        with pytest.raises(ValueError, match=keys):
+            build(spark, flawed, params, base=tempfile.mkdtemp(prefix="periodix-build-"))
+
+
+def test_written_columns_keep_their_order(spark):
+    from periodix.sources.sinks import write_table
+
+    df = spark.createDataFrame([(1, 2024, "x"), (2, 2025, "y")], "a int, start_year int, b string")
+    back = write_table(df, tempfile.mkdtemp(prefix="periodix-sink-"), "t", partition_by=["start_year"])
+    assert back.columns == ["a", "start_year", "b"] and sorted(map(tuple, back.collect())) == [(1, 2024, "x"), (2, 2025, "y")]

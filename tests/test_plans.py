@@ -22,10 +22,21 @@ def test_unique_key_spread_is_narrow(spark):
     plan = plan_of(spark, "plan_month_spread")
     assert "Generate explode" in plan
     assert "SortMergeJoin" not in plan and "HashAggregate" not in plan
-    # the only shuffles: the small-input repartition of single-file tables
-    for line in plan.splitlines():
-        if "Exchange hashpartitioning" in line:
-            assert "REPARTITION_BY_NUM" in line, line
+    assert "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(REGISTRY))
+def test_no_plan_repartitions_by_a_fixed_number(spark, name):
+    assert "REPARTITION_BY_NUM" not in plan_of(spark, name)
+
+
+def test_duplicate_key_spread_scans_its_table_twice(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # a static plan shows which exchanges are reused
+    try:
+        plan = plan_of(spark, "plan_month_spread_dup")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "ReusedExchange" in plan and plan.count("FileScan parquet") == 2, plan
 
 
 def test_filters_reach_the_scan(spark):
