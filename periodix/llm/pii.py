@@ -20,9 +20,9 @@ PATTERNS = {
     "token": _ALONE + r"(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})" + _END,
     "ip": r"(?<![\p{L}\p{N}.])\d{1,3}(?:\.\d{1,3}){3}(?![\p{L}\p{N}]|\.\d)",
     "date": r"(?<![\p{L}\p{N}./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\p{L}\p{N}]|[./-]\d)",
-    "phone": r"(?<![\p{L}\p{N}+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}" + _END,
+    "phone": r"(?<![\p{L}\p{N}+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?\d{2,4}[ .-]?\d{2,4}|\d{2,4}(?:[ .-]?\d{2,4}){1,3})(?![\p{L}\p{N}]|[.-]\d)",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)",
-    "card": _ALONE + r"\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}]|[ -]\d)",
+    "card": _ALONE + r"(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})" + _END,
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 

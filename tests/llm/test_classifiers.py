@@ -8,8 +8,6 @@ from periodix.llm.sample import in_fold, labelled
 from tests.conftest import SF_MID
 from tests.llm.conftest import TEXTS
 
-NOBODY = F.lit(False)
-
 
 @pytest.mark.parametrize("name,label", [("op5_quality_classifier", "quality"), ("op6_toxicity", "toxic")])
 def test_held_out_accuracy(spark, name, label):
@@ -36,17 +34,17 @@ def test_held_out_labels_are_never_read(spark):
 def test_odd_rows(spark, odd_docs, no_docs, module, label):
     labels = spark.createDataFrame([(1, 1), (3, 0), (4, 1), (7, 0), (10, None), (None, 1), (99, 1)], f"doc_id long, {label} int")
     for part in (labels, labels.where("false"), labels.where(f"{label} = 1")):
-        model = module.train(odd_docs, part, NOBODY)
+        model = module.train(odd_docs, part, F.lit(False))
         rows = module.score(odd_docs, model).collect()
         assert sorted((str(r.doc_id) for r in rows)) == sorted(str(i) for i, _ in TEXTS)
         assert all(0 <= r.score <= 1 for r in rows)
         assert len({r.score for r in rows if r.doc_id in (4, 5)}) == 1  # null and empty
         assert module.score(no_docs, model).count() == 0
-    assert module.train(no_docs, labels, NOBODY) is not None
+    assert module.train(no_docs, labels, F.lit(False)) is not None
 
 
 def test_dropping_toxic_rows_keeps_the_columns(spark, odd_docs):
-    model = toxicity.train(odd_docs, spark.createDataFrame([], "doc_id long, toxic int"), NOBODY)
+    model = toxicity.train(odd_docs, spark.createDataFrame([], "doc_id long, toxic int"), F.lit(False))
     assert toxicity.without_toxic(odd_docs, model).columns == odd_docs.columns
 
 

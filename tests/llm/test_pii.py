@@ -74,6 +74,7 @@ def test_values_by_brute_force(spark):
         ("2023-02-29 and 31.04.2020 and 1700-01-01", None), ("10.20.30.40", f"{a // 256}.{a % 256}.{b // 256}.{b % 256}"), ("10.20.30.256 and 1.2.3.4.5", None),
         ("call +1 (017) 555-7713 now", f"call +1 ({phone[:3]}) {phone[3:6]}-{phone[6:]} now"), ("+1 23", None),
         ("hein.19@mail5.example.com", by_class("hein.19", "email", 26) + "@mail5.example.com"), (f'token = "{token}"', f'token = "{by_class(token, "token", 6)}"'),
+        ("+1 (017) 555-7713 10.20.30.40", f"+1 ({phone[:3]}) {phone[3:6]}-{phone[6:]} {a // 256}.{a % 256}.{b // 256}.{b % 256}"), ("+1 (017) 555-7713 12 eggs", f"+1 ({phone[:3]}) {phone[3:6]}-{phone[6:]} 12 eggs"),
         ("1" * 32, None), ("123-45-6789", re.sub(r"(...)(..)(....)", r"\1-\2-\3", digits("123456789", "ssn"))), ("", None), ("plain words", None),
         (f"{number} {number}\n{number}", f"{card(number)} {card(number)}\n{card(number)}"), ("4111111111111111 10.20.30.40", f"{card(number)} {a // 256}.{a % 256}.{b // 256}.{b % 256}"),
     ]
@@ -81,7 +82,7 @@ def test_values_by_brute_force(spark):
     for i, (text, want) in enumerate(cases):
         assert got[i].text == (text if want is None else want)
         assert got[i].n_replaced == (0 if want is None else got[i].n_replaced) and got[i].n_replaced == sum(got[i].kinds.values())
-    assert got[18].kinds == {"card": 3} and got[19].kinds == {"card": 1, "ip": 1}
+    assert got[20].kinds == {"card": 3} and got[21].kinds == {"card": 1, "ip": 1}
 
 
 def test_network_is_a_permutation(spark):
