@@ -266,7 +266,8 @@ class CountTree:
     def __init__(self, sets: list[np.ndarray], rule: Jaccard):
         self.rule = rule
         size = np.array([len(s) for s in sets])
-        self.groups = 1 << int(np.clip(np.ceil(np.log2(max(1, size.max()) / 2)), 5, 12))
+        # about half as many groups as a set has shingles, so that points take no more room than the sets
+        self.groups = 1 << int(np.clip(np.ceil(np.log2(size.mean() / 2)), 5, 12))
         points = np.zeros((len(sets), self.groups), np.int32)
         first = np.concatenate([[0], np.cumsum(size)])
         flat = np.concatenate(sets)

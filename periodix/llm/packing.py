@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from periodix.llm.text import runs
-from periodix.llm.tokens import encoded
+from periodix.llm.tokens import ChunkEncoder, encoded
 from periodix.llm.work import work_folder, written
 
 CAPACITY = 4096
@@ -184,9 +184,9 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAP
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(capacity + 1, np.int64)
-        part = TaskContext.get().partitionId()
+        part, encoder = TaskContext.get().partitionId(), ChunkEncoder(tokenizer)
         for batch in batches:
-            for first, _, ids, count in encoded(batch.column("text"), tokenizer, end_id):
+            for first, _, ids, count in encoded(batch.column("text"), encoder, end_id):
                 many = -(-count // capacity)
                 doc = np.repeat(np.arange(len(count)), many)
                 piece = runs(np.zeros(len(many), np.int64), many)

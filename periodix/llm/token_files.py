@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from periodix.llm.tokens import encoded
+from periodix.llm.tokens import ChunkEncoder, encoded
 
 #: Ids per block; the last of a chunk may be shorter.
 BLOCK_IDS = 1 << 16
@@ -81,6 +81,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number, start = TaskContext.get().partitionId(), 0, 0
+        encoder = ChunkEncoder(tokenizer)
         doc_ids: list[int | None] = []
         lengths: list[np.ndarray] = []
         held: list[np.ndarray] = []
@@ -94,7 +95,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
         for batch in batches:
             names = batch.column("doc_id").to_pylist()
-            for first, end, ids, count in encoded(batch.column("text"), tokenizer, end_id):
+            for first, end, ids, count in encoded(batch.column("text"), encoder, end_id):
                 before = np.concatenate([[0], np.cumsum(count)])
                 at = 0
                 while at < len(count):

@@ -6,6 +6,7 @@ of its chunks, one after the other. Most chunks of a corpus repeat, so a task en
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 from array import array
@@ -15,32 +16,42 @@ import pyarrow as pa
 
 from periodix.llm.text import runs
 
-#: Chunks and runs whose ids one Python worker keeps; beyond that it drops those seen once, and the rarer half.
-KEPT_CHUNKS = 400_000
+#: Chunks whose ids a task keeps, and runs that a worker keeps. Beyond that chunks seen once go, and the rarer half;
+#: runs start anew.
+KEPT_CHUNKS = 300_000
 #: Texts are encoded this many bytes at a time; one longer text goes alone.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[!-&(-/:;=-@\[-`{-~]+")
 _WHOLE = re.compile(f"(?:{_PLAIN.pattern})+")
 
 
+@functools.cache
+def _loaded(path: str):
+    """Once per Python worker: the tokenizer, how its byte-level splitter writes each character of a plain chunk, and
+    the ids of runs seen so far."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    tokenizer = Tokenizer.from_file(path)
+    if any("<" not in t.content for t in tokenizer.get_added_tokens_decoder().values()):
+        raise ValueError("special tokens must contain '<', which keeps them out of plain chunks")
+    level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    return tokenizer, {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(33, 256) if _PLAIN.fullmatch(chr(c))}, {}
+
+
 class ChunkEncoder:
-    """Ids of texts by ``tokenizers`` from the file at ``path``, without special tokens being added."""
+    """Ids of texts by ``tokenizers`` from the file at ``path``, without special tokens being added.
 
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+    One per task: the chunks it keeps go when the task ends; runs of letters stay with the Python worker.
+    """
+
+    runs: dict[str, bytes]
 
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, path: str):
+        self.tokenizer, self.spelled, self.runs = _loaded(path)
         self.model = self.tokenizer.model
-        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        letters = [chr(c) for c in range(33, 256) if _PLAIN.fullmatch(chr(c))]
-        #: How the byte-level splitter writes each character of a plain chunk.
-        self.spelled = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
-        if any("<" not in t.content for t in self.tokenizer.get_added_tokens_decoder().values()):
-            raise ValueError("special tokens must contain '<', which keeps them out of plain chunks")
         self.number: dict[bytes, int] = {}
-        self.runs: dict[str, bytes] = {}
         self.start = np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
         self.uses = np.zeros(0, np.int64)
@@ -76,7 +87,7 @@ class ChunkEncoder:
         if len(self.number) > KEPT_CHUNKS:
             self._forget_rare()
         if len(self.runs) > KEPT_CHUNKS:
-            self.runs = {}
+            self.runs.clear()
         words = [t.split() if t else [] for t in texts]
         flat = [w for row in words for w in row]
         number = self.number
@@ -97,17 +108,7 @@ class ChunkEncoder:
         return ids, np.diff(ids_before)
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
-def encoder(path: str) -> ChunkEncoder:
-    """This worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
-
-
-def encoded(texts: pa.Array, path: str, end_id: int):
+def encoded(texts: pa.Array, encoder: ChunkEncoder, end_id: int):
     """(first row, end row, ids, ids of each text) for steps of texts, each text closed by ``end_id``."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -117,7 +118,7 @@ def encoded(texts: pa.Array, path: str, end_id: int):
     first = 0
     while first < len(texts):
         end = max(first + 1, int(np.searchsorted(before, before[first] + STEP_BYTES, "right")) - 1)
-        ids, count = encoder(path).encode(texts.slice(first, end - first).to_pylist())
+        ids, count = encoder.encode(texts.slice(first, end - first).to_pylist())
         closed = np.full(len(ids) + len(count), end_id, np.uint32)
         closed[np.arange(len(ids)) + np.repeat(np.arange(len(count)), count)] = ids
         yield first, end, closed, count + 1

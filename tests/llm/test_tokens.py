@@ -23,7 +23,7 @@ def ids_of(text):
 
 def split(texts):
     out = []
-    for _, _, ids, count in tokens.encoded(pa.array(texts, pa.string()), PATH, 1):
+    for _, _, ids, count in tokens.encoded(pa.array(texts, pa.string()), tokens.ChunkEncoder(PATH), 1):
         out += [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])]
     return out
 
