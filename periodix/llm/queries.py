@@ -138,6 +138,19 @@ FROM (SELECT doc_id, unit, line, sha256(w) AS digest FROM words WHERE w <> '') J
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_ngram_jaccard_join": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i+2], ' ') AS gram FROM d, unnest(range(1, greatest(len(w) - 1, 2))) AS r(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter FROM s AS a JOIN s AS b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * inter >= 90 * (x.size + y.size - inter)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT d.doc_id, coalesce(size, 0) AS n_shingles, component_id
+FROM d JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id) LEFT JOIN n USING (doc_id)""",
     "op3_license_scan": _license_sql(),
     "op4_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS4} AS w FROM documents),
