@@ -130,15 +130,16 @@ def fit(words: list[np.ndarray], labels: np.ndarray, sentences: list[np.ndarray]
     empty = ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log(rate / (1 - rate))))
     if not len(labels) or labels.min() == labels.max():
         return empty
-    row = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    row = np.repeat(np.arange(len(words), dtype=np.int32), [len(w) for w in words])
     known, column, count = np.unique(np.concatenate(words), return_inverse=True, return_counts=True)
+    column = column.astype(np.int32)
     toxic = np.bincount(column, labels[row], len(known))
     spread = np.abs(toxic / labels.sum() - (count - toxic) / (1 - labels).sum()) * (count >= MIN_DOCS)
     keep = np.sort(np.argsort(-spread, kind="stable")[:FIT_WORDS])
     keep = keep[spread[keep] > 0]
     if not len(keep):
         return empty
-    new = np.full(len(known), -1)
+    new = np.full(len(known), -1, np.int32)
     new[keep] = np.arange(len(keep))
     known, column, ok = known[keep], new[column], new[column] >= 0
     row, column = row[ok], column[ok]
