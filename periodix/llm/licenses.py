@@ -48,13 +48,21 @@ def _like_spelling(text: Column) -> Column:
     return text
 
 
+def _words(text: Column) -> Column:
+    """Lower-case words between single spaces, without copyright lines and punctuation."""
+    return F.trim(F.lower(F.regexp_replace(F.regexp_replace(text, COPYRIGHT_LINE, " "), r"[^\p{L}\p{N}]+", " ")))
+
+
+def _spelled(words: Column) -> Column:
+    return F.trim(_like_spelling(F.concat(F.lit(" "), words, F.lit(" "))))
+
+
 def canonical(text: Column) -> Column:
     """Lower-case words between single spaces, without copyright lines, punctuation and differences of spelling.
 
     A text without words is empty; null stays null.
     """
-    words = F.regexp_replace(F.regexp_replace(text, COPYRIGHT_LINE, " "), r"[^\p{L}\p{N}]+", " ")
-    return F.trim(_like_spelling(F.concat(F.lit(" "), F.lower(words), F.lit(" "))))
+    return _spelled(_words(text))
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
@@ -73,10 +81,12 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     Null and empty texts, and units without words, match nothing. Repeated rows give repeated results, an empty table
     gives an empty one; other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
-    lines = rows.select("doc_id", F.posexplode(F.split("body", "\n")).alias("at", "body"))
-    units = rows.select("doc_id", F.lit("text").alias("unit"), F.lit(0).alias("line"), "body").union(
-        lines.select("doc_id", F.lit("line"), F.col("at") + 1, "body"))
-    digests = units.select("doc_id", "unit", "line", canonical(F.col("body")).alias("words")).where("words <> ''")
-    digests = digests.select("doc_id", "unit", "line", F.sha2("words", 256).alias("digest"))
+    lines = F.transform(F.split(text_col, "\n"), _words)  # words end at line ends, so the text's are its lines'
+    rows = docs.select(F.col(id_col).alias("doc_id"), lines.alias("lines"))
+    whole = F.struct(F.lit("text").alias("unit"), F.lit(0).alias("line"), F.array_join(F.filter("lines", lambda w: w != ""), " ").alias("words"))
+    each = F.transform("lines", lambda w, i: F.struct(F.lit("line").alias("unit"), (i + 1).alias("line"), w.alias("words")))
+    units = rows.select("doc_id", F.inline(F.concat(F.array(whole), each))).where("words <> ''")
+    digests = units.select("doc_id", "unit", "line", _spelled(F.col("words")).alias("words"))
+    # never null, so that the join needs no second evaluation to filter nulls out
+    digests = digests.select("doc_id", "unit", "line", F.coalesce(F.sha2("words", 256), F.lit("")).alias("digest"))
     return digests.join(F.broadcast(known), "digest").select("doc_id", "unit", "line", "license_id", "digest")
