@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodix.llm import decontaminate, dedup, licenses, ngram_join, packing, pii, quality, token_files, toxicity, url_filter
+from periodix.llm import decontaminate, dedup, licenses, ngram_join, packing, periodic_runs, pii, quality, token_files, toxicity, url_filter
 from periodix.llm.sample import in_fold
 from periodix.llm.work import ship_package, work_folder
 
@@ -98,6 +98,33 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def _repeating(docs: DataFrame) -> DataFrame:
+    """``docs`` where every tenth text, by crc32 of its id, repeats the words from a given one on, as the query's contract says."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    n, g = F.size("words").cast("long"), F.floor(h / 10).cast("long")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+    rows = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"))
+    index = F.sequence(F.lit(0).cast("long"), n - 1)
+    again = F.transform(index, lambda i: F.get("words", F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+    return rows.select("doc_id", F.when((h % 10 == 0) & (n > 0), F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least four periods and six words in every document, and the texts without their repetitions.
+
+    Words are separated by ASCII white space; every tenth text is first made to repeat itself. Null and empty texts
+    have no runs; a null id stays null and its text as it is; rows repeated are judged row by row."""
+    found = periodic_runs.periodic_runs(_repeating(_table(spark, sf_dir, "documents")))
+    top, lines = F.get("runs", F.col("top")), F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top.start.alias("start"), top.length.alias("length"), top.period.alias("period"),
+        F.floor(1000 * top.length / top.period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +136,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
         op1_url_filter, op2_ngram_jaccard_join, op3_license_scan, op4_benchmark_decontamination, op5_quality_classifier, op6_toxicity,
-        op7_pii_pseudonyms, op8_pattern_packing, op9_token_files, op10_exact_dedup)}
+        op7_pii_pseudonyms, op8_pattern_packing, op9_token_files, op10_exact_dedup, op13_periodic_runs)}
 
 _WORDS4 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -137,6 +164,20 @@ SELECT doc_id, unit, line, license_id, digest
 FROM (SELECT doc_id, unit, line, sha256(w) AS digest FROM words WHERE w <> '') JOIN known USING (digest)"""
 
 
+def _crc32_sql(ids: str) -> str:
+    """Recursive tables that give (id, crc) of the decimal ids that ``ids`` selects; after WITH RECURSIVE."""
+    return f"""
+crc_steps(id, rest, crc, bits) AS (
+  SELECT id, CAST(id AS VARCHAR)[2:], xor(CAST(4294967295 AS BIGINT), CAST(ascii(CAST(id AS VARCHAR)[1]) AS BIGINT)), 8 FROM ({ids}) AS i(id)
+  UNION ALL
+  SELECT id, CASE WHEN bits = 0 THEN rest[2:] ELSE rest END,
+         CASE WHEN bits = 0 THEN xor(crc, CAST(ascii(rest[1]) AS BIGINT))
+              WHEN crc & 1 = 1 THEN xor(crc >> 1, CAST(3988292384 AS BIGINT)) ELSE crc >> 1 END,
+         CASE WHEN bits = 0 THEN 8 ELSE bits - 1 END
+  FROM crc_steps WHERE bits > 0 OR rest <> ''),
+crcs AS (SELECT id, xor(crc, CAST(4294967295 AS BIGINT)) AS h FROM crc_steps WHERE bits = 0 AND rest = '')"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_jaccard_join": r"""
 WITH RECURSIVE d AS (
@@ -175,4 +216,35 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept,
        sha256(body) AS text_sha256
 FROM n WINDOW g AS (PARTITION BY body)""",
+    "op13_periodic_runs": rf"""
+WITH RECURSIVE {_crc32_sql("SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL")},
+plain AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shaped AS (
+  SELECT r, doc_id, w, len(w) AS n, coalesce(h % 10 = 0, false) AND len(w) > 0 AS again, h // 10 AS g, (h // 10) % greatest(len(w), 1) AS a
+  FROM plain LEFT JOIN crcs ON id = doc_id),
+texts AS (
+  SELECT r, doc_id, n, CASE WHEN again THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END])
+                            ELSE w END AS w
+  FROM shaped),
+words AS (SELECT r, n, unnest(w) AS word, unnest(range(0, n)) AS i FROM texts),
+-- every run has at least five words in a row that equal those one period later
+grams AS (SELECT r, n, CAST(i AS BIGINT) AS i, array_to_string(w[i + 1:i + 5], ' ') AS gram FROM texts, unnest(range(0, n - 4)) AS u(i)),
+pairs AS (SELECT x.r, y.i - x.i AS q, x.i FROM grams AS x JOIN grams AS y ON x.r = y.r AND x.gram = y.gram AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretches AS (
+  SELECT r, q, min(i) AS start, count(*) + 4 + q AS length
+  FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs) GROUP BY r, q, island),
+found AS (SELECT r, start, length, min(q) AS period FROM stretches WHERE length >= 6 AND length >= 4 * q GROUP BY r, start, length),
+lists AS (
+  SELECT r, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines FROM found GROUP BY r),
+top AS (
+  SELECT r, start, length, period FROM found
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) = 1),
+dropped AS (
+  SELECT DISTINCT words.r, i FROM words JOIN found ON words.r = found.r AND i >= start + period AND i < start + length),
+collapsed AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS body FROM words ANTI JOIN dropped USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM texts LEFT JOIN lists USING (r) LEFT JOIN top USING (r) LEFT JOIN collapsed USING (r)""",
 }
