@@ -8,10 +8,10 @@ from functools import wraps
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodix.llm import decontaminate, dedup, licenses, ngram_join, packing, periodic_runs, pii, quality, token_files, toxicity, url_filter
+from periodix.llm import decontaminate, dedup, licenses, ngram_join, packing, periodic_runs, pii, quality, secret_scan, token_files, toxicity, url_filter
 from periodix.llm.sample import in_fold
 from periodix.llm.work import ship_package, work_folder
 
@@ -98,6 +98,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text: fixed patterns, and long runs that character Markov models take for random strings.
+
+    Null and empty texts have none; rows with null or repeated ids are judged row by row."""
+    found = secret_scan.scan(_table(spark, sf_dir, "documents"))
+    fixed = F.filter("spans", lambda s: s.kind != "markov")
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    def counted(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", counted("assign"), counted("access"), counted("hex"),
+        F.sha2(listed(fixed), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def _repeating(docs: DataFrame) -> DataFrame:
     """``docs`` where every tenth text, by crc32 of its id, repeats the words from a given one on, as the query's contract says."""
     words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
@@ -136,7 +154,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
         op1_url_filter, op2_ngram_jaccard_join, op3_license_scan, op4_benchmark_decontamination, op5_quality_classifier, op6_toxicity,
-        op7_pii_pseudonyms, op8_pattern_packing, op9_token_files, op10_exact_dedup, op13_periodic_runs)}
+        op7_pii_pseudonyms, op8_pattern_packing, op9_token_files, op10_exact_dedup, op12_secret_scan, op13_periodic_runs)}
 
 _WORDS4 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -178,6 +196,55 @@ crc_steps(id, rest, crc, bits) AS (
 crcs AS (SELECT id, xor(crc, CAST(4294967295 AS BIGINT)) AS h FROM crc_steps WHERE bits = 0 AND rest = '')"""
 
 
+def _secret_sql() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    S = secret_scan
+    located = " UNION ALL ".join(
+        f"SELECT r, {k} AS rank, '{kind}' AS kind, text, regexp_extract_all(text, {quoted(p)}) AS h, string_split_regex(text, {quoted(p)}) AS g FROM d"
+        for k, (kind, p) in enumerate(zip(S.KINDS, (S.ASSIGN, S.ACCESS, S.HEX, S.RUN))))
+    listed = "coalesce(string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, rank), '')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+located AS ({located}),
+hits AS (
+  SELECT r, rank, kind, h[k] AS value, list_sum(list_transform(g[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(h[1:k - 1], lambda x: length(x))), 0) AS start
+  FROM located, unnest(range(1, len(h) + 1)) AS u(k)),
+spans AS (SELECT *, start + length(value) AS stop FROM hits WHERE kind <> 'assign' OR length(regexp_extract(value, {quoted(S.ASSIGN)}, 2)) >= {S.ASSIGNED_LENGTH}),
+fixed AS (SELECT * FROM spans WHERE kind <> 'markov'),
+sampled AS (
+  SELECT doc_id, name FROM (SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS name FROM d WHERE doc_id IS NOT NULL) ORDER BY md5(name), name LIMIT {S.SAMPLE_IDS}),
+strings AS (
+  SELECT CASE kind WHEN 'assign' THEN regexp_extract(value, {quoted(S.ASSIGN)}, 2) ELSE value END AS value, true AS random FROM fixed
+  UNION ALL SELECT to_base64(unhex(sha256(name))), true FROM sampled
+  UNION ALL SELECT unnest(regexp_extract_all(text, {quoted(S.ORDINARY)})), false
+  FROM d JOIN sampled USING (doc_id) WHERE r NOT IN (SELECT r FROM fixed)),
+seen AS (
+  SELECT random, value[i] AS a, value[i + 1] AS b, count(*) AS n FROM strings, unnest(range(1, length(value))) AS u(i) GROUP BY ALL),
+letters AS (SELECT '{S.ALPHABET}'[i] AS c FROM range(1, {len(S.ALPHABET) + 1}) AS t(i)),
+smooth AS (
+  SELECT x.c AS a, y.c AS b, 1 + coalesce(p.n, 0) AS p, 1 + coalesce(q.n, 0) AS q
+  FROM letters AS x CROSS JOIN letters AS y LEFT JOIN seen AS p ON p.random AND p.a = x.c AND p.b = y.c LEFT JOIN seen AS q ON NOT q.random AND q.a = x.c AND q.b = y.c),
+weights AS (
+  SELECT a, b, CAST(round(1000 * (ln(p / sum(p) OVER w) - ln(q / sum(q) OVER w))) AS BIGINT) AS weight FROM smooth WINDOW w AS (PARTITION BY a)),
+runs AS (
+  SELECT row_number() OVER () AS m, * FROM spans AS s
+  WHERE kind = 'markov' AND NOT EXISTS (SELECT 1 FROM fixed AS f WHERE f.r = s.r AND f.start < s.stop AND s.start < f.stop)),
+scores AS (
+  SELECT m, sum(weight) AS score FROM (SELECT m, value[i] AS a, value[i + 1] AS b FROM runs, unnest(range(1, length(value))) AS u(i)) JOIN weights USING (a, b) GROUP BY m),
+kept AS (
+  SELECT r, rank, kind, start, stop FROM fixed
+  UNION ALL SELECT r, rank, kind, start, stop FROM runs JOIN scores USING (m) WHERE score >= {S.MARGIN} * (stop - start - 1)),
+base AS (
+  SELECT r, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+         count(*) FILTER (WHERE kind = 'hex') AS n_hex, {listed} AS listed FROM fixed GROUP BY r),
+every AS (SELECT r, {listed} AS listed FROM kept GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base.listed, '')) AS base_sha256, coalesce(every.listed, '') AS spans
+FROM d LEFT JOIN base USING (r) LEFT JOIN every USING (r)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_jaccard_join": r"""
 WITH RECURSIVE d AS (
@@ -216,6 +283,7 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept,
        sha256(body) AS text_sha256
 FROM n WINDOW g AS (PARTITION BY body)""",
+    "op12_secret_scan": _secret_sql(),
     "op13_periodic_runs": rf"""
 WITH RECURSIVE {_crc32_sql("SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL")},
 plain AS (
