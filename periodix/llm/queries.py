@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodix.llm import decontaminate, dedup, licenses, ngram_join, packing, periodic_runs, pii, quality, secret_scan, token_files, toxicity, url_filter
+from periodix.llm import decontaminate, dedup, licenses, ngram_join, packing, periodic_runs, pii, prefix_trie, quality, secret_scan, token_files, toxicity, url_filter
 from periodix.llm.sample import in_fold
 from periodix.llm.work import ship_package, work_folder
 
@@ -98,6 +98,23 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def _rebuilt(lists: DataFrame) -> DataFrame:
+    """Every conversation with its first turns taken from the one whose number is the next lower multiple of 20."""
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    heads = lists.where("conv_id % 20 = 0").select(F.col("conv_id").alias("base_id"), F.slice("turns", F.lit(1), F.lit(3)).alias("head"))
+    rows = lists.join(heads, F.col("conv_id") - F.col("conv_id") % 20 == F.col("base_id"), "left")
+    own = F.slice("turns", h + 1, F.greatest(F.size("turns") - h, F.lit(0)))
+    return rows.select("conv_id", F.when(F.col("head").isNull(), own).otherwise(F.concat(F.slice("head", F.lit(1), h), own)).alias("turns"))
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations, a row for each node.
+
+    Null turn numbers come first, equal ones in the order of their turns' digests; null roles and texts are empty; rows with
+    a null conversation id are left out; an empty table gives an empty result."""
+    return prefix_trie.prefix_trie(_rebuilt(prefix_trie.turn_lists(_table(spark, sf_dir, "conversations"))))
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole text: fixed patterns, and long runs that character Markov models take for random strings.
 
@@ -154,7 +171,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
         op1_url_filter, op2_ngram_jaccard_join, op3_license_scan, op4_benchmark_decontamination, op5_quality_classifier, op6_toxicity,
-        op7_pii_pseudonyms, op8_pattern_packing, op9_token_files, op10_exact_dedup, op12_secret_scan, op13_periodic_runs)}
+        op7_pii_pseudonyms, op8_pattern_packing, op9_token_files, op10_exact_dedup, op11_prefix_trie, op12_secret_scan, op13_periodic_runs)}
 
 _WORDS4 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -283,6 +300,34 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept,
        sha256(body) AS text_sha256
 FROM n WINDOW g AS (PARTITION BY body)""",
+    "op11_prefix_trie": rf"""
+WITH RECURSIVE {_crc32_sql("SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL")},
+turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+digests AS (
+  SELECT conv_id, turn, md5(concat(length(role), ':', role, text)) AS d, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM turns),
+texts AS (SELECT DISTINCT d, words FROM digests),
+lists AS (SELECT conv_id, list(d ORDER BY turn NULLS FIRST, d) AS own FROM digests GROUP BY conv_id),
+rebuilt AS (
+  SELECT l.conv_id, list_concat(coalesce(b.own[1:h % 4], []), l.own[h % 4 + 1:]) AS path
+  FROM lists AS l JOIN crcs ON id = l.conv_id LEFT JOIN lists AS b ON b.conv_id = l.conv_id - l.conv_id % 20),
+steps AS (
+  SELECT conv_id, CAST(d AS BIGINT) AS depth, len(path) AS whole, md5(array_to_string(path[1:d], '')) AS node, path[d] AS last,
+         CASE WHEN d > 0 THEN md5(array_to_string(path[1:d - 1], '')) END AS parent
+  FROM rebuilt, unnest(range(0, len(path) + 1)) AS u(d)),
+nodes AS (
+  SELECT node, any_value(depth) AS depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce((count(*) - 1) * max(words), 0) AS saved,
+         coalesce(string_agg(CASE WHEN depth = whole THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS ends
+  FROM steps LEFT JOIN texts ON d = last GROUP BY node),
+children AS (SELECT parent AS node, count(*) AS n FROM nodes GROUP BY parent),
+below AS (SELECT DISTINCT a.node AS top, b.node FROM steps AS a JOIN steps AS b ON a.conv_id = b.conv_id AND a.depth <= b.depth),
+subtrees AS (
+  SELECT top, CAST(sum(saved) AS BIGINT) AS saved_tokens, count(*) FILTER (WHERE c.n IS NULL) AS n_leaves
+  FROM below JOIN nodes USING (node) LEFT JOIN children AS c USING (node) GROUP BY top)
+SELECT x.conv_id, x.depth, p.conv_id AS parent_conv_id, x.n_convs, coalesce(c.n, 0) AS n_children, n_leaves, saved_tokens,
+       sha256(x.ends) AS ends_sha256
+FROM nodes AS x JOIN subtrees ON top = x.node LEFT JOIN nodes AS p ON p.node = x.parent LEFT JOIN children AS c ON c.node = x.node""",
     "op12_secret_scan": _secret_sql(),
     "op13_periodic_runs": rf"""
 WITH RECURSIVE {_crc32_sql("SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL")},
