@@ -36,7 +36,7 @@ ORDINARY = r"[A-Za-z0-9+/_=-]{4,}"
 #: Documents of at most so many ids, by md5 of the id, whose words are labelled ordinary; as many random strings are made.
 SAMPLE_IDS = 2000
 #: A run is a secret from so many thousandths of a nat a transition on.
-MARGIN = 1400
+MARGIN = 1000
 
 _CHUNK = 64
 
