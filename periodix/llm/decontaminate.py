@@ -6,12 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from periodix.llm.text import ALNUM, lower_ascii, mix, ngram_hashes, rows_of, runs, slices, word_hashes, word_spans
-from periodix.llm.work import without_ids, work_folder, written
+from periodix.llm.work import map_arrow, work_folder, written
 
 #: A shared span of this many words is contamination; shorter items count as a whole.
 WINDOW = 13
@@ -129,12 +131,12 @@ def _lists(values: pa.Array, row: np.ndarray, n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32)), values)
 
 
-def _scan(block: Broadcast, add: bool):
+def _scan(block: Broadcast, text_col: str, add: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench = block.value
         ids = pa.array([str(x) for x in bench.item_ids], pa.string())
         for batch in batches:
-            for first, end, words, first_word in hashed_words(batch.column("body")):
+            for first, end, words, first_word in hashed_words(pc.struct_field(batch.column("row"), text_col)):
                 n, part = end - first, batch.slice(first, end - first)
                 start, stop, item = bench.hits(words, first_word)
                 row = np.searchsorted(first_word, start, "right") - 1
@@ -154,9 +156,8 @@ def _scan(block: Broadcast, add: bool):
                     start, stop = start - first_word[row], stop - first_word[row]
                     items = pa.array([a + b for a, b in zip(part.column("items").to_pylist(), items.to_pylist())], pa.list_(pa.string()))
                 spans = pa.StructArray.from_arrays([pa.array(start, pa.int64()), pa.array(stop, pa.int64())], ["start", "end"])
-                columns = {"doc_id": part.column("doc_id"), "body": part.column("body"),
-                           "n_words": pa.array(np.diff(first_word), pa.int64()), "spans": _lists(spans, row, n), "items": items}
-                yield pa.RecordBatch.from_pydict(columns)
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(np.diff(first_word), pa.int64()), _lists(spans, row, n), items],
+                                                 ["row", "n_words", "spans", "items"])
     return scan
 
 
@@ -169,7 +170,7 @@ def _benchmark_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def blocks_of(benchmark: DataFrame, folder: str, block_words: int) -> Iterator[tuple[list, list[np.ndarray]]]:
     """The benchmark's items with words, hashed, in blocks of about ``block_words`` words."""
-    items = benchmark.select("item_id", "text").mapInArrow(_benchmark_words, f"item_id {benchmark.schema['item_id'].dataType.simpleString()}, words array<long>")
+    items = map_arrow(benchmark.where("item_id is not null").select("item_id", "text"), _benchmark_words, f"item_id {benchmark.schema['item_id'].dataType.simpleString()}, words array<long>")
     items = written(items.where("size(words) > 0"), folder, "benchmark")
     total = items.agg(F.sum(F.size("words"))).first()[0] or 0
     count = -(-total // block_words) if total else 0
@@ -180,6 +181,28 @@ def blocks_of(benchmark: DataFrame, folder: str, block_words: int) -> Iterator[t
         yield rows.column("item_id").to_pylist(), [flat[a - offsets[0]:b - offsets[0]] for a, b in zip(offsets, offsets[1:])]
 
 
+def _contamination(docs: DataFrame, benchmark: DataFrame, text_col: str, window: int, gram: int, block_words: int) -> DataFrame:
+    """(row, n_words, spans, items) for every row of ``docs``, whose columns are the fields of ``row``."""
+    folder = work_folder(docs.sparkSession)
+    done = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    schema = StructType([*done.schema.fields, *_found_fields()])
+    sc = docs.sparkSession.sparkContext
+    passes = 0
+    for ids, words in blocks_of(benchmark, folder, block_words):
+        if passes:
+            done = written(done, folder, f"pass-{passes}")
+        done = map_arrow(done, _scan(sc.broadcast(BenchmarkBlock(ids, words, window, gram)), text_col, passes > 0), schema)
+        passes += 1
+    if not passes:
+        done = map_arrow(done, _scan(sc.broadcast(BenchmarkBlock([], [], window, gram)), text_col, False), schema)
+    return done.withColumn("items", F.array_sort(F.array_distinct("items")))
+
+
+def _found_fields() -> list[StructField]:
+    span = StructType([StructField("start", LongType()), StructField("end", LongType())])
+    return [StructField("n_words", LongType()), StructField("spans", ArrayType(span)), StructField("items", ArrayType(StringType()))]
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   window: int = WINDOW, gram: int = GRAM, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Where documents repeat benchmark items: (doc_id, n_words, spans, items), one row per input row.
@@ -189,24 +212,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     Documents are never shuffled. The benchmark is read in blocks of about ``block_words`` words; a block's index
     is broadcast, and each further block makes one more pass over the documents, through a written table.
 
-    Null or empty texts have no words and no spans; items without words never occur. Repeated rows give repeated
-    results, and items with equal texts all occur. Empty tables give no rows or no spans. Other columns are
-    ignored. A single item longer than a block makes a block of its own.
+    Null or empty texts have no words and no spans; items without words never occur, and neither do items with a null
+    id. Repeated rows give repeated results, and items with equal texts all occur. Empty tables give no rows or no
+    spans. Other columns are ignored. A single item longer than a block makes a block of its own.
     """
-    folder = work_folder(docs.sparkSession)
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, body string, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
-    done = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
-    sc = docs.sparkSession.sparkContext
-    passes = 0
-    for ids, words in blocks_of(benchmark, folder, block_words):
-        if passes:
-            done = written(done, folder, f"pass-{passes}")
-        done = done.mapInArrow(_scan(sc.broadcast(BenchmarkBlock(ids, words, window, gram)), passes > 0), schema)
-        passes += 1
-    if not passes:
-        done = done.mapInArrow(_scan(sc.broadcast(BenchmarkBlock([], [], window, gram)), False), schema)
-    return done.drop("body").withColumn("items", F.array_sort(F.array_distinct("items")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
+    found = _contamination(rows, benchmark, "body", window, gram, block_words)
+    return found.select("row.doc_id", "n_words", "spans", "items")
 
 
 def judged(found: DataFrame) -> DataFrame:
@@ -216,7 +228,12 @@ def judged(found: DataFrame) -> DataFrame:
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without contaminated rows; all columns stay as they are."""
-    bad = judged(contamination(docs, benchmark, id_col, text_col)).where("contaminated").select("doc_id")
-    return without_ids(docs, id_col, bad, work_folder(docs.sparkSession))
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  window: int = WINDOW, gram: int = GRAM, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` without contaminated rows; all columns stay as they are, without a shuffle.
+
+    Each row is judged by its own text: of rows that share an id only the contaminated ones go, null ids included. Null
+    and empty texts stay; an empty table or benchmark drops nothing.
+    """
+    found = judged(_contamination(docs, benchmark, text_col, window, gram, block_words))
+    return found.where(~F.col("contaminated")).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from periodix.llm.work import without_ids, work_folder, written
+from periodix.llm.work import repeated_ids, work_folder, written
 
 
 def normalised(text: str) -> Column:
@@ -15,6 +15,15 @@ def normalised(text: str) -> Column:
     return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
+def _classes(keyed: DataFrame) -> DataFrame:
+    """(hash, text_sha256, keep_id, group_size) of each class of two or more rows of ``keyed`` (doc_id, body, hash), written."""
+    classes = (keyed.groupBy("hash", "body")
+               .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+               .where("group_size > 1"))
+    return written(classes.select("hash", F.sha2("body", 256).alias("text_sha256"), "keep_id", "group_size"),
+                   work_folder(keyed.sparkSession), "classes")
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      content_hash: Callable[[Column], Column] = F.md5) -> DataFrame:
     """Duplicate classes: (doc_id, keep_id, group_size, kept, text_sha256), one row per input row.
@@ -27,14 +36,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     other id. A row repeated with the same id and text is one document: all its copies carry the same verdict.
     An empty table gives an empty result; other columns are ignored.
     """
-    folder = work_folder(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), normalised(text_col).alias("body"))
     keyed = rows.select("doc_id", "body", content_hash(F.col("body")).alias("hash"))
-    classes = (keyed.groupBy("hash", "body")
-               .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-               .where("group_size > 1"))
-    classes = written(classes.select("hash", F.sha2("body", 256).alias("text_sha256"), "keep_id", "group_size"),
-                      folder, "classes")
+    classes = _classes(keyed)
     looked = keyed.select("doc_id", "hash", F.sha2("body", 256).alias("text_sha256"))
     found = looked.join(classes, ["hash", "text_sha256"], "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
@@ -43,9 +47,20 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_duplicates`` drops; all columns stay as they are.
+    """One row of ``docs`` for each class of equal texts, of those with the smallest id; all columns stay as they are.
 
-    Rows with a null id cannot be named, so they stay.
+    Rows are told apart by their texts, not by their ids: rows that share an id but not a text are judged on their own. Of
+    a row repeated with id and text one stays, a null id counts as larger than any other, and null and empty texts are one
+    class. An empty table gives an empty result.
     """
-    dropped = exact_duplicates(docs, id_col, text_col).where("not kept").select("doc_id")
-    return without_ids(docs, id_col, dropped, work_folder(docs.sparkSession))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.col(id_col).alias("doc_id"), normalised(text_col).alias("body"))
+    classes = _classes(rows.select("doc_id", "body", F.md5("body").alias("hash")))
+    rows = rows.select("row", "doc_id", F.md5("body").alias("hash"), F.sha2("body", 256).alias("text_sha256"))
+    found = rows.join(classes, ["hash", "text_sha256"], "left")
+    kept = found.where(F.col("group_size").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    if not repeated_ids(docs, id_col).isEmpty():  # a class may have several rows of its smallest id
+        kept = written(kept, work_folder(docs.sparkSession), "kept")
+        firsts = kept.where("group_size is not null").dropDuplicates(["hash", "text_sha256"])
+        kept = kept.where("group_size is null").select("row").unionAll(firsts.select("row"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

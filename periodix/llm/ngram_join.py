@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from periodix.llm.text import NOT_SPACE, lower_ascii, mix, ngram_hashes, rows_of, runs, slices, word_hashes, word_spans
-from periodix.llm.work import components, without_ids, work_folder, written
+from periodix.llm.work import components, map_arrow, repeated_ids, work_folder, written
 
 #: Shingles, and documents, that one tree holds on average at most; a family beyond that has several.
 TREE_SHINGLES = 3_000_000
@@ -360,7 +360,7 @@ def _verified(rule: Jaccard):
 def _links_within(members: DataFrame, rule: Jaccard) -> DataFrame:
     """Spanning links of the trees that ``members`` (doc_id, tree, label, probe, body) form."""
     rows = members.select("doc_id", "tree", "label", "probe", "body")
-    return rows.repartition("tree").sortWithinPartitions("tree", "doc_id").mapInArrow(_verified(rule), "a long, b long")
+    return map_arrow(rows.repartition("tree").sortWithinPartitions("tree", "doc_id"), _verified(rule), "a long, b long")
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Jaccard = Jaccard()) -> DataFrame:
@@ -378,14 +378,14 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     folder = work_folder(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
     schema = "doc_id long, n long, set_a long, set_b long"
-    real = rows.mapInArrow(_sizes(rule, True), schema + ", routes array<struct<key:long,code:int>>").where("n > 0 and doc_id is not null")
+    real = map_arrow(rows, _sizes(rule, True), schema + ", routes array<struct<key:long,code:int>>").where("n > 0 and doc_id is not null")
     # one document stands for all that have its set; copies combine before the shuffle
     sets = written(real.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.min_by("routes", "doc_id").alias("routes")),
                    folder, "sets")
     routed = sets.select(F.col("rep").alias("doc_id"), F.inline("routes"))
-    shared = written(routed.orderBy("key", "doc_id").mapInArrow(_counted, "doc_id long, key long, code int, count int"), folder, "shared")
+    shared = written(map_arrow(routed.orderBy("key", "doc_id"), _counted, "doc_id long, key long, code int, count int"), folder, "shared")
     kept = written(rarest_keys(shared), folder, "keys")
-    stars = written(kept.orderBy("key", "doc_id").mapInArrow(_stars, "a long, b long, key long"), folder, "stars")
+    stars = written(map_arrow(kept.orderBy("key", "doc_id"), _stars, "a long, b long, key long"), folder, "stars")
     joints = stars.where("key is not null").select("key", "a")
     joints = joints.join(joints.groupBy("key").agg(F.min("a").alias("b")), "key").select("a", "b")
     family = components(stars.where("key is null").select("a", "b").union(joints), folder, "family")
@@ -395,7 +395,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = components(links, folder, "links")
     same = sets.select("set_a", "set_b", "rep").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     same = written(same.select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id")), folder, "classes")
-    sizes = written(rows.mapInArrow(_sizes(rule, False), schema), folder, "sizes")
+    sizes = written(map_arrow(rows, _sizes(rule, False), schema), folder, "sizes")
     found = sizes.join(same, ["set_a", "set_b"], "left")
     alone = F.col("n").eqNullSafe(0) | F.col("doc_id").isNull()
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
@@ -450,6 +450,39 @@ def _family_links(family: DataFrame, docs: DataFrame, rule: Jaccard, folder: str
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Jaccard = Jaccard()) -> DataFrame:
-    """``docs`` with only the smallest id of each class of similar sets; all columns stay as they are."""
-    dropped = similar_sets(docs, id_col, text_col, rule).where("component_id <> doc_id").select("doc_id")
-    return without_ids(docs, id_col, dropped, work_folder(docs.sparkSession))
+    """One row of ``docs`` for each class of similar sets, of those with the smallest id; all columns stay as they are.
+
+    Rows are told apart by id and text: texts of ids that occur more than once, and of null ids, get numbers of their own
+    beyond the largest id, so texts that share an id are judged on their own. Of a row repeated with id and text one stays,
+    a null id counts as larger than any other, and rows without words all stay. An empty table gives an empty result.
+    """
+    folder = work_folder(docs.sparkSession)
+    key = F.col(f"`{id_col}`").cast("long")
+    repeated = written(repeated_ids(docs, id_col), folder, "repeated")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, key.alias("doc_id"), F.col(f"`{text_col}`").alias("body")).withColumn("node", F.col("doc_id"))
+    several = not repeated.isEmpty()
+    if several:
+        digest = F.md5(F.coalesce("body", F.lit("")))
+        texts = rows.join(repeated.withColumnRenamed("doc_id", "again"), F.col("doc_id").eqNullSafe(F.col("again")))
+        texts = texts.select("again", digest.alias("digest")).distinct()
+        most = docs.agg(F.max(key).alias("most")).first()["most"] or 0
+        named = written(texts.withColumn("own", F.monotonically_increasing_id() + F.lit(most + 1)), folder, "named")
+        rows = rows.join(named, F.col("doc_id").eqNullSafe(F.col("again")) & (digest == F.col("digest")), "left")
+        rows = rows.select("row", "doc_id", "body", F.coalesce("own", "doc_id").alias("node"), F.col("own").isNotNull().alias("again"))
+    found = similar_sets(rows, "node", "body", rule).where("n_shingles > 0")
+    if not several:  # a component's number is its smallest id
+        dropped = written(found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct(), folder, "dropped")
+        kept = rows.join(dropped, F.col("node") == F.col("gone"), "left_anti")
+    else:
+        ids = named.select(F.col("again").alias("real"), F.col("own").alias("doc_id"))
+        nodes = found.select("doc_id", "component_id").distinct().join(ids, "doc_id", "left")
+        real = F.when(F.col("doc_id") <= F.lit(most), F.col("doc_id")).otherwise(F.col("real"))
+        nodes = written(nodes.select("component_id", F.struct(real.isNull().alias("none"), real.alias("real"), F.col("doc_id").alias("node")).alias("name")), folder, "nodes")
+        best = nodes.groupBy("component_id").agg(F.min("name").alias("best"))
+        dropped = nodes.join(best, "component_id").where("name <> best").select(F.col("name.node").alias("gone"))
+        kept = rows.join(written(dropped, folder, "dropped"), F.col("node") == F.col("gone"), "left_anti")
+        worded = F.regexp_count(F.coalesce("body", F.lit("")), F.lit(r"[^\x20\x09-\x0D]")) > 0
+        kept = written(kept, folder, "kept")  # read twice
+        kept = kept.where(~(F.col("again") & worded)).unionAll(kept.where(F.col("again") & worded).dropDuplicates(["node"]))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from periodix.llm.text import NOT_SPACE, rows_of, runs, slices, word_spans
+from periodix.llm.work import map_arrow
 
 #: 15 * 2**27 + 1, a prime with roots of unity for windows of up to 2**27 words; 31 generates its units.
 PRIME, GENERATOR = 2013265921, 31
@@ -243,4 +244,4 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(search, f"doc_id {kind}, n_words bigint, runs {RUNS}, top int, collapsed string")
+    return map_arrow(rows, search, f"doc_id {kind}, n_words bigint, runs {RUNS}, top int, collapsed string")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from periodix.llm.text import runs
-from periodix.llm.work import work_folder, written
+from periodix.llm.work import map_arrow, work_folder, written
 
 #: Turns of a shard, about; its trie takes some hundred bytes a turn.
 SHARD_TURNS = 1 << 16
@@ -345,11 +345,11 @@ def prefix_trie(lists: DataFrame, shard_turns: int = SHARD_TURNS) -> DataFrame:
     rows = written(lists.select("conv_id", path.alias("path"), F.transform("turns", lambda t: t.words.cast("long")).alias("words")), folder, "paths")
     turns = rows.agg(F.sum(F.size("words") + 1).alias("n")).first()["n"] or 0
     sorted_rows = rows.repartitionByRange(max(1, -(-turns // shard_turns)), "path", "conv_id").sortWithinPartitions("path", "conv_id")
-    parts = written(sorted_rows.mapInArrow(_shard, SHARD_SCHEMA), folder, "shards")
+    parts = written(map_arrow(sorted_rows, _shard, SHARD_SCHEMA), folder, "shards")
     spines = parts.where("kind = 'spine'").select("path", "words", *_SIDES)
-    spine = written(spines.repartition(1).mapInArrow(_merge_spines, _SPINE_SCHEMA), folder, "spines")
+    spine = written(map_arrow(spines.repartition(1), _merge_spines, _SPINE_SCHEMA), folder, "spines")
     texts = parts.where("kind = 'ends'").select("key", "shard", "ids").repartition("key").sortWithinPartitions("key", "shard")
-    digests = texts.mapInArrow(_end_digests, "key binary, ends_sha256 string")
+    digests = map_arrow(texts, _end_digests, "key binary, ends_sha256 string")
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     spine_rows = spine.join(digests, "key", "left").withColumn("ends_sha256", F.coalesce("ends_sha256", F.lit(_EMPTY_SHA))).select(*columns)
     above = spine.select(F.col("key").alias("parent_key"), F.col("conv_id").alias("_above"))

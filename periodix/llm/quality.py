@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from periodix.llm.sample import labelled
 from periodix.llm.text import NOT_SPACE, byte_class, lower_ascii, mix, rows_of, segment_sum, slices, word_hashes, word_spans
+from periodix.llm.work import map_arrow
 
 FEATURES = ["log_bytes", "log_words", "upper", "digits", "punctuation", "symbols", "pipes", "non_ascii", "word_length",
             "longest_word", "words_per_line", "log_lines", "distinct_words", "repeated_words", "top_word",
@@ -217,7 +218,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "d
     Spark computes the features; the driver fits those of the bounded sample. Null labels are ignored.
     """
     rows = labelled(docs, labels, id_col, text_col, label_col, held_out, fit_rows).select("label", "text")
-    sample = rows.mapInArrow(_features_of, "label int, x array<double>").toArrow()
+    sample = map_arrow(rows, _features_of, "label int, x array<double>").toArrow()
     x = sample.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
     y = sample.column("label").to_numpy()
     order = np.lexsort((*x.T, y))  # a fixed order, whatever order the rows came in
@@ -239,5 +240,5 @@ def score(docs: DataFrame, model: AdditiveModel, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, end - first), pa.array(p)], ["doc_id", "score"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    out = rows.mapInArrow(scored, f"doc_id {docs.schema[id_col].dataType.simpleString()}, score double")
+    out = map_arrow(rows, scored, f"doc_id {docs.schema[id_col].dataType.simpleString()}, score double")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from periodix.llm import decontaminate, dedup, licenses, ngram_join, packing, periodic_runs, pii, prefix_trie, quality, secret_scan, token_files, toxicity, url_filter
 from periodix.llm.sample import in_fold
-from periodix.llm.work import ship_package, work_folder
+from periodix.llm.work import map_arrow, ship_package, work_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,7 +70,7 @@ def tokenizer_path() -> str:
 
 
 def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+    packed = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
@@ -89,7 +89,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{work_folder(spark)}/token-files"
     token_files.write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer_path())
     read = token_files.read_token_files(spark, path)
-    read = read.mapInArrow(_checksums, "shard int, chunk int, doc_id long, chunk_start long, n_tokens long, ids_crc32 long")
+    read = map_arrow(read, _checksums, "shard int, chunk int, doc_id long, chunk_start long, n_tokens long, ids_crc32 long")
     index = token_files.chunk_index(spark, path).select("shard", "chunk", "start")
     return read.join(index, ["shard", "chunk"]).select("doc_id", (F.col("start") + F.col("chunk_start")).alias("start"), "n_tokens", "ids_crc32")
 

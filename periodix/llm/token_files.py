@@ -18,7 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from periodix.llm.tokens import ChunkEncoder, encoded
+from periodix.llm.tokens import PieceEncoder, encoded
+from periodix.llm.work import map_arrow
 
 #: Ids per block; the last of a chunk may be shorter.
 BLOCK_IDS = 1 << 16
@@ -81,7 +82,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number, start = TaskContext.get().partitionId(), 0, 0
-        encoder = ChunkEncoder(tokenizer)
+        encoder = PieceEncoder(tokenizer)
         doc_ids: list[int | None] = []
         lengths: list[np.ndarray] = []
         held: list[np.ndarray] = []
@@ -116,7 +117,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(chunks, CHUNK_SCHEMA).write.option("compression", "uncompressed").parquet(path)
+    map_arrow(rows, chunks, CHUNK_SCHEMA).write.option("compression", "uncompressed").parquet(path)
 
 
 ARROW = pa.schema([("shard", pa.int32()), ("chunk", pa.int32()), ("first_id", pa.int64()), ("shard_start", pa.int64()), ("n_ids", pa.int64()),
@@ -152,4 +153,4 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     "ids": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.view(np.int32)))})
 
     rows = spark.read.schema(CHUNK_SCHEMA).parquet(path)
-    return rows.mapInArrow(documents, "shard int, chunk int, doc_id long, chunk_start long, ids array<int>")
+    return map_arrow(rows, documents, "shard int, chunk int, doc_id long, chunk_start long, ids array<int>")

@@ -1,125 +1,166 @@
 """Whole texts to token ids, by a public tokenizer file, with the repeated work of a task kept.
 
-A tokenizer file whose normaliser and splitter treat white-space-separated chunks on their own gives a text the ids
-of its chunks, one after the other. Most chunks of a corpus repeat, so a task encodes each distinct one once.
+Where a tokenizer's normaliser and splitter are the known ones below, a text's ids are those of its pieces, one after the
+other: runs of letters, runs of punctuation and single digits between white space. Pieces are cut and numbered in Arrow and
+numpy, and a task encodes each distinct one once. Chunks with other characters, and all texts of any other tokenizer, go
+through the tokenizer itself.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
-import re
-from array import array
+from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 
-from periodix.llm.text import runs
+from periodix.llm.text import NOT_SPACE, lower_ascii, runs, slices, word_spans
 
-#: Chunks whose ids a task keeps, and runs that a worker keeps. Beyond that chunks seen once go, and the rarer half;
-#: runs start anew.
-KEPT_CHUNKS = 300_000
+#: Pieces whose ids a task keeps, and their bytes together; beyond either, pieces used once go, and the rarer half.
+KEPT_PIECES = 200_000
+KEPT_BYTES = 8 << 20
+#: Longer pieces are not kept.
+LONG_PIECE = 64
 #: Texts are encoded this many bytes at a time; one longer text goes alone.
 STEP_BYTES = 1 << 20
 
-_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[!-&(-/:;=-@\[-`{-~]+")
-_WHOLE = re.compile(f"(?:{_PLAIN.pattern})+")
+# The normaliser and the splitter that allow a text to be cut into pieces.
+NORMALISERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+LETTER, DIGIT, SIGN, OTHER = range(4)
+_KIND = np.full(256, OTHER, np.uint8)
+_KIND[33:127] = SIGN
+_KIND[48:58] = DIGIT
+_KIND[97:123] = LETTER
+_KIND[[39, 60]] = OTHER  # apostrophes may begin an ending of their own, and '<' a special token
+
+
+def cuts_into_pieces(spec: dict) -> bool:
+    """Whether the tokenizer of this file gives a text the ids of its pieces, one after the other."""
+    normal, split, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    parts = split.get("pretokenizers") or [{}]
+    level = parts[-1]
+    return (normal.get("type") == "Sequence" and normal.get("normalizers") == NORMALISERS
+            and split.get("type") == "Sequence" and len(parts) == 2 and parts[0].get("type") == "Split"
+            and parts[0].get("pattern") == {"Regex": SPLITTER} and parts[0].get("behavior") == "Removed" and parts[0].get("invert") is True
+            and level.get("type") == "ByteLevel" and not level.get("add_prefix_space") and level.get("use_regex") is False
+            and model.get("type") == "BPE" and not model.get("dropout") and not spec.get("truncation") and not spec.get("padding")
+            and all("<" in t["content"] for t in spec.get("added_tokens") or []))
 
 
 @functools.cache
 def _loaded(path: str):
-    """Once per Python worker: the tokenizer, how its byte-level splitter writes each character of a plain chunk, and
-    the ids of runs seen so far."""
+    """Once per Python worker: the tokenizer, and how its byte-level splitter writes each character of a piece, or None."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
-    if any("<" not in t.content for t in tokenizer.get_added_tokens_decoder().values()):
-        raise ValueError("special tokens must contain '<', which keeps them out of plain chunks")
+    with open(path, encoding="utf-8") as file:
+        if not cuts_into_pieces(json.load(file)):
+            return tokenizer, None
     level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    return tokenizer, {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(33, 256) if _PLAIN.fullmatch(chr(c))}, {}
-
-
-class ChunkEncoder:
-    """Ids of texts by ``tokenizers`` from the file at ``path``, without special tokens being added.
-
-    One per task: the chunks it keeps go when the task ends; runs of letters stay with the Python worker.
-    """
-
-    runs: dict[str, bytes]
+    return tokenizer, {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(33, 256) if c < 127 or c >= 192}
+
+
+def pieces_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(pieces, lower-cased; whether each goes through the tokenizer; the first piece of each text, and the end)."""
+    starts, ends, first_word = word_spans(raw, offsets, NOT_SPACE)
+    low = lower_ascii(raw)
+    kind = _KIND[low]
+    lead = np.flatnonzero(low[:-1] == 0xC3)  # Latin letters of two bytes, but the signs of multiplication and division
+    lead = lead[(low[lead + 1] != 0x97) & (low[lead + 1] != 0xB7)]
+    kind[lead] = kind[lead + 1] = LETTER
+    capital = lead[low[lead + 1] <= 0x9E] + 1
+    low[capital] += 0x20
+    inside = NOT_SPACE[raw]
+    size = ends - starts
+    word_at = np.concatenate([[0], np.cumsum(size)])
+    packed, kind = low[inside], kind[inside]
+    odd = np.concatenate([[0], np.cumsum(kind == OTHER)])
+    whole = np.repeat(odd[word_at[1:]] > odd[word_at[:-1]], size)
+    packed[whole] = raw[inside][whole]
+    kind[whole] = OTHER
+    new = np.empty(len(packed), bool)
+    if len(new):
+        new[0] = True
+        new[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    new[word_at[:-1]] = True
+    at = np.flatnonzero(new)
+    first = np.searchsorted(at, word_at[first_word])
+    column = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(packed)).astype(np.int64)), pa.py_buffer(packed)])
+    return column, kind[at] == OTHER, first
+
+
+class PieceEncoder:
+    """Ids of texts by ``tokenizers`` from the file at ``path``, without special tokens being added. One per task."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.spelled, self.runs = _loaded(path)
+        self.tokenizer, self.spelled = _loaded(path)
         self.model = self.tokenizer.model
         self.number: dict[bytes, int] = {}
+        self.key_bytes = 0
         self.start = np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
         self.uses = np.zeros(0, np.int64)
 
     def _forget_rare(self) -> None:
         keep = np.flatnonzero(self.uses > 1)
-        keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[:KEPT_CHUNKS // 2]])
-        chunks = list(self.number)  # in the order of their numbers
-        self.number = {chunks[i]: k for k, i in enumerate(keep.tolist())}
+        keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[:KEPT_PIECES // 2]])
+        known = list(self.number)  # in the order of their numbers
+        keep = np.array([i for i in keep.tolist() if len(known[i]) < LONG_PIECE], np.int64)
+        self.number = {known[i]: k for k, i in enumerate(keep.tolist())}
+        self.key_bytes = sum(map(len, self.number))
         length = self.start[keep + 1] - self.start[keep]
         self.pool = self.pool[runs(self.start[keep], length)]
         self.start = np.concatenate([[0], np.cumsum(length)])
         self.uses = self.uses[keep]
 
-    def _run(self, run: str) -> bytes:
-        """Ids of a lower-case run of letters or of punctuation, as the bytes of 32-bit integers."""
-        ids = self.runs.get(run)
-        if ids is None:
-            ids = self.runs[run] = array("I", [t.id for t in self.model.tokenize(run.translate(self.spelled))]).tobytes()
-        return ids
-
-    def _chunk(self, chunk: bytes) -> bytes:
-        """Ids of a chunk: plain ones by their runs of letters and of punctuation, others by the whole tokenizer."""
-        text = chunk.decode()
-        if text.isascii() and text.isalpha():
-            return self._run(text.lower())
-        if not _WHOLE.fullmatch(text):
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self._run, _PLAIN.findall(text.lower())))
-
-    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    def _ids(self, piece: bytes, whole: bool) -> list[int]:
+        text = piece.decode()
+        if whole:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return [t.id for t in self.model.tokenize(text.translate(self.spelled))]
+
+    def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, how many each text has)."""
-        if len(self.number) > KEPT_CHUNKS:
+        if self.spelled is None:
+            texts = [raw[a:b].tobytes().decode() for a, b in zip(offsets, offsets[1:])]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
+        if len(self.number) > KEPT_PIECES or self.key_bytes > KEPT_BYTES:
             self._forget_rare()
-        if len(self.runs) > KEPT_CHUNKS:
-            self.runs.clear()
-        words = [t.split() if t else [] for t in texts]
-        flat = [w for row in words for w in row]
-        number = self.number
-        fresh = [w for w in dict.fromkeys(flat) if w not in number]
-        if fresh:
-            lists = [self._chunk(w) for w in fresh]
-            number.update(zip(fresh, range(len(number), len(number) + len(fresh))))
-            lengths = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        column, whole, first = pieces_of(raw, offsets)
+        coded = column.dictionary_encode()
+        index, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        number = np.array(list(map(self.number.get, distinct, repeat(-1))), np.int64)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            kind = np.zeros(len(distinct), bool)
+            kind[index] = whole
+            fresh, known = [distinct[i] for i in new.tolist()], len(self.number)
+            lists = list(map(self._ids, fresh, kind[new].tolist()))
+            number[new] = np.arange(known, known + len(fresh))
+            self.number.update(zip(fresh, range(known, known + len(fresh))))
+            self.key_bytes += sum(map(len, fresh))
+            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
             self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths)])
-            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(lists), np.uint32)])
-        at = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
-        self.uses = np.bincount(at, minlength=len(number)) + np.pad(self.uses, (0, len(number) - len(self.uses)))
+            self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum()))])
+            self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
+        self.uses[number] += np.bincount(index, minlength=len(distinct))
+        at = number[index]
         length = self.start[at + 1] - self.start[at]
-        ends = np.cumsum(length)
-        ids = self.pool[runs(self.start[at], length)]
-        words_before = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
-        ids_before = np.concatenate([[0], ends])[words_before]
-        return ids, np.diff(ids_before)
+        before = np.concatenate([[0], np.cumsum(length)])
+        return self.pool[runs(self.start[at], length)], np.diff(before[first])
 
 
-def encoded(texts: pa.Array, encoder: ChunkEncoder, end_id: int):
+def encoded(texts: pa.Array, encoder: PieceEncoder, end_id: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, ids, ids of each text) for steps of texts, each text closed by ``end_id``."""
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_binary())
-    size = np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]) if len(texts) else np.zeros(0, np.int64)
-    before = np.concatenate([[0], np.cumsum(size)])
-    first = 0
-    while first < len(texts):
-        end = max(first + 1, int(np.searchsorted(before, before[first] + STEP_BYTES, "right")) - 1)
-        ids, count = encoder.encode(texts.slice(first, end - first).to_pylist())
+    for first, end, raw, offsets in slices(texts, STEP_BYTES):
+        ids, count = encoder.encode(raw, offsets)
         closed = np.full(len(ids) + len(count), end_id, np.uint32)
         closed[np.arange(len(ids)) + np.repeat(np.arange(len(count)), count)] = ids
         yield first, end, closed, count + 1
-        first = end

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from periodix.llm.sample import labelled
 from periodix.llm.text import ALNUM, lower_ascii, rows_of, slices, word_hashes, word_spans
+from periodix.llm.work import map_arrow
 
 #: Identity terms by group; a term is swapped for the others of its group and for the neutral ones.
 IDENTITY_TERMS = {
@@ -200,7 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "d
     Word hashes of that bounded sample are fitted on the driver. Null labels are ignored, a null text has no words.
     """
     rows = labelled(docs, labels, id_col, text_col, label_col, held_out, fit_rows).select("label", "text")
-    sample = rows.mapInArrow(_sentences, "label int, words array<long>, sentences array<array<long>>").toArrow()
+    sample = map_arrow(rows, _sentences, "label int, words array<long>, sentences array<array<long>>").toArrow()
     texts = sample.column("words").combine_chunks()
     flat, offsets = texts.flatten().to_numpy().view(np.uint64), np.asarray(texts.offsets)
     words = [flat[a - offsets[0]:b - offsets[0]] for a, b in zip(offsets, offsets[1:])]
@@ -233,11 +234,15 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    scored = rows.mapInArrow(_scorer(shared, "text"), f"doc_id {kind}, score double")
+    scored = map_arrow(rows, _scorer(shared, "text"), f"doc_id {kind}, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score under 0.5, with all their columns, in one pass and without a shuffle."""
+    """The rows of ``docs`` that score under 0.5, with all their columns, in one pass and without a shuffle.
+
+    Each row is judged by its whole text, whatever its id. Null and empty texts score what the bias says; equal rows stay or
+    go together; an empty table stays empty.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_scorer(shared, text_col, keep=True), docs.schema)
+    return map_arrow(docs, _scorer(shared, text_col, keep=True), docs.schema)

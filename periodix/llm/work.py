@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -34,13 +37,32 @@ def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def without_ids(docs: DataFrame, id_col: str, dropped: DataFrame, folder: str) -> DataFrame:
-    """``docs`` without the rows whose id is in the one column of ``dropped``; rows with a null id stay.
+def repeated_ids(docs: DataFrame, id_col: str) -> DataFrame:
+    """(doc_id): the ids of more than one row, and null where a row has no id."""
+    ids = docs.groupBy(F.col(f"`{id_col}`").alias("doc_id")).agg(F.count(F.lit(1)).alias("n"))
+    return ids.where("n > 1 or doc_id is null").select("doc_id")
 
-    The ids are written first, so Spark knows their size: it broadcasts few and shuffles many.
-    """
-    ids = written(dropped.toDF("__dropped").where("__dropped is not null").distinct(), folder, "dropped")
-    return docs.join(ids, docs[id_col] == ids["__dropped"], "left_anti")
+
+def released(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task over Arrow batches that gives freed memory back to the system when it ends, so that a worker which goes on
+    to other stages does not keep the largest of each."""
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            import ctypes
+
+            import pyarrow as pa
+
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not every system's C library can
+                ctypes.CDLL(None).malloc_trim(0)
+    return run
+
+
+def map_arrow(rows: DataFrame, task: Callable[[Iterator], Iterator], schema: str | StructType) -> DataFrame:
+    """``rows.mapInArrow`` with a task that is ``released``."""
+    return rows.mapInArrow(released(task), schema)
 
 
 def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
@@ -71,8 +93,16 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
                         folder, f"{name}-{turn}")
 
 
+#: Rows that Spark hands to Python at a time; whole texts make larger batches costly in memory.
+BATCH_ROWS = 2000
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Sends this library to the executors, as ``--py-files`` would, unless the session has it already."""
+    """Sends this library to the executors, as ``--py-files`` would, unless the session has it already, and bounds Arrow
+    batches to ``BATCH_ROWS`` unless the session's bound is lower."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
+        spark.conf.set(batch, str(BATCH_ROWS))
     root = Path(__file__).resolve().parents[1]
     sources = sorted(root.rglob("*.py"))
     digest = hashlib.sha256(b"".join(p.read_bytes() for p in sources)).hexdigest()[:16]

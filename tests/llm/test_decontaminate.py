@@ -65,4 +65,15 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert found(odd_docs, bench.where("false")) == brute(TEXTS, [], 13)
     clean = decontaminate(odd_docs, bench)
     assert clean.columns == odd_docs.columns
-    assert sorted((r.doc_id for r in clean.select("doc_id").collect()), key=str) == sorted([4, 5, 6, 10, 11, 12, None, None], key=str)
+    assert sorted((r.doc_id for r in clean.select("doc_id").collect()), key=str) == sorted([4, 5, 6, 10, 11, 12, None], key=str)
+
+
+def test_rows_that_share_an_id_and_items_without_one(spark):
+    passage = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(5, passage, 1), (5, "clean words", 2), (None, passage, 3), (None, None, 4)], "doc_id long, text string, spans int")
+    bench = spark.createDataFrame([(1, passage), (None, "clean words")], "item_id long, text string")
+    kept = decontaminate(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == [(5, "clean words", 2), (None, None, 4)]
+    items = {tuple(r["items"]) for r in contamination(docs, bench).collect()}
+    assert items == {("1",), ()}

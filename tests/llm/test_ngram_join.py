@@ -125,4 +125,11 @@ def test_odd_rows(odd_docs, no_docs):
     assert similar_sets(no_docs, rule=rule).count() == 0
     kept = one_of_each(odd_docs, rule=rule)
     assert kept.columns == odd_docs.columns
-    assert sorted((r.doc_id for r in kept.select("doc_id").collect()), key=str) == sorted([1, 4, 5, 6, 7, 9, 10, 12, None, None], key=str)
+    assert sorted((r.doc_id for r in kept.select("doc_id").collect()), key=str) == sorted([1, 4, 5, 6, 7, 9, 10, 12, None], key=str)
+
+
+def test_rows_that_share_an_id_are_told_apart(spark):
+    a, b, c = ("alpha beta gamma delta", "one two three four", "red green blue grey")
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, c), (None, b), (None, "x y z"), (None, "x y z"), (8, ""), (8, None)]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), rule=Jaccard(3, 90))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, a), (5, b), (7, c), (None, "x y z"), (8, ""), (8, None)], key=str)

@@ -16,25 +16,26 @@ from periodix.llm.ngram_join import Jaccard
 from periodix.llm.queries import ORACLE_SQL, QUERIES
 from periodix.llm.sample import in_fold
 from tests.conftest import SF_SMALL
+from tests.llm.conftest import TEXTS
 from tests.llm.test_decontaminate import brute as contaminated
 from tests.llm.test_ngram_join import brute as components
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     want = con.execute(ORACLE_SQL[name])
     columns = [c[0] for c in want.description]
     got = QUERIES[name](spark, SF_SMALL)
     assert sorted(got.columns) == sorted(columns)
-    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(want.fetchall())
+    assert sorted(map(tuple, got.select(*columns).collect()), key=str) == sorted(want.fetchall(), key=str)
 
 
 def test_pipeline_stages(spark, tmp_path):
@@ -71,3 +72,34 @@ def test_pipeline_stages(spark, tmp_path):
         assert sorted(r.doc_id for r in out.select("doc_id").collect()) == sorted(kept)
         assert {r.doc_id: r.text for r in out.select("doc_id", "text").collect()} == {i: rows[i] for i in kept}
         docs = out
+
+
+def test_stages_on_odd_rows(spark, odd_docs, no_docs, tmp_path):
+    """Rows that share an id, equal rows, nulls and an empty table through every stage."""
+    passage = " ".join(f"w{i}" for i in range(20))
+    texts = TEXTS + [(5, "a text of its own under an id that is taken"), (21, passage), (21, passage + " and so on " * 200), (None, "nobody's words, said once")]
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("labels", "benchmark"):
+        table = spark.read.parquet(f"{SF_SMALL}/{name}.parquet")
+        if name == "benchmark":
+            table = table.union(spark.createDataFrame([(10**6, passage), (None, "one two")], table.schema))
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        none = stage(spark, docs.where("false"), str(tmp_path))
+        out = spark.read.parquet(f"{tmp_path}/{name}")
+        assert none.count() == 0 and none.columns == out.columns
+        if name != "best_fit_packing":
+            assert out.columns == docs.columns
+            docs = out
+        kept[name] = sorted(map(tuple, out.select("doc_id", *(["text"] if "text" in out.columns else [])).collect()), key=str)
+    assert len(kept["toxicity"]) == len(texts)
+    texts = kept["exact_dedup"]
+    assert (5, "a text of its own under an id that is taken") in texts and (None, "nobody's words, said once") in texts
+    assert [i for i, t in texts if t == "one"] == [7] and [i for i, t in texts if not t] == [4] and len(texts) == 14
+    near = kept["ngram_jaccard_join"]
+    assert set(near) <= set(texts) and [i for i, t in near if t and t.startswith("word0x0")] == [10]
+    clean = kept["benchmark_decontamination"]
+    assert set(near) - set(clean) == {(21, passage)} and (21, passage + " and so on " * 200) in clean
+    assert sorted({i for i, in kept["best_fit_packing"]}, key=str) == sorted({i for i, _ in clean}, key=str)

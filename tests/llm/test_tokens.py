@@ -1,7 +1,11 @@
+import bisect
+import json
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -23,13 +27,13 @@ def ids_of(text):
 
 def split(texts):
     out = []
-    for _, _, ids, count in tokens.encoded(pa.array(texts, pa.string()), tokens.ChunkEncoder(PATH), 1):
+    for _, _, ids, count in tokens.encoded(pa.array(texts, pa.string()), tokens.PieceEncoder(PATH), 1):
         out += [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])]
     return out
 
 
 def test_encoder_gives_the_tokenizers_ids(monkeypatch):
-    monkeypatch.setattr(tokens, "KEPT_CHUNKS", 50)  # forgets often
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 50)  # forgets often
     monkeypatch.setattr(tokens, "STEP_BYTES", 100)
     texts = [t for _, t in TEXTS] + ["<|endoftext|> a<|startoftext|>b", "İstanbul ΑΣ ﬁ Ǆ é é", "a\x1cb\x85c\xa0d", "we've I'LL 's ''", "x\0y ²³ ½ 12ab 3.5"]
     assert split(texts) == [ids_of(t) for t in texts]
@@ -114,3 +118,48 @@ def test_pack(spark, odd_docs, no_docs):
     for (s, o, n), (s2, o2, _) in zip(places, places[1:]):
         assert (s2 > s and o2 == 0) or (s2 == s and o2 == o + n)
     assert pack(no_docs, PATH).count() == 0
+
+
+def best_fit_decreasing(lengths, capacity):
+    """Sequences that best-fit decreasing needs."""
+    rooms, sequences = [], 0
+    for length in sorted(lengths, reverse=True):
+        i = bisect.bisect_left(rooms, length)
+        if i == len(rooms):
+            sequences += 1
+            room = capacity - length
+        else:
+            room = rooms.pop(i) - length
+        if room:
+            bisect.insort(rooms, room)
+    return sequences
+
+
+def corpus_lengths():
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").combine_chunks()
+    return [min(4096, n) for _, _, _, count in tokens.encoded(texts, tokens.PieceEncoder(PATH), 1) for n in count.tolist()]
+
+
+RNG = np.random.default_rng(4)
+
+
+@pytest.mark.parametrize("lengths", [
+    pytest.param(corpus_lengths, id="corpus"), pytest.param(lambda: RNG.integers(1, 4097, 8000).tolist(), id="uniform"),
+    pytest.param(lambda: RNG.lognormal(6, 1, 20000).clip(1, 4096).astype(int).tolist(), id="log-normal"),
+    pytest.param(lambda: RNG.integers(1300, 1500, 3000).tolist(), id="narrow"), pytest.param(lambda: [4096] * 5 + [1] * 7, id="few"), pytest.param(lambda: [], id="none")])
+def test_no_more_sequences_than_best_fit_decreasing(lengths):
+    lengths = lengths()
+    plan = plan_histogram(dict(Counter(lengths)))
+    assert plan.sequences <= best_fit_decreasing(lengths, 4096)
+    assert plan.count.sum() == len(lengths)
+
+
+def test_other_tokenizers_go_whole():
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert not tokens.cuts_into_pieces(json.load(open(other))) and tokens.cuts_into_pieces(json.load(open(PATH)))
+    whole = Tokenizer.from_file(other)
+    texts = ["Ab  cd\n\tEF", "", "é ünï 12", None]
+    got = []
+    for _, _, ids, count in tokens.encoded(pa.array(texts, pa.string()), tokens.PieceEncoder(other), 7):
+        got += [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])]
+    assert got == [[*whole.encode(t or "", add_special_tokens=False).ids, 7] for t in texts]
