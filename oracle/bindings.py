@@ -229,7 +229,7 @@ VIEWS["1_c__technique_workers"] = f"""
              ELSE concat('C', CAST(l_suppkey AS VARCHAR)) END AS contragent_value,
         concat('RES-', min(l_returnflag)) AS res_name,
         concat('RC-', min(l_returnflag)) AS res_code,
-        sum(l_quantity) AS hours
+        CAST(sum(CAST(l_quantity * (1 - l_tax) AS DECIMAL(18,4))) AS DECIMAL(18,4)) AS hours
     FROM lineitem
     WHERE l_returnflag <> 'A'
     GROUP BY l_orderkey, l_suppkey
@@ -244,8 +244,8 @@ VIEWS["1_c__norm_workload"] = f"""
         concat('S', CAST(l_suppkey AS VARCHAR)) AS analytics_value,
         concat('Part ', CAST(l_partkey AS VARCHAR)) AS res_spider_name,
         {_NORM_CODE} AS res_spider_code,
-        CASE WHEN l_discount = 0 THEN 0.0 ELSE l_quantity * 1.25::DOUBLE END AS fact_workload,
-        l_quantity AS norm_workload,
+        CAST(CASE WHEN l_discount = 0 THEN 0 ELSE l_quantity * (1.26::DOUBLE - l_tax) END AS DECIMAL(18,4)) AS fact_workload,
+        CAST(l_quantity * (1 - l_discount) AS DECIMAL(18,4)) AS norm_workload,
         (l_tax > 0.04::DOUBLE) AS nt_res
     FROM lineitem
     WHERE l_returnflag <> 'N'

@@ -4,6 +4,7 @@ HAVING, mismatch counts per side, scalar totals."""
 from __future__ import annotations
 
 from oracle.bindings import with_views
+from oracle.hours_sql import rounded_percent
 from oracle.marts_sql import mart_prefix, positions_select
 from periodix import labels as L
 
@@ -57,10 +58,10 @@ reconciled AS (
     SELECT fact_workload FROM "1_c__norm_workload"
 ),
 totals AS (
-    SELECT (SELECT {_dsum('v')} FROM reconciled) AS rec,
-           (SELECT {_dsum('hours')} FROM "1_c__technique_workers") AS raw
+    SELECT (SELECT sum(v) FROM reconciled) AS rec,
+           (SELECT sum(hours) FROM "1_c__technique_workers") AS raw
 ),
-delta AS (SELECT round((rec - raw) / nullif(raw, 0) * 100, 2) AS delta_hours FROM totals)
+delta AS (SELECT {rounded_percent('rec', 'raw')} AS delta_hours FROM totals)
 SELECT delta_hours FROM delta WHERE delta_hours >= 0.1
 """
 

@@ -98,16 +98,27 @@ normed AS (
     FROM ranked
 )"""
 
-_T1 = ", ".join(['"object"', "work_id"] + [f'"{c}"' for c in (
-    L.COL_WORK_KIND, L.COL_ENRP_TYPE, L.COL_SPIDER_RESOURCE, L.COL_RESOURCE_CODE, L.COL_FACT_HOURS,
-    L.COL_NORM_HOURS, L.COL_NORMED, L.COL_RESOURCE)])
+_HOURS = (L.COL_FACT_HOURS, L.COL_NORM_HOURS)
+
+
+def _final(alias: str = "") -> str:
+    """The branches' columns; hours, decimals so far, as doubles."""
+    names = ["object", "work_id", L.COL_WORK_KIND, L.COL_ENRP_TYPE, L.COL_SPIDER_RESOURCE, L.COL_RESOURCE_CODE, *_HOURS, L.COL_NORMED, L.COL_RESOURCE]
+    return ", ".join(f'CAST({alias}"{c}" AS DOUBLE) AS "{c}"' if c in _HOURS else f'{alias}"{c}"' for c in names)
+
+
+def rounded_percent(value: str, base: str) -> str:
+    """(value / base - 1) in percent to two decimals, ties away from zero, in whole ten-thousandths; null for a zero base."""
+    v, b = (f"CAST({x} * 10000 AS HUGEINT)" for x in (value, base))
+    return f"CAST(sign({v} - {b}) * sign({b}) * ((2 * abs(({v} - {b}) * 10000) + abs({b})) // nullif(2 * abs({b}), 0)) AS DOUBLE) / 100"
+
 
 _HOURS_VIEWS = ("1_c__technique_workers", "1_c__norm_workload", "1_c__works", "1_c__zhufvr",
                 "dict__1c_objects_to_spider")
 
-HOURS_UNNORMED = with_views(*_HOURS_VIEWS) + _BASE + f"\nSELECT {_T1} FROM unnormed\n"
-HOURS_NORMED = with_views(*_HOURS_VIEWS) + _BASE + f"\nSELECT {_T1} FROM normed\n"
-HOURS_ZERO = with_views(*_HOURS_VIEWS) + _BASE + f"\nSELECT {_T1} FROM zero_normed\n"
+HOURS_UNNORMED = with_views(*_HOURS_VIEWS) + _BASE + f"\nSELECT {_final()} FROM unnormed\n"
+HOURS_NORMED = with_views(*_HOURS_VIEWS) + _BASE + f"\nSELECT {_final()} FROM normed\n"
+HOURS_ZERO = with_views(*_HOURS_VIEWS) + _BASE + f"\nSELECT {_final()} FROM zero_normed\n"
 
 HOURS_MART = with_views(*_HOURS_VIEWS, "raw_spider__gandoper", "raw__vdc_by_objects", "dict__spider_key_res") + _BASE + f""",
 all_rows AS (
@@ -122,7 +133,7 @@ positions AS (
            concat("{L.COL_CIPHER}", '    ', "{L.COL_WORK_NAME}") AS label
     FROM raw__vdc_by_objects
 )
-SELECT {", ".join("a." + c for c in _T1.split(", "))},
+SELECT {_final("a.")},
     a.structure_unique_code,
     CASE WHEN p."SNT_Knstr" IN ({_q(L.EARTHWORK)}, {_q(L.PAVEMENT)}) THEN p."SNT_Knstr" ELSE {_q(L.OTHER_WORKS)} END
         AS "{L.COL_STRUCTURE}",
@@ -132,7 +143,7 @@ SELECT {", ".join("a." + c for c in _T1.split(", "))},
     a.work_shift_name AS "{L.COL_SHIFT}",
     CAST(year(a.zhfvr_date) AS INTEGER) AS "{L.COL_YEAR}",
     CAST(month(a.zhfvr_date) AS INTEGER) AS "{L.COL_MONTH}",
-    abs(round(a."{L.COL_FACT_HOURS}" * 100 / nullif(a."{L.COL_NORM_HOURS}", 0) - 100, 2)) AS "{L.COL_DEVIATION}",
+    abs({rounded_percent(f'a."{L.COL_FACT_HOURS}"', f'a."{L.COL_NORM_HOURS}"')}) AS "{L.COL_DEVIATION}",
     k.rescode IS NOT NULL AS "{L.COL_KEY_RESOURCE}"
 FROM all_rows AS a
 JOIN plan_ops AS p ON p."f_CodeIdent" = replace(a.structure_unique_code, ' ', '') AND p."object" = a."object"

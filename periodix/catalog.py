@@ -103,6 +103,12 @@ def _hours_args(w: World) -> dict:
     return {"own_name": w.params.own_contractor_name, "placeholders": w.params.placeholder_analytics}
 
 
+def _as_doubles(df: DataFrame) -> DataFrame:
+    """Exact decimals as doubles, for the comparison with the oracle alone; the jobs themselves return decimals."""
+    return df.select(*[F.col(f"`{f.name}`").cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def _ctx(w: World) -> DataFrame:
     return H.work_context(w.works, w.zhufvr, w.objects)
 
@@ -110,20 +116,20 @@ def _ctx(w: World) -> DataFrame:
 @register("hours_unnormed")
 def q_hours_unnormed(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = world(spark, sf_dir)
-    return H.hours_unnormed(w.technique_workers, w.norm_workload, _ctx(w), **_hours_args(w)).select(*H.T1_COLUMNS)
+    return _as_doubles(H.hours_unnormed(w.technique_workers, w.norm_workload, _ctx(w), **_hours_args(w)).select(*H.T1_COLUMNS))
 
 
 @register("hours_normed")
 def q_hours_normed(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = world(spark, sf_dir)
-    return H.hours_normed(w.technique_workers, w.norm_workload, _ctx(w),
-                          w.params.placeholder_analytics).select(*H.T1_COLUMNS)
+    return _as_doubles(H.hours_normed(w.technique_workers, w.norm_workload, _ctx(w),
+                                      w.params.placeholder_analytics).select(*H.T1_COLUMNS))
 
 
 @register("hours_zero")
 def q_hours_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = world(spark, sf_dir)
-    return H.hours_zero(w.technique_workers, w.norm_workload, _ctx(w), **_hours_args(w)).select(*H.T1_COLUMNS)
+    return _as_doubles(H.hours_zero(w.technique_workers, w.norm_workload, _ctx(w), **_hours_args(w)).select(*H.T1_COLUMNS))
 
 
 def hours_mart(w: World) -> DataFrame:
@@ -133,7 +139,7 @@ def hours_mart(w: World) -> DataFrame:
 
 @register("hours_mart")
 def q_hours_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hours_mart(world(spark, sf_dir))
+    return _as_doubles(hours_mart(world(spark, sf_dir)))
 
 
 # The cost comparison qualifies operations of listed sites (the reference lists its projects by
@@ -182,7 +188,7 @@ def costs_mart(w: World) -> DataFrame:
 
 @register("costs_mart")
 def q_costs_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return costs_mart(world(spark, sf_dir))
+    return _as_doubles(costs_mart(world(spark, sf_dir)))
 
 
 # checks: a deliberate exception (Q1) and an excluded site (Q7), as the reference's tests have
@@ -208,7 +214,7 @@ def q_check_duplicate_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("check_hours_total")
 def q_check_hours_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = world(spark, sf_dir)
-    return Q.check_hours_total(w.technique_workers, w.norm_workload)
+    return _as_doubles(Q.check_hours_total(w.technique_workers, w.norm_workload))
 
 
 @register("check_oper_duplication")

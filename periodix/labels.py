@@ -80,3 +80,6 @@ COL_KEY_RESOURCE = "Ключевой ресурс"
 # The thirteen cost components of the planning system, in the reference's order.
 COST_PARTS = ["AmLiz", "FnOpTr", "FuelMiM", "Materl", "OplGpd", "OpSbRb", "PrMatl",
               "ProZtr", "St_Mex", "StrVzn", "UslStH", "RepMiM", "NkRuch"]
+
+#: Hours are exact numbers of four decimals from the source tables to the marts.
+HOURS_TYPE = "decimal(18,4)"

@@ -68,14 +68,16 @@ def check_hours_total(tw: DataFrame, nw: DataFrame, threshold_pct: float = 0.1)
     """
     # existence only (see existence_flags)
     unnormed = existence_flags(tw, nw, ["work_id", "analytics_value"]).where(~F.col("_exists"))
-    null = F.lit(None).cast("double")
-    tagged = (unnormed.select(F.col("hours").cast("double").alias("_mart"), null.alias("_raw"))
-              .unionByName(nw.select(F.col("fact_workload").cast("double").alias("_mart"), null.alias("_raw")))
-              .unionByName(tw.select(null.alias("_mart"), F.col("hours").cast("double").alias("_raw"))))
-    totals = tagged.agg(exact_sum(F.col("_mart")).alias("hours_from_mart"),
-                        exact_sum(F.col("_raw")).alias("hours_from_tchnq_wrkrs"))
+    hours = lambda name: F.col(name).cast(L.HOURS_TYPE)
+    null = F.lit(None).cast(L.HOURS_TYPE)
+    tagged = (unnormed.select(hours("hours").alias("_mart"), null.alias("_raw"))
+              .unionByName(nw.select(hours("fact_workload").alias("_mart"), null.alias("_raw")))
+              .unionByName(tw.select(null.alias("_mart"), hours("hours").alias("_raw"))))
+    totals = tagged.agg(F.sum("_mart").alias("hours_from_mart"), F.sum("_raw").alias("hours_from_tchnq_wrkrs"))
     raw = F.col("hours_from_tchnq_wrkrs")
-    delta = F.round((F.col("hours_from_mart") - raw) / F.when(raw != 0, raw) * 100, 2)
+    # both totals are exact; their ratio keeps at least ten decimals
+    share = ((F.col("hours_from_mart") - raw) / F.when(raw != 0, raw)).cast("decimal(38,12)")
+    delta = F.round((share * 100).cast("decimal(38,10)"), 2).cast("decimal(30,2)")
     return totals.select(delta.alias("delta_hours")).where(F.col("delta_hours") >= threshold_pct)
 
 

@@ -10,12 +10,12 @@ site:
   total exceeds the raw hours + 1, gives up the excess; placeholder analytics get 0 hours.
 * C, normed with zero: raw hours that have a zero-fact norm row -- ``left_semi``.
 
-Branch B's group quantities are computed by partial aggregates rather than a window partitioned by the
-group. Whether a group's first row is a main-worker row needs only flags and a sum; ties are broken
-among the candidates of groups with an excess alone. The reference leaves ties in the first-row order
-arbitrary; here they are broken by the remaining columns, largest first, and exactly one copy of a
-duplicated first row is adjusted, as ``row_number() = 1`` would: all copies of such a row are taken out
-and put back from their count.
+Hours are ``decimal(18,4)`` from the source tables on, so every sum and comparison of them is exact.
+
+Branch B's group quantities are computed by partial aggregates over the joined rows, which are written once first, rather
+than by a window partitioned by the group. The reference leaves ties in the first-row order arbitrary; here they are
+broken by the remaining columns, largest first, and exactly one of the rows that are equal in all of them is adjusted, as
+``row_number() = 1`` would.
 
 The final enrichment needs the work's structure code and journal date; both are carried from the
 branch joins (work and journal keys are the ERP tables' primary keys), so the big tables are joined
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from periodix import labels as L
 from periodix.functions import is_false, is_true, nullif, strip_spaces
 from periodix.operators.skew import join_per_key
+from periodix.sources.work import fixed
 
 T1_COLUMNS = ["object", "work_id", L.COL_WORK_KIND, L.COL_ENRP_TYPE, L.COL_SPIDER_RESOURCE,
               L.COL_RESOURCE_CODE, L.COL_FACT_HOURS, L.COL_NORM_HOURS, L.COL_NORMED, L.COL_RESOURCE]
@@ -61,8 +62,8 @@ def _ownership(own_name: str) -> Column:
             .when(~analytics.like(L.HIRED_PREFIX_PATTERN), F.lit(L.OWN_RESOURCE)))
 
 
-def _raw_branch(raw: DataFrame, ctx: DataFrame, normed: bool, own_name: str) -> DataFrame:
-    joined = raw.join(ctx, "work_id")
+def _raw_branch(raw: DataFrame, ctx: DataFrame, normed: Column, own_name: str) -> DataFrame:
+    joined = raw.select("work_id", "res_name", "res_code", "hours", "contragent_name", "analytics_name", normed.alias("_normed")).join(ctx, "work_id")
     hours = F.col("hours")
     return joined.select(
         "object", "work_id",
@@ -71,13 +72,17 @@ def _raw_branch(raw: DataFrame, ctx: DataFrame, normed: bool, own_name: str) ->
         F.col("res_name").alias(L.COL_SPIDER_RESOURCE),
         F.col("res_code").alias(L.COL_RESOURCE_CODE),
         hours.alias(L.COL_FACT_HOURS),
-        F.when(hours != 0, hours).otherwise(F.lit(0.0)).alias(L.COL_NORM_HOURS),
-        F.lit(normed).alias(L.COL_NORMED),
+        F.when(hours != 0, hours).otherwise(_no_hours()).alias(L.COL_NORM_HOURS),
+        F.col("_normed").alias(L.COL_NORMED),
         _ownership(own_name).alias(L.COL_RESOURCE),
         *_CARRIED,
     )
 
 
+def _no_hours() -> Column:
+    return F.lit(0).cast(L.HOURS_TYPE)
+
+
 def _countable(placeholders: Sequence[str]) -> Column:
     """The existence tests' extra condition: the analytics value is not a placeholder (null: false)."""
     return F.coalesce(~F.col("analytics_value").isin(*placeholders), F.lit(False))
@@ -102,26 +107,31 @@ def norm_flags(tw: DataFrame, nw: DataFrame) -> DataFrame:
     })
 
 
-def _unnormed(flagged: DataFrame, ctx: DataFrame, own_name: str, placeholders: Sequence[str]) -> DataFrame:
-    raw = flagged.where(~(F.col("_has_norm") & _countable(placeholders)))
-    return _raw_branch(raw.drop("_has_norm", "_has_zero_norm"), ctx, False, own_name)
-
-
-def _zero_normed(flagged: DataFrame, ctx: DataFrame, own_name: str, placeholders: Sequence[str]) -> DataFrame:
-    raw = flagged.where(F.col("_has_zero_norm") & _countable(placeholders))
-    return _raw_branch(raw.drop("_has_norm", "_has_zero_norm"), ctx, True, own_name)
+def _with_norm(flagged: DataFrame, placeholders: Sequence[str]) -> tuple[Column, Column]:
+    """Whether a flagged raw row belongs to branch A, and whether to branch C; no row belongs to both."""
+    countable = _countable(placeholders)
+    return ~(F.col("_has_norm") & countable), F.col("_has_zero_norm") & countable
 
 
 def hours_unnormed(tw: DataFrame, nw: DataFrame, ctx: DataFrame, own_name: str,
                    placeholders: Sequence[str]) -> DataFrame:
     """Branch A: raw hours without a norm row (placeholder analytics always kept)."""
-    return _unnormed(norm_flags(tw, nw), ctx, own_name, placeholders)
+    flagged = norm_flags(tw, nw)
+    return _raw_branch(flagged.where(_with_norm(flagged, placeholders)[0]), ctx, F.lit(False), own_name)
 
 
 def hours_zero(tw: DataFrame, nw: DataFrame, ctx: DataFrame, own_name: str,
                placeholders: Sequence[str]) -> DataFrame:
     """Branch C: raw hours that have a norm row with zero fact hours."""
-    return _zero_normed(norm_flags(tw, nw), ctx, own_name, placeholders)
+    flagged = norm_flags(tw, nw)
+    return _raw_branch(flagged.where(_with_norm(flagged, placeholders)[1]), ctx, F.lit(True), own_name)
+
+
+def hours_from_raw(tw: DataFrame, nw: DataFrame, ctx: DataFrame, own_name: str, placeholders: Sequence[str]) -> DataFrame:
+    """Branches A and C together: the raw hours and the norm keys are each read once."""
+    flagged = norm_flags(tw, nw)
+    unnormed, zero = _with_norm(flagged, placeholders)
+    return _raw_branch(flagged.where(unnormed | zero), ctx, zero, own_name)
 
 
 # group-first order of branch B: resource code descending with nulls first, then these columns,
@@ -130,56 +140,50 @@ B_TIE_BREAK = ["res_spider_name", "fact_workload", "norm_workload", "nt_res", "o
                "type_work_name", "enrp_type", "structure_unique_code", "zhfvr_date", "work_shift_name"]
 
 
-#: Copies that one task puts back at a time.
-COPY_CHUNK = 100_000
-
+def group_excess(rows: DataFrame, group: list[str], main_code: str) -> DataFrame:
+    """(group, _first, _over): the number of the first row of each group that gives up its excess, and that excess.
 
-def _repeated(rows: DataFrame, count: str) -> DataFrame:
-    """Every row as often as ``count`` says; the chunks of a large count are spread over tasks before they are filled."""
-    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(count) / COPY_CHUNK) - 1)).alias("_chunk")
-    chunks = rows.where(F.col(count) > 0).select("*", chunk).repartition(F.xxhash64(*rows.columns), "_chunk")
-    size = F.least(F.col(count) - F.col("_chunk") * COPY_CHUNK, F.lit(COPY_CHUNK)).cast("int")
-    return chunks.select(*rows.columns, F.explode(F.array_repeat(F.lit(0), size)).alias("_copy")).drop("_copy")
+    Sums are exact and maxima do not depend on order, so they are the same however rows are laid out. One hash aggregate
+    over all rows finds the groups that may qualify: the largest code, a null being larger than any, is the main one, and
+    the total exceeds the smallest raw hours. Only their main-worker rows are then ordered.
+    """
+    code = F.col("res_spider_code")
+    total = rows.groupBy(*group).agg(
+        F.sum("fact_workload").alias("_total"), F.min("raw_hours").alias("_least"),
+        F.max(F.coalesce(code > main_code, F.lit(True)).cast("int")).alias("_above"))
+    total = total.where((F.col("_above") == 0) & (F.col("_total") > F.col("_least") + 1)).drop("_above", "_least")
+    first = F.struct(*B_TIE_BREAK, "_row")
+    firsts = join_per_key(rows.where(code == main_code), total, group)
+    firsts = firsts.groupBy(*group).agg(F.max(first).alias("first"), F.first("_total").alias("_total"))
+    return firsts.where(F.col("_total") > F.col("first.raw_hours") + 1).select(
+        *group, F.col("first._row").alias("_first"), (F.col("_total") - F.col("first.raw_hours")).alias("_over"))
 
 
 def hours_normed(tw: DataFrame, nw: DataFrame, ctx: DataFrame, placeholders: Sequence[str],
                  main_code: str = L.MAIN_WORKER_CODE) -> DataFrame:
-    """Branch B: norm rows with non-zero fact hours; main-worker excess removed from the group's first row."""
+    """Branch B: norm rows with non-zero fact hours; main-worker excess removed from the group's first row.
+
+    The joined rows are numbered and written once (:func:`periodix.sources.work.fixed`): the group quantities and the rows
+    that they adjust are read from the same table, so the row taken as first is adjusted exactly once.
+    """
     raw_hours = tw.select(F.col("work_id").alias("_tw_work"), F.col("analytics_value").alias("_tw_an"),
                           F.col("hours").alias("raw_hours"))
     rows = nw.where(F.col("fact_workload") != 0).join(ctx, "work_id")
     rows = rows.join(raw_hours, (F.col("work_id") == F.col("_tw_work")) & (F.col("analytics_value") == F.col("_tw_an")),
                      "left")
     group = ["work_id", "analytics_value"]
-    code = F.col("res_spider_code")
-    # the first row by code, nulls first and descending, is a main-worker row unless a null or larger code is there
-    stats = rows.groupBy(*group).agg(
-        F.sum("fact_workload").alias("_group_fact"),
-        F.max(F.coalesce(code > main_code, F.lit(True)).cast("int")).alias("_above"))
-    first = F.struct(*B_TIE_BREAK)
-    copies = rows.where(code == main_code).groupBy(*group, *B_TIE_BREAK).agg(F.count(F.lit(1)).alias("_copies"))
-    firsts = copies.groupBy(*group).agg(F.max(F.struct(first.alias("row"), F.col("_copies"))).alias("_first"))
-    excess = join_per_key(firsts, stats.where(F.col("_above") == 0), group)
-    excess = excess.where(F.col("_group_fact") > F.col("_first.row.raw_hours") + 1)
-    # every row but the firsts of groups with an excess keeps its hours
-    rest = join_per_key(rows, excess.select(*group, F.col("_first.row").alias("_row")), group, "left")
-    rest = rest.where(~(F.coalesce(code == main_code, F.lit(False)) & first.eqNullSafe(F.col("_row"))))
-    plain = F.when(F.col("analytics_value").isin(*placeholders), F.lit(0.0)).otherwise(F.col("fact_workload"))
-    rest = rest.select(*group, "res_spider_code", *B_TIE_BREAK, plain.alias("_hours"))
-    cut = F.col("fact_workload") - (F.col("_group_fact") - F.col("raw_hours"))
-    firsts = excess.select(*group, F.lit(main_code).alias("res_spider_code"), "_group_fact", "_first._copies", "_first.row.*")
-    adjusted = firsts.select(*group, "res_spider_code", *B_TIE_BREAK, cut.alias("_hours"))
-    again = _repeated(firsts.withColumn("_copies", F.col("_copies") - 1), "_copies").select(
-        *group, "res_spider_code", *B_TIE_BREAK, plain.alias("_hours"))
-    rows = rest.unionByName(adjusted).unionByName(again)
-    adjusted = F.col("_hours")
-    return rows.select(
+    rows = fixed(rows.select(*group, "res_spider_code", *B_TIE_BREAK, F.monotonically_increasing_id().alias("_row")), "hours-normed")
+    marked = join_per_key(rows, group_excess(rows, group, main_code), group, "left")
+    fact = F.col("fact_workload")
+    hours = (F.when(F.col("_row") == F.col("_first"), (fact - F.col("_over")).cast(L.HOURS_TYPE))
+             .when(F.col("analytics_value").isin(*placeholders), _no_hours()).otherwise(fact))
+    return marked.select(
         "object", "work_id",
         F.col("type_work_name").alias(L.COL_WORK_KIND),
         F.col("enrp_type").alias(L.COL_ENRP_TYPE),
         F.col("res_spider_name").alias(L.COL_SPIDER_RESOURCE),
         F.col("res_spider_code").alias(L.COL_RESOURCE_CODE),
-        adjusted.alias(L.COL_FACT_HOURS),
+        hours.alias(L.COL_FACT_HOURS),
         F.col("norm_workload").alias(L.COL_NORM_HOURS),
         F.lit(True).alias(L.COL_NORMED),
         F.when(is_false("nt_res"), F.lit(L.OWN_RESOURCE)).when(is_true("nt_res"), F.lit(L.HIRED_RESOURCE))
@@ -194,10 +198,7 @@ def reconcile_hours(tw: DataFrame, nw: DataFrame, works: DataFrame, zhufvr: Data
                     main_code: str = L.MAIN_WORKER_CODE) -> DataFrame:
     """The complete hours mart: the three branches, plan dimensions, contract position, key-resource flag."""
     ctx = work_context(works, zhufvr, objects)
-    flagged = norm_flags(tw, nw)   # one existence pass for branches A and C
-    t1 = (_unnormed(flagged, ctx, own_name, placeholders)
-          .unionByName(hours_normed(tw, nw, ctx, placeholders, main_code))
-          .unionByName(_zero_normed(flagged, ctx, own_name, placeholders)))
+    t1 = hours_from_raw(tw, nw, ctx, own_name, placeholders).unionByName(hours_normed(tw, nw, ctx, placeholders, main_code))
     plan = gandoper.where(F.col("project_type") == project_type).select(
         F.col("f_CodeIdent").alias("_g_code"), F.col("object").alias("_g_object"),
         "SNT_Knstr", "SNT_KnstrE", "Num_Con")
@@ -212,7 +213,9 @@ def reconcile_hours(tw: DataFrame, nw: DataFrame, works: DataFrame, zhufvr: Data
     structure = (F.when(F.col("SNT_Knstr") == L.EARTHWORK, F.lit(L.EARTHWORK))
                  .when(F.col("SNT_Knstr") == L.PAVEMENT, F.lit(L.PAVEMENT))
                  .otherwise(F.lit(L.OTHER_WORKS)))
-    deviation = F.abs(F.round(F.col(L.COL_FACT_HOURS) / nullif(L.COL_NORM_HOURS, 0) * 100 - 100, 2))
+    # decimals throughout: the quotient has 20 decimals, the percentage 16 before it is rounded to 2
+    quotient = F.col(L.COL_FACT_HOURS) / nullif(L.COL_NORM_HOURS, 0)
+    deviation = F.abs(F.round((quotient * 100 - 100).cast("decimal(38,16)"), 2)).cast("decimal(24,2)")
     return out.select(
         *T1_COLUMNS,
         "structure_unique_code",

@@ -76,6 +76,11 @@ def rus_month(ts: Column) -> Column:
     return F.element_at(F.array(*[F.lit(m) for m in L.RUS_MONTHS]), F.month(ts))
 
 
+def hours_of(x: Column) -> Column:
+    """A number of hours, exact to four decimals."""
+    return x.cast(L.HOURS_TYPE)
+
+
 def _null(dtype: str = "double") -> Column:
     return F.lit(None).cast(dtype)
 
@@ -335,7 +340,7 @@ class World:
             F.chr(F.min(F.ascii("l_linestatus"))).alias("_status"),
             F.max("l_tax").alias("_tax"),
             F.chr(F.min(F.ascii("l_returnflag"))).alias("_flag"),
-            F.sum("l_quantity").alias("hours"),
+            F.sum(hours_of(F.col("l_quantity") * (1 - F.col("l_tax")))).cast(L.HOURS_TYPE).alias("hours"),
         )
         supp = F.col("l_suppkey").cast("string")
         return g.select(
@@ -365,8 +370,9 @@ class World:
             F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("analytics_value"),
             F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("res_spider_name"),
             self._norm_code().alias("res_spider_code"),
-            F.when(F.col("l_discount") == 0, F.lit(0.0)).otherwise(F.col("l_quantity") * 1.25).alias("fact_workload"),
-            F.col("l_quantity").alias("norm_workload"),
+            F.when(F.col("l_discount") == 0, hours_of(F.lit(0))).otherwise(hours_of(F.col("l_quantity") * (1.26 - F.col("l_tax"))))
+            .alias("fact_workload"),
+            hours_of(F.col("l_quantity") * (1 - F.col("l_discount"))).alias("norm_workload"),
             (F.col("l_tax") > 0.04).alias("nt_res"),
         )
 

@@ -51,11 +51,11 @@ RAW_SCHEMAS: dict[str, list[tuple[str, str]]] = {
     "1_c__technique_workers": [
         ("work_id", "string"), ("analytics_value", "string"), ("analytics_name", "string"),
         ("contragent_name", "string"), ("contragent_value", "string"), ("res_name", "string"),
-        ("res_code", "string"), ("hours", "double"),
+        ("res_code", "string"), ("hours", L.HOURS_TYPE),
     ],
     "1_c__norm_workload": [
         ("work_id", "string"), ("analytics_value", "string"), ("res_spider_name", "string"),
-        ("res_spider_code", "string"), ("fact_workload", "double"), ("norm_workload", "double"),
+        ("res_spider_code", "string"), ("fact_workload", L.HOURS_TYPE), ("norm_workload", L.HOURS_TYPE),
         ("nt_res", "boolean"),
     ],
     "1_c__works": [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import types as T
 
@@ -10,6 +11,7 @@ from periodix import labels as L
 
 TS = T.TimestampNTZType()
 D = T.DoubleType()
+H = T.DecimalType(18, 4)
 S = T.StringType()
 
 GANDOPER = [("index", T.LongType()), ("Code", S), ("f_CodeIdent", S), ("DurPlanD", D), ("Start", TS), ("Fin", TS),
@@ -29,9 +31,9 @@ VDC = [(L.COL_WORK_NAME, S), (L.COL_CIPHER, S), (L.COL_CONTRACT_SMR, D), ("objec
        (L.COL_UNITS, S), (L.COL_UNIT_PRICE, D)]
 
 TW = [("work_id", S), ("analytics_value", S), ("analytics_name", S), ("contragent_name", S),
-      ("contragent_value", S), ("res_name", S), ("res_code", S), ("hours", D)]
+      ("contragent_value", S), ("res_name", S), ("res_code", S), ("hours", H)]
 NW = [("work_id", S), ("analytics_value", S), ("res_spider_name", S), ("res_spider_code", S),
-      ("fact_workload", D), ("norm_workload", D), ("nt_res", T.BooleanType())]
+      ("fact_workload", H), ("norm_workload", H), ("nt_res", T.BooleanType())]
 WORKS = [("work_id", S), ("zhufvr_id", S), ("type_work_name", S), ("enrp_type", S), ("structure_unique_code", S),
          ("structure_works_code", S), ("structure_is_delete", T.BooleanType())]
 ZHUFVR = [("link", S), ("territory_value", S), ("zhfvr_date", TS), ("work_shift_name", S),
@@ -49,4 +51,7 @@ def frame(spark, fields, rows: list[dict]):
     unknown = {k for r in rows for k in r} - set(names)
     assert not unknown, unknown
     schema = T.StructType([T.StructField(n, t, True) for n, t in fields])
-    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)
+    def value(r, n, t):
+        v = r.get(n)
+        return Decimal(str(v)) if t is H and v is not None else v
+    return spark.createDataFrame([tuple(value(r, n, t) for n, t in fields) for r in rows], schema)

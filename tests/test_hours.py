@@ -1,5 +1,7 @@
 """J6 hours reconciliation on hand-made rows: each branch rule, the group-first adjustment, labels."""
 
+from decimal import Decimal
+
 import pytest
 
 from periodix import labels as L
@@ -50,7 +52,7 @@ def _nw(spark):
 
 def test_unnormed_branch(spark, ctx):
     rows = H.hours_unnormed(_tw(spark), _nw(spark), ctx, OWN, PH).collect()
-    got = {r.work_id + "/" + str(r[L.COL_FACT_HOURS]): r for r in rows}
+    got = {r.work_id + "/" + str(float(r[L.COL_FACT_HOURS])): r for r in rows}
     assert set(got) == {"w1/10.0", "w1/7.0"}
     assert got["w1/10.0"][L.COL_RESOURCE] == L.OWN_RESOURCE and got["w1/7.0"][L.COL_RESOURCE] == L.HIRED_RESOURCE
     assert all(r[L.COL_NORMED] is False and r.object == "SITE" for r in rows)
@@ -137,3 +139,34 @@ def test_mart_enrichment(spark):
     r = got["Y"]
     assert (r[L.COL_STRUCTURE], r[L.COL_STRUCTURE_ELEMENT], r[L.COL_POSITION]) == (L.PAVEMENT, "element", "C1    Work")
     assert (r[L.COL_DATE], r[L.COL_SHIFT], r[L.COL_YEAR], r[L.COL_MONTH]) == (ts("2024-05-06"), "day", 2024, 5)
+
+
+def test_sums_of_fractional_hours_are_exact(spark, ctx):
+    """Three times 0.4 is not more than 0.2 + 1; as doubles it would be, and the rule would fire."""
+    tw = frame(spark, TW, [dict(work_id="w1", analytics_value="q", hours=0.2), dict(work_id="w2", analytics_value="q", hours="0.1999")])
+    nw = frame(spark, NW, [dict(work_id=w, analytics_value="q", res_spider_code="Mont", res_spider_name=n, fact_workload=0.4, norm_workload=1.0)
+                           for w in ("w1", "w2") for n in "abc"])
+    out = H.hours_normed(tw, nw, ctx, PH)
+    got = sorted((r.work_id, r[L.COL_FACT_HOURS]) for r in out.collect())
+    assert got == [("w1", Decimal("0.4"))] * 3 + [("w2", Decimal("-0.6001"))] + [("w2", Decimal("0.4"))] * 2
+    types = {f.name: f.dataType.simpleString() for f in out.schema.fields}
+    assert types[L.COL_FACT_HOURS] == types[L.COL_NORM_HOURS] == "decimal(18,4)"
+
+
+def test_copies_of_a_first_row_give_up_the_excess_once(spark, ctx):
+    tw = frame(spark, TW, [dict(work_id="w1", analytics_value="q", hours=5)])
+    nw = frame(spark, NW, [dict(work_id="w1", analytics_value="q", res_spider_code="Mont", fact_workload=3, norm_workload=1)] * 40).repartition(7)
+    got = sorted(r[L.COL_FACT_HOURS] for r in H.hours_normed(tw, nw, ctx, PH).collect())
+    assert got == [3 - (120 - 5)] + [3] * 39
+
+
+def test_norm_rows_are_summed_once(spark):
+    """The joined norm rows are written once; the sums over them and the rows themselves come from that table."""
+    from periodix.catalog import REGISTRY
+    from tests.conftest import SF_SMALL
+
+    for name, scans in (("hours_normed", 0), ("hours_mart", 2)):
+        df = REGISTRY[name](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("partial_sum(fact_workload") == 1
+        assert plan.count("lineitem.parquet") == scans, (name, plan.count("lineitem.parquet"))
