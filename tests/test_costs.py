@@ -1,7 +1,10 @@
 """Validity-interval join, overlap check and cost comparison (J7) on hand-made rows."""
 
+import random
 
-from periodix.operators.validity import expansion_rows, overlapping_intervals, validity_join
+from pyspark.sql import functions as F
+
+from periodix.operators.validity import overlapping_intervals, validity_join
 from periodix.plans.costs import CostParams, compare_costs
 from tests.fixtures import ARCHIVE, GANDOPER, OBJECTS, TW, WORKS, ZHUFVR, frame, ts
 
@@ -80,8 +83,60 @@ def test_cost_comparison(spark):
     assert k2.hours == 5.0 and k2.wrkld is None and k2.period == "между 2022 и 2023"
 
 
-def test_expansion_rows(spark):
-    rates = _rates(spark, [("R", "2024-01-01", "2024-04-01", 1.0), ("R", "2024-04-15", "2026-01-01", 2.0)])
-    r = expansion_rows(rates).first()
-    # Jan-Mar 2024 (the finish on 1 April is excluded), then April 2024 to December 2025
-    assert (r.expanded_rows, r.max_per_interval) == (3 + 21, 21)
+def _brute(rows, rates):
+    """(id, value or None) of every match of [start, finish) and key."""
+    out = []
+    for i, key, day in rows:
+        found = [v for k, a, b, v in rates if k is not None and k == key and a and b and day and a <= day < b]
+        out += [(i, v) for v in found] or [(i, None)]
+    return sorted(out, key=str)
+
+
+def test_lookup_by_blocks_matches_brute_force(spark):
+    """A key with most of the rows, equal dates, sentinels, overlaps and nulls, with blocks of four rows."""
+    rng = random.Random(4)
+    day = lambda n: f"{2020 + n // 360}-{n % 360 // 30 + 1:02d}-{n % 28 + 1:02d}"
+    rows = [(i, rng.choice(["hot"] * 8 + ["a", "b", None]), rng.choice([day(77), day(rng.randrange(900)), day(rng.randrange(900)), None])) for i in range(600)]
+    rates = [(rng.choice(["hot", "hot", "a", "c", None]), day(n), day(n + rng.choice([0, 1, 40, 300])), float(k)) for k, n in enumerate(rng.randrange(900) for _ in range(150))]
+    rates += [("hot", "2020-01-01", "9999-12-31", 1e6), ("b", None, "9999-12-31", 2e6), ("a", "2021-01-01", None, 3e6)]
+    left = spark.createDataFrame(rows, "id int, key string, d string").withColumn("d", F.col("d").cast("timestamp_ntz")).repartition(3)
+    right = spark.createDataFrame(rates, "k string, start string, finish string, v double")
+    right = right.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "finish")})
+    want = _brute(rows, rates)
+    for limit, bits in ((0, 2), (0, 10), (10**6, 2)):
+        out = validity_join(left, right, [("key", "k")], "d", broadcast_intervals=limit, block_bits=bits)
+        assert out.columns == ["id", "key", "d", "k", "start", "finish", "v"]
+        assert sorted(((r.id, r.v) for r in out.collect()), key=str) == want
+    inner = validity_join(left, right, [("key", "k")], "d", how="inner", broadcast_intervals=0, block_bits=2)
+    assert sorted(((r.id, r.v) for r in inner.collect()), key=str) == [w for w in want if w[1] is not None]
+    assert validity_join(left, right.where("false"), [("key", "k")], "d").count() == len(rows)
+
+
+def test_a_sentinel_costs_one_copy_a_block(spark):
+    """Rows met by an endless interval are a handful of copies, whatever its length: nothing is expanded by month."""
+    left = spark.range(5000).select("id", F.lit("R").alias("res"), F.lit("2024-03-01").cast("timestamp_ntz").alias("d"))
+    rates = spark.createDataFrame([("R", "2000-01-01", "9999-12-31", 1.0)], "_r string, start string, finish string, fot double")
+    rates = rates.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "finish")})
+    out = validity_join(left, rates, [("res", "_r")], "d", broadcast_intervals=0)
+    assert out.where("fot = 1.0").count() == 5000
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_overlaps_of_a_key_with_most_intervals(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(900):
+        a = rng.randrange(20000)
+        rows.append((rng.choice(["hot"] * 9 + ["x", None]), a, a + rng.choice([1, 2, 5, 30 if i % 50 else 4000]), i))
+    rates = spark.createDataFrame(rows, "res string, start int, finish int, id int")
+    want = []
+    for key in {r[0] for r in rows}:
+        reach = None
+        for _, a, b, i in sorted((r for r in rows if r[0] == key), key=lambda r: r[1:3]):
+            if reach is not None and a < reach:
+                want.append((key, a, b))
+            reach = b if reach is None else max(reach, b)
+    for bits in (2, 10):
+        got = overlapping_intervals(rates.repartition(5), ["res"], block_bits=bits)
+        assert got.columns == rates.columns
+        assert sorted(((r.res, r.start, r.finish) for r in got.collect()), key=str) == sorted(want, key=str)
