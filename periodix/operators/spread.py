@@ -29,6 +29,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from periodix.functions import add_months, micros_between, month_index, month_start
 from periodix.operators.skew import join_per_key
@@ -52,12 +53,17 @@ def _row_terms(start: Column, end: Column) -> dict[str, Column]:
     return {"_ms": ms, "_me": me, "_m1": m1, "_n": n_parts, "_tf": dur_first, "_to": dur_other}
 
 
+def _wide(us: Column) -> Column:
+    """Microseconds that may be added up: a few thousand years of many rows are more than 64 bits hold."""
+    return us.cast("decimal(19,0)")
+
+
 def _key_stats(rows: DataFrame, keys: list[str], copies: Column) -> DataFrame:
     """Per key: smallest start, number of parts, total duration, by partial aggregation; a row stands for ``copies``."""
     per_start = rows.groupBy(*keys, "_s").agg(
         F.sum(F.col("_n") * copies).alias("_n"),
-        F.sum(F.col("_to") * copies).alias("_to"),
-        F.sum((F.col("_tf") - F.col("_to")) * copies).alias("_delta"),
+        F.sum(_wide(F.col("_to")) * copies).alias("_to"),
+        F.sum(_wide(F.col("_tf") - F.col("_to")) * copies).alias("_delta"),
     )
     return per_start.groupBy(*keys).agg(
         F.min("_s").alias("_min_start"),
@@ -68,7 +74,7 @@ def _key_stats(rows: DataFrame, keys: list[str], copies: Column) -> DataFrame:
         F.min_by("_delta", "_s").alias("_first_delta"),
     ).select(
         *keys, "_min_start", "_n_parts",
-        (F.col("_sum_other") + F.col("_first_delta")).alias("_total"),
+        (F.col("_sum_other") + F.col("_first_delta")).cast("decimal(38,0)").alias("_total"),
     )
 
 
@@ -126,7 +132,7 @@ def month_parts(
     if not keep_all:
         parts = parts.where(~((us == 0) & (F.col("_n_parts") > 1)))
     total = F.when(F.col("_total") == 0, F.lit(None)).otherwise(F.col("_total"))
-    weight = F.when(us == 0, F.lit(1.0)).otherwise(us / total)
+    weight = F.when(us == 0, F.lit(1.0)).otherwise(us.cast("double") / total.cast("double"))
     return parts.select(
         *keys, *carry, "part_start", "part_end",
         F.year("part_start").alias("start_year"),
@@ -139,27 +145,87 @@ def month_parts(
     )
 
 
+def _month_number(x: Column) -> Column:
+    """Months since year 0, so that a difference of one is the next month."""
+    return month_index(x) - 1
+
+
+def _month_us(number: Column) -> Column:
+    """The length of a month in microseconds."""
+    first = F.make_date(F.floor(number / 12).cast("int"), (number % 12 + 1).cast("int"), F.lit(1))
+    return F.day(F.last_day(first)).cast("long") * 86_400_000_000
+
+
+def _edges(intervals: DataFrame, keys: list[str], start: str, end: str, count: Column, unique_key: bool) -> DataFrame:
+    """What the distinct intervals of a key put into single months, summed by (key, month).
+
+    ``_num`` and ``_zeros`` are of the first and the last part of each interval; ``_delta`` says how many more intervals
+    cover this month and those after it from end to end than the month before. Null months hold parts without a start.
+    """
+    s, e = F.col(start), F.col(end)
+    rows = intervals.groupBy(*keys, start, end).agg(count.alias("_copies"))
+    rows = rows.select(*keys, s.alias("_s"), e.alias("_e"), "_copies", *[c.alias(n) for n, c in _row_terms(s, e).items()])
+    if unique_key:
+        rows = rows.select("*", F.col("_s").alias("_min_start"), F.col("_n").alias("_n_parts"), F.col("_tf").alias("_total"))
+    else:
+        rows = join_per_key(rows, _key_stats(rows, keys, F.col("_copies")), keys)
+    first = F.col("_s") == F.col("_min_start")
+    several = F.col("_n_parts") > 1
+    # the first part runs to the end of its month unless the end comes before; the last one from the month's start
+    same = F.col("_ms") == F.col("_me")
+    head = (F.when(first, micros_between("_s", F.least(F.col("_e"), F.col("_m1"))))
+            .when(same, micros_between("_ms", "_e")).otherwise(micros_between("_ms", "_m1")))
+    tail = micros_between("_me", "_e")
+    copies, month, none = F.col("_copies"), _month_number(F.col("_ms")), F.lit(None).cast("long")
+
+    def event(at: Column, us: Column, delta: Column) -> Column:
+        return F.struct(at.cast("int").alias("_month"), F.when(us != 0, _wide(us) * copies).cast("decimal(38,0)").alias("_num"),
+                        F.when((us == 0) & ~several, copies).alias("_zeros"), delta.alias("_delta"))
+
+    later = F.when(F.col("_n") > 1, F.array(event(_month_number(F.col("_me")), tail, F.when(F.col("_n") > 2, -copies))))
+    cover = F.when(F.col("_n") > 2, F.array(event(month + 1, none, copies)))
+    empty = F.array().cast("array<struct<_month:int,_num:decimal(38,0),_zeros:bigint,_delta:bigint>>")
+    events = rows.select(*keys, "_total", several.alias("_several"), F.explode(
+        F.concat(F.array(event(month, head, none)), F.coalesce(later, empty), F.coalesce(cover, empty))).alias("_event"))
+    events = events.select(*keys, "_total", "_several", "_event.*")
+    # of several parts those without a length, or without a start, are dropped
+    events = events.where(~F.col("_several") | F.col("_num").isNotNull() | F.col("_delta").isNotNull())
+    return events.groupBy(*keys, "_month").agg(
+        F.sum("_num").alias("_num"), F.sum("_zeros").alias("_zeros"), F.sum("_delta").alias("_delta"), F.max("_total").alias("_total"))
+
+
 def month_weights(df: DataFrame, keys: Sequence[str], start: str, end: str, unique_key: bool = False,
                   copies: str | None = None) -> DataFrame:
     """Total weight per (key, year, month): the parts of all rows of a key that fall in one month.
 
-    Equal intervals of a key are counted first, by partial aggregation, and everything after works on the distinct ones:
-    the key's totals, its parts and their months. However many rows of a hot key share their dates, they are one row
-    here. ``copies`` names a column with the number of rows that a row of ``df`` stands for.
+    Equal intervals of a key are counted first. Months that an interval covers from end to end differ only in their
+    number, so an interval adds its first and last part to their months, and one to a count of covering intervals from its
+    second month on that ends with its last: three rows at most, however long it is. Summed by key and month, their running
+    sum along a key's months says how many intervals cover each, and only then are the key's months laid out. The work is
+    one row for each interval and for each month of a key; a key's running sum sees one row for each month with an event.
+    ``copies`` names a column with the number of rows that a row of ``df`` stands for; with ``unique_key`` the caller says
+    that every key has one row.
+
     The month's weight is computed as (its non-zero microseconds) / (key total) plus one per kept
     zero-length part -- equal to the sum of the part weights, but one exact division, so it does not
-    depend on the order in which the parts are added.
+    depend on the order in which the parts are added. Rows with a null key are dropped.
     """
-    count = F.sum(copies) if copies else F.count(F.lit(1))
-    intervals = df.groupBy(*keys, start, end).agg(count.alias("_copies"))
-    parts = month_parts(intervals, keys, start, end, carry=["_copies"], unique_key=unique_key, copies="_copies")
-    us, n = F.col("duration_us"), F.col("_copies")
-    g = parts.groupBy(*keys, "start_year", "start_month").agg(
-        F.sum(F.when(us != 0, us * n)).alias("_num"),
-        F.sum(F.when(us == 0, n.cast("double"))).alias("_zeros"),
-        F.max("key_total_us").alias("_total"),
-    )
-    share = F.col("_num") / F.when(F.col("_total") != 0, F.col("_total"))
+    keys = list(keys)
+    rows = df.dropna("any", subset=keys)
+    sums = _edges(rows, keys, start, end, F.sum(copies) if copies else F.count(F.lit(1)), unique_key)
+    along = Window.partitionBy(*keys).orderBy("_month")
+    covering = F.coalesce(F.sum("_delta").over(along.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
+    sums = sums.select(*keys, "_month", "_num", "_zeros", "_total", covering.alias("_cover"), F.lead("_month").over(along).alias("_next"))
+    # months up to the next event are covered by as many intervals as this one
+    steps = F.when(F.col("_cover") > 0, F.col("_next") - F.col("_month") - 1).otherwise(F.lit(0))
+    months = sums.select(*keys, "_num", "_zeros", "_total", "_cover", "_month", F.explode(F.sequence(F.lit(0), F.coalesce(steps, F.lit(0)))).alias("_k"))
+    here, number = F.col("_k") == 0, F.col("_month") + F.col("_k")
+    full = F.when(F.col("_cover") > 0, F.col("_cover") * _wide(_month_us(number)))
+    num = F.when(here & F.col("_num").isNotNull(), F.col("_num") + F.coalesce(full, F.lit(0))).otherwise(full)
+    months = months.select(*keys, "_month", number.alias("_number"), num.alias("_num"), F.when(here, F.col("_zeros")).alias("_zeros"), "_total")
+    months = months.where(F.col("_month").isNull() | F.col("_num").isNotNull() | F.col("_zeros").isNotNull())
+    share = F.col("_num").cast("double") / F.when(F.col("_total") != 0, F.col("_total").cast("double"))
     weight = F.when(share.isNull() & F.col("_zeros").isNull(), F.lit(None).cast("double")).otherwise(
-        F.coalesce(share, F.lit(0.0)) + F.coalesce(F.col("_zeros"), F.lit(0.0)))
-    return g.select(*keys, "start_year", "start_month", weight.alias("weight"))
+        F.coalesce(share, F.lit(0.0)) + F.coalesce(F.col("_zeros").cast("double"), F.lit(0.0)))
+    return months.select(*keys, F.floor(F.col("_number") / 12).cast("int").alias("start_year"),
+                         (F.col("_number") % 12 + 1).cast("int").alias("start_month"), weight.alias("weight"))

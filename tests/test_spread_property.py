@@ -148,3 +148,16 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert all(got[k] == pytest.approx(w, rel=1e-12, abs=1e-12) for k, w in expected.items())
     hot_total = sum(w for (k, _, _), w in got.items() if k == -1)
     assert hot_total == pytest.approx(1.0)
+
+
+def test_endless_intervals_of_one_key(spark):
+    """Many intervals to the year 9999: their months are laid out once for the key, not once for each interval."""
+    rows = [(1, datetime(2024, 1, 1 + i % 28), datetime(9999, 12, 31)) for i in range(60)] + [(1, datetime(2024, 2, 3), datetime(2024, 5, 6)), (2, None, datetime(2024, 1, 1))]
+    weights = month_weights(spark.createDataFrame(rows, "k long, s timestamp_ntz, e timestamp_ntz"), ["k"], "s", "e")
+    got = {(r.k, r.start_year, r.start_month): r.weight for r in weights.where("k = 2 or start_year in (2024, 5000, 9999)").collect()}
+    expected = model([(1, datetime(2024, 1, 1 + i % 28), datetime(2027, 12, 31)) for i in range(60)] + rows[60:])
+    assert got[2, None, None] is None and len(got) == 37
+    # a middle month against another: covered by the same number of intervals, so in proportion to their days
+    assert got[1, 5000, 1] / got[1, 9999, 11] == pytest.approx(31 / 30)
+    assert got[1, 2024, 3] / got[1, 2024, 7] == pytest.approx(expected[1, 2024, 3] / expected[1, 2024, 7])
+    assert weights.where("k = 1").count() == (9999 - 2024 + 1) * 12
