@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import wraps
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodix.llm import decontaminate, dedup, licenses, ngram_join, packing, periodic_runs, pii, prefix_trie, quality, secret_scan, token_files, toxicity, url_filter
 from periodix.llm.sample import in_fold
-from periodix.llm.work import map_arrow, ship_package, work_folder
+from periodix.llm.work import ship_package, work_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,22 +71,10 @@ def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column("ids")
-        flat, ends = ids.flatten().to_numpy().astype("<u4"), np.asarray(ids.offsets)
-        ends = ends - ends[0]
-        crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
-        rest = [batch.column(c) for c in ("shard", "chunk", "doc_id", "chunk_start")]
-        yield pa.RecordBatch.from_arrays([*rest, pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64())],
-                                         ["shard", "chunk", "doc_id", "chunk_start", "n_tokens", "ids_crc32"])
-
-
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{work_folder(spark)}/token-files"
     token_files.write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer_path())
-    read = token_files.read_token_files(spark, path)
-    read = map_arrow(read, _checksums, "shard int, chunk int, doc_id long, chunk_start long, n_tokens long, ids_crc32 long")
+    read = token_files.read_checksums(spark, path)
     index = token_files.chunk_index(spark, path).select("shard", "chunk", "start")
     return read.join(index, ["shard", "chunk"]).select("doc_id", (F.col("start") + F.col("chunk_start")).alias("start"), "n_tokens", "ids_crc32")
 

@@ -9,6 +9,7 @@ lie in any store that Spark reads.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -137,20 +138,41 @@ def chunk_index(spark: SparkSession, path: str) -> DataFrame:
     return index.join(offsets, "shard").withColumn("start", F.col("before") + F.col("shard_start")).drop("before", "shard_start")
 
 
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
+    """(a chunk's columns, its ids, where its documents begin, and the end)."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            one = {c: batch.column(c)[row] for c in batch.schema.names}
+            ids = unpack_chunk(one["planes"].as_py(), one["plane_sizes"].values.to_numpy(), one["n_ids"].as_py(), one["unit"].as_py(), one["block_ids"].as_py())
+            yield one, ids, np.concatenate([[0], np.cumsum(one["doc_lengths"].values.to_numpy())])
+
+
+def _of_chunk(one: dict, ends: np.ndarray) -> dict[str, pa.Array]:
+    n = len(ends) - 1
+    return {"shard": pa.array(np.full(n, one["shard"].as_py()), pa.int32()), "chunk": pa.array(np.full(n, one["chunk"].as_py()), pa.int32()),
+            "doc_id": one["doc_ids"].values, "chunk_start": pa.array(ends[:-1], pa.int64())}
+
+
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(shard, chunk, doc_id, chunk_start, ids) of every document, decoded chunk by chunk in any order."""
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                one = {c: batch.column(c)[row] for c in batch.schema.names}
-                ids = unpack_chunk(one["planes"].as_py(), one["plane_sizes"].values.to_numpy(), one["n_ids"].as_py(), one["unit"].as_py(), one["block_ids"].as_py())
-                lengths = one["doc_lengths"].values.to_numpy()
-                ends = np.concatenate([[0], np.cumsum(lengths)])
-                n = len(lengths)
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array(np.full(n, one["shard"].as_py()), pa.int32()), "chunk": pa.array(np.full(n, one["chunk"].as_py()), pa.int32()),
-                    "doc_id": one["doc_ids"].values, "chunk_start": pa.array(ends[:-1], pa.int64()),
-                    "ids": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.view(np.int32)))})
+        for one, ids, ends in _decoded(batches):
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.view(np.int32)))
+            yield pa.RecordBatch.from_pydict(_of_chunk(one, ends) | {"ids": lists})
 
     rows = spark.read.schema(CHUNK_SCHEMA).parquet(path)
     return map_arrow(rows, documents, "shard int, chunk int, doc_id long, chunk_start long, ids array<int>")
+
+
+def read_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, chunk, doc_id, chunk_start, n_tokens, ids_crc32) of every document: what its ids, decoded from the files, add
+    up to as little-endian 32-bit integers. The ids themselves stay in the task that reads them."""
+    def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for one, ids, ends in _decoded(batches):
+            raw = memoryview(np.ascontiguousarray(ids, dtype="<u4")).cast("B")
+            at = (4 * ends).tolist()
+            crc = [zlib.crc32(raw[a:b]) for a, b in zip(at, at[1:])]
+            yield pa.RecordBatch.from_pydict(_of_chunk(one, ends) | {"n_tokens": pa.array(np.diff(ends), pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
+
+    rows = spark.read.schema(CHUNK_SCHEMA).parquet(path)
+    return map_arrow(rows, checksums, "shard int, chunk int, doc_id long, chunk_start long, n_tokens long, ids_crc32 long")

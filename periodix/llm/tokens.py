@@ -12,20 +12,21 @@ import functools
 import json
 import os
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from periodix.llm.text import NOT_SPACE, lower_ascii, runs, slices, word_spans
 
 #: Pieces whose ids a task keeps, and their bytes together; beyond either, pieces used once go, and the rarer half.
 KEPT_PIECES = 200_000
-KEPT_BYTES = 8 << 20
+KEPT_BYTES = 16 << 20
 #: Longer pieces are not kept.
 LONG_PIECE = 64
 #: Texts are encoded this many bytes at a time; one longer text goes alone.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 21
 
 # The normaliser and the splitter that allow a text to be cut into pieces.
 NORMALISERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -80,10 +81,12 @@ def pieces_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarra
     size = ends - starts
     word_at = np.concatenate([[0], np.cumsum(size)])
     packed, kind = low[inside], kind[inside]
-    odd = np.concatenate([[0], np.cumsum(kind == OTHER)])
-    whole = np.repeat(odd[word_at[1:]] > odd[word_at[:-1]], size)
-    packed[whole] = raw[inside][whole]
-    kind[whole] = OTHER
+    odd = np.flatnonzero(kind == OTHER)
+    if len(odd):  # words with such characters stay as they are
+        word = np.unique(np.searchsorted(word_at, odd, "right") - 1)
+        whole = runs(word_at[word], size[word])
+        packed[whole] = raw[inside][whole]
+        kind[whole] = OTHER
     new = np.empty(len(packed), bool)
     if len(new):
         new[0] = True
@@ -101,55 +104,56 @@ class PieceEncoder:
     def __init__(self, path: str):
         self.tokenizer, self.spelled = _loaded(path)
         self.model = self.tokenizer.model
-        self.number: dict[bytes, int] = {}
-        self.key_bytes = 0
+        self.known = pa.array([], pa.large_binary())  # pieces whose ids are kept
         self.start = np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
         self.uses = np.zeros(0, np.int64)
 
-    def _forget_rare(self) -> None:
-        keep = np.flatnonzero(self.uses > 1)
-        keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[:KEPT_PIECES // 2]])
-        known = list(self.number)  # in the order of their numbers
-        keep = np.array([i for i in keep.tolist() if len(known[i]) < LONG_PIECE], np.int64)
-        self.number = {known[i]: k for k, i in enumerate(keep.tolist())}
-        self.key_bytes = sum(map(len, self.number))
+    def _keep(self, keep: np.ndarray) -> None:
         length = self.start[keep + 1] - self.start[keep]
+        self.known = self.known.take(pa.array(keep))
         self.pool = self.pool[runs(self.start[keep], length)]
         self.start = np.concatenate([[0], np.cumsum(length)])
         self.uses = self.uses[keep]
 
+    def _forget_rare(self) -> None:
+        """Keeps the pieces used most, at most half of those allowed and none that are long."""
+        keep = np.flatnonzero((self.uses > 1) & (pc.binary_length(self.known).to_numpy() < LONG_PIECE))
+        self._keep(np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[:KEPT_PIECES // 2]]))
+
     def _ids(self, piece: bytes, whole: bool) -> list[int]:
         text = piece.decode()
         if whole:
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         return [t.id for t in self.model.tokenize(text.translate(self.spelled))]
 
+    def _add(self, fresh: pa.Array, whole: np.ndarray) -> None:
+        lists = list(map(self._ids, fresh.to_pylist(), whole.tolist()))
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.known = pa.concat_arrays([self.known, fresh])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths)])
+        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum()))])
+        self.uses = np.concatenate([self.uses, np.zeros(len(lists), np.int64)])
+
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, how many each text has)."""
         if self.spelled is None:
             texts = [raw[a:b].tobytes().decode() for a, b in zip(offsets, offsets[1:])]
             found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
             return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
-        if len(self.number) > KEPT_PIECES or self.key_bytes > KEPT_BYTES:
+        if len(self.known) > KEPT_PIECES or self.known.nbytes > KEPT_BYTES:
             self._forget_rare()
         column, whole, first = pieces_of(raw, offsets)
         coded = column.dictionary_encode()
-        index, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        number = np.array(list(map(self.number.get, distinct, repeat(-1))), np.int64)
+        index, distinct = coded.indices.to_numpy(), coded.dictionary
+        place = pc.index_in(distinct, value_set=self.known)
+        number = pc.fill_null(place, -1).to_numpy().astype(np.int64)
         new = np.flatnonzero(number < 0)
         if len(new):
             kind = np.zeros(len(distinct), bool)
             kind[index] = whole
-            fresh, known = [distinct[i] for i in new.tolist()], len(self.number)
-            lists = list(map(self._ids, fresh, kind[new].tolist()))
-            number[new] = np.arange(known, known + len(fresh))
-            self.number.update(zip(fresh, range(known, known + len(fresh))))
-            self.key_bytes += sum(map(len, fresh))
-            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths)])
-            self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum()))])
-            self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
+            number[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self._add(distinct.take(pa.array(new)), kind[new])
         self.uses[number] += np.bincount(index, minlength=len(distinct))
         at = number[index]
         length = self.start[at + 1] - self.start[at]
