@@ -6,6 +6,7 @@ from __future__ import annotations
 from oracle.bindings import with_views
 from oracle.hours_sql import rounded_percent
 from oracle.marts_sql import mart_prefix, positions_select
+from oracle.sums import exact_sum
 from periodix import labels as L
 
 
@@ -14,7 +15,7 @@ def _q(s: str) -> str:
 
 
 def _dsum(expr: str) -> str:
-    return f"CAST(sum(CAST({expr} AS DECIMAL(38,6))) AS DOUBLE)"
+    return exact_sum(expr)
 
 
 _KEYS = '"object", nz_year, nz_month, project_type'

@@ -82,9 +82,9 @@ def check_hours_total(tw: DataFrame, nw: DataFrame, threshold_pct: float = 0.1)
 
 
 def _per_operation(df: DataFrame, code: str, ss: str, sp: str) -> DataFrame:
-    return df.where(F.col(ss).isNotNull() | F.col(sp).isNotNull()).groupBy(
-        "object", F.col(code).alias("_code")).agg(
-        exact_sum(F.coalesce(F.col(ss), F.lit(0.0)) + F.coalesce(F.col(sp), F.lit(0.0))).alias("_total"))
+    both = F.coalesce(F.col(ss), F.lit(0.0)) + F.coalesce(F.col(sp), F.lit(0.0))
+    rows = df.where(F.col(ss).isNotNull() | F.col(sp).isNotNull()).select("object", F.col(code).alias("_code"), both.alias("_both"))
+    return rows.groupBy("object", "_code").agg(exact_sum(F.col("_both")).alias("_total"))
 
 
 def check_oper_duplication(gandoper: DataFrame, archive: DataFrame, mart: DataFrame,
@@ -139,11 +139,11 @@ def check_cost_components(gandoper: DataFrame, cost: DataFrame, excluded_object:
     Joined on the reference's concatenated period key (null parts skipped).
     """
     link = concat_skip_nulls("object", "nz_year", "nz_month", "project_type")
-    ops = gandoper.groupBy(*SNAPSHOT_KEYS, link.alias("_link")).agg(
-        (exact_sum(F.coalesce(F.col("s_act_CC_SMRSsI"), F.lit(0.0)))
-         + exact_sum(F.coalesce(F.col("s_act_CC_SMRSpI"), F.lit(0.0)))).alias("_fact"),
-        (exact_sum(F.coalesce(F.col("s_pln_CC_SMRSsI"), F.lit(0.0)))
-         + exact_sum(F.coalesce(F.col("s_pln_CC_SMRSpI"), F.lit(0.0)))).alias("_plan"))
+    sides = {f"{side}_{part}": f"s_{side}_CC_{part}" for side in ("act", "pln") for part in ("SMRSsI", "SMRSpI")}
+    rows = gandoper.select(*SNAPSHOT_KEYS, link.alias("_link"), *[F.coalesce(F.col(c), F.lit(0.0)).alias(n) for n, c in sides.items()])
+    ops = rows.groupBy(*SNAPSHOT_KEYS, "_link").agg(
+        (exact_sum(F.col("act_SMRSsI")) + exact_sum(F.col("act_SMRSpI"))).alias("_fact"),
+        (exact_sum(F.col("pln_SMRSsI")) + exact_sum(F.col("pln_SMRSpI"))).alias("_plan"))
     comps = cost.where((F.col("Code") == "SMRSsI") | (F.col("Code") == "SMRSpI")).groupBy(link.alias("_link")).agg(
         exact_sum(F.col("f_act_Total")).alias("_total_fact"), exact_sum(F.col("f_pln_Total")).alias("_total_plan"))
     j = ops.join(comps, "_link")

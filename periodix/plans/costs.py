@@ -78,12 +78,14 @@ def erp_costs(tw: DataFrame, qualified: DataFrame, fot: DataFrame, mim: DataFram
     rows = validity_join(rows, machines, [("res_name", "_m_res"), ("site", "_m_site")], "day", "_m_from", "_m_to")
     rows = rows.join(kol_ekip.select(F.col("Code").alias("res_code"), F.col("Kol_Ekip").alias("crew")), "res_code", "left")
     hours, mine = F.col("hours"), F.col("own")
-    return rows.groupBy("unique_code", "site").agg(
+    rows = rows.select("unique_code", "site", "hours", "own", (hours * F.col("fot") * F.col("crew")).alias("fot"),
+                       *[(hours * F.col(rate)).alias(rate) for rate in ("leasing", "repair", "fuel")])
+    money = rows.withColumns({c: F.when(mine, F.col(c)) for c in ("fot", "leasing", "repair", "fuel")})
+    return money.groupBy("unique_code", "site").agg(
         F.sum(hours).alias("hours"),
         F.sum(F.when(mine, hours)).alias("own_hours"),
         F.sum(F.when(~mine, hours)).alias("nt_hours"),
-        exact_sum(F.when(mine, hours * F.col("fot") * F.col("crew"))).alias("fot"),
-        *[exact_sum(F.when(mine, hours * F.col(rate))).alias(rate) for rate in ("leasing", "repair", "fuel")])
+        *[exact_sum(F.col(c)).alias(c) for c in ("fot", "leasing", "repair", "fuel")])
 
 
 def planning_costs(archive: DataFrame, gandoper: DataFrame, p: CostParams) -> DataFrame:

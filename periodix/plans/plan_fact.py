@@ -100,9 +100,9 @@ def fact_by_month(archive: DataFrame, project_type: str = L.PROJECT) -> DataFram
     weights = month_weights(ops, keys, "start_date", "end_date")
 
     terms = _measure_terms("c_aac_")
-    sums = rows.groupBy(
-        F.col("index").alias("archive_index"), F.col("OperCode").alias("code"), "object"
-    ).agg(*[exact_sum(t).alias(n) for n, t in terms.items()])
+    measures = rows.select(F.col("index").alias("archive_index"), F.col("OperCode").alias("code"), "object",
+                           *[t.alias(n) for n, t in terms.items()])
+    sums = measures.groupBy("archive_index", "code", "object").agg(*[exact_sum(F.col(n)).alias(n) for n in terms])
     joined = weights.join(sums, on=keys)
 
     out = joined.select(

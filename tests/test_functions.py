@@ -1,9 +1,14 @@
 """PostgreSQL-parity helpers (traps T1-T7, T11 of the survey)."""
 
+import math
+import random
 from datetime import datetime
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from oracle.sums import exact_sum as oracle_sum
 from periodix.functions import (
     add_months,
     concat_skip_nulls,
@@ -17,6 +22,7 @@ from periodix.functions import (
     subtract_days,
     zero_pad_month,
 )
+from periodix.functions.sums import exact_sum
 
 
 def one(spark, **cols):
@@ -78,3 +84,30 @@ def test_strip_spaces_and_fractional_days(spark):
     r = one(spark, a=strip_spaces(F.lit("4-NOT SPECIFIED 1")),
             b=subtract_days(F.lit(datetime(2024, 3, 1)).cast("timestamp_ntz"), F.lit(1.5)))
     assert r.a == "4-NOTSPECIFIED1" and r.b == datetime(2024, 2, 28, 12)
+
+
+def test_exact_sums_do_not_depend_on_layout(spark):
+    rng = random.Random(8)
+    values = [rng.uniform(-1, 1) * 10 ** rng.randint(-6, 12) for _ in range(4000)] + [1e15, -1e15, 0.1, -0.1, 3e-9, -7e-12, None]
+    sums = set()
+    for parts, seed in ((1, 1), (3, 2), (8, 3)):
+        rng.shuffle(values)
+        rows = spark.createDataFrame([(v, i % 3) for i, v in enumerate(values)], "x double, g int").repartition(parts)
+        sums.add(rows.agg(exact_sum(F.col("x")).alias("s")).first().s)
+    assert len(sums) == 1
+    assert sums.pop() == pytest.approx(math.fsum(v for v in values if v is not None), rel=1e-15)
+
+
+@pytest.mark.parametrize("values, want", [
+    ([0.1] * 10, 1.0), ([-0.1] * 3, -0.30000000000000004), ([1e17, 1.0, -1e17], 1.0), ([-1e-3, 1e-3], 0.0), ([2.0**60, 2.0**-40, -(2.0**60)], 2.0**-40),
+    ([None], None), ([], None), ([1.0, float("nan")], math.nan), ([float("inf"), 1.0], math.inf), ([float("inf"), -float("inf")], math.nan), ([-5.25, None, 2.0], -3.25)])
+def test_exact_sum_values(spark, values, want):
+    got = spark.createDataFrame([(v,) for v in values], "x double").agg(exact_sum(F.col("x")).alias("s")).first().s
+    if want is None or math.isnan(want):
+        assert got is None if want is None else math.isnan(got)
+    else:
+        assert got == pytest.approx(want, rel=1e-15, abs=2.3e-16 * len(values))
+    sql = ", ".join(f"({'NULL' if v is None else repr(v)}::DOUBLE)" for v in values if v is None or math.isfinite(v))
+    if want is not None and math.isfinite(want):
+        assert duckdb.sql(f"SELECT {oracle_sum('x')} FROM (VALUES {sql}) AS t(x)").fetchall()[0][0] == got
+
