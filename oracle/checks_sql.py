@@ -27,7 +27,7 @@ SELECT {_KEYS}, {_q(status)} AS status
 FROM raw_spider__gandoper
 WHERE project_type = {_q(project_type)}
 GROUP BY {_KEYS}
-HAVING sum("{measure}") <> 0"""
+HAVING {_dsum(chr(34) + measure + chr(34))} <> 0"""
 
 
 def fact_nz(exception: tuple[str, str, str]) -> str:

@@ -19,13 +19,10 @@ WINTER_MONTHS = (1, 2, 3, 12)   # fixed values: months whose SR_ calendar parts
 EXCLUDED_CALENDARS = "SR_%"     # fixed value: LIKE pattern ('_' is a wildcard, as in the reference)
 
 
-def _year_start(c: Column) -> Column:
-    return F.date_trunc("year", c).cast("timestamp_ntz")
-
-
-def _shift(ts: Column, to: Column, frm: Column) -> Column:
-    """``ts + (date_trunc('year', to) - date_trunc('year', frm))``: a shift by whole days."""
-    return F.timestamp_add("DAY", F.datediff(_year_start(to), _year_start(frm)), ts)
+def _moved(exception_day: Column, year_of: Column) -> Column:
+    """The day of an exception in another date's year: as many days after 1 January as between the two 1 Januaries."""
+    first = lambda c: F.make_date(F.year(c), F.lit(1), F.lit(1))
+    return exception_day + F.make_dt_interval(F.datediff(first(year_of), first(exception_day)))
 
 
 def adjust_calendar(parts: DataFrame, exceptions: DataFrame, start: str = "part_start", end: str = "part_end",
@@ -35,22 +32,17 @@ def adjust_calendar(parts: DataFrame, exceptions: DataFrame, start: str = "part_
     ``parts`` carries ``start``, ``end`` and ``calendar``; ``exceptions`` has Calen_Code, Start, Fin,
     Start_true, Fin_true. Other columns of ``parts`` are kept; the part bounds are replaced.
     """
-    ex = exceptions.select(F.col("Calen_Code").alias("_x_cal"), F.col("Start").alias("_x_s"),
-                           F.col("Fin").alias("_x_f"), F.col("Start_true").alias("_x_st"),
-                           F.col("Fin_true").alias("_x_ft"))
+    # null calendars and starts are in no winter: such parts stay
+    winter = F.coalesce(F.col(calendar).like(EXCLUDED_CALENDARS) & F.month(start).isin(*WINTER_MONTHS), F.lit(False))
+    rows = parts.where(~winter)
+    ex = exceptions.select(*[F.col(c).alias(f"_x_{c}") for c in ("Calen_Code", "Start", "Fin", "Start_true", "Fin_true")])
+    met = rows.join(ex, (F.month(start) == F.month("_x_Start")) & (F.col(calendar) == F.col("_x_Calen_Code")), "left")
     s, e = F.col(start), F.col(end)
-    joined = parts.join(ex, (F.month(s) == F.month("_x_s")) & (F.col(calendar) == F.col("_x_cal")), "left")
-    lo = _shift(F.col("_x_s"), s, F.col("_x_s"))
-    hi = _shift(F.col("_x_f"), e, F.col("_x_f"))
-    new_start = F.when(F.month(s) == F.month("_x_s"),
-                       F.when(s.between(lo, hi), _shift(F.col("_x_ft"), e, F.col("_x_ft"))).otherwise(s)
-                       ).otherwise(s)
-    new_end = F.when(F.month(e) == F.month("_x_f"),
-                     F.when(e.between(lo, hi) & (F.month(e) == F.month(s)), _shift(F.col("_x_ft"), s, F.col("_x_ft")))
-                     .when(e.between(lo, hi), _shift(F.col("_x_st"), s, F.col("_x_st")))
-                     .otherwise(e)
-                     ).otherwise(e)
-    excluded = F.coalesce(F.col(calendar).like(EXCLUDED_CALENDARS) & F.month(s).isin(*WINTER_MONTHS), F.lit(False))
-    keep_cols = [c for c in parts.columns if c not in (start, end)]
-    return joined.where(excluded.eqNullSafe(F.lit(False))).select(
-        *keep_cols, new_start.alias("start_date"), new_end.alias("end_date"))
+    # an exception's span begins in the year of the part's start and ends in that of its end
+    span = (_moved(F.col("_x_Start"), s), _moved(F.col("_x_Fin"), e))
+    one_month = F.month(s) == F.month(e)
+    end_inside = e.between(*span) & (F.month(e) == F.month("_x_Fin"))
+    new_start = F.when(s.between(*span), _moved(F.col("_x_Fin_true"), e)).otherwise(s)
+    new_end = F.when(end_inside, _moved(F.when(one_month, F.col("_x_Fin_true")).otherwise(F.col("_x_Start_true")), s)).otherwise(e)
+    kept = [c for c in parts.columns if c not in (start, end)]
+    return met.select(*kept, new_start.alias("start_date"), new_end.alias("end_date"))

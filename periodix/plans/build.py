@@ -22,7 +22,7 @@ from periodix.plans import checks as Q
 from periodix.plans.costs import CostParams, compare_costs
 from periodix.plans.hours import reconcile_hours
 from periodix.plans.plan_fact import fact_by_month, plan_by_month, plan_fact_mart
-from periodix.sources.sinks import write_table
+from periodix.sources.sinks import write_bucketed, write_table
 
 
 @dataclass
@@ -80,21 +80,22 @@ def build(spark: SparkSession, src: Sources, params: BuildParams, base: str) ->
                                src.calen_except)
     write_table(adjusted, base, "calendar_adjust")
     positions = write_table(contract_positions(src.vdc), base, "contract_positions")
-    # month-grained tables are partitioned by year: readers that filter on a period prune directories
-    by_year = ["start_year"]
-    plan = write_table(plan_by_month(src.gandoper, unique_key=params.plan_unique_key), base, "plan_by_month",
-                       partition_by=by_year)
-    fact = write_table(fact_by_month(src.archive), base, "fact_by_month", partition_by=by_year)
-    mart = write_table(plan_fact_mart(plan, fact, src.gandoper, positions), base, "plan_fact_mart",
-                       partition_by=by_year)
+    # the month-grained tables are joined and checked by operation and site: they lie in buckets by these keys, and the
+    # mart in folders by year as well, so readers that filter on a period prune directories
+    operation = ["code", "object"]
+    plan = write_bucketed(plan_by_month(src.gandoper, unique_key=params.plan_unique_key), base, "plan_by_month", operation)
+    fact = write_bucketed(fact_by_month(src.archive), base, "fact_by_month", operation)
+    mart = write_bucketed(plan_fact_mart(plan, fact, src.gandoper, positions), base, "plan_fact_mart", operation,
+                          partition_by=["start_year"])
     write_table(reconcile_hours(src.technique_workers, src.norm_workload, src.works, src.zhufvr, src.objects,
                                 src.gandoper, positions, src.key_res, params.own_contractor_name,
                                 params.placeholder_analytics), base, "hours_mart")
     write_table(compare_costs(src.technique_workers, src.works, src.zhufvr, src.objects, src.fot, src.mim,
                               src.kol_ekip, src.gandoper, src.archive, params.costs), base, "costs_mart")
+    slices = write_table(Q.slice_totals(src.gandoper), base, "slice_totals")  # one pass for two checks
     checks = {
-        "check_fact_nz": Q.check_fact_nz(src.gandoper, params.fact_nz_exception),
-        "check_plan_ovnz": Q.check_plan_ovnz(src.gandoper),
+        "check_fact_nz": Q.fact_in_plan_slices(slices, params.fact_nz_exception),
+        "check_plan_ovnz": Q.plan_in_fact_slices(slices),
         "check_duplicate_projects": Q.check_duplicate_projects(src.gandoper),
         "check_hours_from_1c": Q.check_hours_total(src.technique_workers, src.norm_workload),
         "check_duplication_of_oper": Q.check_oper_duplication(src.gandoper, src.archive, mart),

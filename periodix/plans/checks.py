@@ -3,8 +3,7 @@
 All are grouped aggregations (map-side partial aggregation, one shuffle of partial sums) or
 aggregates joined on their group keys. Global totals are computed as one aggregate over a tagged
 union of the inputs, so no join of one-row frames is needed. Money totals that are rounded or
-compared against a threshold are summed exactly (values to 6 decimals, added as decimals), so the
-verdict does not depend on the partitioning.
+compared are summed exactly, so the verdict does not depend on the partitioning.
 """
 
 from __future__ import annotations
@@ -27,16 +26,15 @@ def _status_rows(grouped: DataFrame, status: Column) -> DataFrame:
     return grouped.withColumn("status", status).select(*CHECK_COLUMNS)
 
 
-def check_fact_nz(gandoper: DataFrame, exception: tuple[str, str, str] | None = None) -> DataFrame:
-    """Q1: actual project cost present in a plan-period (НЗ) snapshot.
+def slice_totals(gandoper: DataFrame) -> DataFrame:
+    """Actual and planned project cost of each snapshot slice (Q1 and Q2), from one pass over the operations."""
+    rows = gandoper.where(F.col("project_type").isin(L.SNAPSHOT_NZ, L.SNAPSHOT_OVNZ))
+    return rows.groupBy(*SNAPSHOT_KEYS).agg(exact_sum(F.col("s_act_CC_SMRFull")).alias("fact"), exact_sum(F.col("s_pln_CC_SMRFull")).alias("plan"))
 
-    ``exception`` = (object, year, month) excluded on purpose. The reference's filter compares each
-    part with ``!=`` and can never return a row; this is its intended form, ``NOT (all equal)``.
-    """
-    g = gandoper.where(F.col("project_type") == L.SNAPSHOT_NZ).groupBy(*SNAPSHOT_KEYS).agg(
-        F.sum("s_act_CC_SMRFull").alias("_fact"))
-    status = F.when(F.col("_fact") != 0, F.lit(L.STATUS_FACT_IN_NZ)).otherwise(F.lit(""))
-    out = _status_rows(g, status).where(F.col("status") == L.STATUS_FACT_IN_NZ)
+
+def fact_in_plan_slices(totals: DataFrame, exception: tuple[str, str, str] | None = None) -> DataFrame:
+    """Q1 over :func:`slice_totals`."""
+    out = _status_rows(totals.where((F.col("project_type") == L.SNAPSHOT_NZ) & (F.col("fact") != 0)), F.lit(L.STATUS_FACT_IN_NZ))
     if exception is not None:
         obj, year, month = exception
         out = out.where(~((F.col("object") == obj) & (F.col("nz_year") == year) & (F.col("nz_month") == month)
@@ -44,12 +42,23 @@ def check_fact_nz(gandoper: DataFrame, exception: tuple[str, str, str] | None =
     return out
 
 
+def plan_in_fact_slices(totals: DataFrame) -> DataFrame:
+    """Q2 over :func:`slice_totals`."""
+    return _status_rows(totals.where((F.col("project_type") == L.SNAPSHOT_OVNZ) & (F.col("plan") != 0)), F.lit(L.STATUS_PLAN_IN_OVNZ))
+
+
+def check_fact_nz(gandoper: DataFrame, exception: tuple[str, str, str] | None = None) -> DataFrame:
+    """Q1: actual project cost present in a plan-period (НЗ) snapshot.
+
+    ``exception`` = (object, year, month) excluded on purpose. The reference's filter compares each
+    part with ``!=`` and can never return a row; this is its intended form, ``NOT (all equal)``.
+    """
+    return fact_in_plan_slices(slice_totals(gandoper), exception)
+
+
 def check_plan_ovnz(gandoper: DataFrame) -> DataFrame:
     """Q2: planned project cost present in a fact-period (ОВНЗ) snapshot."""
-    g = gandoper.where(F.col("project_type") == L.SNAPSHOT_OVNZ).groupBy(*SNAPSHOT_KEYS).agg(
-        F.sum("s_pln_CC_SMRFull").alias("_plan"))
-    status = F.when(F.col("_plan") != 0, F.lit(L.STATUS_PLAN_IN_OVNZ)).otherwise(F.lit(""))
-    return _status_rows(g, status).where(F.col("status") == L.STATUS_PLAN_IN_OVNZ)
+    return plan_in_fact_slices(slice_totals(gandoper))
 
 
 def check_duplicate_projects(gandoper: DataFrame) -> DataFrame:
@@ -84,7 +93,7 @@ def check_hours_total(tw: DataFrame, nw: DataFrame, threshold_pct: float = 0.1)
 def _per_operation(df: DataFrame, code: str, ss: str, sp: str) -> DataFrame:
     both = F.coalesce(F.col(ss), F.lit(0.0)) + F.coalesce(F.col(sp), F.lit(0.0))
     rows = df.where(F.col(ss).isNotNull() | F.col(sp).isNotNull()).select("object", F.col(code).alias("_code"), both.alias("_both"))
-    return rows.groupBy("object", "_code").agg(exact_sum(F.col("_both")).alias("_total"))
+    return rows.groupBy("_code", "object").agg(exact_sum(F.col("_both")).alias("_total"))  # the order of the mart's buckets
 
 
 def check_oper_duplication(gandoper: DataFrame, archive: DataFrame, mart: DataFrame,
@@ -103,7 +112,7 @@ def check_oper_duplication(gandoper: DataFrame, archive: DataFrame, mart: DataFr
             .withColumnRenamed("_total", "_mart")
 
     def offending(raw: DataFrame, kind: str) -> DataFrame:
-        j = raw.join(mart_side(kind), ["object", "_code"])
+        j = raw.join(mart_side(kind), ["_code", "object"])
         n = j.where(F.abs(F.col("_total") - F.col("_mart")) > tolerance).agg(F.count(F.lit(1)).alias("count"))
         return n.where(F.col("count") > 0)
 

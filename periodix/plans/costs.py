@@ -91,12 +91,9 @@ def erp_costs(tw: DataFrame, qualified: DataFrame, fot: DataFrame, mim: DataFram
 def planning_costs(archive: DataFrame, gandoper: DataFrame, p: CostParams) -> DataFrame:
     """Archive resource workload per (operation, site) with the operation's plan row."""
     res = archive.where((F.col("project_type") == p.project_type) & F.col("ResCode").isNotNull())
-    wl = F.col("WorkLoadFact")
-    sums = res.groupBy("OperCode", "object").agg(
-        F.sum(wl).alias("wrkld"),
-        F.sum(F.when(F.col("ResCode").like(L.HIRED_RESCODE_PATTERN), wl)).alias("nt_wrkld"),
-        F.sum(F.when(~F.col("ResCode").like(L.HIRED_RESCODE_PATTERN), wl)).alias("own_wrkld"),
-    )
+    hired, wl = F.col("ResCode").like(L.HIRED_RESCODE_PATTERN), F.col("WorkLoadFact")
+    rows = res.select("OperCode", "object", wl.alias("wrkld"), F.when(hired, wl).alias("nt_wrkld"), F.when(~hired, wl).alias("own_wrkld"))
+    sums = rows.groupBy("OperCode", "object").agg(*[exact_sum(F.col(c)).alias(c) for c in ("wrkld", "nt_wrkld", "own_wrkld")])
     plan = gandoper.where(F.col("project_type") == p.project_type).select(
         "f_CodeIdent", F.col("Code").alias("_g_code"), "Name", "c_act_AmLiz", "c_act_RepMiM", "c_act_FuelMiM",
         "c_act_FnOpTr", F.col("object").alias("_g_object"), "Start", "Fin")

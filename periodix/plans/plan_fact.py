@@ -120,16 +120,17 @@ def fact_by_month(archive: DataFrame, project_type: str = L.PROJECT) -> DataFram
 def plan_fact_mart(plan: DataFrame, fact: DataFrame, gandoper: DataFrame, positions: DataFrame,
                    project_type: str = L.PROJECT) -> DataFrame:
     """The plan/fact mart: plan and fact rows with operation and contract dimensions."""
-    rows = plan.select(*PLAN_FACT_COLUMNS).unionByName(fact.select(*PLAN_FACT_COLUMNS))
     g = gandoper.where(F.col("project_type") == project_type).select(
         F.col("Code").alias("_g_code"), F.col("object").alias("_g_object"),
         "Name", "Ispol", "IspolUch", "Real", "SNT_Knstr", "SNT_KnstrE", "SNT_TypeKnstrE", "SNT_Obj", "Num_Con")
     vdc = positions.select(
         F.col(L.COL_CIPHER).alias("_v_cipher"), F.col("object").alias("_v_object"),
         L.COL_WORK_NAME, L.COL_POSITION, L.COL_CONTRACT_SMR)
-    joined = rows.join(g, (F.col("code") == F.col("_g_code")) & (F.col("object") == F.col("_g_object")))
-    joined = joined.join(vdc, (F.col("Num_Con") == F.col("_v_cipher")) & (F.col("_g_object") == F.col("_v_object")),
-                         "left")
+    # an operation's dimensions, contract position included, are put together once; plan and fact then join them on
+    # (code, object) each for itself, so a side that lies bucketed by these keys stays where it is
+    dims = g.join(vdc, (F.col("Num_Con") == F.col("_v_cipher")) & (F.col("_g_object") == F.col("_v_object")), "left")
+    same = (F.col("code") == F.col("_g_code")) & (F.col("object") == F.col("_g_object"))
+    joined = plan.select(*PLAN_FACT_COLUMNS).join(dims, same).unionByName(fact.select(*PLAN_FACT_COLUMNS).join(dims, same))
     delivery = None
     for source, label in L.DELIVERY_MODE_MAP.items():
         cond = F.col("Real") == source

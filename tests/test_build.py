@@ -63,3 +63,36 @@ def test_written_columns_keep_their_order(spark):
     df = spark.createDataFrame([(1, 2024, "x"), (2, 2025, "y")], "a int, start_year int, b string")
     back = write_table(df, tempfile.mkdtemp(prefix="periodix-sink-"), "t", partition_by=["start_year"])
     assert back.columns == ["a", "start_year", "b"] and sorted(map(tuple, back.collect())) == [(1, 2024, "x"), (2, 2025, "y")]
+
+
+def test_built_tables_are_joined_where_they_lie(spark):
+    """Mart enrichment and the per-operation check over built tables: nothing of the written side is shuffled."""
+    from periodix.plans import checks as Q
+    from periodix.plans.plan_fact import plan_fact_mart
+
+    base = tempfile.mkdtemp(prefix="periodix-build-")  # a new scratch folder per run
+    src, params = _inputs(spark)
+    build(spark, src, params, base=base)
+    plan, fact, mart = (spark.table(f"{name}_by_code_object") for name in ("plan_by_month", "fact_by_month", "plan_fact_mart"))
+    positions = spark.read.parquet(f"{base}/contract_positions")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df, written in ((plan_fact_mart(plan, fact, src.gandoper, positions), ("plan_by_month", "fact_by_month")),
+                            (Q.check_oper_duplication(src.gandoper, src.archive, mart), ("plan_fact_mart",))):
+            lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+            for i, line in enumerate(lines):
+                if "FileScan" in line and any(f"/{name}]" in line for name in written):
+                    depth = line.index("FileScan")
+                    above = []  # the nodes over the scan, up to the join or aggregate that it serves
+                    for up in reversed(lines[:i]):
+                        at = next((k for k, ch in enumerate(up) if ch.isalpha() or ch == "*"), 0)
+                        if at < depth:
+                            above.append(up.strip(" :+-*()0123456789"))
+                            depth = at
+                            if "Join" in up:
+                                break
+                    assert above and not any(a.startswith("Exchange") for a in above), above
+        assert mart.count() == spark.read.parquet(f"{base}/plan_fact_mart").count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
