@@ -48,8 +48,14 @@ def test_dropping_toxic_rows_keeps_the_columns(spark, odd_docs):
     assert toxicity.without_toxic(odd_docs, model).columns == odd_docs.columns
 
 
-def _words(text):
-    return np.unique(next(toxicity.words_of(toxicity.pa.array([text])))[3])
+def _rows(texts):
+    [(_, _, row, feature, value)] = list(toxicity.features_of(toxicity.pa.array(texts)))
+    return row, feature, value
+
+
+def _words_in(text):
+    feature = _rows([text])[1]
+    return feature[feature % 2 == 0]
 
 
 def test_swapping_groups_matters_less_with_the_penalty():
@@ -61,11 +67,12 @@ def test_swapping_groups_matters_less_with_the_penalty():
         group = "muslim" if rng.random() < (0.9 if bad else 0.1) else "christian"
         texts.append(" ".join([*rng.choice(neutral, 8), group, *(["scum"] if bad and rng.random() < 0.8 else [])]))
         labels.append(int(bad))
-    words, labels = [_words(t) for t in texts], np.array(labels)
+    labels, sets = np.array(labels), toxicity.swap_sets([], 1, 1, toxicity.IDENTITY_TERMS)
     gap = {}
     for weight in (0.0, 5.0):
-        model = toxicity.fit(words, labels, words, fairness=weight)
-        a, b = (model.margins(np.zeros(len(w), int), w, 1)[0] for w in (_words("the muslim w1 spoke"), _words("the christian w1 spoke")))
+        model = toxicity.fit(*_rows(texts), labels, [_words_in(t) for t in texts], sets, fairness=weight)
+        assert model.pairs > len(texts)
+        a, b = model.margins(*_rows(["the muslim w1 spoke", "the christian w1 spoke"]), 2)
         gap[weight] = abs(a - b) / np.abs(model.weights).max()
     assert gap[5.0] < 0.3 * gap[0.0]
 
@@ -91,3 +98,27 @@ def test_features_match_plain_counting():
     assert np.isclose(got["pipes"], 1 / size) and np.isclose(got["non_ascii"], 2 / size) and np.isclose(got["words_per_line"], 3)
     assert np.isclose(got["distinct_words"], 6 / 9) and np.isclose(got["top_word"], 2 / 9) and np.isclose(got["repeated_lines"], 1 / 3)
     assert np.isclose(got["shouted"], 2 / 9) and (x[1] == 0).all() and (x[2] == 0).all()
+
+
+def test_swaps_occur_on_the_registered_tables_and_most_toxic_texts_are_found(spark):
+    """The penalty sees swaps, held-out toxic documents are found, clean ones stay, and swaps hardly change a score."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    held_out = in_fold(F.col("doc_id"), 5, 0)
+    model = toxicity.train(docs, labels, held_out)
+    assert model.pairs > 1000
+    judged = toxicity.score(docs, model).where(held_out).join(labels.where("toxic is not null"), "doc_id")
+    n = {(r.toxic, r.predicted): r["count"] for r in judged.groupBy("toxic", "predicted").count().collect()}
+    assert n[1, 1] / (n[1, 1] + n.get((1, 0), 0)) >= 0.9 and n.get((0, 1), 0) / n[0, 0] <= 0.01, n
+
+
+def test_identity_terms_are_a_parameter(spark):
+    rows = [(i, f"w{i % 7} the {'zorg' if i % 2 else 'blip'} said {'scum' if i % 3 == 0 else 'hello'}.") for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 3 = 0 as int) as toxic")
+    assert toxicity.train(docs, labels, F.lit(False), identity_terms={"g": ["zorg", "blip"]}).pairs > 0
+    few = docs.selectExpr("doc_id", "concat(case when doc_id % 3 = 0 then 'scum' else 'hello' end, doc_id) as text")
+    with pytest.warns(UserWarning, match="counterfactual"):
+        fitted = toxicity.train(docs.selectExpr("doc_id", "if(doc_id % 3 = 0, 'scum', 'hello') as text").unionByName(few.limit(0)), labels, F.lit(False), identity_terms={})
+    assert fitted.pairs == 0
+
