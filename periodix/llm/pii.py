@@ -6,6 +6,8 @@ equal pseudonyms in all documents, and different values different ones. Everythi
 
 from __future__ import annotations
 
+import hmac
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,7 +91,13 @@ def _phone(value: Column, key: str) -> Column:
 
 
 def _ssn(value: Column, key: str) -> Column:
-    return _filled(value, _permuted_digits(_digits(value), key, "ssn"))
+    """Areas are 001 to 899 but 666, groups 01 to 99, serials 0001 to 9999; numbers that are none stay."""
+    area, group, serial = (F.split(value, "-")[k].cast("long") for k in range(3))
+    valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
+    out = feistel(F.when(area > 666, area - 2).otherwise(area - 1), (group - 1) * 9999 + serial - 1, F.lit(898), F.lit(99 * 9999), key, "ssn")
+    fresh = F.when(out["a"] >= 665, out["a"] + 2).otherwise(out["a"] + 1)
+    parts = ((fresh, 3), (F.floor(out["b"] / 9999) + 1, 2), (out["b"] % 9999 + 1, 4))
+    return F.when(valid, F.concat_ws("-", *[F.lpad(x.cast("string"), n, "0") for x, n in parts]))
 
 
 def _ip(value: Column, key: str) -> Column:
@@ -102,12 +110,15 @@ def _ip(value: Column, key: str) -> Column:
 
 def _date(value: Column, key: str) -> Column:
     iso = value.rlike("^[0-9]{4}-")
-    text = F.when(iso, value).otherwise(F.concat_ws("-", F.substring(value, 7, 4), F.substring(value, 4, 2), F.substring(value, 1, 2)))
+    first, second, year = F.substring(value, 1, 2), F.substring(value, 4, 2), F.substring(value, 7, 4)
+    month_first = value.rlike("^[0-9]{2}/") & (second > "12")  # only so is it a date
+    text = F.when(iso, value).when(month_first, F.concat_ws("-", year, first, second)).otherwise(F.concat_ws("-", year, second, first))
     day = F.datediff(text.try_cast("date"), F.lit(FIRST_DAY).cast("date"))
     out = feistel(F.floor(day / DAY_LOW), day % DAY_LOW, F.lit(DAY_HIGH), F.lit(DAY_LOW), key, "date")
     fresh = F.date_add(F.lit(FIRST_DAY).cast("date"), (out["a"] * DAY_LOW + out["b"]).cast("int")).cast("string")
     mark = F.substring(value, 3, 1)
-    turned = F.concat(F.substring(fresh, 9, 2), mark, F.substring(fresh, 6, 2), mark, F.substring(fresh, 1, 4))
+    of_day, of_month = F.substring(fresh, 9, 2), F.substring(fresh, 6, 2)
+    turned = F.concat(F.when(month_first, of_month).otherwise(of_day), mark, F.when(month_first, of_day).otherwise(of_month), mark, F.substring(fresh, 1, 4))
     return F.when(day.between(0, DAY_HIGH * DAY_LOW - 1), F.when(iso, fresh).otherwise(turned))
 
 
@@ -119,10 +130,10 @@ def _by_class(text: Column, key: str, kind: str, letters: int) -> Column:
     half = F.floor(F.length(text) / 2).cast("int")
 
     def shifted(mine: Column, other: Column, r: Column) -> Column:
-        bits = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), r.cast("string"), F.lower(other)), 256)
+        bits = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), r.cast("string"), F.lower(other)), 512)  # 42 shifts, more than a half has
 
         def one(c: Column, i: Column) -> Column:
-            by = F.conv(F.substring(bits, (i * 4) % 60 + 1, F.lit(4)), 16, 10).cast("int")
+            by = F.conv(F.substring(bits, (i * 3) % 126 + 1, F.lit(3)), 16, 10).cast("int")
             within = lambda first, size: F.chr(F.ascii(F.lit(first)) + (F.ascii(c) - F.ascii(F.lit(first)) + by) % size)
             return F.when(c.rlike("^[0-9]$"), within("0", 10)).when(c.rlike("^[a-z]$"), within("a", letters)).when(c.rlike("^[A-Z]$"), within("A", letters)).otherwise(c)
 
@@ -159,11 +170,21 @@ def pseudonym(value: Column, key: str) -> Column:
     return F.struct(F.when(fresh.isNotNull(), kind).alias("kind"), F.coalesce(fresh, value).alias("text"))
 
 
+def working_key(key: str) -> str:
+    """What the plan holds of a secret: a keyed digest, so that plans and event logs do not show the secret itself.
+
+    Whoever reads the digest from a plan can undo the pseudonyms of that key but learns nothing of the secret or of the
+    digests for other purposes; keep event logs as private as the key.
+    """
+    return hmac.new(key.encode(), b"format-preserving pseudonyms", "sha256").hexdigest()
+
+
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, n_replaced, kinds): every row with its valid private values replaced.
 
     ``kinds`` counts replacements by kind (a map). Cards must pass the Luhn check and get a new check digit; addresses
-    must have octets up to 255; dates must exist and lie in 1800 to 2199; phone numbers need a country code, which
+    must have octets up to 255; dates must exist and lie in 1800 to 2199, those with
+    a day over 12 after a slash are read month first; social security numbers must have an area, group and serial that exist; phone numbers need a country code, which
     stays; of e-mail addresses the local part changes; hexadecimal tokens need letters and digits. Other matches stay.
 
     One pass, no shuffle. A null text stays null with nothing replaced; an empty one stays empty. Repeated rows give
@@ -173,7 +194,8 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
     some = F.col("body").rlike(r"[0-9@]")
     rows = rows.withColumn("found", F.when(some, F.regexp_extract_all("body", F.lit(ANY), F.lit(0))))
-    rows = rows.withColumn("fresh", F.when(F.size("found") > 0, F.transform("found", lambda m: pseudonym(m, key))))
+    secret = working_key(key)
+    rows = rows.withColumn("fresh", F.when(F.size("found") > 0, F.transform("found", lambda m: pseudonym(m, secret))))
     between = F.split("body", ANY, -1)
     glued = F.array_join(F.zip_with(between, "fresh", lambda p, f: F.concat(p, F.coalesce(f["text"], F.lit("")))), "")
     kinds = F.filter(F.transform("fresh", lambda f: f["kind"]), lambda k: k.isNotNull())
