@@ -24,7 +24,10 @@ PII_KEY = "example-key"
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+    """Every page's host, path and verdict, by the listed rules and, where none fits, by rules mined from the pages they decide.
+
+    Null urls, and those without ``://``, have an empty host and path; rows are judged one by one, whatever their ids."""
+    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +187,51 @@ SELECT doc_id, unit, line, license_id, digest
 FROM (SELECT doc_id, unit, line, sha256(w) AS digest FROM words WHERE w <> '') JOIN known USING (digest)"""
 
 
+def _url_sql() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    cases = ""
+    for verdict, rule in sorted(URL_RULES, key=lambda r: (-len(r[1]), r)):
+        name, _, start = rule.partition("/")
+        cases += f" WHEN (host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '/{start}') THEN {{'rule': '{rule}', 'verdict': '{verdict}'}}"
+    plain = lambda x: f"regexp_replace({x}, '[0-9]+', '0', 'g')"
+    return rf"""
+WITH u AS (
+  SELECT row_number() OVER () AS r, page_id, url, CASE WHEN contains(url, '://') THEN url[instr(url, '://') + 3:] END AS rest FROM pages),
+hp AS (
+  SELECT r, page_id, url, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), '{upper}', '{lower}'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+rows_ AS (SELECT *, CASE{cases} END AS listed FROM hp),
+parts AS (
+  SELECT r, unnest(list_concat(
+    list_transform(list_filter(string_split({plain('host')}, '.')[:-2], lambda x: x <> ''), lambda x: 'host:' || x),
+    list_transform(list_filter(string_split({plain('host')}, '.')[-1:], lambda x: x <> ''), lambda x: 'end:' || x),
+    list_transform(list_filter(string_split(lower({plain('path')}), '/'), lambda x: x <> ''), lambda x: 'path:' || x),
+    list_transform(list_filter(list_transform(string_split(lower({plain("regexp_extract(url, '[?]([^#]*)', 1)")}), '&'), lambda x: string_split(x, '=')[1]), lambda x: x <> ''), lambda x: 'query:' || x),
+    list_transform(list_filter([lower({plain("regexp_extract(url, '(?s)#(.*)$', 1)")})], lambda x: x <> ''), lambda x: 'fragment:' || x))) AS token
+  FROM rows_ WHERE url IS NOT NULL),
+tok AS (SELECT DISTINCT r, token FROM parts),
+marked AS (SELECT r, token, listed.verdict AS label FROM tok JOIN rows_ USING (r) WHERE listed IS NOT NULL),
+least AS (SELECT ceil({url_filter.MIN_SUPPORT} * count(DISTINCT r)) AS n FROM marked),
+combos AS (
+  SELECT r, label, [token] AS c FROM marked
+  UNION ALL SELECT a.r, a.label, [a.token, b.token] FROM marked AS a JOIN marked AS b ON a.r = b.r AND a.token < b.token
+  UNION ALL SELECT a.r, a.label, [a.token, b.token, d.token] FROM marked AS a JOIN marked AS b ON a.r = b.r AND a.token < b.token JOIN marked AS d ON a.r = d.r AND b.token < d.token),
+every AS (SELECT c, count(*) AS n FROM combos GROUP BY c),
+scored AS (
+  SELECT c, label, count(*) AS support, count(*) / any_value(n) AS confidence FROM combos JOIN every USING (c) GROUP BY c, label HAVING count(*) >= (SELECT n FROM least)),
+rules AS (
+  SELECT row_number() OVER () AS k, * FROM scored AS s
+  WHERE confidence >= {url_filter.MIN_CONFIDENCE} AND NOT EXISTS (
+    SELECT 1 FROM scored AS p WHERE p.label = s.label AND len(p.c) < len(s.c) AND list_has_all(s.c, p.c) AND p.confidence >= s.confidence)),
+fits AS (
+  SELECT r, k FROM (SELECT k, unnest(c) AS token, len(c) AS size FROM rules) JOIN tok USING (token) JOIN rows_ USING (r)
+  WHERE listed IS NULL GROUP BY r, k HAVING count(*) = any_value(size)),
+best AS (
+  SELECT r, label FROM fits JOIN rules USING (k)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY confidence DESC, support DESC, len(c) DESC, array_to_string(c, ' ') DESC, label DESC) = 1)
+SELECT page_id, host, path, listed.rule AS rule, coalesce(listed.verdict, label, 'allow') AS verdict FROM rows_ LEFT JOIN best USING (r)"""
+
+
 def _crc32_sql(ids: str) -> str:
     """Recursive tables that give (id, crc) of the decimal ids that ``ids`` selects; after WITH RECURSIVE."""
     return f"""
@@ -248,6 +296,7 @@ FROM d LEFT JOIN base USING (r) LEFT JOIN every USING (r)"""
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": _url_sql(),
     "op2_ngram_jaccard_join": r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w

@@ -64,11 +64,29 @@ def mine_rules(labelled: DataFrame, folder: str, min_support: float = MIN_SUPPOR
 
     Labels join the tokens as items of their own; frequent item sets come from Spark's FP-growth. A rule stays if no
     part of it is as confident about the same label. Rows without a label are left out; without rows there are no
-    rules.
+    rules. A rule has ``rule_tokens`` tokens at most.
+
+    A url of n tokens has 2**n sets, so FP-growth sees no token that can only be in rules a shorter one beats: single
+    tokens are counted first, and those that go with one label alone take part in no longer rule; of tokens that the same
+    urls have, one stands for all, and its rules are written out for the others again.
     """
-    marked = labelled.where("label is not null and size(tokens) > 0")
-    marked = marked.select(F.concat("tokens", F.array(F.concat(F.lit("label:"), "label"))).alias("items"))
-    found = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(marked).freqItemsets
+    marked = written(labelled.where("label is not null and size(tokens) > 0").select("tokens", "label"), folder, "marked")
+    each = marked.select(F.explode("tokens").alias("token"), "label", F.xxhash64("tokens").alias("url"))
+    each = each.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"),
+                                     F.sum(F.col("url").cast("decimal(20,0)")).alias("urls"), F.bit_xor("url").alias("mix"))
+    each = written(each, folder, "tokens")
+    alike = each.where("low <> high").groupBy("n", "urls", "mix").agg(F.array_sort(F.collect_set("token")).alias("alike"))
+    alike = written(alike.select(F.col("alike")[0].alias("stands"), "alike"), folder, "alike")
+    least = F.ceil(F.lit(min_support) * marked.count())
+    sure = each.where((F.col("low") == F.col("high")) & (F.col("n") >= least))
+    sure = sure.select(F.array("token").alias("tokens"), F.col("low").alias("label"), F.col("n").alias("support"), F.lit(1.0).alias("confidence"))
+    numbered = marked.select("tokens", "label", F.monotonically_increasing_id().alias("row"))
+    open_ = written(numbered, folder, "numbered").select("row", "label", F.explode("tokens").alias("stands")).join(alike.select("stands"), "stands")
+    open_ = open_.groupBy("row", "label").agg(F.collect_set("stands").alias("stands"))
+    open_ = open_.select(F.concat("stands", F.array(F.concat(F.lit("label:"), "label"))).alias("items"))
+    # support counts all labelled urls, also those left without an open token
+    share = min(1.0, float(-(-min_support * marked.count() // 1)) / max(1, open_.count()))
+    found = FPGrowth(itemsCol="items", minSupport=share, minConfidence=1.0).fit(open_).freqItemsets
     is_label = lambda x: F.startswith(x, F.lit("label:"))
     found = found.select(F.array_sort(F.filter("items", lambda x: ~is_label(x))).alias("tokens"),
                          F.try_element_at(F.filter("items", is_label), F.lit(1)).alias("label"), "freq")
@@ -86,6 +104,13 @@ def mine_rules(labelled: DataFrame, folder: str, min_support: float = MIN_SUPPOR
     known = scored.select(F.col("tokens").alias("part"), "label", F.col("confidence").alias("known"))
     beaten = parts.join(known, ["part", "label"]).where("known >= confidence").select("tokens", "label").distinct()
     rules = scored.where(F.col("confidence") >= min_confidence).join(beaten, ["tokens", "label"], "left_anti")
+    # every way to put a like token for each
+    parts = rules.select("*", F.posexplode("tokens").alias("at", "stands")).join(alike, "stands")
+    parts = parts.groupBy("tokens", "label", "support", "confidence").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "alike"))), lambda p: p.alike).alias("ways"))
+    ways = F.aggregate("ways", F.array(F.array().cast("array<string>")), lambda lists, more: F.flatten(
+        F.transform(lists, lambda tokens: F.transform(more, lambda t: F.concat(tokens, F.array(t))))))
+    rules = parts.select(F.explode(ways).alias("tokens"), "label", "support", "confidence")
+    rules = rules.withColumn("tokens", F.array_sort("tokens")).unionByName(sure)
     return written(rules.select(F.xxhash64("tokens", "label").alias("rule_id"), "tokens", "label", "support", "confidence"), folder, "rules")
 
 

@@ -83,3 +83,12 @@ def test_without_rows_or_labels(spark):
     pages = spark.createDataFrame(URLS, "page_id long, url string")
     assert judge(pages.where("false"), URL_RULES).count() == 0
     assert {r.verdict for r in judge(pages, []).collect()} == {"allow"}
+
+
+def test_long_common_urls_do_not_multiply(spark):
+    """Thirty path segments that the same urls share, under both verdicts: 2**30 sets if they were told apart."""
+    path = "/".join(f"part{chr(97 + i)}" for i in range(26)) + "/x/y/z/w"
+    pages = [(i, f"http://s.net/{path}") for i in range(40)] + [(100 + i, f"http://s.org/fr/{path}") for i in range(40)] + [(300, f"http://t.com/{path}"), (301, "http://t.com/")]
+    rows = {r.page_id: r for r in judge(spark.createDataFrame(pages, "page_id long, url string"), URL_RULES, min_confidence=0.5).collect()}
+    assert rows[0].verdict == "block" and rows[100].verdict == "allow" and len(rows) == len(pages)
+    assert rows[300].evidence.startswith("path:") and rows[301].evidence is None
