@@ -31,14 +31,21 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents linked by a Jaccard similarity of 0.9 or more of their distinct three-word shingles.
+
+    Null and empty texts have no shingles and are their own component; a null id has a null one; rows with one id share its."""
     return ngram_join.similar_sets(_table(spark, sf_dir, "documents"), rule=ngram_join.Jaccard(words=3, percent=90))
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts and single lines that are a known licence; null and empty texts match nothing, rows are judged one by one."""
     return licenses.scan(_table(spark, sf_dir, "documents"), licenses.known_digests(spark))
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of benchmark items, and whether they are 5 % or more of its words.
+
+    Null and empty texts have no words; items without an id or without words never occur; rows are judged one by one."""
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontaminate.judged(found).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -46,6 +53,9 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document from an additive model of the labelled ones that are not held out.
+
+    Null and empty texts are scored like any other, equal texts alike; labels and ids that are null are not learned."""
     docs = _table(spark, sf_dir, "documents")
     held_out = in_fold(F.col("doc_id"), 3, 1)
     model = quality.train(docs, _table(spark, sf_dir, "labels"), held_out)
@@ -53,6 +63,9 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document from a counterfactually regularised model of the labelled ones that are not held out.
+
+    Null and empty texts score what the bias says, equal texts alike; labels and ids that are null are not learned."""
     docs = _table(spark, sf_dir, "documents")
     held_out = in_fold(F.col("doc_id"), 5, 0)
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"), held_out)
@@ -60,6 +73,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its valid private values replaced; a null text stays null, rows are treated one by one."""
     return pii.pseudonymise(_table(spark, sf_dir, "documents"), PII_KEY)
 
 
@@ -70,11 +84,17 @@ def tokenizer_path() -> str:
 
 
 def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences of 4096 ids.
+
+    A null text is empty and has only the end id; rows with null or repeated ids are documents of their own."""
     packed = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written to token files in ascending order of doc_id and read back.
+
+    A null text is empty and has only the end id; a null id comes first, rows with one id in the order of their texts."""
     path = f"{work_folder(spark)}/token-files"
     token_files.write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer_path())
     read = token_files.read_checksums(spark, path)
@@ -83,6 +103,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents with equal texts but for white space; null and empty texts are equal, a null id never stays
+    where its class has another."""
     return dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
