@@ -17,31 +17,42 @@ from periodix.llm.work import ship_package, work_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score under 0.5; labels of one fold in five are never learned."""
+    """Documents that score under 0.5; labels of one fold in five are never learned.
+
+    Each row is judged by its text, whatever its id; null and empty texts stay, equal rows share their fate, and an empty
+    table stays empty."""
     ship_package(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.without_toxic(docs, toxicity.train(docs, labels, in_fold(F.col("doc_id"), 5, 0)))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each class of equal texts."""
+    """One row of each class of equal texts, of those with the smallest id; a null id counts as larger than any.
+
+    Null and empty texts are one class; rows that share an id but not a text are judged on their own."""
     return dedup.deduplicate(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each class linked by a Jaccard similarity of 0.8 or more of five-word shingles."""
+    """One row of each class linked by a Jaccard similarity of 0.8 or more of five-word shingles, of those with the smallest id.
+
+    Texts without words all stay; rows that share an id but not a text are judged on their own, equal rows leave one."""
     ship_package(spark)
     return ngram_join.one_of_each(docs, rule=ngram_join.Jaccard(words=5, percent=80))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than 5 % of the words repeat benchmark windows of 13 words."""
+    """Documents of which less than 5 % of the words repeat benchmark windows of 13 words.
+
+    Each row is judged by its text; null and empty texts stay, and items without an id or without words never occur."""
     ship_package(spark)
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their token ids and places in sequences of 4096."""
+    """Pieces of documents with their token ids and places in sequences of 4096.
+
+    A null text is empty and has only the end id; rows with null or repeated ids are documents of their own."""
     ship_package(spark)
     return packing.pack(docs, tokenizer_path())
 
