@@ -81,12 +81,3 @@ def test_branch_b_of_the_hours_in_any_layout(spark, layout):
     assert hot == sorted([2.0 - (380.0 - 10.0)] + [2.0] * 179 + [1.0] * 20)
     assert sorted(r[1] for r in out if r[0] == "w5") == [3.0 - (21.0 - 10.0)] + [3.0] * 6
     assert len(out) == len(norm)
-
-
-def test_copies_are_put_back_in_chunks(spark, monkeypatch):
-    from periodix.plans import hours as H
-
-    monkeypatch.setattr(H, "COPY_CHUNK", 10)
-    rows = spark.createDataFrame([("a", 0), ("b", 1), ("c", 10), ("d", 25)], "k string, n long")
-    got = {r.k: r["count"] for r in H._repeated(rows, "n").groupBy("k").count().collect()}
-    assert got == {"b": 1, "c": 10, "d": 25}
