@@ -73,6 +73,10 @@ KNOWN = [
 COPYRIGHT_LINE = r"(?imd)^[ \t]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
 
 
+#: Known digests that are broadcast at most, some 100 bytes each.
+BROADCAST_DIGESTS = 100_000
+
+
 def _like_spelling(text: Column) -> Column:
     for old, new in SPELLINGS:
         text = F.replace(text, F.lit(f" {old} "), F.lit(f" {new} "))
@@ -115,9 +119,9 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     """(doc_id, unit, line, license_id, digest): whole texts and single lines that are a known licence.
 
     ``unit`` is ``text`` (line 0) or ``line`` (numbered from 1). Each unit's canonical form is compared as a whole, by
-    its SHA-256. A text of one line that is a licence gives both rows. ``known`` is a table of :func:`digest_table`; Spark
-    broadcasts it while it measures it as small, and then documents are not shuffled; a larger one is joined by shuffle,
-    for which only digests move.
+    its SHA-256. A text of one line that is a licence gives both rows. ``known`` is a table of :func:`digest_table`; up to
+    ``BROADCAST_DIGESTS`` rows are broadcast, and then nothing is shuffled; a larger table is joined by shuffle, for which
+    only digests move.
 
     Null and empty texts, and units without words, match nothing. Repeated rows give repeated results, an empty table
     gives an empty one; other columns are ignored.
@@ -130,4 +134,5 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     digests = units.select("doc_id", "unit", "line", _spelled(F.col("words")).alias("words"))
     # never null, so that the join needs no second evaluation to filter nulls out
     digests = digests.select("doc_id", "unit", "line", F.coalesce(F.sha2("words", 256), F.lit("")).alias("digest"))
-    return digests.join(known, "digest").select("doc_id", "unit", "line", "license_id", "digest")
+    small = known.limit(BROADCAST_DIGESTS + 1).count() <= BROADCAST_DIGESTS
+    return digests.join(F.broadcast(known) if small else known, "digest").select("doc_id", "unit", "line", "license_id", "digest")

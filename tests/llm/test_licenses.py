@@ -25,3 +25,12 @@ def test_scan(spark):
 def test_odd_rows(spark, odd_docs, no_docs):
     assert scan(odd_docs, known_digests(spark, [("it", "ONE."), ("nothing", "...")])).where("license_id = 'it' and unit = 'text'").count() == sum(t == "one" for _, t in TEXTS)
     assert scan(no_docs, known_digests(spark)).count() == 0
+
+
+def test_larger_tables_are_joined_by_shuffle(spark, odd_docs, monkeypatch):
+    from periodix.llm import licenses
+
+    known = licenses.digest_table(spark.createDataFrame([("it", "ONE."), ("nothing", "..."), (None, None)], "license_id string, body string"))
+    few = sorted(map(tuple, scan(odd_docs, known).collect()), key=str)
+    monkeypatch.setattr(licenses, "BROADCAST_DIGESTS", 0)
+    assert sorted(map(tuple, scan(odd_docs, known).collect()), key=str) == few != []
