@@ -262,7 +262,7 @@ def fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, labels: np.ndar
 
 
 def _constant(labels: np.ndarray) -> ToxicityModel:
-    rate = (labels.sum() + 0.5) / (len(labels) + 1)
+    rate = (labels.sum() + 0.5) / (len(labels) + 2)  # without any label under a half, so nothing is dropped
     return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log(rate / (1 - rate))))
 
 
