@@ -249,6 +249,17 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out([head], [head], [key_now])
 
 
+def near_stars(edges: DataFrame) -> DataFrame:
+    """The components of ``edges`` (a, b), a >= b, with fewer edges: each a is joined with its smallest b alone, and that one
+    with the other b.
+
+    Documents of one large family have many heads between them, the same ones over and over; so their edges become one for
+    each document and few between heads. A document has no more heads than keys.
+    """
+    heads = edges.groupBy("a").agg(F.collect_set("b").alias("heads")).select("a", F.array_min("heads").alias("b"), "heads")
+    return heads.select("a", "b").union(heads.select(F.explode("heads").alias("a"), "b")).distinct()
+
+
 class _Forest:
     """Labels of what is linked so far."""
 
@@ -320,7 +331,7 @@ def spanning_links(sets: list[np.ndarray], labels: np.ndarray, probes: np.ndarra
         # when all probe all, earlier points have met this one
         found = tree.linked(i + 1 if every else 0, tree.points[i], tree.sets[i], skip)
         if len(found):
-            for j in found:
+            for j in found[np.unique(forest.label[found], return_index=True)[1]]:  # one of what is joined already
                 yield int(tree.order[i]), int(tree.order[j])
             forest.merge(i, found)
 
@@ -388,7 +399,8 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     stars = written(map_arrow(kept.orderBy("key", "doc_id"), _stars, "a long, b long, key long"), folder, "stars")
     joints = stars.where("key is not null").select("key", "a")
     joints = joints.join(joints.groupBy("key").agg(F.min("a").alias("b")), "key").select("a", "b")
-    family = components(stars.where("key is null").select("a", "b").union(joints), folder, "family")
+    near = written(near_stars(stars.where("key is null").select("a", "b").union(joints)), folder, "near")
+    family = components(near, folder, "family")
     family = written(family.join(sets.select(F.col("rep").alias("id"), "n"), "id").select(F.col("id").alias("doc_id"), F.col("component").alias("family"), "n"),
                      folder, "families")
     links = _family_links(family, rows.where("doc_id is not null"), rule, folder)

@@ -133,3 +133,46 @@ def test_rows_that_share_an_id_are_told_apart(spark):
     rows = [(1, a), (5, a), (5, b), (7, c), (7, c), (None, b), (None, "x y z"), (None, "x y z"), (8, ""), (8, None)]
     kept = one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), rule=Jaccard(3, 90))
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, a), (5, b), (7, c), (None, "x y z"), (8, ""), (8, None)], key=str)
+
+
+def test_near_stars_keeps_components_with_few_edges(spark):
+    """A family whose documents have many heads in common: about one edge for each document is left."""
+    heads, docs = 20, 400
+    edges = [(d, h) for d in range(heads, docs) for h in range(heads) if (d * 7 + h) % 3] + [(1000, 1000), (1002, 1001), (1002, 1000)]
+    near = [tuple(e) for e in ngram_join.near_stars(spark.createDataFrame(edges, "a long, b long")).select("a", "b").collect()]
+    assert len(near) == len(set(near)) < docs + heads * 3
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in near:
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    assert {find(d) for d in range(docs)} == {0} and {find(d) for d in (1000, 1001, 1002)} == {1000}
+
+
+def test_spanning_links_are_no_more_than_join_something():
+    """Sets joined already count as one: a tree of n sets has n - 1 links at most, and loses no component."""
+    r = np.random.default_rng(3)
+    base = np.sort(r.choice(2**40, 60, replace=False)).astype(np.uint64)
+    sets = []
+    for i in range(120):  # a chain of near copies, so that later points meet large clusters
+        if i % 3 == 0:
+            base = np.sort(np.concatenate([np.delete(base, r.integers(len(base), size=2)), r.integers(2**40, size=2).astype(np.uint64)]))
+        sets.append(np.unique(np.concatenate([np.delete(base, r.integers(len(base))), r.integers(2**40, size=1).astype(np.uint64)])))
+    rule = Jaccard(5, 80)
+    links = list(ngram_join.spanning_links(sets, np.arange(len(sets)), np.ones(len(sets), bool), rule))
+    assert len(links) <= len(sets) - 1
+
+    def classes(pairs):
+        label = list(range(len(sets)))
+        for i, j in pairs:
+            old, new = label[j], label[i]
+            label = [new if x == old else x for x in label]
+        return {frozenset(k for k, x in enumerate(label) if x == y) for y in set(label)}
+
+    every = [(i, j) for i in range(len(sets)) for j in range(i) for n in [len(np.intersect1d(sets[i], sets[j]))]
+             if 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n)]
+    assert classes(links) == classes(every)
