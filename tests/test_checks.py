@@ -101,3 +101,11 @@ def test_check_report(spark):
     report = Q.check_report({"fact_nz": Q.check_fact_nz(bad), "plan_ovnz": Q.check_plan_ovnz(clean)}, sample=3)
     assert report[0]["check"] == "fact_nz" and report[0]["violations"] == 8 and len(report[0]["sample"]) == 3
     assert report[1] == {"check": "plan_ovnz", "violations": 0, "sample": []}
+
+
+def test_duplicate_projects_null_and_empty_codes(spark):
+    """A null code counts as an empty one, as in the reference's concatenation without nulls; null periods are periods."""
+    row = lambda code, year: dict(project_type="p", object="o", nz_year=year, nz_month="m", Code=code)
+    rows = [row(None, "1"), row("", "1"), row(None, "2"), row("a", "3"), row("a", "4"), row("b", None), row("b", None)]
+    out = Q.check_duplicate_projects(frame(spark, GANDOPER, rows)).collect()
+    assert sorted(r.nz_year or "" for r in out) == ["", "1"]
