@@ -111,3 +111,23 @@ def test_exact_sum_values(spark, values, want):
     if want is not None and math.isfinite(want):
         assert duckdb.sql(f"SELECT {oracle_sum('x')} FROM (VALUES {sql}) AS t(x)").fetchall()[0][0] == got
 
+
+def test_exact_sum_cuts_as_remainders_do(spark):
+    """Whole parts by a cast are those that the remainder of doubles leaves, to the last bit."""
+    import math
+    import random
+
+    from periodix.functions.sums import CUTS, _parts
+
+    r = random.Random(5)
+    values = [r.choice([-1, 1]) * r.random() * 10.0 ** r.randint(-20, 26) for _ in range(400)] + [0.0, -0.0, 5e-324, 6e26, 2.0**52 + 1, 0.1]
+
+    def parts(x):
+        above = [x, *[math.fmod(x, c) for c in CUTS]]
+        return tuple(int((a - b) / c) for a, b, c in zip(above, above[1:], CUTS))
+
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    out = df.select("x", *[p.alias(f"p{i}") for i, p in enumerate(_parts(F.col("x")))])
+    assert "%" not in out._jdf.queryExecution().executedPlan().toString()  # remainders of doubles are slow
+    for row in out.collect():
+        assert tuple(row)[1:] == parts(row.x)
