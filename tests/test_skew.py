@@ -81,3 +81,13 @@ def test_branch_b_of_the_hours_in_any_layout(spark, layout):
     assert hot == sorted([2.0 - (380.0 - 10.0)] + [2.0] * 179 + [1.0] * 20)
     assert sorted(r[1] for r in out if r[0] == "w5") == [3.0 - (21.0 - 10.0)] + [3.0] * 6
     assert len(out) == len(norm)
+
+
+def test_join_on_keys_equals_plain_join(spark, layout):
+    from periodix.operators.skew import join_on_keys
+
+    keys = [(None, "a"), (0, "a"), (0, ""), (1, None), (1, "b"), (None, None), (0, None)]
+    rows = spark.createDataFrame([(*k, v) for v, k in enumerate(keys * 40)], "k long, c string, v int")
+    per_key = spark.createDataFrame([(*k, w) for w, k in enumerate(keys)], "k long, c string, w int")
+    plain = sorted(tuple(r) for r in rows.join(per_key, ["k", "c"]).select("v", "w").collect())
+    assert sorted(tuple(r) for r in join_on_keys(rows, per_key, ["k", "c"]).select("v", "w").collect()) == plain
