@@ -62,8 +62,13 @@ def _ownership(own_name: str) -> Column:
             .when(~analytics.like(L.HIRED_PREFIX_PATTERN), F.lit(L.OWN_RESOURCE)))
 
 
-def _raw_branch(raw: DataFrame, ctx: DataFrame, normed: Column, own_name: str) -> DataFrame:
-    joined = raw.select("work_id", "res_name", "res_code", "hours", "contragent_name", "analytics_name", normed.alias("_normed")).join(ctx, "work_id")
+def _raw_rows(tw: DataFrame, own_name: str) -> DataFrame:
+    """The raw hours' columns that the branches use, the ownership worked out, so that names need not be shuffled."""
+    return tw.select("work_id", "analytics_value", "res_name", "res_code", "hours", _ownership(own_name).alias("_owner"))
+
+
+def _raw_branch(raw: DataFrame, ctx: DataFrame, normed: Column) -> DataFrame:
+    joined = raw.select("work_id", "res_name", "res_code", "hours", "_owner", normed.alias("_normed")).join(ctx, "work_id")
     hours = F.col("hours")
     return joined.select(
         "object", "work_id",
@@ -74,7 +79,7 @@ def _raw_branch(raw: DataFrame, ctx: DataFrame, normed: Column, own_name: str) -
         hours.alias(L.COL_FACT_HOURS),
         F.when(hours != 0, hours).otherwise(_no_hours()).alias(L.COL_NORM_HOURS),
         F.col("_normed").alias(L.COL_NORMED),
-        _ownership(own_name).alias(L.COL_RESOURCE),
+        F.col("_owner").alias(L.COL_RESOURCE),
         *_CARRIED,
     )
 
@@ -116,22 +121,22 @@ def _with_norm(flagged: DataFrame, placeholders: Sequence[str]) -> tuple[Column,
 def hours_unnormed(tw: DataFrame, nw: DataFrame, ctx: DataFrame, own_name: str,
                    placeholders: Sequence[str]) -> DataFrame:
     """Branch A: raw hours without a norm row (placeholder analytics always kept)."""
-    flagged = norm_flags(tw, nw)
-    return _raw_branch(flagged.where(_with_norm(flagged, placeholders)[0]), ctx, F.lit(False), own_name)
+    flagged = norm_flags(_raw_rows(tw, own_name), nw)
+    return _raw_branch(flagged.where(_with_norm(flagged, placeholders)[0]), ctx, F.lit(False))
 
 
 def hours_zero(tw: DataFrame, nw: DataFrame, ctx: DataFrame, own_name: str,
                placeholders: Sequence[str]) -> DataFrame:
     """Branch C: raw hours that have a norm row with zero fact hours."""
-    flagged = norm_flags(tw, nw)
-    return _raw_branch(flagged.where(_with_norm(flagged, placeholders)[1]), ctx, F.lit(True), own_name)
+    flagged = norm_flags(_raw_rows(tw, own_name), nw)
+    return _raw_branch(flagged.where(_with_norm(flagged, placeholders)[1]), ctx, F.lit(True))
 
 
 def hours_from_raw(tw: DataFrame, nw: DataFrame, ctx: DataFrame, own_name: str, placeholders: Sequence[str]) -> DataFrame:
     """Branches A and C together: the raw hours and the norm keys are each read once."""
-    flagged = norm_flags(tw, nw)
+    flagged = norm_flags(_raw_rows(tw, own_name), nw)
     unnormed, zero = _with_norm(flagged, placeholders)
-    return _raw_branch(flagged.where(unnormed | zero), ctx, zero, own_name)
+    return _raw_branch(flagged.where(unnormed | zero), ctx, zero)
 
 
 # group-first order of branch B: resource code descending with nulls first, then these columns,
@@ -173,7 +178,10 @@ def hours_normed(tw: DataFrame, nw: DataFrame, ctx: DataFrame, placeholders: Seq
                      "left")
     group = ["work_id", "analytics_value"]
     rows = fixed(rows.select(*group, "res_spider_code", *B_TIE_BREAK, F.monotonically_increasing_id().alias("_row")), "hours-normed")
-    marked = join_per_key(rows, group_excess(rows, group, main_code), group, "left")
+    # only main-worker rows give up an excess; the others are not shuffled again
+    main = F.coalesce(F.col("res_spider_code") == main_code, F.lit(False))
+    excess = group_excess(rows, group, main_code)
+    marked = join_per_key(rows.where(main), excess, group, "left").unionByName(rows.where(~main), allowMissingColumns=True)
     fact = F.col("fact_workload")
     hours = (F.when(F.col("_row") == F.col("_first"), (fact - F.col("_over")).cast(L.HOURS_TYPE))
              .when(F.col("analytics_value").isin(*placeholders), _no_hours()).otherwise(fact))
@@ -202,11 +210,13 @@ def reconcile_hours(tw: DataFrame, nw: DataFrame, works: DataFrame, zhufvr: Data
     plan = gandoper.where(F.col("project_type") == project_type).select(
         F.col("f_CodeIdent").alias("_g_code"), F.col("object").alias("_g_object"),
         "SNT_Knstr", "SNT_KnstrE", "Num_Con")
-    out = t1.join(plan, (strip_spaces("structure_unique_code") == F.col("_g_code"))
-                  & (F.col("object") == F.col("_g_object")))
     vdc = positions.select(F.col(L.COL_CIPHER).alias("_v_cipher"), F.col("object").alias("_v_object"),
                            L.COL_POSITION)
-    out = out.join(vdc, (F.col("Num_Con") == F.col("_v_cipher")) & (F.col("object") == F.col("_v_object")), "left")
+    # the contract position is joined with the operations, so that the hours are shuffled once for both
+    plan = plan.join(vdc, (F.col("Num_Con") == F.col("_v_cipher")) & (F.col("_g_object") == F.col("_v_object")), "left")
+    plan = plan.drop("Num_Con", "_v_cipher", "_v_object")
+    out = t1.join(plan, (strip_spaces("structure_unique_code") == F.col("_g_code"))
+                  & (F.col("object") == F.col("_g_object")))
     keyres = key_res.select(F.col("f_opertype").alias("_k_type"), F.col("rescode").alias("_k_code"))
     out = out.join(keyres, (F.col(L.COL_ENRP_TYPE) == F.col("_k_type")) & (F.col(L.COL_RESOURCE_CODE) == F.col("_k_code")),
                    "left")

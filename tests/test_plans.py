@@ -54,3 +54,49 @@ def test_filters_reach_the_scan(spark):
     plan = plan_of(spark, "hours_zero")
     assert "PushedFilters: [IsNotNull(l_returnflag), Not(EqualTo(l_returnflag,A))" in plan \
         or "Not(EqualTo(l_returnflag,A))" in plan
+
+
+def static_plan(spark, name):
+    """The plan without adaptive execution and broadcasts by size: every exchange shows where it is."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2k")
+    try:
+        return plan_of(spark, name).split("\n")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", ["plan_fact_mart", "check_grand_total", "check_oper_duplication"])
+def test_months_of_the_mart_are_not_sorted_for_its_dimensions(spark, name):
+    joins = [line for line in static_plan(spark, name) if "Join [code" in line and "_g_code" in line]
+    assert len(joins) == 2 and all("ShuffledHashJoin" in line for line in joins), joins
+
+
+def test_grand_total_adds_up_each_table_alone(spark):
+    lines = static_plan(spark, "check_grand_total")
+    assert sum("partial_max(_m_sp" in line for line in lines) == 1
+    assert not [line for line in lines if "partial_sum" in line and "_a_ss" in line and "_m_ss" in line]
+
+
+def test_hours_are_shuffled_once_for_all_dimensions(spark):
+    from periodix import labels as L
+
+    lines = static_plan(spark, "hours_mart")
+    assert not [line for line in lines if f"Exchange hashpartitioning({L.COL_ENRP_TYPE}" in line]
+    position = next(i for i, line in enumerate(lines) if "Join [Num_Con" in line)
+    hours = next(i for i, line in enumerate(lines) if "Join [replace(structure_unique_code" in line)
+    assert hours < position  # positions are joined with the operations, below the hours
+
+
+@pytest.mark.parametrize("name", ["plan_month_spread_dup", "fact_month_spread"])
+def test_events_stay_where_the_intervals_were_joined(spark, name):
+    lines = static_plan(spark, name)
+    window = next(i for i, line in enumerate(lines) if "Window [" in line)
+    join = next(i for i in range(window, len(lines)) if "SortMergeJoin" in lines[i])
+    assert not [line for line in lines[window:join] if "Exchange" in line]
+
+
+def test_duplicate_projects_groups_by_the_code_alone(spark):
+    assert "concat_ws" not in plan_of(spark, "check_duplicate_projects")
