@@ -121,6 +121,26 @@ def test_mart_dimensions(spark):  # J5
     assert got["c1"][L.COL_POSITION] == "C1    W" and got["c2"][L.COL_POSITION] is None
 
 
+@pytest.mark.parametrize("unique_key", [True, False])
+def test_mart_of_operations_equals_mart_of_months(spark, unique_key):  # J5
+    """Months laid out behind the joins: codes and keys come twice, at several sites, and parts of them are missing."""
+    ops = [dict(index=i, Code=f"c{i % 5}" if i else None, DurPlanD=None if i % 4 == 0 else 17.5 * i, Start=ts("2024-01-01"), Fin=ts(f"2024-0{1 + i % 9}-15"),
+                VolPlan=None if i == 7 else 1.0, project_type=P, object=f"S{i % 2}" if i != 3 else None, c_pln_SMRSsI=None if i == 2 else 10.5 * i,
+                c_pln_SMRSpI=None if i % 3 else 0.3 * i, c_pln_Materl=1.7 * i, c_pln_UslGpd=0.1 * i, Real="Субподряд", SNT_Knstr=L.PAVEMENT, Name=f"n{i}",
+                Num_Con="C1" if i % 2 else None) for i in range(12)]
+    done = [dict(index=i % 4, OperCode=f"c{i % 3}", ResCode="R" if i % 3 == 1 else None, Start=ts(f"2023-1{i % 3}-07") if i % 8 else None,
+                 Fin=ts(f"2024-0{1 + i % 7}-01 12:00") if i % 5 else None, project_type=P, object=f"S{i % 2}", c_aac_SMRSsI=100.0 + i, c_aac_Materl=0.7 * i) for i in range(40)]
+    done += [dict(index=9, OperCode="c1", Start=ts("2024-03-01"), Fin=ts("2024-03-01"), project_type=P, object="S1", c_aac_SMRSpI=5.0),
+             dict(index=8, OperCode="c1", Start=None, Fin=ts("2024-03-01"), project_type=P, object="S1", c_aac_SMRSpI=5.0)]
+    g, a = frame(spark, GANDOPER, ops), frame(spark, ARCHIVE, done)
+    v = contract_positions(frame(spark, VDC, [{L.COL_CIPHER: "C1", L.COL_WORK_NAME: w, "object": "S1", L.COL_CONTRACT_SMR: 5.0} for w in ("W1", "W2")]))
+    marts = [plan_fact_mart(plan_by_month(g, unique_key, laid_out=months), fact_by_month(a, laid_out=months), g, v) for months in (True, False)]
+    assert marts[0].schema == marts[1].schema
+    months, operations = (sorted(map(repr, m.collect())) for m in marts)
+    assert months == operations and {L.PLAN, L.FACT} == {r.smr_type for r in marts[1].select("smr_type").distinct().collect()}
+    assert any("smr_sp=5.0" in r for r in operations)
+
+
 def test_collapsed_duplicate_keys_differ_by_rounding_alone():
     """One row per (raw row, month) against one per (part, raw row): totals differ by at most half a unit for each row."""
     import duckdb

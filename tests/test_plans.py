@@ -100,3 +100,17 @@ def test_events_stay_where_the_intervals_were_joined(spark, name):
 
 def test_duplicate_projects_groups_by_the_code_alone(spark):
     assert "concat_ws" not in plan_of(spark, "check_duplicate_projects")
+
+
+def test_months_of_the_mart_are_never_shuffled(spark):
+    """Plan and fact months are laid out behind every exchange, from one row for an operation or for a key and site."""
+    lines = static_plan(spark, "plan_fact_mart")
+    depth = [next((k for k, ch in enumerate(line) if ch.isalpha() or ch == "*"), 0) for line in lines]
+    laid_out = [i for i, line in enumerate(lines) if "Generate explode(sequence(0" in line]
+    assert len(laid_out) == 2
+    for i in laid_out:
+        at = depth[i]
+        for up in reversed(range(i)):
+            if depth[up] < at:
+                at = depth[up]
+                assert "Exchange" not in lines[up], lines[up]

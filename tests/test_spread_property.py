@@ -15,7 +15,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from periodix.operators.spread import month_parts, month_weights
+from periodix.operators.spread import key_steps, lay_out_steps, month_parts, month_weights
 
 
 def add_month(d: datetime) -> datetime:
@@ -161,3 +161,20 @@ def test_endless_intervals_of_one_key(spark):
     assert got[1, 5000, 1] / got[1, 9999, 11] == pytest.approx(31 / 30)
     assert got[1, 2024, 3] / got[1, 2024, 7] == pytest.approx(expected[1, 2024, 3] / expected[1, 2024, 7])
     assert weights.where("k = 1").count() == (9999 - 2024 + 1) * 12
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_steps_of_a_key_lay_out_its_months(spark, seed):
+    """One row for each key holds its months: laid out behind a join they are the model's, for each row that has joined."""
+    rows = random_rows(seed, 300, True) + [(1000, datetime(2024, 1, 5), datetime(9999, 12, 31)), (1001, None, datetime(2024, 1, 1))]
+    expected = {k: w for k, w in model([r for r in rows if r[0] != 1000]).items()}
+    steps = key_steps(spark.createDataFrame([*rows, (None, rows[0][1], rows[0][2])], "k long, s timestamp_ntz, e timestamp_ntz"), ["k"], "s", "e")
+    assert steps.count() == len({r[0] for r in rows})
+    twice = steps.crossJoin(spark.createDataFrame([("x",), ("y",)], "v string"))
+    months = lay_out_steps(twice, ["k", "v"])
+    assert months.where("k = 1000").count() == 2 * (9999 - 2024 + 1) * 12
+    for v in "xy":
+        got = [((r.k, r.start_year, r.start_month), r.weight) for r in months.where(F.col("v") == v).where("k <> 1000").collect()]
+        assert len(got) == len(expected) and {k for k, _ in got} == set(expected)
+        for k, w in got:
+            assert (w is None) == (expected[k] is None) and (w is None or w == pytest.approx(expected[k], rel=1e-12, abs=1e-12)), k
