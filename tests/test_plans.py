@@ -114,3 +114,9 @@ def test_months_of_the_mart_are_never_shuffled(spark):
             if depth[up] < at:
                 at = depth[up]
                 assert "Exchange" not in lines[up], lines[up]
+
+
+def test_the_mart_hashes_rows_of_operations(spark):
+    """They are narrower than an operation's dimensions, and what is hashed must fit a task's memory."""
+    joins = [line for line in static_plan(spark, "plan_fact_mart") if "Join [code" in line and "_g_code" in line]
+    assert len(joins) == 2 and all("BuildLeft" in line for line in joins), joins
